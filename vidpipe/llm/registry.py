@@ -4,21 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .byte_bpe import encode_decode
 from .near_dedup import near_duplicates
+from .substring_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(_table(spark, sf_dir, "documents"), window=13, layout="words")
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_byte_bpe": op4_byte_bpe,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
