@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
+from .language_id import identify
 from .near_dedup import near_duplicates
+from .quality import classify
 from .substring_dedup import remove_repeats
 
 
@@ -24,6 +26,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -33,10 +39,16 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
