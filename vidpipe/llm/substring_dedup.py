@@ -24,7 +24,7 @@ from .common import SPACES, buckets, hashed, runs_of, spans, utf8
 from .recompression import parse
 
 #: Documents dealt together, on average.
-CHUNK = 64
+CHUNK = 256
 
 
 def rounds_for(window: int) -> int:
