@@ -2,49 +2,31 @@
 
 Native throughout.  A text's terms are its phrases: words up to one that ends in a vowel, a comma or another
 mark, so boundaries depend on the text around them and an edit moves only its own; a term's weight is how
-often it occurs times its length.  For each of ``SAMPLES`` samples every term draws, from its hash alone, two
-gamma variables and a uniform shift, which fix the steps of its weight at which its sample changes; the term
-with the least value wins and the sample is the winner with its step.  Two texts share a sample with the
-chance of their generalised Jaccard similarity (sum of the smaller over sum of the larger weights), so the
-share of equal samples estimates it.
-
-The gamma variables come from a table of quantiles, so a draw is a hash and two look-ups.
+often it occurs times its length.  For a sample a term draws, from its hash alone, two gamma variables and a
+uniform shift, which fix the steps of its weight at which its sample changes; the term with the least value
+wins and the sample is the winner with its step.  Two texts share a sample with the chance of their
+generalised Jaccard similarity (sum of the smaller over sum of the larger weights).
+
+Samples are drawn bin by bin: each of ``GROUPS`` hashes deals the terms into ``BINS`` bins, and each bin has one
+sample of its own terms, so a term bids GROUPS times and not once for every sample.  A bin without terms has
+no sample; likeness is the share of equal samples among the bins that either text fills.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 64
-#: Quantiles of the gamma table.
-QUANTILES = 4096
+from .common import written
+
+#: Deals of the terms, and bins of each: a fingerprint has GROUPS * BINS samples.
+GROUPS, BINS = 4, 16
 #: Consecutive ids that lie together; the next text is looked up within a segment, or from one to the next.
 SEGMENT = 512
 
 _BOUNDARY = r"(?<=[aeiouy,.;:!?])\s+|\n+"
 
 
-def _gamma_quantiles(n: int) -> list[float]:
-    """The middle quantiles of Gamma(2, 1): the x with 1 - (1 + x) exp(-x) = (k + 1/2) / n, by Newton steps."""
-    out, x = [], 0.01
-    for k in range(n):
-        p = (k + 0.5) / n
-        for _ in range(60):
-            step = (1 - (1 + x) * math.exp(-x) - p) / (x * math.exp(-x))
-            x = max(1e-9, x - max(-1.0, min(1.0, step)))
-            if abs(step) < 1e-13:
-                break
-        out.append(x)
-    return out
-
-
-def _table(values: list[float]) -> Column:
-    return F.from_json(F.lit("[" + ",".join(map(repr, values)) + "]"), "array<double>")
-
-
 def _phrases(text: Column) -> Column:
     return F.split(F.lower(text), _BOUNDARY, -1)
 
@@ -79,50 +61,59 @@ def with_next(documents: DataFrame) -> DataFrame:
     )
 
 
-def _sample(i: int, weight: Column, gamma: Column, log_gamma: Column) -> Column:
-    """What a term bids for sample ``i``: its value in the high bits, 16 bits of the sample in the low ones."""
-    h = F.xxhash64("term", F.lit(i))
-    bits = lambda shift: F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(QUANTILES - 1)).cast("int")
-    r, log_c = F.get(gamma, bits(0)), F.get(log_gamma, bits(12))
-    beta = F.shiftrightunsigned(h, 24).bitwiseAND(F.lit((1 << 24) - 1)) / F.lit(float(1 << 24))
-    t = F.floor(weight / r + beta)
-    value = ((log_c - r * (t - beta + 1) + 64) * F.lit(float(1 << 30))).cast("bigint")
-    name = (F.shiftrightunsigned(h, 48) + t * 40503).bitwiseAND(F.lit(65535))
-    return F.min(F.when(weight.isNotNull(), F.shiftleft(value, 16).bitwiseOR(name)))
+def _uniform(h: Column, at: int) -> Column:
+    return (F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << 22) - 1)) + F.lit(0.5)) / F.lit(float(1 << 22))
 
 
 def fingerprints(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """``keys`` and, for each text column ``c``, ``c`` as its samples: an array of SAMPLES small integers, empty for no terms.
+    """``keys`` and, for each text column ``c``, ``c`` as its samples: GROUPS * BINS integers of 16 bits, -1 for an empty bin.
 
     Terms are counted and sampled per ``keys``; rows that are already partitioned by some of them do not move.
     """
-    gamma = _gamma_quantiles(QUANTILES)
-    tables = _table(gamma), _table([math.log(x) for x in gamma])
-    parts = [
-        F.transform(F.filter(_phrases(F.col(c)), lambda p: p != ""), lambda p, j=j: F.struct(F.lit(j).alias("of"), F.xxhash64(p).alias("term"), F.length(p).alias("len")))
-        for j, c in enumerate(columns)
-    ]
-    rows = texts.select(*keys, F.inline_outer(F.concat(*parts)))
-    weights = rows.groupBy(*keys, "term").agg(*(F.sum(F.when(F.col("of") == j, F.col("len"))).alias(f"w{j}") for j in range(len(columns))))
-    weights = weights.select(*keys, "term", *(F.log(F.col(f"w{j}").cast("double")).alias(f"w{j}") for j in range(len(columns))))
-    bids = [_sample(i, F.col(f"w{j}"), *tables).alias(f"s{j}_{i}") for j in range(len(columns)) for i in range(SAMPLES)]
-    least = weights.groupBy(*keys).agg(*bids)
+    def terms(j: int, c: str) -> Column:
+        own = F.filter(_phrases(F.col(c)), lambda p: p != "")
+        return F.transform(own, lambda p: F.struct(F.lit(j).alias("of"), F.xxhash64(p).alias("term"), F.length(p).alias("len")))
+
+    rows = texts.select(*keys, F.inline_outer(F.concat(*(terms(j, c) for j, c in enumerate(columns)))))
+    logs = [f"w{j}" for j in range(len(columns))]
+    weights = rows.groupBy(*keys, "term").agg(*(F.sum(F.when(F.col("of") == j, F.col("len"))).alias(w) for j, w in enumerate(logs)))
+    dealt = weights.select(*keys, "term", *(F.log(F.col(w).cast("double")).alias(w) for w in logs), F.explode(F.array(*map(F.lit, range(GROUPS)))).alias("group"))
+    one, two = F.xxhash64("term", F.col("group") * 2), F.xxhash64("term", F.col("group") * 2 + 1)
+    drawn = dealt.select(
+        *keys, *logs, one.alias("one"), (F.col("group") * BINS + F.pmod(F.xxhash64("term", F.col("group") + 64), F.lit(BINS)).cast("int")).alias("bin"),
+        (-F.log(_uniform(one, 0) * _uniform(one, 22))).alias("r"), F.log(-F.log(_uniform(two, 0) * _uniform(two, 22))).alias("log_c"),
+        (F.shiftrightunsigned(two, 44) / F.lit(float(1 << 20))).alias("shift"),
+    )
+
+    def bid(w: str) -> Column:
+        """The value in the high bits and 16 bits of the sample's name in the low ones."""
+        step = F.floor(F.col(w) / F.col("r") + F.col("shift"))
+        value = ((F.col("log_c") - F.col("r") * (step - F.col("shift") + 1) + 64) * F.lit(float(1 << 30))).cast("bigint")
+        name = (F.shiftrightunsigned("one", 44) + step * 40503).bitwiseAND(F.lit(65535))
+        return F.min(F.shiftleft(value, 16).bitwiseOR(name)).alias(w)
+
+    least = drawn.groupBy(*keys, "bin").agg(*(bid(w) for w in logs))
+    def entries(w: str) -> Column:
+        return F.map_from_entries(F.collect_list(F.when(F.col(w).isNotNull(), F.struct("bin", F.col(w).bitwiseAND(F.lit(65535)).cast("int")))))
 
-    def samples(j: int) -> Column:
-        own = F.array(*(F.col(f"s{j}_{i}").bitwiseAND(F.lit(65535)).cast("int") for i in range(SAMPLES)))
-        return F.when(F.col(f"s{j}_0").isNull(), F.array().cast("array<int>")).otherwise(own)
+    def samples(w: str) -> Column:
+        every = F.sequence(F.lit(0), F.lit(GROUPS * BINS - 1))
+        return F.transform(every, lambda i: F.coalesce(F.try_element_at(F.col(w), i), F.lit(-1)))
 
-    return least.select(*keys, *(samples(j).alias(c) for j, c in enumerate(columns)))
+    bins = least.groupBy(*keys).agg(*(entries(w).alias(w) for w in logs))
+    return bins.select(*keys, *(samples(w).alias(c) for c, w in zip(columns, logs, strict=True)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of equal samples; 1 for two texts without terms, 0 for one."""
-    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)) / F.lit(float(SAMPLES))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(same)
+    """The share of equal samples among bins that either text fills; 1 for two texts without terms."""
+    count = lambda test: F.size(F.filter(F.zip_with(a, b, test), lambda x: x))
+    filled = count(lambda x, y: (x >= 0) | (y >= 0))
+    return F.when(filled == 0, F.lit(1.0)).otherwise(count(lambda x, y: (x == y) & (x >= 0)) / F.greatest(filled, F.lit(1)))
 
 
 def as_text(samples: Column) -> Column:
-    return F.array_join(F.transform(samples, lambda x: F.lpad(F.hex(x), 4, "0")), "")
+    """Four hex digits for each sample, four dots for an empty bin."""
+    return F.array_join(F.transform(samples, lambda x: F.when(x < 0, F.lit("....")).otherwise(F.lpad(F.hex(x), 4, "0"))), "")
 
 
 def compare_with_edits(documents: DataFrame) -> DataFrame:
@@ -130,17 +121,16 @@ def compare_with_edits(documents: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or all) of the
     next document.  One row per input row: null texts count as empty, rows of equal id follow each other by
-    text, a single row is its own next.  Other columns do not matter.
+    text, a single row is its own next.  Other columns do not matter; no rows give no rows.
     """
     rows = with_next(documents)
     size = F.char_length("text")
     cut = F.floor(size / 4).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), size - cut), F.substring(F.col("next_text"), F.lit(1), cut)))
-    facts = ["seg", "k", "next_seg", "next_k", "doc_id", "n_chars", "edited_sha256"]
-    rows = rows.select(*facts[:5], size.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
-    found = fingerprints(rows, facts, ["text", "edited"])
+    found = written(fingerprints(rows.select("seg", "k", "text", "edited"), ["seg", "k"], ["text", "edited"]), "fingerprints")
+    facts = rows.select("seg", "k", "next_seg", "next_k", "doc_id", size.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
     other = found.select(F.col("seg").alias("next_seg"), F.col("k").alias("next_k"), F.col("text").alias("next"))
-    return found.join(other, ["next_seg", "next_k"]).select(
+    return facts.join(found, ["seg", "k"]).join(other, ["next_seg", "next_k"]).select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("text")).alias("fingerprint"), as_text(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("text"), F.col("edited")).alias("near_edited"), likeness(F.col("text"), F.col("next")).alias("near_next"),
     )

@@ -9,16 +9,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_bpe import encode_decode
+from .chat_format import format_chats, read_back
+from .decontaminate import find_hits
+from .fingerprint import compare_with_edits
 from .language_id import identify
 from .near_dedup import near_duplicates
 from .quality import classify
 from .substring_dedup import remove_repeats
+from .url_filter import Rule, filter_urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cws_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = find_hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
+    return hits.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+#: A conversation whose texts spell out control strings.
+_TRICKY = "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(spark.sql(_TRICKY))
+    back = read_back(format_chats(chats)).groupBy("conv_id").agg(
+        F.max("n_turns").alias("n_turns"), F.max(F.sha2("turns", 256)).alias("turns_sha256"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"), F.sum("chars").alias("formatted_chars"),
+    )
+    return back.select(
+        "conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("bigint").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars"
+    )
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = encode_decode(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -43,12 +71,30 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_table(spark, sf_dir, "documents"))
 
 
+#: Host and path of each rule, and what it says.
+_RULES = [
+    Rule("com", "/", "allow"),
+    Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"),
+    Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"), _RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cws_fingerprint": op1_cws_fingerprint,
+    "op2_decontamination": op2_decontamination,
+    "op3_chat_format": op3_chat_format,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {}
