@@ -40,6 +40,22 @@ def components(edges: DataFrame) -> DataFrame:
     return found.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def roots(parents: DataFrame) -> DataFrame:
+    """``parents(a, b)`` with one smaller ``b`` for each ``a`` -> ``(node, root)`` for every ``a``, by pointer jumping.
+
+    Each round follows every pointer four times as far, so the rounds grow with the logarithm of the depth.
+    """
+    now = written(parents.select(F.col("a").alias("node"), F.col("b").alias("root")), "roots")
+    while True:
+        to = now.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        once = now.join(to, "root", "left").select("node", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved"))
+        twice = once.join(to, "root", "left").select("node", F.coalesce("next", "root").alias("root"), (F.col("moved") & F.col("next").isNotNull()).alias("moved"))
+        after = written(twice, "roots")
+        now = after.select("node", "root")
+        if after.where("moved").isEmpty():
+            return now
+
+
 def _mark(edges: DataFrame) -> tuple:
     """A digest of an edge set: equal only if nothing changed."""
     row = edges.agg(

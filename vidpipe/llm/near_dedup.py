@@ -9,9 +9,9 @@
 3. In each posting list classes meet the list's smallest one, not each other; the pair with the most
    matches is confirmed on full shingle sets.  So a list with a third of all rows costs its length.
 4. Links not through such a centre are found exactly among the classes that step 2 left: their shingles are
-   ordered by frequency, and two sets as similar as asked share one of their first ``n - need + 1``.  Lists
-   that lie within one component are done; the others are confirmed pair by pair, first against the list's
-   smallest member and last against all members of other components.
+   ordered by frequency, and two sets as similar as asked share one of their first ``n - need + 1``, so early
+   in both that what follows suffices.  Only classes of different components are paired and confirmed: a
+   group that its centres have joined, however large, makes no pairs.
 
 Shingles are compared by 64-bit hashes.  Signatures, sets of candidates and links are written to the shared
 folder between the steps; nothing about single documents reaches the driver except a filter of fixed size.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import buckets, mix, runs_of, slices, words, written
-from .components import components
+from .components import components, roots
 
 #: The chance, for one pair at the threshold, that its signatures match too rarely to be looked at.
 MISS = 1e-9
@@ -114,7 +114,7 @@ def _filter_bits(ids: DataFrame) -> bytes:
 
 
 def _sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
-    """(rep, n, shingles): the full shingle sets of the classes in ``live``, packed."""
+    """(rep, n, shingles): the full shingle sets of the classes in ``live``, which may repeat them, packed."""
     bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(live))
     hashed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"))
 
@@ -131,11 +131,11 @@ def _sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
                 )
 
     sets = hashed.mapInArrow(run, "rep bigint, n bigint, shingles binary")
-    return sets.join(live, "rep", "left_semi").dropDuplicates(["rep"])
+    return sets.join(live.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are as similar as asked."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The pairs (a, b) whose full sets are as similar as asked, with some more columns of bigints."""
     left = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
@@ -150,13 +150,15 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 at = np.searchsorted(y, x)
                 common = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
                 keep[i] = common and 100 * common >= percent * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            yield batch.select(["a", "b", *carry]).filter(pa.array(keep))
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", *carry, "sa", "sb").mapInArrow(run, ", ".join(f"{c} bigint" for c in ("a", "b", *carry)))
 
 
 def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(shingle, rep): each set's first ``n - need + 1`` shingles by rising frequency, those of one set alone left out.
+    """(shingle, rep, n, rest): each set's first ``n - need + 1`` shingles by rising frequency, those of one set alone left out.
+
+    ``rest`` counts the set's shingles from this one on in that order: an overlap that begins here has no more.
 
     Shingles are dealt by hash into buckets of packed arrays, counted there, and sent back to their sets.
     """
@@ -167,35 +169,39 @@ def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
             for part in slices(batch, "shingles", 1 << 23):
                 own = [np.frombuffer(x.as_buffer(), np.uint64) for x in part["shingles"]]
                 hashes = np.concatenate(own)
-                reps = np.repeat(part["rep"].to_numpy(zero_copy_only=False), [len(x) for x in own])
+                sizes = np.array([len(x) for x in own])
+                reps = np.repeat(part["rep"].to_numpy(zero_copy_only=False), sizes)
+                ns = np.repeat(sizes, sizes)
                 where = (hashes >> np.uint64(32)) % np.uint64(many)
                 order = np.argsort(where, kind="stable")
-                hashes, reps, where = hashes[order], reps[order], where[order]
+                hashes, reps, ns, where = hashes[order], reps[order], ns[order], where[order]
                 cut = np.searchsorted(where, np.arange(many + 1))
                 full = np.flatnonzero(cut[1:] > cut[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(full, pa.int32()), pa.array([hashes[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()),
-                     pa.array([reps[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary())],
-                    names=["bucket", "hashes", "reps"],
+                     pa.array([reps[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()),
+                     pa.array([ns[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary())],
+                    names=["bucket", "hashes", "reps", "ns"],
                 )
 
     def count(table: pa.Table) -> pa.Table:
         hashes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["hashes"]])
         reps = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["reps"]])
+        ns = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["ns"]])
         _, back, df = np.unique(hashes, return_inverse=True, return_counts=True)
         df = df[back]
         keep = df >= 2
-        hashes, reps, df = hashes[keep], reps[keep], df[keep]
+        hashes, reps, ns, df = hashes[keep], reps[keep], ns[keep], df[keep]
         order = np.argsort(reps, kind="stable")
-        hashes, reps, df = hashes[order], reps[order], df[order]
+        hashes, reps, ns, df = hashes[order], reps[order], ns[order], df[order]
         ids, cut = np.unique(reps, return_index=True)
         cut = np.append(cut, len(reps))
         pack = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-        return pa.table([pa.array(ids, pa.int64()), pack(hashes), pack(df.astype(np.int64))], names=["rep", "hashes", "df"])
+        return pa.table([pa.array(ids, pa.int64()), pa.array(ns[cut[:-1]]), pack(hashes), pack(df.astype(np.int64))], names=["rep", "n", "hashes", "df"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            out, of, size, rest = ([np.zeros(0, np.int64)] for _ in range(4))
             for rep, n, parts in zip(batch["rep"].to_pylist(), batch["n"].to_pylist(), batch["parts"].to_pylist(), strict=True):
                 hashes = np.concatenate([np.frombuffer(p["hashes"], np.int64) for p in parts])
                 df = np.concatenate([np.frombuffer(p["df"], np.int64) for p in parts])
@@ -203,14 +209,17 @@ def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 if prefix > 0:
                     out.append(hashes[np.lexsort((hashes, df))[:prefix]])
                     of.append(np.full(len(out[-1]), rep))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(of))], names=["shingle", "rep"])
+                    size.append(np.full(len(out[-1]), n))
+                    rest.append(len(hashes) - np.arange(len(out[-1])))
+            columns = [pa.array(np.concatenate(x)) for x in (out, of, size, rest)]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "rep", "n", "rest"])
 
     counted = (
-        sets.select("rep", "shingles").mapInArrow(deal, "bucket int, hashes binary, reps binary")
-        .groupBy("bucket").applyInArrow(count, "rep bigint, hashes binary, df binary")
+        sets.select("rep", "shingles").mapInArrow(deal, "bucket int, hashes binary, reps binary, ns binary")
+        .groupBy("bucket").applyInArrow(count, "rep bigint, n bigint, hashes binary, df binary")
     )
-    gathered = counted.groupBy("rep").agg(F.collect_list(F.struct("hashes", "df")).alias("parts"))
-    return gathered.join(sets.select("rep", "n"), "rep").mapInArrow(take, "shingle bigint, rep bigint")
+    gathered = counted.groupBy("rep").agg(F.first("n").alias("n"), F.collect_list(F.struct("hashes", "df")).alias("parts"))
+    return gathered.mapInArrow(take, "shingle bigint, rep bigint, n bigint, rest bigint")
 
 
 def near_duplicates(
@@ -230,34 +239,27 @@ def near_duplicates(
     usable = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
     postings = written(_prefix_postings(reps.select("rep", "sig"), coordinates, matches), "postings")
-    live = written(postings.select("rep").distinct(), "live")
-    sets = written(_sets(docs, live, width), "sets")
+    sets = written(_sets(docs, postings, width), "sets")
 
-    # step 3: every class against the centre it matches best
-    centres = postings.groupBy("key").agg(F.min("rep").alias("b"), F.count("*").alias("n")).where("n >= 2").drop("n")
-    met = postings.join(centres, "key").where("rep <> b").groupBy(F.col("rep").alias("a"), "b").agg(F.count("*").alias("hits"))
-    best = met.groupBy("a").agg(F.max_by("b", F.struct("hits", F.negative("b"))).alias("b"))
-    links = written(_confirmed(best, sets, percent), "links")
+    # step 3: every class against the centre that it meets most often
+    centres = postings.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("other")).where("b <> other").select("key", "b")
+    best = postings.join(centres, "key").where("rep <> b").groupBy(F.col("rep").alias("a")).agg(F.mode("b", True).alias("b"))
+    trees = roots(_confirmed(best, sets, percent))
 
     # step 4: the links that no centre shows
-    prefixes = written(_exact_prefixes(sets, percent), "prefixes")
-    for every in (False, True):
-        found = components(links)
-        placed = prefixes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("shingle", "rep", F.coalesce("component", "rep").alias("component"))
-        open_lists = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("rep").alias("centre")).where("lo <> hi")
-        members = placed.join(open_lists.select("shingle", "centre"), "shingle")
-        if every:
-            x = members.select("shingle", F.col("rep").alias("a"), F.col("component").alias("ca"))
-            y = members.select("shingle", F.col("rep").alias("b"), F.col("component").alias("cb"))
-            pairs = x.join(y, "shingle").where("a > b AND ca <> cb")
-        else:
-            own = found.select(F.col("node").alias("centre"), F.col("component").alias("cb"))
-            pairs = members.where("rep <> centre").join(own, "centre", "left").where("component <> coalesce(cb, centre)")
-            pairs = pairs.select(F.col("rep").alias("a"), F.col("centre").alias("b"))
-        new = _confirmed(pairs.select("a", "b").distinct(), sets, percent)
-        links = links.unionByName(written(new, "links"))
-
-    found = components(links)
+    prefixes = _exact_prefixes(sets, percent).join(trees.withColumnRenamed("node", "rep"), "rep", "left")
+    prefixes = written(prefixes.select("shingle", "rep", "n", "rest", F.coalesce("root", "rep").alias("root")), "prefixes")
+    several = prefixes.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
+    members = prefixes.join(several, "shingle")
+    x = members.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "rest", "root")))
+    y = members.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "rest", "root")))
+    enough = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
+    pairs = x.join(y, "shingle").where(f"rep_a > rep_b AND root_a <> root_b AND {enough}")
+    pairs = pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "root_a", "root_b").distinct()
+    more = _confirmed(pairs, sets, percent, ("root_a", "root_b"))
+    joined = components(more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    found = trees.join(joined, trees["root"] == joined["node"], "left").select(trees["node"], F.coalesce("component", "root").alias("component"))
+    found = found.unionByName(joined.join(trees.select("node"), "node", "left_anti"))
     classes = reps.select("set1", "set2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     classes = classes.select("set1", "set2", F.coalesce("component", "rep").alias("component"))
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id"))
