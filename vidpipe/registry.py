@@ -1,10 +1,649 @@
-"""Registered queries of the library's own operators, and the SQL that gives the same rows."""
+"""Registered queries of the library's own operators, and DuckDB SQL that gives the same rows."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .fixtures import NOW, duck, dumps, view
+from .functions import text, urls, values
+from .operators import merge, nested, order, relate, validate
+from .plans import jobs
+from .sources import lists, state
+from .streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+_NOW = F.lit(NOW).cast("timestamp")
+_DUCK_NOW = f"TIMESTAMPTZ '{NOW}+00'"
+
+
+def _query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# SQL of the parsers, written apart from the column functions -----------------------------------------------
+
+_norm = lambda x: f"nullif(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '')"
+
+
+def _replace_all(x: str, words: tuple[str, ...]) -> str:
+    for w in words:
+        x = f"replace({x}, '{w}', ' ')"
+    return x
+
+
+_VIEWS = f"""
+v0 AS (SELECT *, lower({_norm('views_text')}) AS low FROM fx_hits),
+v1 AS (SELECT *, coalesce({_norm(_replace_all('low', text.VIEW_WORDS))}, '') AS cleaned FROM v0),
+v2 AS (SELECT *, regexp_extract(cleaned, '((?:[0-9]{{1,3}}(?:[.,][0-9]{{3}})+|[0-9]+)(?:[.,][0-9]+)?)\\s*([kmb])?', 1) AS num,
+  regexp_extract(cleaned, '((?:[0-9]{{1,3}}(?:[.,][0-9]{{3}})+|[0-9]+)(?:[.,][0-9]+)?)\\s*([kmb])?', 2) AS suf FROM v1),
+v3 AS (SELECT *, TRY_CAST(CASE
+  WHEN contains(num, ',') AND contains(num, '.') THEN
+    CASE WHEN strpos(reverse(num), ',') < strpos(reverse(num), '.') THEN replace(replace(num, '.', ''), ',', '.') ELSE replace(num, ',', '') END
+  WHEN contains(num, ',') THEN CASE WHEN suf <> '' THEN replace(num, ',', '.') ELSE replace(num, ',', '') END
+  WHEN contains(num, '.') AND suf = '' AND regexp_matches(num, '^[0-9]+\\.[0-9]{{3}}$') THEN replace(num, '.', '')
+  ELSE num END AS DOUBLE) AS val FROM v2),
+views AS (SELECT *, CASE WHEN low IS NULL THEN NULL WHEN contains(low, 'no views') OR contains(low, 'sin vistas') THEN 0 WHEN num = '' THEN NULL
+  ELSE CAST(trunc(val * CASE suf WHEN 'k' THEN 1e3 WHEN 'm' THEN 1e6 WHEN 'b' THEN 1e9 ELSE 1 END) AS BIGINT) END AS views_estimated FROM v3)"""
+
+
+def _unit_sql(names: tuple[str, ...]) -> str:
+    found = ", ".join(f"nullif(regexp_extract(w, '([0-9]+)\\s*{n}\\b', 1), '')" for n in names)
+    return f"coalesce(CAST(coalesce({found}) AS BIGINT), 0)"
+
+
+_DURATION = f"""
+d0 AS (SELECT *, {_norm('duration_text')} AS dt FROM views),
+d1 AS (SELECT *, {_norm("replace(replace(lower(dt), ',', ' '), '·', ' ')")} AS w, string_split(dt, ':') AS p FROM d0),
+durations AS (SELECT *, CASE WHEN regexp_matches(dt, '^[0-9]+:[0-9]+$') THEN CAST(p[1] AS BIGINT) * 60 + CAST(p[2] AS BIGINT)
+  WHEN regexp_matches(dt, '^[0-9]+:[0-9]+:[0-9]+$') THEN CAST(p[1] AS BIGINT) * 3600 + CAST(p[2] AS BIGINT) * 60 + CAST(p[3] AS BIGINT)
+  ELSE nullif({_unit_sql(text.HOURS)} * 3600 + {_unit_sql(text.MINUTES)} * 60 + {_unit_sql(text.SECONDS)}, 0) END AS duration_seconds_estimated FROM d1)"""
+
+_UNITS = "CASE strip_accents(unit) " + " ".join(f"WHEN '{u}' THEN {s}" for u, s in text.UNIT_SECONDS.items()) + " END"
+_PUBLISHED = f"""
+p0 AS (SELECT *, {_norm('published_text')} AS pt FROM durations),
+p1 AS (SELECT *, coalesce({_norm(_replace_all('lower(pt)', text.AGE_PREFIXES))}, '') AS pl FROM p0),
+p2 AS (SELECT *, coalesce(nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_EN})s?\\b', 1), ''), nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_ES})s?\\b', 1), '')) AS qty,
+  coalesce(nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_EN})s?\\b', 2), ''), nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_ES})s?\\b', 2), '')) AS unit FROM p1),
+published AS (SELECT *, CASE WHEN pt IS NULL THEN NULL WHEN contains(pl, 'yesterday') OR contains(pl, 'ayer') THEN {_DUCK_NOW} - INTERVAL 1 DAY
+  WHEN qty IS NOT NULL THEN {_DUCK_NOW} - to_seconds(CAST(qty AS BIGINT) * ({_UNITS}))
+  ELSE CAST(coalesce(CASE WHEN regexp_matches(pt, '^[0-9]{{4}}-') THEN try_strptime(pt, '%Y-%m-%d') END, try_strptime(pt, '%b %d, %Y'), try_strptime(pt, '%d %b %Y')) AS TIMESTAMP) AT TIME ZONE 'UTC' END
+  AS published_at_estimated FROM p2)"""
+
+_PARSED = f"{duck('fx_hits')}, {_VIEWS.strip()}, {_DURATION.strip()}, {_PUBLISHED.strip()}"
+_REASON = "CASE WHEN duration_seconds_estimated < 180 THEN 'duration_too_low' WHEN views_estimated < 1000 THEN 'views_too_low' END"
+
+
+# parsers -----------------------------------------------------------------------------------------------------
+
+
+@_query(f"{duck('fx_hits')} SELECT event_id, {_norm('channel_url')} AS channel_url FROM fx_hits")
+def normalize_text(spark, sf_dir):
+    return view(spark, sf_dir, "fx_hits").select("event_id", text.normalize_text(F.col("channel_url")).alias("channel_url"))
+
+
+@_query(f"{_PARSED} SELECT event_id, views_text, views_estimated FROM published")
+def parse_views(spark, sf_dir):
+    return view(spark, sf_dir, "fx_hits").select("event_id", "views_text", text.parse_views(F.col("views_text")).alias("views_estimated"))
+
+
+@_query(f"{_PARSED} SELECT event_id, duration_text, duration_seconds_estimated FROM published")
+def parse_duration(spark, sf_dir):
+    return view(spark, sf_dir, "fx_hits").select("event_id", "duration_text", text.parse_duration(F.col("duration_text")).alias("duration_seconds_estimated"))
+
+
+@_query(f"{_PARSED} SELECT event_id, published_text, epoch_us(published_at_estimated) AS published_us FROM published")
+def parse_published(spark, sf_dir):
+    return view(spark, sf_dir, "fx_hits").select("event_id", "published_text", F.unix_micros(text.parse_published(F.col("published_text"), _NOW)).alias("published_us"))
+
+
+@_query(
+    """SELECT l_orderkey, l_linenumber, CAST(trunc(l_extendedprice) AS BIGINT) AS from_double, CAST(l_quantity AS BIGINT) AS from_text,
+    CAST(NULL AS BIGINT) AS from_bool, l_returnflag = 'A' AS flag, CAST(NULL AS BOOLEAN) AS flag_of_number FROM lineitem"""
+)
+def coerce_values(spark, sf_dir):
+    v = lambda sql: F.parse_json(F.expr(sql))
+    return _t(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", values.coerce_int(v("cast(l_extendedprice as string)")).alias("from_double"),
+        values.coerce_int(v("concat('\" ', cast(cast(l_quantity as bigint) as string), ' \"')")).alias("from_text"), values.coerce_int(v("'true'")).alias("from_bool"),
+        values.strict_bool(v("case when l_returnflag = 'A' then 'true' else 'false' end")).alias("flag"), values.strict_bool(v("'1'")).alias("flag_of_number"),
+    )
+
+
+@_query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE epoch_us(ts) END AS us FROM events")
+def ensure_timestamp(spark, sf_dir):
+    shown = F.when(F.col("event_id") % 3 == 0, F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return _t(spark, sf_dir, "events").select("event_id", F.unix_micros(values.ensure_timestamp(shown)).alias("us"))
+
+
+# hits -----------------------------------------------------------------------------------------------------------
+
+_CHANNELS = "CASE WHEN event_id % 3 = 0 THEN array(named_struct('name', 'a', 'url', 'https://v.example/a'), named_struct('name', 'b', 'url', concat('https://v.example/', event_id))) WHEN event_id % 3 = 1 THEN array(named_struct('name', 'c', 'url', 'https://v.example/c')) END"
+
+
+@_query(
+    f"""{duck('fx_hits')} SELECT event_id, '{urls.WATCH}' || video_id AS video_url, '{urls.THUMBNAIL[0]}' || video_id || '{urls.THUMBNAIL[1]}' AS thumbnail_url,
+    coalesce(nullif(channel_url, ''), CASE event_id % 3 WHEN 0 THEN 'https://v.example/a' WHEN 1 THEN 'https://v.example/c' END) AS channel_url,
+    coalesce(event_id % 3 = 0, false) AS is_multi_creator FROM fx_hits"""
+)
+def hit_defaults(spark, sf_dir):
+    hits = view(spark, sf_dir, "fx_hits").withColumn("channels", F.expr(_CHANNELS))
+    none = F.lit(None).cast("string")
+    return hits.select(
+        "event_id", urls.video_url(none, F.col("video_id")).alias("video_url"), urls.thumbnail_url(none, F.col("video_id")).alias("thumbnail_url"),
+        urls.channel_url(F.col("channel_url"), F.col("channels")).alias("channel_url"), values.or_false(urls.multi_creator(F.col("channels"))).alias("is_multi_creator"),
+    )
+
+
+@_query(f"{duck('fx_hits')} SELECT event_id, CASE WHEN contains(duration_text, ':') THEN 'video' ELSE 'short' END AS video_type FROM fx_hits")
+def video_type(spark, sf_dir):
+    return view(spark, sf_dir, "fx_hits").select("event_id", urls.video_type(F.col("duration_text")).alias("video_type"))
+
+
+@_query("SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page FROM pages")
+def video_id_from_url(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", urls.query_parameter(F.col("url"), "page").alias("page"))
+
+
+_ANCHORS = """WITH h AS (SELECT page_id, regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS hrefs,
+  regexp_extract_all(html, '<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS texts FROM pages),
+ a AS (SELECT page_id, unnest(hrefs) AS href, nullif(trim(unnest(texts)), '') AS text, generate_subscripts(hrefs, 1) - 1 AS pos FROM h)"""
+
+
+@_query(f"{_ANCHORS} SELECT page_id, pos, 'https://site.example' || href AS url, text FROM a WHERE href LIKE '/%'")
+def link_extract(spark, sf_dir):
+    rows = _t(spark, sf_dir, "pages").select("page_id", F.posexplode(nested.anchors(F.col("html"))).alias("pos", "a")).where(F.col("a.href").rlike("^/"))
+    return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), urls.absolute("https://site.example", F.col("a.href")).alias("url"), F.col("a.text").alias("text"))
+
+
+@_query(
+    f"""{_ANCHORS}, d AS (SELECT page_id, href, min(pos) AS first, arg_max(struct_pack(t := text), pos) AS last FROM a GROUP BY page_id, href)
+    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY first) - 1 AS pos, href, last.t AS text FROM d"""
+)
+def anchor_dedupe(spark, sf_dir):
+    rows = _t(spark, sf_dir, "pages").select("page_id", F.posexplode(nested.dedupe_anchors(nested.anchors(F.col("html")))).alias("pos", "a"))
+    return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("a.href").alias("href"), F.col("a.text").alias("text"))
+
+
+@_query(f"""{duck('fx_hits')}, c AS (SELECT event_id, unnest(CASE event_id % 3 WHEN 0 THEN [0, 1] WHEN 1 THEN [0] ELSE [NULL] END) AS pos FROM fx_hits)
+    SELECT event_id, pos, CASE WHEN event_id % 3 = 1 THEN 'c' WHEN pos = 0 THEN 'a' WHEN pos = 1 THEN 'b' END AS name FROM c""")
+def hit_channels(spark, sf_dir):
+    hits = view(spark, sf_dir, "fx_hits").withColumn("channels", F.expr(_CHANNELS))
+    return hits.select("event_id", F.posexplode_outer("channels").alias("pos", "c")).select("event_id", "pos", F.col("c.name").alias("name"))
+
+
+@_query(f"""{duck('fx_hits')} SELECT search_run_id, query, event_id FROM fx_hits
+    QUALIFY row_number() OVER (PARTITION BY search_run_id, query ORDER BY event_id) <= 5""")
+def search_limit(spark, sf_dir):
+    return order.top_per(view(spark, sf_dir, "fx_hits"), ["search_run_id", "query"], ["event_id"], 5).select("search_run_id", "query", "event_id")
+
+
+@_query(f"{duck('fx_hits')} SELECT event_id, to_json(struct_pack(event_id := event_id, video_id := video_id, query := query)) :: VARCHAR AS json FROM fx_hits")
+def results_json(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_hits").select("event_id", "video_id", "query")
+    return rows.select("event_id", F.to_json(F.struct("event_id", "video_id", "query")).alias("json"))
+
+
+# validation and facets ----------------------------------------------------------------------------------------
+
+
+@_query(f"""{_PARSED} SELECT event_id, coalesce({_REASON}, '') = '' AS passed, {_REASON} AS reason FROM published""")
+def validate_rows(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_hits").where(validate.has_key("video_id"))
+    passed, reason = validate.verdict(text.parse_duration(F.col("duration_text")), text.parse_views(F.col("views_text")))
+    return rows.select("event_id", passed.alias("passed"), reason.alias("reason"))
+
+
+@_query(
+    f"""{_PARSED}, r AS (SELECT event_id, CASE WHEN duration_seconds_estimated < 1200 THEN 'duration_too_low'
+    WHEN published_at_estimated < {_DUCK_NOW} - INTERVAL 60 DAY THEN 'too_old' WHEN views_estimated < 1000 THEN 'views_too_low' END AS reason FROM published)
+    SELECT event_id, reason IS NULL AS passed, reason FROM r"""
+)
+def validate_documented(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_hits")
+    passed, reason = validate.verdict(
+        text.parse_duration(F.col("duration_text")), text.parse_views(F.col("views_text")), text.parse_published(F.col("published_text"), _NOW), _NOW, min_duration=1200, max_age_days=60
+    )
+    return rows.select("event_id", passed.alias("passed"), reason.alias("reason"))
+
+
+@_query("SELECT o, event_id FROM (VALUES ('last_hour', TIMESTAMP '2024-01-20 11:00:00'), ('today', TIMESTAMP '2024-01-20'), ('this_week', TIMESTAMP '2024-01-15'), ('this_month', TIMESTAMP '2024-01-01'), ('this_year', TIMESTAMP '2024-01-01')) f(o, since), events WHERE ts >= since")
+def facet_upload_date(spark, sf_dir):
+    events, now = _t(spark, sf_dir, "events"), F.lit("2024-01-20 12:00:00").cast("timestamp")
+    out = None
+    for o in ("last_hour", "today", "this_week", "this_month", "this_year"):
+        part = validate.facet(events, validate.uploaded_within(F.col("ts").cast("timestamp"), o, now)).select(F.lit(o).alias("o"), "event_id")
+        out = part if out is None else out.union(part)
+    return out
+
+
+@_query(f"""{_PARSED} SELECT o, event_id FROM published, (VALUES ('under_4', 0, 179), ('4_20', 180, 1200), ('over_20', 1201, 99999999)) f(o, a, b)
+    WHERE duration_seconds_estimated BETWEEN a AND b""")
+def facet_duration(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_hits").select("event_id", text.parse_duration(F.col("duration_text")).alias("s"))
+    parts = [validate.facet(rows, validate.duration_within(F.col("s"), o)).select(F.lit(o).alias("o"), "event_id") for o in ("under_4", "4_20", "over_20")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@_query("SELECT p_partkey FROM part WHERE contains(p_type, split_part(p_type, ' ', 1)) AND list_contains(string_split(p_type, ' '), 'BRASS') AND list_contains(string_split(p_type, ' '), 'STANDARD')")
+def facet_features(spark, sf_dir):
+    rows = _t(spark, sf_dir, "part")
+    return validate.facet(rows, validate.has_features(F.split("p_type", " "), ["BRASS", "STANDARD"])).select("p_partkey")
+
+
+@_query("SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 100")
+def facet_sort(spark, sf_dir):
+    rows = _t(spark, sf_dir, "part")
+    return rows.orderBy(*validate.facet_order(rows, "view_count", {"view_count": "p_retailprice"}, "p_partkey", "p_partkey")).limit(100).select("p_partkey", "p_retailprice")
+
+
+@_query("SELECT doc_id, CASE WHEN lang = 'en' THEN 'en' ELSE 'es' END AS code FROM documents")
+def locale_code(spark, sf_dir):
+    locale = F.when(F.col("lang") == "en", F.lit("en-US")).otherwise(F.col("lang"))
+    return _t(spark, sf_dir, "documents").select("doc_id", values.locale_code(locale).alias("code"))
+
+
+_LABELS = [("en", "view_count", "View count"), ("en", "rating", "Rating"), ("es", "view_count", "Número de vistas")]
+
+
+@_query("SELECT doc_id, CASE lang WHEN 'en' THEN 'View count' WHEN 'es' THEN 'Número de vistas' END AS label FROM documents")
+def facet_labels(spark, sf_dir):
+    labels = spark.createDataFrame(_LABELS, "lang string, option string, label string").where("option = 'view_count'")
+    return _t(spark, sf_dir, "documents").join(F.broadcast(labels), "lang", "left").select("doc_id", "label")  # three fixed rows
+
+
+# tables -------------------------------------------------------------------------------------------------------------
+
+
+@_query(f"{duck('fx_hits')} SELECT video_id, event_id, query FROM fx_hits QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1")
+def dedupe_first_wins(spark, sf_dir):
+    return merge.first_wins(view(spark, sf_dir, "fx_hits"), ["video_id"], "event_id").select("video_id", "event_id", "query")
+
+
+def _split(spark, sf_dir):
+    hits = view(spark, sf_dir, "fx_hits").select("video_id", "query", "event_id")
+    return merge.first_wins(hits.where("event_id % 3 = 0"), ["video_id"], "event_id"), hits.where("event_id % 3 <> 0")
+
+
+_OLD_NEW = """, o AS (SELECT video_id, query, event_id FROM fx_hits WHERE event_id % 3 = 0 QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1),
+ n AS (SELECT video_id, query, event_id FROM fx_hits WHERE event_id % 3 <> 0)"""
+
+
+@_query(f"""{duck('fx_hits')}{_OLD_NEW} SELECT * FROM o UNION ALL SELECT * FROM n WHERE video_id NOT IN (SELECT video_id FROM o)
+    QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1""")
+def insert_ignore(spark, sf_dir):
+    return merge.insert_ignore(*_split(spark, sf_dir), ["video_id"], "event_id")
+
+
+@_query(f"""{duck('fx_hits')}{_OLD_NEW} SELECT count(*) AS rows, count(DISTINCT video_id) AS inserted, count(*) - count(DISTINCT video_id) AS ignored,
+    count(DISTINCT CASE WHEN video_id NOT IN (SELECT video_id FROM o) THEN video_id END) AS stored FROM n""")
+def insert_stats(spark, sf_dir):
+    return merge.insert_stats(*_split(spark, sf_dir), "video_id", "event_id")
+
+
+_UPSERT = """WITH o AS (SELECT CAST(c_custkey AS VARCHAR) AS k, c_acctbal AS b, c_mktsegment AS s FROM customer WHERE c_custkey % 3 <> 0),
+ n AS (SELECT CAST(c_custkey AS VARCHAR) AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_acctbal + 1 END AS b, c_mktsegment || '!' AS s FROM customer WHERE c_custkey % 2 = 0)"""
+
+
+def _customers(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    old = c.where("c_custkey % 3 <> 0").selectExpr("string(c_custkey) k", "c_acctbal b", "c_mktsegment s")
+    return old, c.where("c_custkey % 2 = 0").selectExpr("string(c_custkey) k", "CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal + 1 END b", "concat(c_mktsegment, '!') s")
+
+
+@_query(f"{_UPSERT} SELECT coalesce(n.k, o.k) AS k, coalesce(n.b, o.b) AS b, coalesce(n.s, o.s) AS s FROM o FULL JOIN n ON o.k = n.k")
+def upsert_coalesce(spark, sf_dir):
+    return merge.upsert(*_customers(spark, sf_dir), ["k"])
+
+
+@_query(f"{_UPSERT} SELECT coalesce(n.k, o.k) AS k, CASE WHEN n.k IS NULL THEN o.b ELSE n.b END AS b, CASE WHEN n.k IS NULL THEN o.s ELSE n.s END AS s FROM o FULL JOIN n ON o.k = n.k")
+def upsert_overwrite(spark, sf_dir):
+    return merge.upsert(*_customers(spark, sf_dir), ["k"], mode="overwrite")
+
+
+@_query(
+    """WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS o, CAST(l_linenumber AS VARCHAR) AS n, min(l_quantity) AS q, min(l_partkey) AS p FROM lineitem GROUP BY ALL)
+    SELECT o, n, CASE WHEN p % 3 <> 0 OR (p % 2 = 0 AND p % 4 <> 0) THEN CASE WHEN p % 2 = 0 AND p % 4 <> 0 THEN q + 1 ELSE q END END AS q FROM l WHERE p % 3 <> 0 OR p % 2 = 0"""
+)
+def upsert_coalesce_composite(spark, sf_dir):
+    rows = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("o"), F.col("l_linenumber").cast("string").alias("n")).agg(F.min("l_quantity").alias("q"), F.min("l_partkey").alias("p"))
+    new = rows.where("p % 2 = 0").selectExpr("o", "n", "CASE WHEN p % 4 <> 0 THEN q + 1 END q")
+    return merge.upsert(rows.where("p % 3 <> 0").select("o", "n", "q"), new, ["o", "n"])
+
+
+@_query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def keyed_update(spark, sf_dir):
+    rows = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return merge.keyed_update(rows, rows.where("o_orderkey % 5 = 0").select("o_orderkey", F.lit("X").alias("o_orderstatus")), "o_orderkey", "o_orderstatus")
+
+
+@_query("SELECT CAST(p_partkey AS VARCHAR) AS id, p_name, 'es' AS lang FROM part")
+def legacy_append(spark, sf_dir):
+    part = _t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_name").withColumn("lang", F.lit("es"))
+    return merge.insert_ignore(part.where("id % 2 = 0"), part, ["id"], "id")
+
+
+@_query(f"{duck('fx_hits', 'fx_normalized')} SELECT event_id, video_id, query FROM fx_hits WHERE video_id NOT IN (SELECT video_id FROM fx_normalized)")
+def unprocessed(spark, sf_dir):
+    return relate.unprocessed(view(spark, sf_dir, "fx_hits"), view(spark, sf_dir, "fx_normalized"), "video_id", ["event_id", "video_id", "query"])
+
+
+@_query(f"{duck('fx_hits', 'fx_normalized')} SELECT event_id, video_id FROM fx_hits WHERE video_id NOT IN (SELECT video_id FROM fx_normalized) ORDER BY discovered_at, event_id LIMIT 50")
+def unprocessed_limit(spark, sf_dir):
+    rows = relate.unprocessed(view(spark, sf_dir, "fx_hits"), view(spark, sf_dir, "fx_normalized"), "video_id", ["event_id", "video_id", "discovered_at"])
+    return relate.oldest_first(rows, ["discovered_at", "event_id"], 50).select("event_id", "video_id")
+
+
+_CLAIM = """ SELECT channel_url, min(normalized_at) AS m FROM fx_normalized WHERE validation_passed AND channel_url <> ''
+  AND channel_url NOT IN (SELECT channel_url FROM fx_processed) AND channel_url NOT IN (SELECT channel_url FROM fx_claims) GROUP BY channel_url"""
+_CLAIM_VIEWS = ("fx_normalized", "fx_processed", "fx_claims")
+
+
+def _claims(spark, sf_dir, n):
+    return relate.claim(*(view(spark, sf_dir, v) for v in _CLAIM_VIEWS), n)
+
+
+@_query(f"{duck(*_CLAIM_VIEWS)} SELECT channel_url, epoch_us(m) AS first_us FROM ({_CLAIM} ORDER BY m, channel_url LIMIT 20)")
+def claim_candidates(spark, sf_dir):
+    return _claims(spark, sf_dir, 20).select("channel_url", F.unix_micros(F.col("first_normalized_at").cast("timestamp")).alias("first_us"))
+
+
+@_query(f"{duck(*_CLAIM_VIEWS)}, c AS ({_CLAIM}) SELECT channel_url, CAST((row_number() OVER (ORDER BY m, channel_url) - 1) // 10 AS BIGINT) AS round FROM c")
+def claim_rounds(spark, sf_dir):
+    return order.worker_shares(order.with_index(_claims(spark, sf_dir, 1_000_000), ["first_normalized_at", "channel_url"]), 1_000_000, 10).select("channel_url", F.col("worker").alias("round"))
+
+
+# work plans -------------------------------------------------------------------------------------------------------
+
+
+@_query(f"{duck('fx_runs')} SELECT DISTINCT query FROM fx_runs WHERE query <> ''")
+def executed_queries(spark, sf_dir):
+    return relate.executed(view(spark, sf_dir, "fx_runs"))
+
+
+def _seed(spark, sf_dir):
+    return lists.seed_list(view(spark, sf_dir, "fx_seed"), "line", "pos")
+
+
+_SEED = f"{duck('fx_seed', 'fx_runs')}, s AS (SELECT pos, trim(line) AS query FROM fx_seed WHERE trim(line) <> ''), x AS (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS idx FROM s), p AS (SELECT * FROM s WHERE query NOT IN (SELECT query FROM fx_runs WHERE query <> ''))"
+
+
+@_query(f"{_SEED} SELECT pos, query FROM p")
+def pending_queries(spark, sf_dir):
+    return relate.pending(_seed(spark, sf_dir), view(spark, sf_dir, "fx_runs"))
+
+
+@_query(f"{_SEED} SELECT pos, query FROM x WHERE idx >= 150 AND idx < 200 AND query NOT IN (SELECT query FROM fx_runs WHERE query <> '')")
+def batch_slice(spark, sf_dir):
+    cut = order.batch(order.with_index(_seed(spark, sf_dir), ["pos"]), 3, 50).select("pos", "query")
+    return relate.pending(cut, view(spark, sf_dir, "fx_runs"))
+
+
+@_query(f"{_SEED}, b AS (SELECT DISTINCT idx // 10 AS batch FROM x WHERE query IN (SELECT query FROM p)) SELECT to_json(list(batch ORDER BY batch)) :: VARCHAR AS batches, (SELECT CAST(ceil(count(*) / 10.0) AS BIGINT) FROM s) AS n FROM b")
+def pending_batches(spark, sf_dir):
+    seed = order.with_index(_seed(spark, sf_dir), ["pos"])
+    open_ = order.pending_batches(seed, relate.pending(_seed(spark, sf_dir), view(spark, sf_dir, "fx_runs")), 10)
+    total = seed.agg(F.ceil(F.count("*") / 10).cast("bigint").alias("n"))
+    return open_.agg(F.to_json(F.sort_array(F.collect_list("batch"))).alias("batches")).crossJoin(total)  # one row each
+
+
+@_query(f"{_SEED}, i AS (SELECT *, row_number() OVER (ORDER BY pos) - 1 AS idx FROM p) SELECT pos, query, CAST(idx // 25 AS BIGINT) AS worker FROM i WHERE idx < 100")
+def worker_plan(spark, sf_dir):
+    waiting = relate.pending(_seed(spark, sf_dir), view(spark, sf_dir, "fx_runs"))
+    return order.worker_shares(order.with_index(waiting, ["pos"]), 4, 25).select("pos", "query", "worker")
+
+
+@_query(f"{_SEED} SELECT (SELECT count(*) FROM s) AS loaded, count(*) AS pending, (SELECT count(*) FROM s) - count(*) AS filtered, least(100, count(*)) AS actual FROM p")
+def load_totals(spark, sf_dir):
+    marked = relate.with_flag(_seed(spark, sf_dir), relate.executed(view(spark, sf_dir, "fx_runs")), "query")
+    waits = F.count(F.when(~F.col("processed"), 1))
+    return marked.agg(F.count("*").alias("loaded"), waits.alias("pending"), F.count(F.when(F.col("processed"), 1)).alias("filtered"), F.least(F.lit(100).cast("bigint"), waits).alias("actual"))
+
+
+@_query(f"{duck('fx_channels', 'fx_processed')} SELECT channel_url, channel_url IN (SELECT channel_url FROM fx_processed) AS processed FROM fx_channels")
+def already_processed(spark, sf_dir):
+    return relate.with_flag(view(spark, sf_dir, "fx_channels"), view(spark, sf_dir, "fx_processed"), "channel_url")
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)")
+def fk_violations(spark, sf_dir):
+    return relate.fk_violations(_t(spark, sf_dir, "orders"), "o_custkey", _t(spark, sf_dir, "customer").where("c_custkey % 10 <> 0"), "c_custkey").select("o_orderkey", "o_custkey")
+
+
+@_query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def key_violations(spark, sf_dir):
+    return relate.key_violations(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@_query("SELECT DISTINCT source FROM documents WHERE lang = 'es' AND source IN (SELECT source FROM documents WHERE lang = 'en')")
+def cross_language_keys(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents")
+    return relate.shared_keys(docs.where("lang = 'es'"), docs.where("lang = 'en'"), "source")
+
+
+# dumps ---------------------------------------------------------------------------------------------------------------
+
+_GOOD = "CAST(regexp_extract(channel_url, '[0-9]+$') AS BIGINT) % 10 NOT IN (1, 2, 3, 4, 5)"
+_LEAVES = f"{duck('fx_dump_entries')}, f AS (SELECT *, row_number() OVER (PARTITION BY channel_url ORDER BY grp_ord, pos) - 1 AS ord FROM fx_dump_entries WHERE grp_ord <> 1 AND {_GOOD})"
+_VIDEOS = f"{_LEAVES}, v AS (SELECT *, row_number() OVER (PARTITION BY channel_url ORDER BY grp_ord, pos) - 1 AS p FROM f WHERE id <> '')"
+_DATE = "coalesce(nullif(upload_date, ''), strftime(to_timestamp(coalesce(nullif(epoch, 0), release_epoch)) AT TIME ZONE 'UTC', '%Y%m%d'))"
+
+
+def _good(spark, sf_dir):
+    return jobs.triage(dumps(spark, sf_dir)).where("status = 'success'")
+
+
+@_query(f"{_LEAVES} SELECT channel_url, ord AS pos, id FROM f")
+def flatten_entries(spark, sf_dir):
+    flat = nested.flatten_entries(_good(spark, sf_dir).select("channel_url", "dump"), "dump")
+    return flat.select("channel_url", F.posexplode("leaves").alias("pos", "e")).select("channel_url", F.col("pos").cast("bigint").alias("pos"), values.at(F.col("e"), "$.id", "string").alias("id"))
+
+
+@_query(f"{_VIDEOS} SELECT channel_url, p AS pos, id AS video_id, {_DATE} AS upload_date, CAST(duration AS BIGINT) AS duration_seconds, view_count FROM v WHERE p < 3")
+def channel_videos(spark, sf_dir):
+    out = nested.channel_videos(nested.flatten_entries(_good(spark, sf_dir).select("channel_url", "dump"), "dump"), "channel_url", 3)
+    return out.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+_KEYS = f"{duck('fx_dump_entries')}, c AS (SELECT DISTINCT channel_url, CAST(regexp_extract(channel_url, '[0-9]+$') AS BIGINT) AS k FROM fx_dump_entries)"
+
+
+@_query(f"""{_KEYS} SELECT channel_url, CASE WHEN k % 3 = 0 THEN 'u' ELSE 'c' END || k AS channel_id, CASE WHEN k % 3 = 0 THEN 'n' ELSE 'm' END || k AS channel_name,
+    k AS subscriber_count, CASE WHEN k % 3 <> 0 THEN true END AS is_verified FROM c WHERE {_GOOD}""")
+def channel_meta(spark, sf_dir):
+    return nested.channel_meta(_good(spark, sf_dir), "channel_url", "dump")
+
+
+@_query(f"{duck('fx_dump_entries')} SELECT channel_url, pos, {_DATE} AS upload_date FROM fx_dump_entries")
+def upload_date(spark, sf_dir):
+    return view(spark, sf_dir, "fx_dump_entries").select("channel_url", "pos", values.upload_date(F.col("upload_date"), F.col("epoch"), F.col("release_epoch")).alias("upload_date"))
+
+
+@_query(f"{duck('fx_channels')} SELECT channel_url || '/videos' AS url FROM fx_channels")
+def listing_url(spark, sf_dir):
+    return view(spark, sf_dir, "fx_channels").select(urls.listing_url(F.col("channel_url")).alias("url"))
+
+
+@_query(f"{_SEED} SELECT pos, 'https://s.example/results?search_query=' || replace(url_encode(query), '%2F', '/') AS url FROM s")
+def search_url(spark, sf_dir):
+    return _seed(spark, sf_dir).select("pos", urls.search_url("https://s.example/results?search_query=", F.col("query")).alias("url"))
+
+
+_FAILED = "CASE k % 10 WHEN 1 THEN 'HTTP Error 404' WHEN 2 THEN 'HTTP Error 429' WHEN 3 THEN 'empty output' WHEN 4 THEN 'not valid JSON' WHEN 5 THEN 'root was not an object' END"
+
+
+@_query(f"{_KEYS} SELECT channel_url, CASE WHEN k % 10 = 1 THEN 'dump failed: HTTP Error 404' WHEN k % 10 = 2 THEN 'dump failed: HTTP Error 429' ELSE 'dump failed' END AS message FROM c WHERE k % 10 IN (1, 2, 3)")
+def error_text(spark, sf_dir):
+    return dumps(spark, sf_dir).where("k % 10 IN (1, 2, 3)").select("channel_url", values.error_text("dump failed", F.col("stderr"), F.col("stdout")).alias("message"))
+
+
+@_query(f"{_KEYS} SELECT channel_url, {_FAILED} AS reason, CASE WHEN {_FAILED} IS NULL THEN 'success' ELSE 'failed' END AS status, k % 10 = 1 AS permanent FROM c")
+def failure_triage(spark, sf_dir):
+    return jobs.triage(dumps(spark, sf_dir)).select("channel_url", "reason", "status", "permanent")
+
+
+_DONE = "k % 7 = 0"
+
+
+def _enriched(spark, sf_dir):
+    d = dumps(spark, sf_dir)
+    return jobs.enrich(d, d.where("k % 7 = 0").select("channel_url"), _NOW, 3)
+
+
+@_query(f"{_KEYS} SELECT CASE WHEN {_DONE} THEN 'skipped' WHEN {_FAILED} IS NULL THEN 'success' ELSE 'failed' END AS status, count(*) AS count FROM c GROUP BY 1")
+def job_totals(spark, sf_dir):
+    return _enriched(spark, sf_dir)["totals"]
+
+
+@_query(f"{_VIDEOS} SELECT channel_url, id AS video_id, min(p) AS pos FROM v WHERE p < 3 AND CAST(regexp_extract(channel_url, '[0-9]+$') AS BIGINT) % 7 <> 0 GROUP BY ALL")
+def enrich_channels(spark, sf_dir):
+    rows = merge.first_wins(_enriched(spark, sf_dir)["videos"], ["channel_url", "video_id"], "pos")
+    return rows.select("channel_url", "video_id", F.col("pos").cast("bigint").alias("pos"))
+
+
+# whole jobs -----------------------------------------------------------------------------------------------------------
+
+_TODO = f"{_PARSED}, done AS (SELECT DISTINCT video_id FROM fx_hits WHERE event_id % 2 = 0), todo AS (SELECT * FROM published WHERE video_id NOT IN (SELECT video_id FROM done))"
+
+
+def _normalized(spark, sf_dir):
+    hits = view(spark, sf_dir, "fx_hits")
+    return jobs.normalize_job(hits, hits.where("event_id % 2 = 0").select("video_id").distinct(), _NOW, "event_id")
+
+
+@_query(f"""{_TODO} SELECT video_id, {_norm('channel_url')} AS channel_url, {_norm('query')} AS query, views_estimated, epoch_us(published_at_estimated) AS published_us,
+    duration_seconds_estimated, {_REASON} IS NULL AS validation_passed, {_REASON} AS validation_reason FROM todo QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1""")
+def normalize_job(spark, sf_dir):
+    rows, _ = _normalized(spark, sf_dir)
+    return rows.select("video_id", "channel_url", "query", "views_estimated", F.unix_micros("published_at_estimated").alias("published_us"), "duration_seconds_estimated", "validation_passed", "validation_reason")
+
+
+@_query(f"{_TODO} SELECT count(*) AS fetched, count(*) AS prepared, count(DISTINCT video_id) AS inserted, count(*) - count(DISTINCT video_id) AS ignored FROM todo")
+def normalize_stats(spark, sf_dir):
+    return _normalized(spark, sf_dir)[1]
+
+
+@_query(f"""{duck('fx_hits')} SELECT video_id, search_run_id, '{urls.WATCH}' || video_id AS video_url, nullif(channel_url, '') AS channel_url, coalesce(event_id % 4 = 0, false) AS is_multi_creator
+    FROM fx_hits QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1""")
+def ingest_hits(spark, sf_dir):
+    none = F.lit(None).cast("string")
+    hits = view(spark, sf_dir, "fx_hits").select("*", none.alias("video_url"), none.alias("thumbnail_url"), urls.video_type(F.col("duration_text")).alias("video_type"), (F.col("event_id") % 4 == 0).alias("is_multi_creator"))
+    old = spark.createDataFrame([], state.TABLES["videos_raw"])
+    return jobs.ingest_hits(old, hits, "event_id").select("video_id", "search_run_id", "video_url", "channel_url", "is_multi_creator")
+
+
+_LONG = f"{duck('fx_dump_entries')}, v AS (SELECT channel_url, CAST(duration AS BIGINT) AS d, view_count AS n FROM fx_dump_entries WHERE duration >= 20)," \
+    " a AS (SELECT channel_url, count(*) AS n_videos, avg(n) AS avg_views, quantile_cont(n, 0.5) AS median_views, avg(CASE WHEN n >= 1000 THEN 1.0 ELSE 0.0 END) AS share_seen FROM v GROUP BY channel_url)"
+_SCORE = "round(0.5 * log10(median_views + 1) + 0.3 * log10(avg_views + 1) + 0.2 * share_seen + 0.01 * n_videos, 6)"
+
+
+def _analysis(spark, sf_dir):
+    rows = view(spark, sf_dir, "fx_dump_entries").select("channel_url", F.col("duration").cast("bigint").alias("duration_seconds"), "view_count")
+    return jobs.analyse_channels(rows)
+
+
+@_query(f"{_LONG} SELECT channel_url, n_videos, round(avg_views, 3) AS avg_views, median_views, round(share_seen, 6) AS share_seen, n_videos >= 2 AND median_views >= 20000 AS qualifies FROM a")
+def channel_analysis(spark, sf_dir):
+    return _analysis(spark, sf_dir).select("channel_url", "n_videos", F.round("avg_views", 3).alias("avg_views"), "median_views", F.round("share_seen", 6).alias("share_seen"), "qualifies")
+
+
+@_query(f"{_LONG} SELECT channel_url, {_SCORE} AS score FROM a")
+def channel_score(spark, sf_dir):
+    return jobs.score_channels(_analysis(spark, sf_dir))
+
+
+@_query(f"{_LONG} SELECT channel_url, {_SCORE} AS score, n_videos, median_views FROM a WHERE n_videos >= 2 AND median_views >= 20000 ORDER BY {_SCORE} DESC, channel_url LIMIT 50")
+def channel_ranking(spark, sf_dir):
+    return jobs.rank_channels(_analysis(spark, sf_dir), 50)
+
+
+# snapshots and streams ---------------------------------------------------------------------------------------------------
+
+
+def _scratch(spark) -> str:
+    import tempfile
+
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="vidpipe-", dir="/tmp")
+    return f"{root}/vidpipe/state-{uuid.uuid4().hex}"
+
+
+@_query(f"{duck('fx_hits')} SELECT DISTINCT video_id FROM fx_hits")
+def read_table(spark, sf_dir):
+    """Two snapshots of a table, of which the second is read."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    old = tables.read("channels_processed").select(F.col("channel_url").alias("video_id"))
+    hits = view(spark, sf_dir, "fx_hits").select("video_id", "event_id")
+    tables.write("videos", merge.first_wins(hits, ["video_id"], "event_id").select("video_id").join(old, "video_id", "left_anti"))
+    return spark.read.parquet(f"{tables._path('videos')}/v={tables.version('videos')}").select("video_id")
+
+
+@_query(f"""{_PARSED} SELECT video_id, views_estimated, duration_seconds_estimated, {_REASON} IS NULL AS validation_passed FROM published
+    QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1""")
+def stream_normalize(spark, sf_dir):
+    root = _scratch(spark)
+    raw = view(spark, sf_dir, "fx_hits").select("event_id", *jobs.RAW_COLUMNS)
+    raw.write.parquet(f"{root}/arriving")
+    tables = state.Tables(spark, f"{root}/tables", "es")
+    streams.normalize_stream(spark.readStream.schema(raw.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _NOW, "event_id")
+    return tables.read("videos_normalized").select("video_id", "views_estimated", "duration_seconds_estimated", "validation_passed")
+
+
+@_query(f"{_KEYS} SELECT channel_url, CASE WHEN k % 10 = 1 THEN 'failed' ELSE 'success' END AS status FROM c WHERE k % 10 NOT IN (2, 3, 4, 5)")
+def stream_enrich(spark, sf_dir):
+    root = _scratch(spark)
+    arriving = dumps(spark, sf_dir)
+    arriving.write.parquet(f"{root}/arriving")
+    tables = state.Tables(spark, f"{root}/tables", "es")
+    streams.enrich_stream(spark.readStream.schema(arriving.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _NOW, 3)
+    return tables.read("channels_processed").select("channel_url", "status")
+
+
+@_query("SELECT event_id, event_type AS query, user_id % 2 = 0 AS is_multi_creator FROM events")
+def read_hits(spark, sf_dir):
+    """Hits as JSON lines with nested channels, read with an explicit schema."""
+    path = f"{_scratch(spark)}/hits"
+    state.results_json(_t(spark, sf_dir, "events").selectExpr("event_id", "event_type query", "user_id % 2 = 0 is_multi_creator", "array(named_struct('name', 'n', 'url', event_type)) channels"), path)
+    schema = "event_id bigint, query string, is_multi_creator boolean, channels array<struct<name: string, url: string>>"
+    return spark.read.schema(schema).json(path).select("event_id", F.col("channels")[0]["url"].alias("query"), "is_multi_creator")
+
+
+@_query("SELECT name, 0 AS version, (SELECT count(*) FROM region WHERE false) AS rows FROM (VALUES ('channel_videos_raw'), ('channels_discovery_claims'), ('channels_processed'), ('channels_raw'), ('search_runs'), ('videos_normalized'), ('videos_raw')) t(name)")
+def create_tables(spark, sf_dir):
+    """All tables made twice: the second time changes nothing."""
+    tables = state.Tables(spark, _scratch(spark), "en")
+    tables.create()
+    tables.create()
+    out = None
+    for name in sorted(state.TABLES):
+        one = tables.read(name).agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), F.lit(tables.version(name)).alias("version"), "rows")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@_query(f"{_SEED} SELECT pos, query FROM s")
+def history_fallback(spark, sf_dir):
+    """A history that was never written is empty, so every query is pending."""
+    return relate.pending(_seed(spark, sf_dir), state.Tables(spark, _scratch(spark), "es").read("search_runs"))
+
+
+@_query("SELECT p_partkey AS pos, p_name AS query, 'exploration' AS mode, true AS has_id, true AS is_open FROM part")
+def append_runs(spark, sf_dir):
+    runs = merge.append_runs(_t(spark, sf_dir, "part").select(F.col("p_name").alias("query"), "p_partkey"), _NOW)
+    part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("query"))
+    each = runs.groupBy("query").agg(F.first("mode").alias("mode"), F.min(F.length("id") == 36).alias("has_id"), F.min(F.col("finished_at").isNull()).alias("is_open"))
+    return part.join(each, "query").select("pos", "query", "mode", "has_id", "is_open")
