@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from vidpipe.functions import text, urls, values
 
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
+def now():
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
 
 VIEWS = {
     "1,234 views": 1234, "1.234 visualizaciones": 1234, "1.2K": 1200, "3,4 mil": 3400000, "2.1M": 2100000, "1B": 10**9, "No views": 0, "sin vistas": 0,
@@ -42,12 +45,12 @@ def test_durations(spark):
 
 def test_published(spark):
     expected = {k: dt.datetime.fromisoformat(v) if v else None for k, v in PUBLISHED.items()}
-    shown = F.to_timestamp_ntz(F.date_format(text.parse_published(F.col("x"), NOW), "yyyy-MM-dd HH:mm:ss"))
+    shown = F.to_timestamp_ntz(F.date_format(text.parse_published(F.col("x"), now()), "yyyy-MM-dd HH:mm:ss"))
     assert _run(spark, PUBLISHED, shown) == expected
 
 
 def test_plural_months(spark):
-    got = _run(spark, ["hace 3 meses"], F.date_format(text.parse_published(F.col("x"), NOW, fix_plural_months=True), "yyyy-MM-dd"))
+    got = _run(spark, ["hace 3 meses"], F.date_format(text.parse_published(F.col("x"), now(), fix_plural_months=True), "yyyy-MM-dd"))
     assert got == {"hace 3 meses": "2023-11-03"}
 
 

@@ -18,7 +18,10 @@ from .streaming import streams
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-_NOW = F.lit(NOW).cast("timestamp")
+def _now():
+    return F.lit(NOW).cast("timestamp")
+
+
 _DUCK_NOW = f"TIMESTAMPTZ '{NOW}+00'"
 
 
@@ -109,7 +112,7 @@ def parse_duration(spark, sf_dir):
 
 @_query(f"{_PARSED} SELECT event_id, published_text, epoch_us(published_at_estimated) AS published_us FROM published")
 def parse_published(spark, sf_dir):
-    return view(spark, sf_dir, "fx_hits").select("event_id", "published_text", F.unix_micros(text.parse_published(F.col("published_text"), _NOW)).alias("published_us"))
+    return view(spark, sf_dir, "fx_hits").select("event_id", "published_text", F.unix_micros(text.parse_published(F.col("published_text"), _now())).alias("published_us"))
 
 
 @_query(
@@ -217,7 +220,7 @@ def validate_rows(spark, sf_dir):
 def validate_documented(spark, sf_dir):
     rows = view(spark, sf_dir, "fx_hits")
     passed, reason = validate.verdict(
-        text.parse_duration(F.col("duration_text")), text.parse_views(F.col("views_text")), text.parse_published(F.col("published_text"), _NOW), _NOW, min_duration=1200, max_age_days=60
+        text.parse_duration(F.col("duration_text")), text.parse_views(F.col("views_text")), text.parse_published(F.col("published_text"), _now()), _now(), min_duration=1200, max_age_days=60
     )
     return rows.select("event_id", passed.alias("passed"), reason.alias("reason"))
 
@@ -502,7 +505,7 @@ _DONE = "k % 7 = 0"
 
 def _enriched(spark, sf_dir):
     d = dumps(spark, sf_dir)
-    return jobs.enrich(d, d.where("k % 7 = 0").select("channel_url"), _NOW, 3)
+    return jobs.enrich(d, d.where("k % 7 = 0").select("channel_url"), _now(), 3)
 
 
 @_query(f"{_KEYS} SELECT CASE WHEN {_DONE} THEN 'skipped' WHEN {_FAILED} IS NULL THEN 'success' ELSE 'failed' END AS status, count(*) AS count FROM c GROUP BY 1")
@@ -523,7 +526,7 @@ _TODO = f"{_PARSED}, done AS (SELECT DISTINCT video_id FROM fx_hits WHERE event_
 
 def _normalized(spark, sf_dir):
     hits = view(spark, sf_dir, "fx_hits")
-    return jobs.normalize_job(hits, hits.where("event_id % 2 = 0").select("video_id").distinct(), _NOW, "event_id")
+    return jobs.normalize_job(hits, hits.where("event_id % 2 = 0").select("video_id").distinct(), _now(), "event_id")
 
 
 @_query(f"""{_TODO} SELECT video_id, {_norm('channel_url')} AS channel_url, {_norm('query')} AS query, views_estimated, epoch_us(published_at_estimated) AS published_us,
@@ -599,7 +602,7 @@ def stream_normalize(spark, sf_dir):
     raw = view(spark, sf_dir, "fx_hits").select("event_id", *jobs.RAW_COLUMNS)
     raw.write.parquet(f"{root}/arriving")
     tables = state.Tables(spark, f"{root}/tables", "es")
-    streams.normalize_stream(spark.readStream.schema(raw.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _NOW, "event_id")
+    streams.normalize_stream(spark.readStream.schema(raw.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _now(), "event_id")
     return tables.read("videos_normalized").select("video_id", "views_estimated", "duration_seconds_estimated", "validation_passed")
 
 
@@ -609,7 +612,7 @@ def stream_enrich(spark, sf_dir):
     arriving = dumps(spark, sf_dir)
     arriving.write.parquet(f"{root}/arriving")
     tables = state.Tables(spark, f"{root}/tables", "es")
-    streams.enrich_stream(spark.readStream.schema(arriving.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _NOW, 3)
+    streams.enrich_stream(spark.readStream.schema(arriving.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _now(), 3)
     return tables.read("channels_processed").select("channel_url", "status")
 
 
@@ -643,7 +646,7 @@ def history_fallback(spark, sf_dir):
 
 @_query("SELECT p_partkey AS pos, p_name AS query, 'exploration' AS mode, true AS has_id, true AS is_open FROM part")
 def append_runs(spark, sf_dir):
-    runs = merge.append_runs(_t(spark, sf_dir, "part").select(F.col("p_name").alias("query"), "p_partkey"), _NOW)
+    runs = merge.append_runs(_t(spark, sf_dir, "part").select(F.col("p_name").alias("query"), "p_partkey"), _now())
     part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("query"))
     each = runs.groupBy("query").agg(F.first("mode").alias("mode"), F.min(F.length("id") == 36).alias("has_id"), F.min(F.col("finished_at").isNull()).alias("is_open"))
     return part.join(each, "query").select("pos", "query", "mode", "has_id", "is_open")
