@@ -6,12 +6,13 @@
    threshold cannot reach the similarity (chance below ``MISS``), so a class with too few shared values is
    skipped, and of the others only a prefix of its rarest values is posted: two classes that match often
    enough must meet there.
-3. In each posting list classes meet the list's smallest one, not each other; the pair with the most
-   matches is confirmed on full shingle sets.  So a list with a third of all rows costs its length.
+3. In each posting list classes meet the list's smallest one, its centre, not each other; collisions with
+   each centre are counted, and the pair with the most is confirmed on full shingle sets.  So a list with a
+   third of all rows costs its length.
 4. Links not through such a centre are found exactly among the classes that step 2 left: their shingles are
    ordered by frequency, and two sets as similar as asked share one of their first ``n - need + 1``, so early
-   in both that what follows suffices.  Only classes of different components are paired and confirmed: a
-   group that its centres have joined, however large, makes no pairs.
+   in both that what follows suffices.  Only classes of different components are paired, one of them outside
+   the component that has most of the list: a group that its centres have joined makes no pairs.
 
 Shingles are compared by 64-bit hashes.  Signatures, sets of candidates and links are written to the shared
 folder between the steps; nothing about single documents reaches the driver except a filter of fixed size.
@@ -92,15 +93,74 @@ def _signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, sig array<int>")
 
 
-def _prefix_postings(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(key, rep): each class that can match any other often enough, under the rarest of the values it shares."""
-    postings = reps.select("rep", F.posexplode("sig").alias("at", "value")).select(
-        "rep", F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(F.col("value").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key")
-    )
-    shared = postings.groupBy("key").agg(F.count("*").alias("df")).where("df >= 2")
-    own = postings.join(shared, "key").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "key"))).alias("own"))
-    skipped = own.where(F.size("own") >= matches)
-    return skipped.select("rep", F.explode(F.slice("own", 1, F.size("own") - (matches - 1))).alias("x")).select("x.key", "rep")
+def _cuts(where: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order by bucket, the cuts between buckets, and the buckets with rows."""
+    order = np.argsort(where, kind="stable")
+    cut = np.searchsorted(where[order], np.arange(many + 1))
+    return order, cut, np.flatnonzero(cut[1:] > cut[:-1])
+
+
+def _packed(values: np.ndarray, cut: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.array([values[cut[k] : cut[k + 1]].tobytes() for k in at], pa.binary())
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
+
+
+def _back_to(ids: np.ndarray, names: list[str], columns: list[np.ndarray]) -> pa.Table:
+    """Packed rows for each id."""
+    order = np.argsort(ids, kind="stable")
+    own, cut = np.unique(ids[order], return_index=True)
+    cut = np.append(cut, len(ids))
+    every = np.arange(len(own))
+    return pa.table([pa.array(own, pa.int64()), *(_packed(c[order], cut, every) for c in columns)], names=["rep", *names])
+
+
+def _centres(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """(a, b): each class that can match any other often enough, and the centre it meets most often, null if it meets none.
+
+    Postings are dealt by key into buckets of packed arrays; there each key's classes are counted and its centre,
+    the smallest, is told to them.  Back at its class, a class with fewer shared values than ``matches`` is
+    skipped, and collisions are counted over the prefix of its rarest ones.
+    """
+    many = buckets(reps.sparkSession, 2)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = batch["sig"].flatten().to_numpy(zero_copy_only=False).astype(np.int64) & 0xFFFFFFFF
+            keys = value | np.tile(np.arange(coordinates, dtype=np.int64) << 32, batch.num_rows)
+            ids = np.repeat(batch["rep"].to_numpy(zero_copy_only=False), coordinates)
+            order, cut, full = _cuts((mix(keys.view(np.uint64)) % np.uint64(many)).astype(np.int64), many)
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), _packed(keys[order], cut, full), _packed(ids[order], cut, full)], names=["bucket", "keys", "reps"])
+
+    def count(table: pa.Table) -> pa.Table:
+        keys, ids = _joined(table["keys"], np.int64), _joined(table["reps"], np.int64)
+        _, back, df = np.unique(keys, return_inverse=True, return_counts=True)
+        centre = np.full(len(df), np.iinfo(np.int64).max)
+        np.minimum.at(centre, back, ids)
+        keep = df[back] >= 2
+        return _back_to(ids[keep], ["keys", "df", "centres"], [keys[keep], df[back][keep].astype(np.int64), centre[back][keep]])
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [], []
+            for rep, parts in zip(batch["rep"].to_pylist(), batch["parts"].to_pylist(), strict=True):
+                keys, df, centre = (np.concatenate([np.frombuffer(p[c], np.int64) for p in parts]) for c in ("keys", "df", "centres"))
+                if len(keys) < matches:
+                    continue
+                centre = centre[np.lexsort((keys, df))[: len(keys) - matches + 1]]
+                met, hits = np.unique(centre[centre != rep], return_counts=True)
+                a.append(rep)
+                b.append(int(met[hits.argmax()]) if len(met) else None)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    counted = (
+        reps.mapInArrow(deal, "bucket int, keys binary, reps binary")
+        .groupBy("bucket").applyInArrow(count, "rep bigint, keys binary, df binary, centres binary")
+    )
+    gathered = counted.groupBy("rep").agg(F.collect_list(F.struct("keys", "df", "centres")).alias("parts"))
+    return gathered.mapInArrow(choose, "a bigint, b bigint")
 
 
 def _filter_bits(ids: DataFrame) -> bytes:
@@ -156,70 +216,63 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, carry: tuple[str
 
 
 def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(shingle, rep, n, rest): each set's first ``n - need + 1`` shingles by rising frequency, those of one set alone left out.
-
-    ``rest`` counts the set's shingles from this one on in that order: an overlap that begins here has no more.
+    """(shingle, rep, root, n, rest, minor) of ``sets(rep, root, shingles)``: each set's first ``n - need + 1`` shingles by rising frequency.
 
-    Shingles are dealt by hash into buckets of packed arrays, counted there, and sent back to their sets.
+    Left out are shingles of one set or of one component alone.  ``rest`` counts the set's shingles from this one
+    on in that order: an overlap that begins here has no more.  ``minor`` says that the set is not of the
+    component that has most of the shingle's sets.  Shingles make the same round trip as coordinates.
     """
     many = buckets(sets.sparkSession, 2)
+    fields = ["hashes", "reps", "roots", "ns"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "shingles", 1 << 23):
-                own = [np.frombuffer(x.as_buffer(), np.uint64) for x in part["shingles"]]
-                hashes = np.concatenate(own)
+                own = [np.frombuffer(x.as_buffer(), np.int64) for x in part["shingles"]]
                 sizes = np.array([len(x) for x in own])
-                reps = np.repeat(part["rep"].to_numpy(zero_copy_only=False), sizes)
-                ns = np.repeat(sizes, sizes)
-                where = (hashes >> np.uint64(32)) % np.uint64(many)
-                order = np.argsort(where, kind="stable")
-                hashes, reps, ns, where = hashes[order], reps[order], ns[order], where[order]
-                cut = np.searchsorted(where, np.arange(many + 1))
-                full = np.flatnonzero(cut[1:] > cut[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(full, pa.int32()), pa.array([hashes[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()),
-                     pa.array([reps[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary()),
-                     pa.array([ns[cut[k] : cut[k + 1]].tobytes() for k in full], pa.binary())],
-                    names=["bucket", "hashes", "reps", "ns"],
-                )
+                hashes = np.concatenate(own)
+                reps, roots = (np.repeat(part[c].to_numpy(zero_copy_only=False), sizes) for c in ("rep", "root"))
+                order, cut, full = _cuts(((hashes.view(np.uint64) >> np.uint64(32)) % np.uint64(many)).astype(np.int64), many)
+                columns = (hashes, reps, roots, np.repeat(sizes, sizes))
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(_packed(c[order], cut, full) for c in columns)], names=["bucket", *fields])
 
     def count(table: pa.Table) -> pa.Table:
-        hashes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["hashes"]])
-        reps = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["reps"]])
-        ns = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["ns"]])
+        hashes, reps, roots, ns = (_joined(table[c], np.int64) for c in fields)
         _, back, df = np.unique(hashes, return_inverse=True, return_counts=True)
-        df = df[back]
-        keep = df >= 2
-        hashes, reps, ns, df = hashes[keep], reps[keep], ns[keep], df[keep]
-        order = np.argsort(reps, kind="stable")
-        hashes, reps, ns, df = hashes[order], reps[order], ns[order], df[order]
-        ids, cut = np.unique(reps, return_index=True)
-        cut = np.append(cut, len(reps))
-        pack = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
-        return pa.table([pa.array(ids, pa.int64()), pa.array(ns[cut[:-1]]), pack(hashes), pack(df.astype(np.int64))], names=["rep", "n", "hashes", "df"])
+        order = np.lexsort((roots, back))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(back[order]) != 0) | (np.diff(roots[order]) != 0)
+        begin = np.flatnonzero(new)  # runs of one shingle and one component
+        size, of, root = np.diff(np.append(begin, len(order))), back[order][begin], roots[order][begin]
+        by = np.lexsort((size, of))
+        last = np.ones(len(by), bool)
+        last[:-1] = np.diff(of[by]) != 0
+        major, parts = root[by][last], np.bincount(of)  # of each shingle
+        keep = df[back] >= 2
+        state = np.where(parts[back] < 2, 0, np.where(roots != major[back], 2, 1))
+        columns = (hashes, df[back].astype(np.int64), state.astype(np.int64), roots, ns)
+        return _back_to(reps[keep], ["hashes", "df", "state", "roots", "ns"], [c[keep] for c in columns])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, of, size, rest = ([np.zeros(0, np.int64)] for _ in range(4))
-            for rep, n, parts in zip(batch["rep"].to_pylist(), batch["n"].to_pylist(), batch["parts"].to_pylist(), strict=True):
-                hashes = np.concatenate([np.frombuffer(p["hashes"], np.int64) for p in parts])
-                df = np.concatenate([np.frombuffer(p["df"], np.int64) for p in parts])
-                prefix = n - -(-n * percent // 100) + 1 - (n - len(hashes))
-                if prefix > 0:
-                    out.append(hashes[np.lexsort((hashes, df))[:prefix]])
-                    of.append(np.full(len(out[-1]), rep))
-                    size.append(np.full(len(out[-1]), n))
-                    rest.append(len(hashes) - np.arange(len(out[-1])))
-            columns = [pa.array(np.concatenate(x)) for x in (out, of, size, rest)]
-            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "rep", "n", "rest"])
+            out = [[np.zeros(0, np.int64)] for _ in range(6)]
+            for rep, parts in zip(batch["rep"].to_pylist(), batch["parts"].to_pylist(), strict=True):
+                hashes, df, state, roots, ns = (np.concatenate([np.frombuffer(p[c], np.int64) for p in parts]) for c in ("hashes", "df", "state", "roots", "ns"))
+                n = int(ns[0])
+                order = np.lexsort((hashes, df))[: max(0, len(hashes) + 1 - -(-n * percent // 100))]
+                rest = len(hashes) - np.arange(len(order))
+                some = state[order] > 0
+                for column, values in zip(out, (hashes[order], np.full(len(order), rep), roots[order], ns[order], rest, state[order] == 2), strict=True):
+                    column.append(values[some])
+            columns = [pa.array(np.concatenate(x)) for x in out[:5]] + [pa.array(np.concatenate(out[5]).astype(bool))]
+            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "rep", "root", "n", "rest", "minor"])
 
     counted = (
-        sets.select("rep", "shingles").mapInArrow(deal, "bucket int, hashes binary, reps binary, ns binary")
-        .groupBy("bucket").applyInArrow(count, "rep bigint, n bigint, hashes binary, df binary")
+        sets.select("rep", "root", "shingles").mapInArrow(deal, "bucket int, hashes binary, reps binary, roots binary, ns binary")
+        .groupBy("bucket").applyInArrow(count, "rep bigint, hashes binary, df binary, state binary, roots binary, ns binary")
     )
-    gathered = counted.groupBy("rep").agg(F.first("n").alias("n"), F.collect_list(F.struct("hashes", "df")).alias("parts"))
-    return gathered.mapInArrow(take, "shingle bigint, rep bigint, n bigint, rest bigint")
+    gathered = counted.groupBy("rep").agg(F.collect_list(F.struct("hashes", "df", "state", "roots", "ns")).alias("parts"))
+    return gathered.mapInArrow(take, "shingle bigint, rep bigint, root bigint, n bigint, rest bigint, minor boolean")
 
 
 def near_duplicates(
@@ -238,24 +291,20 @@ def near_duplicates(
     sigs = written(_signatures(docs, width, coordinates), "signatures")
     usable = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
-    postings = written(_prefix_postings(reps.select("rep", "sig"), coordinates, matches), "postings")
-    sets = written(_sets(docs, postings, width), "sets")
+    live = written(_centres(reps.select("rep", "sig"), coordinates, matches), "live")
+    sets = written(_sets(docs, live.select(F.col("a").alias("rep")), width), "sets")
 
     # step 3: every class against the centre that it meets most often
-    centres = postings.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("other")).where("b <> other").select("key", "b")
-    best = postings.join(centres, "key").where("rep <> b").groupBy(F.col("rep").alias("a")).agg(F.mode("b", True).alias("b"))
-    trees = roots(_confirmed(best, sets, percent))
+    trees = roots(_confirmed(live.where("b IS NOT NULL"), sets, percent))
 
     # step 4: the links that no centre shows
-    prefixes = _exact_prefixes(sets, percent).join(trees.withColumnRenamed("node", "rep"), "rep", "left")
-    prefixes = written(prefixes.select("shingle", "rep", "n", "rest", F.coalesce("root", "rep").alias("root")), "prefixes")
-    several = prefixes.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
-    members = prefixes.join(several, "shingle")
-    x = members.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "rest", "root")))
-    y = members.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "rest", "root")))
+    placed = sets.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("root"), "shingles")
+    prefixes = written(_exact_prefixes(placed, percent), "prefixes")
+    x = prefixes.where("minor").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "rest", "root")))
+    y = prefixes.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "rest", "root")))
     enough = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
-    pairs = x.join(y, "shingle").where(f"rep_a > rep_b AND root_a <> root_b AND {enough}")
-    pairs = pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "root_a", "root_b").distinct()
+    met = x.join(y, "shingle").where(f"root_a <> root_b AND {enough}")
+    pairs = met.selectExpr("greatest(rep_a, rep_b) a", "least(rep_a, rep_b) b", "root_a", "root_b").dropDuplicates(["a", "b"])
     more = _confirmed(pairs, sets, percent, ("root_a", "root_b"))
     joined = components(more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
     found = trees.join(joined, trees["root"] == joined["node"], "left").select(trees["node"], F.coalesce("component", "root").alias("component"))
