@@ -31,12 +31,12 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of PASSAGE words or more that a document with a smaller id has; texts left empty go."""
-    cut = substring_dedup.remove_repeats(docs, window=PASSAGE, layout="text")
-    changed = cut.where("n_removed > 0 AND doc_id IS NOT NULL").select("doc_id", F.col("text").alias("_cut")).dropDuplicates(["doc_id"])
-    out = docs.join(changed, "doc_id", "left")
-    text = F.coalesce("_cut", "text")
-    return out.where(F.col("_cut").isNull() | (F.trim("_cut") != "")).select(
-        "doc_id", text.alias("text"), "lang", "source", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.char_length(text)).cast("bigint").alias("n_chars")
+    given = docs.select(*COLUMNS).withColumn("_null", F.col("text").isNull())
+    cut = substring_dedup.remove_repeats(given, window=PASSAGE, layout="text", carry=("lang", "source", "n_chars", "_null"))
+    kept = cut.where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    changed = F.col("n_removed") > 0
+    return kept.select(
+        "doc_id", F.when(~F.col("_null"), F.col("text")).alias("text"), "lang", "source", F.when(changed, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars")
     )
 
 

@@ -154,7 +154,7 @@ def _earlier(table: pa.Table) -> pa.Table:
     return pa.table([table["chunk"], pa.array(out, pa.binary())], names=["chunk", "windows"])
 
 
-def _cut(window: int, layout: str):
+def _cut(window: int, layout: str, carry: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         data, offsets = utf8(docs["text"])
         starts, ends = spans(data, offsets, SPACES)
@@ -188,17 +188,17 @@ def _cut(window: int, layout: str):
                     done = int(starts[a + e] - offsets[i]) if a + e < b else len(text)
                 texts.append(b"".join([*parts, text[done:]]))
         return pa.table(
-            [docs["doc_id"], pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())],
-            names=["doc_id", "n_words", "n_removed", "text"],
+            [docs["doc_id"], pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string()), *(docs[c] for c in carry)],
+            names=["doc_id", "n_words", "n_removed", "text", *carry],
         )
 
     return run
 
 
 def remove_repeats(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, layout: str = "words"
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13, layout: str = "words", carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``(doc_id, n_words, n_removed, text)``, one row per input row.
+    """``(doc_id, n_words, n_removed, text, *carry)``, one row per input row; ``carry`` names columns that go along.
 
     Words are runs without white space.  Every word that lies in a window of ``window`` words whose sequence
     also starts in a document of smaller id is removed; windows are judged on the input.  ``layout`` "words"
@@ -208,10 +208,11 @@ def remove_repeats(
     not matter.
     """
     spark = documents.sparkSession
-    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    own = [f"_carry{i}" for i in range(len(carry))]  # whatever they are called, they clash with nothing
+    docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(o) for c, o in zip(carry, own, strict=True)))
     many = buckets(spark, 2)
     chunks = max(1, docs.count() // CHUNK)
-    dealt = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"))
+    dealt = docs.where("doc_id IS NOT NULL").select("doc_id", "text", *own, F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"))
     by_chunk = dealt.groupBy("chunk")
     shared = (
         by_chunk.applyInArrow(_symbols(window, many), "bucket int, chunk bigint, names binary, several binary")
@@ -223,11 +224,11 @@ def remove_repeats(
         .groupBy("bucket").applyInArrow(_earlier, "chunk bigint, windows binary")
     )
     out = by_chunk.cogroup(earlier.groupBy("chunk")).applyInArrow(
-        _cut(window, layout), "doc_id bigint, n_words bigint, n_removed bigint, text string"
+        _cut(window, layout, own), "doc_id bigint, n_words bigint, n_removed bigint, text string" + "".join(f", {o} {docs.schema[o].dataType.simpleString()}" for o in own)
     )
     word = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     plain = docs.where("doc_id IS NULL").select(
         "doc_id", F.coalesce(F.size(word).cast("bigint"), F.lit(0)).alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"),
-        F.coalesce(F.array_join(word, " ") if layout == "words" else F.col("text"), F.lit("")).alias("text"),
+        F.coalesce(F.array_join(word, " ") if layout == "words" else F.col("text"), F.lit("")).alias("text"), *own,
     )
-    return out.unionByName(plain)
+    return out.unionByName(plain).withColumnsRenamed(dict(zip(own, carry, strict=True)))
