@@ -243,10 +243,10 @@ def facet_duration(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2])
 
 
-@_query("SELECT p_partkey FROM part WHERE contains(p_type, split_part(p_type, ' ', 1)) AND list_contains(string_split(p_type, ' '), 'BRASS') AND list_contains(string_split(p_type, ' '), 'STANDARD')")
+@_query("SELECT p_partkey FROM part WHERE p_type = 'PROMO' AND p_size % 2 = 0")
 def facet_features(spark, sf_dir):
-    rows = _t(spark, sf_dir, "part")
-    return validate.facet(rows, validate.has_features(F.split("p_type", " "), ["BRASS", "STANDARD"])).select("p_partkey")
+    tags = F.array("p_type", F.when(F.col("p_size") % 2 == 0, F.lit("even")))
+    return validate.facet(_t(spark, sf_dir, "part"), validate.has_features(tags, ["PROMO", "even"])).select("p_partkey")
 
 
 @_query("SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 100")
