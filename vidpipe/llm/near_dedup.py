@@ -108,13 +108,20 @@ def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
 
 
-def _back_to(ids: np.ndarray, names: list[str], columns: list[np.ndarray]) -> pa.Table:
-    """Packed rows for each id."""
+def _back_to(ids: np.ndarray, groups: int, names: list[str], columns: list[np.ndarray]) -> pa.Table:
+    """Packed rows for each group of ids, the ids among them."""
+    order, cut, full = _cuts((mix(ids.view(np.uint64)) % np.uint64(groups)).astype(np.int64), groups)
+    return pa.table([pa.array(full, pa.int32()), *(_packed(c[order], cut, full) for c in (ids, *columns))], names=["part", "reps", *names])
+
+
+def _each(table: pa.Table, names: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Each id of a group with its own arrays."""
+    ids, *columns = (_joined(table[c], np.int64) for c in ("reps", *names))
     order = np.argsort(ids, kind="stable")
     own, cut = np.unique(ids[order], return_index=True)
-    cut = np.append(cut, len(ids))
-    every = np.arange(len(own))
-    return pa.table([pa.array(own, pa.int64()), *(_packed(c[order], cut, every) for c in columns)], names=["rep", *names])
+    columns = [c[order] for c in columns]
+    for rep, a, b in zip(own.tolist(), cut.tolist(), [*cut[1:].tolist(), len(ids)], strict=True):
+        yield rep, [c[a:b] for c in columns]
 
 
 def _centres(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -124,7 +131,7 @@ def _centres(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
     the smallest, is told to them.  Back at its class, a class with fewer shared values than ``matches`` is
     skipped, and collisions are counted over the prefix of its rarest ones.
     """
-    many = buckets(reps.sparkSession, 2)
+    many, groups = buckets(reps.sparkSession, 2), buckets(reps.sparkSession)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,27 +147,24 @@ def _centres(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
         centre = np.full(len(df), np.iinfo(np.int64).max)
         np.minimum.at(centre, back, ids)
         keep = df[back] >= 2
-        return _back_to(ids[keep], ["keys", "df", "centres"], [keys[keep], df[back][keep].astype(np.int64), centre[back][keep]])
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            for rep, parts in zip(batch["rep"].to_pylist(), batch["parts"].to_pylist(), strict=True):
-                keys, df, centre = (np.concatenate([np.frombuffer(p[c], np.int64) for p in parts]) for c in ("keys", "df", "centres"))
-                if len(keys) < matches:
-                    continue
-                centre = centre[np.lexsort((keys, df))[: len(keys) - matches + 1]]
-                met, hits = np.unique(centre[centre != rep], return_counts=True)
-                a.append(rep)
-                b.append(int(met[hits.argmax()]) if len(met) else None)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        return _back_to(ids[keep], groups, ["keys", "df", "centres"], [keys[keep], df[back][keep].astype(np.int64), centre[back][keep]])
+
+    def choose(table: pa.Table) -> pa.Table:
+        a, b = [], []
+        for rep, (keys, df, centre) in _each(table, ["keys", "df", "centres"]):
+            if len(keys) < matches:
+                continue
+            centre = centre[np.lexsort((keys, df))[: len(keys) - matches + 1]]
+            met, hits = np.unique(centre[centre != rep], return_counts=True)
+            a.append(rep)
+            b.append(int(met[hits.argmax()]) if len(met) else None)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     counted = (
         reps.mapInArrow(deal, "bucket int, keys binary, reps binary")
-        .groupBy("bucket").applyInArrow(count, "rep bigint, keys binary, df binary, centres binary")
+        .groupBy("bucket").applyInArrow(count, "part int, reps binary, keys binary, df binary, centres binary")
     )
-    gathered = counted.groupBy("rep").agg(F.collect_list(F.struct("keys", "df", "centres")).alias("parts"))
-    return gathered.mapInArrow(choose, "a bigint, b bigint")
+    return counted.groupBy("part").applyInArrow(choose, "a bigint, b bigint")
 
 
 def _filter_bits(ids: DataFrame) -> bytes:
@@ -222,7 +226,7 @@ def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
     on in that order: an overlap that begins here has no more.  ``minor`` says that the set is not of the
     component that has most of the shingle's sets.  Shingles make the same round trip as coordinates.
     """
-    many = buckets(sets.sparkSession, 2)
+    many, groups = buckets(sets.sparkSession, 2), buckets(sets.sparkSession)
     fields = ["hashes", "reps", "roots", "ns"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,28 +255,24 @@ def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
         keep = df[back] >= 2
         state = np.where(parts[back] < 2, 0, np.where(roots != major[back], 2, 1))
         columns = (hashes, df[back].astype(np.int64), state.astype(np.int64), roots, ns)
-        return _back_to(reps[keep], ["hashes", "df", "state", "roots", "ns"], [c[keep] for c in columns])
-
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [[np.zeros(0, np.int64)] for _ in range(6)]
-            for rep, parts in zip(batch["rep"].to_pylist(), batch["parts"].to_pylist(), strict=True):
-                hashes, df, state, roots, ns = (np.concatenate([np.frombuffer(p[c], np.int64) for p in parts]) for c in ("hashes", "df", "state", "roots", "ns"))
-                n = int(ns[0])
-                order = np.lexsort((hashes, df))[: max(0, len(hashes) + 1 - -(-n * percent // 100))]
-                rest = len(hashes) - np.arange(len(order))
-                some = state[order] > 0
-                for column, values in zip(out, (hashes[order], np.full(len(order), rep), roots[order], ns[order], rest, state[order] == 2), strict=True):
-                    column.append(values[some])
-            columns = [pa.array(np.concatenate(x)) for x in out[:5]] + [pa.array(np.concatenate(out[5]).astype(bool))]
-            yield pa.RecordBatch.from_arrays(columns, names=["shingle", "rep", "root", "n", "rest", "minor"])
+        return _back_to(reps[keep], groups, ["hashes", "df", "state", "roots", "ns"], [c[keep] for c in columns])
+
+    def take(table: pa.Table) -> pa.Table:
+        out = [[np.zeros(0, np.int64)] for _ in range(6)]
+        for rep, (hashes, df, state, roots, ns) in _each(table, ["hashes", "df", "state", "roots", "ns"]):
+            order = np.lexsort((hashes, df))[: max(0, len(hashes) + 1 - -(-int(ns[0]) * percent // 100))]
+            rest = len(hashes) - np.arange(len(order))
+            some = state[order] > 0
+            for column, values in zip(out, (hashes[order], np.full(len(order), rep), roots[order], ns[order], rest, state[order] == 2), strict=True):
+                column.append(values[some])
+        columns = [pa.array(np.concatenate(x)) for x in out[:5]] + [pa.array(np.concatenate(out[5]).astype(bool))]
+        return pa.table(columns, names=["shingle", "rep", "root", "n", "rest", "minor"])
 
     counted = (
         sets.select("rep", "root", "shingles").mapInArrow(deal, "bucket int, hashes binary, reps binary, roots binary, ns binary")
-        .groupBy("bucket").applyInArrow(count, "rep bigint, hashes binary, df binary, state binary, roots binary, ns binary")
+        .groupBy("bucket").applyInArrow(count, "part int, reps binary, hashes binary, df binary, state binary, roots binary, ns binary")
     )
-    gathered = counted.groupBy("rep").agg(F.collect_list(F.struct("hashes", "df", "state", "roots", "ns")).alias("parts"))
-    return gathered.mapInArrow(take, "shingle bigint, rep bigint, root bigint, n bigint, rest bigint, minor boolean")
+    return counted.groupBy("part").applyInArrow(take, "shingle bigint, rep bigint, root bigint, n bigint, rest bigint, minor boolean")
 
 
 def near_duplicates(
