@@ -127,6 +127,28 @@ def test_collision_rate_is_generalised_jaccard(spark):
     assert abs(np.mean([got[k] - truth[k] for k in range(60)])) < 0.03
 
 
+def _likeness(spark, pairs):
+    rows = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k long, a string, b string")
+    found = fingerprint.fingerprints(rows, ["k"], ["a", "b"]).select("k", fingerprint.likeness(F.col("a"), F.col("b")).alias("s"))
+    got = {x.k: x.s for x in found.collect()}
+    return [got[k] for k in range(len(pairs))]
+
+
+def test_collision_rate_with_skewed_weights_and_short_texts(spark):
+    heavy, short, truth = [], [], []
+    for k in range(40):
+        other = lambda side: [f"{side}{k}n{j}e" for j in range(30)]  # noqa: B023, E731
+        a, b = other("p"), other("q")
+        heavy.append((" ".join([f"h{k}e"] * 100 + a), " ".join([f"h{k}e"] * 100 + b)))
+        same = 100 * len(f"h{k}e")
+        truth.append(same / (same + sum(map(len, a + b))))
+        short.append((f"s{k}e t{k}e u{k}e", f"s{k}e t{k}e v{k}e"))
+    got = np.array(_likeness(spark, heavy))
+    assert abs(np.mean(got - truth)) < 0.03 and np.abs(got - truth).max() < 0.3
+    got = np.array(_likeness(spark, short))
+    assert abs(got.mean() - 0.5) < 0.05 and np.abs(got - 0.5).max() < 0.3
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 

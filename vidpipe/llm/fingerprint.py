@@ -7,9 +7,8 @@ uniform shift, which fix the steps of its weight at which its sample changes; th
 wins and the sample is the winner with its step.  Two texts share a sample with the chance of their
 generalised Jaccard similarity (sum of the smaller over sum of the larger weights).
 
-Samples are drawn bin by bin: each of ``GROUPS`` hashes deals the terms into ``BINS`` bins, and each bin has one
-sample of its own terms, so a term bids GROUPS times and not once for every sample.  A bin without terms has
-no sample; likeness is the share of equal samples among the bins that either text fills.
+Every term bids for every one of the ``SAMPLES`` samples, as a row of its own, so a sample is drawn from the
+whole text whatever the weights; likeness is the share of equal samples.  A text without terms has none.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Deals of the terms, and bins of each: a fingerprint has GROUPS * BINS samples.
-GROUPS, BINS = 4, 16
+#: Samples of a fingerprint.
+SAMPLES = 64
 #: Consecutive ids that lie together; the next text is looked up within a segment, or from one to the next.
 SEGMENT = 512
 
@@ -66,21 +65,21 @@ def _uniform(h: Column, at: int) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """``keys`` and, for each text column ``c``, ``c`` as its samples: GROUPS * BINS integers of 16 bits, -1 for an empty bin.
+    """``keys`` and, for each text column ``c``, ``c`` as its samples: SAMPLES integers of 16 bits, all -1 for a text without terms.
 
     Terms are counted and sampled per ``keys``; rows that are already partitioned by some of them do not move.
     """
-    def terms(j: int, c: str) -> Column:
-        own = F.filter(_phrases(F.col(c)), lambda p: p != "")
-        return F.transform(own, lambda p: F.struct(F.lit(j).alias("of"), F.xxhash64(p).alias("term"), F.length(p).alias("len")))
-
-    rows = texts.select(*keys, F.inline_outer(F.concat(*(terms(j, c) for j, c in enumerate(columns)))))
+    each = texts.select(*keys, F.explode(F.array(*(F.struct(F.lit(j).alias("of"), F.col(c).alias("text")) for j, c in enumerate(columns)))).alias("e"))
+    rows = each.select(*keys, F.col("e.of").alias("of"), F.explode_outer(_phrases(F.col("e.text"))).alias("p"))
+    size = F.when(F.col("p") != "", F.length("p"))
     logs = [f"w{j}" for j in range(len(columns))]
-    weights = rows.groupBy(*keys, "term").agg(*(F.sum(F.when(F.col("of") == j, F.col("len"))).alias(w) for j, w in enumerate(logs)))
-    dealt = weights.select(*keys, "term", *(F.log(F.col(w).cast("double")).alias(w) for w in logs), F.explode(F.array(*map(F.lit, range(GROUPS)))).alias("group"))
-    one, two = F.xxhash64("term", F.col("group") * 2), F.xxhash64("term", F.col("group") * 2 + 1)
+    weights = rows.select(*keys, "of", F.xxhash64("p").alias("term"), size.alias("size")).groupBy(*keys, "term").agg(
+        *(F.log(F.sum(F.when(F.col("of") == j, F.col("size"))).cast("double")).alias(w) for j, w in enumerate(logs))
+    )
+    dealt = weights.select(*keys, "term", *logs, F.explode(F.array(*map(F.lit, range(SAMPLES)))).alias("sample"))
+    one, two = F.xxhash64("term", F.col("sample") * 2), F.xxhash64("term", F.col("sample") * 2 + 1)
     drawn = dealt.select(
-        *keys, *logs, one.alias("one"), (F.col("group") * BINS + F.pmod(F.xxhash64("term", F.col("group") + 64), F.lit(BINS)).cast("int")).alias("bin"),
+        *keys, *logs, "sample", one.alias("one"),
         (-F.log(_uniform(one, 0) * _uniform(one, 22))).alias("r"), F.log(-F.log(_uniform(two, 0) * _uniform(two, 22))).alias("log_c"),
         (F.shiftrightunsigned(two, 44) / F.lit(float(1 << 20))).alias("shift"),
     )
@@ -92,27 +91,27 @@ def fingerprints(texts: DataFrame, keys: list[str], columns: list[str]) -> DataF
         name = (F.shiftrightunsigned("one", 44) + step * 40503).bitwiseAND(F.lit(65535))
         return F.min(F.shiftleft(value, 16).bitwiseOR(name)).alias(w)
 
-    least = drawn.groupBy(*keys, "bin").agg(*(bid(w) for w in logs))
+    least = drawn.groupBy(*keys, "sample").agg(*(bid(w) for w in logs))
+
     def entries(w: str) -> Column:
-        return F.map_from_entries(F.collect_list(F.when(F.col(w).isNotNull(), F.struct("bin", F.col(w).bitwiseAND(F.lit(65535)).cast("int")))))
+        return F.collect_list(F.when(F.col(w).isNotNull(), F.struct("sample", F.col(w).bitwiseAND(F.lit(65535)).cast("int").alias("name"))))
 
     def samples(w: str) -> Column:
-        every = F.sequence(F.lit(0), F.lit(GROUPS * BINS - 1))
-        return F.transform(every, lambda i: F.coalesce(F.try_element_at(F.col(w), i), F.lit(-1)))
+        return F.when(F.size(w) == 0, F.array_repeat(F.lit(-1), SAMPLES)).otherwise(F.transform(F.array_sort(w), lambda x: x["name"]))
 
-    bins = least.groupBy(*keys).agg(*(entries(w).alias(w) for w in logs))
-    return bins.select(*keys, *(samples(w).alias(c) for c, w in zip(columns, logs, strict=True)))
+    found = least.groupBy(*keys).agg(*(entries(w).alias(w) for w in logs))
+    return found.select(*keys, *(samples(w).alias(c) for c, w in zip(columns, logs, strict=True)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of equal samples among bins that either text fills; 1 for two texts without terms."""
+    """The share of equal samples among those that either text has; 1 for two texts without terms."""
     count = lambda test: F.size(F.filter(F.zip_with(a, b, test), lambda x: x))
     filled = count(lambda x, y: (x >= 0) | (y >= 0))
     return F.when(filled == 0, F.lit(1.0)).otherwise(count(lambda x, y: (x == y) & (x >= 0)) / F.greatest(filled, F.lit(1)))
 
 
 def as_text(samples: Column) -> Column:
-    """Four hex digits for each sample, four dots for an empty bin."""
+    """Four hex digits for each sample, four dots for one that is missing."""
     return F.array_join(F.transform(samples, lambda x: F.when(x < 0, F.lit("....")).otherwise(F.lpad(F.hex(x), 4, "0"))), "")
 
 
