@@ -149,6 +149,27 @@ def test_collision_rate_with_skewed_weights_and_short_texts(spark):
     assert abs(got.mean() - 0.5) < 0.05 and np.abs(got - 0.5).max() < 0.3
 
 
+def test_edits_show_in_every_script(spark):
+    r = random.Random(11)
+    scripts = {
+        "consonants": (" ", lambda: "".join(r.choices("bdfgklmnprst", k=5))),
+        "numbers": (" ", lambda: str(r.randrange(10**5))),
+        "cyrillic": (" ", lambda: "".join(r.choices("абвгдежзик", k=6))),
+        "chinese": ("", lambda: "".join(chr(r.randrange(0x4E00, 0x5E00)) for _ in range(2))),
+        "rare chinese": ("", lambda: "".join(chr(r.randrange(0x20000, 0x21000)) for _ in range(2))),
+        "thai": ("", lambda: "".join(chr(r.randrange(0x0E01, 0x0E2F)) for _ in range(4))),
+        "one long word": ("", lambda: "".join(r.choices("abcdefghijklmnopqrst", k=6))),
+    }
+    pairs = []
+    for space, word in scripts.values():
+        own = [word() for _ in range(200)]
+        pairs.append((space.join(own), space.join([*own[:160], *(word() for _ in range(40))])))
+    pairs += [("again " * 400, "again " * 300), ("x" * 2000, "x" * 1500), ("中文", "中文"), ("中", "文")]
+    got = dict(zip([*scripts, "repeated word", "repeated character", "equal", "apart"], _likeness(spark, pairs), strict=True))
+    assert all(0.42 < got[k] < 0.95 for k in got if k not in ("equal", "apart")), got
+    assert got["equal"] == 1 and got["apart"] == 0
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 

@@ -1,8 +1,8 @@
 """Document fingerprints by consistent weighted sampling.
 
-Native throughout.  A text's terms are its phrases: words up to one that ends in a vowel, a comma or another
-mark, so boundaries depend on the text around them and an edit moves only its own; a term's weight is how
-often it occurs times its length.  For a sample a term draws, from its hash alone, two gamma variables and a
+Native throughout.  A text's terms are its words in small letters, each weighing how often it occurs times its
+length; a word of a script that sets no spaces, or one longer than ``LONGEST``, is taken as the runs of ``GRAM``
+characters in it, each weighing how often it occurs.  So terms follow the length of a text in every script.  For a sample a term draws, from its hash alone, two gamma variables and a
 uniform shift, which fix the steps of its weight at which its sample changes; the term with the least value
 wins and the sample is the winner with its step.  Two texts share a sample with the chance of their
 generalised Jaccard similarity (sum of the smaller over sum of the larger weights).
@@ -23,11 +23,29 @@ SAMPLES = 64
 #: Consecutive ids that lie together; the next text is looked up within a segment, or from one to the next.
 SEGMENT = 512
 
-_BOUNDARY = r"(?<=[aeiouy,.;:!?])\s+|\n+"
+#: Characters of the longest word that is a term by itself, and of the runs that stand for longer ones.
+LONGEST, GRAM = 24, 3
 
+_SPACE = r"[\s\p{Z}]+"
+#: Thai, Lao, Tibetan, Burmese, Khmer, Japanese and Chinese characters, and words that are too long.
+_UNSPACED = r"[\u0E00-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9F\x{20000}-\x{3FFFF}]" + rf"|[^\s\p{{Z}}]{{{LONGEST + 1}}}"
+#: A run at every character (not at the second half of one that Java holds as two).
+_RUN = rf"(?s)(?=([^\uDC00-\uDFFF].{{{GRAM - 1}}}))"
 
-def _phrases(text: Column) -> Column:
-    return F.split(F.lower(text), _BOUNDARY, -1)
+
+def _terms(text: Column) -> Column:
+    """The terms of a text as an array, perhaps with empty ones; a space stands before a run of characters."""
+    def cut(word: Column) -> Column:
+        runs = F.transform(F.regexp_extract_all(word, F.lit(_RUN), F.lit(1)), lambda r: F.concat(F.lit(" "), r))
+        return F.when((F.char_length(word) >= GRAM) & word.rlike(_UNSPACED), runs).otherwise(F.array(word))
+
+    words = F.split(F.lower(text), _SPACE, -1)
+    return F.when(text.rlike(_UNSPACED), F.flatten(F.transform(words, cut))).otherwise(words)
+
+
+def _size(term: Column) -> Column:
+    """What one occurrence of a term weighs; null for an empty one."""
+    return F.when(F.startswith(term, F.lit(" ")), F.lit(1)).when(term != "", F.char_length(term))
 
 
 def with_next(documents: DataFrame) -> DataFrame:
@@ -70,10 +88,9 @@ def fingerprints(texts: DataFrame, keys: list[str], columns: list[str]) -> DataF
     Terms are counted and sampled per ``keys``; rows that are already partitioned by some of them do not move.
     """
     each = texts.select(*keys, F.explode(F.array(*(F.struct(F.lit(j).alias("of"), F.col(c).alias("text")) for j, c in enumerate(columns)))).alias("e"))
-    rows = each.select(*keys, F.col("e.of").alias("of"), F.explode_outer(_phrases(F.col("e.text"))).alias("p"))
-    size = F.when(F.col("p") != "", F.length("p"))
+    rows = each.select(*keys, F.col("e.of").alias("of"), F.explode_outer(_terms(F.col("e.text"))).alias("p"))
     logs = [f"w{j}" for j in range(len(columns))]
-    weights = rows.select(*keys, "of", F.xxhash64("p").alias("term"), size.alias("size")).groupBy(*keys, "term").agg(
+    weights = rows.select(*keys, "of", F.xxhash64("p").alias("term"), _size(F.col("p")).alias("size")).groupBy(*keys, "term").agg(
         *(F.log(F.sum(F.when(F.col("of") == j, F.col("size"))).cast("double")).alias(w) for j, w in enumerate(logs))
     )
     dealt = weights.select(*keys, "term", *logs, F.explode(F.array(*map(F.lit, range(SAMPLES)))).alias("sample"))
