@@ -170,6 +170,18 @@ def test_edits_show_in_every_script(spark):
     assert got["equal"] == 1 and got["apart"] == 0
 
 
+def test_segments_are_bounded_whatever_the_ids(spark):
+    for ids in ([*range(3000), 10**12], [7] * 3000, [None] * 1500 + [5] * 1500, [*range(-(10**15), -(10**15) + 1500), *range(1500)]):
+        rows = [(i, f"t{k % 1000:05d}") for k, i in enumerate(ids)]
+        got = fingerprint.with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert len(got) == len(rows) and max(Counter(x.seg for x in got).values()) <= 512
+        order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        mine = sorted(got, key=lambda x: (x.seg, x.k))
+        assert [(x.doc_id, x.text) for x in mine] == order
+        assert [x.next_text for x in mine] == [t for _, t in order[1:] + order[:1]]
+        assert [(x.next_seg, x.next_k) for x in mine] == [(x.seg, x.k) for x in mine[1:] + mine[:1]]
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 

@@ -20,8 +20,8 @@ from .common import written
 
 #: Samples of a fingerprint.
 SAMPLES = 64
-#: Consecutive ids that lie together; the next text is looked up within a segment, or from one to the next.
-SEGMENT = 512
+#: Consecutive rows that lie together (2 to this power); the next text is looked up within a segment, or from one to the next.
+SEGMENT_BITS = 9
 
 #: Characters of the longest word that is a term by itself, and of the runs that stand for longer ones.
 LONGEST, GRAM = 24, 3
@@ -52,19 +52,21 @@ def with_next(documents: DataFrame) -> DataFrame:
     """``(seg, k, next_seg, next_k, doc_id, text, next_text)`` of ``documents(doc_id, text)``.
 
     A row's next is the one that follows by id (null ids first, rows of equal id by text), the last row's next is
-    the first.  Rows lie in segments of about SEGMENT ids, numbered by ``k`` within; only the last row of a
-    segment looks beyond it, at the first of the next segment.  Segments are as wide as the ids are sparse.
+    the first.  Rows are numbered range by range of that order, equal rows too, and a segment is so many rows
+    that follow each other in a range, numbered by ``k`` from 0: its size does not depend on the ids.  Only the
+    last row of a segment looks beyond it, at the first of the next segment.
     """
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    n, low, high = docs.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
-    width = SEGMENT * max(1.0, ((high or 0) - (low or 0) + 1) / max(1, n))
-    seg = F.floor((F.col("doc_id").cast("double") - F.lit(float(low or 0))) / F.lit(width)).cast("bigint")
-    docs = docs.withColumn("seg", F.coalesce(seg, F.lit(-1).cast("bigint")))
-    order = Window.partitionBy("seg").orderBy("doc_id", "text")
-    rows = docs.select("seg", "doc_id", "text", F.row_number().over(order).alias("k"), F.lead("text").over(order).alias("after"))
-    firsts = docs.groupBy("seg").agg(F.min(F.struct("doc_id", "text"))["text"].alias("first_text"))
-    # each segment's next one: within blocks of segments, and then from block to block
-    segs = docs.select("seg").distinct().withColumn("block", F.floor(F.col("seg") / 4096))
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("tie"))
+    order = ["doc_id", "text", "tie"]
+    # the range in the high bits and the row in the low 33; written, so that the numbers are settled for good
+    placed = docs.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.monotonically_increasing_id().alias("pos"))
+    placed = written(placed, "ordered")
+    seg = F.shiftright("pos", SEGMENT_BITS)
+    docs = placed.select(seg.alias("seg"), F.col("pos").bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)).cast("int").alias("k"), "doc_id", "text")
+    rows = docs.withColumn("after", F.lead("text").over(Window.partitionBy("seg").orderBy("k")))
+    firsts = docs.where("k = 0").select("seg", F.col("text").alias("first_text"))
+    # each segment's next one: within the range, and then from range to range
+    segs = docs.where("k = 0").select("seg").withColumn("block", F.shiftright("seg", 33 - SEGMENT_BITS))
     inner = segs.withColumn("to", F.lead("seg").over(Window.partitionBy("block").orderBy("seg")))
     heads = segs.groupBy("block").agg(F.min("seg").alias("head"))
     outer = heads.select("block", F.lead("head").over(Window.orderBy("block")).alias("over"))
@@ -73,7 +75,7 @@ def with_next(documents: DataFrame) -> DataFrame:
     follow = links.join(firsts, "seg").select(F.col("of").alias("seg"), F.col("seg").alias("far_seg"), "first_text")
     last = F.col("after").isNull()  # texts are never null here
     return rows.join(follow, "seg").select(
-        "seg", "k", F.when(last, F.col("far_seg")).otherwise(F.col("seg")).alias("next_seg"), F.when(last, F.lit(1)).otherwise(F.col("k") + 1).alias("next_k"),
+        "seg", "k", F.when(last, F.col("far_seg")).otherwise(F.col("seg")).alias("next_seg"), F.when(last, F.lit(0)).otherwise(F.col("k") + 1).alias("next_k"),
         "doc_id", "text", F.coalesce("after", "first_text").alias("next_text"),
     )
 
@@ -143,10 +145,12 @@ def compare_with_edits(documents: DataFrame) -> DataFrame:
     size = F.char_length("text")
     cut = F.floor(size / 4).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), size - cut), F.substring(F.col("next_text"), F.lit(1), cut)))
-    found = written(fingerprints(rows.select("seg", "k", "text", "edited"), ["seg", "k"], ["text", "edited"]), "fingerprints")
+    keys = ["seg", "k", "doc_id"]  # the id takes part so that facts and fingerprints read the same exchange of the texts
+    found = fingerprints(rows.select(*keys, "text", "edited"), keys, ["text", "edited"]).drop("doc_id")
     facts = rows.select("seg", "k", "next_seg", "next_k", "doc_id", size.cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    other = found.select(F.col("seg").alias("next_seg"), F.col("k").alias("next_k"), F.col("text").alias("next"))
-    return facts.join(found, ["seg", "k"]).join(other, ["next_seg", "next_k"]).select(
+    own = written(facts.join(found, ["seg", "k"]), "fingerprints")
+    other = own.select(F.col("seg").alias("next_seg"), F.col("k").alias("next_k"), F.col("text").alias("next"))
+    return own.join(other, ["next_seg", "next_k"]).select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("text")).alias("fingerprint"), as_text(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("text"), F.col("edited")).alias("near_edited"), likeness(F.col("text"), F.col("next")).alias("near_next"),
     )
