@@ -42,6 +42,24 @@ def test_claims_of_rounds_are_disjoint(spark):
     assert relate.claim(normal, none, none, -1).count() == 0
 
 
+def test_claims_without_limit_number_every_candidate(spark):
+    normal = spark.sql("SELECT concat('c', id) channel_url, true validation_passed, timestamp_seconds(id) normalized_at FROM range(1000025)")
+    none = spark.createDataFrame([], "channel_url string")
+    every = relate.claim(normal, none, none, None)
+    assert "Limit" not in every._jdf.queryExecution().toString()
+    rounds = order.worker_shares(order.with_index(every, ["first_normalized_at", "channel_url"]), None, 10)
+    assert tuple(rounds.agg(F.count("*"), F.max("worker"), F.count_distinct("worker")).first()) == (1000025, 100002, 100003)
+
+
+def test_claim_rounds_has_no_limit(spark, monkeypatch):
+    from vidpipe import registry
+
+    plans, real = [], order.with_index
+    monkeypatch.setattr(order, "with_index", lambda rows, by: plans.append(rows._jdf.queryExecution().toString()) or real(rows, by))
+    registry.QUERIES["claim_rounds"](spark, "/root/testdata/sf0.001")
+    assert len(plans) == 1 and "Limit" not in plans[0]
+
+
 def test_nested_entries(spark):
     text = '{"entries":[{"title":"Videos","entries":[{"id":"1"},{"title":"Live now","entries":[{"id":"2"}]},{"title":null,"entries":[{"id":"3"}]}]},5,{"id":"4"},{"id":"","entries":null},{"id":""}]}'
     rows = spark.createDataFrame([(text,)], "t string").select(F.lit("c").alias("c"), F.parse_json("t").alias("dump"))

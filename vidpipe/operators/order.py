@@ -37,9 +37,9 @@ def batch(indexed: DataFrame, number: int, size: int) -> DataFrame:
     return indexed.where((F.col("idx") >= number * size) & (F.col("idx") < (number + 1) * size))
 
 
-def worker_shares(indexed: DataFrame, workers: int, size: int) -> DataFrame:
-    """Contiguous shares of ``size`` rows for each worker; later ones may be short or missing."""
-    return indexed.where(F.col("idx") < workers * size).withColumn("worker", F.floor(F.col("idx") / size).cast("bigint"))
+def worker_shares(indexed: DataFrame, workers: int | None, size: int) -> DataFrame:
+    """Contiguous shares of ``size`` rows for each worker, or as many shares as there are if that is None; later ones may be short or missing."""
+    return (indexed if workers is None else indexed.where(F.col("idx") < workers * size)).withColumn("worker", F.floor(F.col("idx") / size).cast("bigint"))
 
 
 def pending_batches(indexed: DataFrame, waiting: DataFrame, size: int) -> DataFrame:

@@ -19,10 +19,11 @@ def oldest_first(rows: DataFrame, order: list[str], limit: int | None = None) ->
     return out.limit(limit) if limit else out
 
 
-def claim(normalized: DataFrame, processed: DataFrame, claims: DataFrame, limit: int, key: str = "channel_url") -> DataFrame:
-    """``(key, first_normalized_at)`` of the ``limit`` oldest candidates, neither processed nor claimed."""
+def claim(normalized: DataFrame, processed: DataFrame, claims: DataFrame, limit: int | None, key: str = "channel_url") -> DataFrame:
+    """``(key, first_normalized_at)`` of the ``limit`` oldest candidates, neither processed nor claimed; of all, unsorted, if it is None."""
     open_ = candidates(normalized).join(processed.select(key), key, "left_anti").join(claims.select(key), key, "left_anti")
-    return open_.groupBy(key).agg(F.min("normalized_at").alias("first_normalized_at")).orderBy("first_normalized_at", key).limit(max(0, limit))
+    all_ = open_.groupBy(key).agg(F.min("normalized_at").alias("first_normalized_at"))
+    return all_ if limit is None else all_.orderBy("first_normalized_at", key).limit(max(0, limit))
 
 
 def executed(runs: DataFrame) -> DataFrame:

@@ -368,7 +368,7 @@ def claim_candidates(spark, sf_dir):
 
 @_query(f"{duck(*_CLAIM_VIEWS)}, c AS ({_CLAIM}) SELECT channel_url, CAST((row_number() OVER (ORDER BY m, channel_url) - 1) // 10 AS BIGINT) AS round FROM c")
 def claim_rounds(spark, sf_dir):
-    return order.worker_shares(order.with_index(_claims(spark, sf_dir, 1_000_000), ["first_normalized_at", "channel_url"]), 1_000_000, 10).select("channel_url", F.col("worker").alias("round"))
+    return order.worker_shares(order.with_index(_claims(spark, sf_dir, None), ["first_normalized_at", "channel_url"]), None, 10).select("channel_url", F.col("worker").alias("round"))
 
 
 # work plans -------------------------------------------------------------------------------------------------------
