@@ -351,6 +351,26 @@ def test_code_lengths_are_those_of_ppm():
         assert abs(got - expected) < 1e-3
 
 
+def test_many_languages_keep_every_context(monkeypatch):
+    r = np.random.default_rng(4)
+    gram = np.unique(r.integers(97, 103, (900, 4)) @ (1 << 8 * np.arange(4)))
+    gram, lang = np.tile(gram, 3), np.repeat(np.arange(3), len(gram))
+    some = r.random(len(gram)) < 0.5
+    given = ["x", "y", "z"], lang[some], gram[some], r.integers(1, 9, some.sum()).astype(float)
+    texts = ["".join(map(chr, r.integers(96, 105, n))) for n in (1, 2, 0, 3, 500, 40)] + ["", "ABCé"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(x.encode()) for x in texts)])
+    whole = language_id.Model(*given).bits(data, offsets)
+    monkeypatch.setattr(language_id, "CELLS", 100)
+    assert np.abs(language_id.Model(*given).bits(data, offsets) - whole).max() < 1e-2
+
+
+def test_language_of_few_rows_stays(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "GRAMS", 12, raising=False)  # the former limit over all languages
+    rows = spark.createDataFrame([(k, "aa", "the cat sat on the mat") for k in range(50)] + [(99, "zz", "quux vyv")], "doc_id long, lang string, text string")
+    assert language_id.train(rows).langs == ["aa", "zz"]
+
+
 def test_language_without_training(spark):
     got = language_id.identify(docs(spark, [(1, "abc"), (2, None)], {1: None, 2: None})).collect()
     assert {(x.lang_pred, x.score) for x in got} == {("und", 0.0)}

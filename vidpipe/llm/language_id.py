@@ -6,8 +6,9 @@ distinct followers) and is coded in the next shorter context, and last at 8 bits
 after training, so a text's code length under each language is a sum of table entries: the language with the
 shortest code wins.
 
-The trees come from a bounded sample of labelled rows, counted in Spark, and are laid out as one table of
-code lengths of at most ``CELLS`` entries, which is what is sent to the executors.
+The trees come from a bounded sample of labelled rows, counted in Spark, and all their counts take part.  They
+are laid out as one table of code lengths where that has at most ``CELLS`` entries, and else sparsely, with what
+each language has seen; the result is what is sent to the executors.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,10 +27,8 @@ from .common import LOWER, slices, utf8
 ORDER = 3
 #: Training rows of each language, the first by a hash of the id; further rows are not read for training.
 TRAIN_ROWS = 1500
-#: Entries of the table of code lengths; the rarest contexts go when there are more.
+#: Entries of the largest table of code lengths; with more, they are kept sparsely.
 CELLS = 16_000_000
-#: Distinct byte strings of ORDER + 1 that the driver takes in from the counting; the most frequent stay.
-GRAMS = 2_000_000
 
 
 def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -64,11 +64,27 @@ def count_grams(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class _Rows:
+    """Values by key and language: for each of the sorted ``keys``, those of the languages that have it."""
+
+    def __init__(self, keys: np.ndarray, lang: np.ndarray, value: np.ndarray) -> None:
+        self.keys, starts = np.unique(keys, return_index=True)
+        self.starts, self.lang, self.value = np.append(starts, len(keys)), lang.astype(np.int32), value.astype(np.float32)
+
+    def of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of ``wanted``, language and value."""
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        n = np.where(self.keys[at] == wanted, self.starts[at + 1] - self.starts[at], 0)
+        own = np.repeat(self.starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(np.arange(len(wanted)), n), self.lang[own], self.value[own]
+
+
 class Model:
-    """Code lengths in bits: ``cost[context, byte class, language]``."""
+    """Code lengths in bits: ``cost[context, byte class, language]``, or ``sparse``: for each order what follows and what escapes."""
 
     def __init__(self, langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> None:
         self.langs = langs
+        self.sparse: list[tuple[_Rows, _Rows]] = []  # of order k: code lengths of the bytes seen, and of escapes
         parts = [(gram >> 8 * k & 255).astype(np.int64) for k in range(ORDER + 1)]  # parts[0] is the byte itself
         seen = np.unique(np.concatenate([*(p for p in parts), [0]]))
         self.classes = np.full(256, len(seen), np.int64)
@@ -76,8 +92,10 @@ class Model:
         self.classes = self.classes[LOWER]
         width = self.width = len(seen) + 1  # the last class stands for bytes that training never had
         cls = [np.searchsorted(seen, p) for p in parts]
-        cells = width * max(1, len(langs))
-        room = CELLS // cells
+        contexts = 1 + sum(len(np.unique(gram >> 8 & (1 << 8 * k) - 1)) for k in range(1, ORDER + 1))
+        if contexts * width * max(1, len(langs)) > CELLS:
+            self._keep_sparse(lang, gram, n)
+            return
         self.index: list[np.ndarray] = []  # of order k: context of k classes -> row of cost
         tables = []
         rows = 0
@@ -92,18 +110,10 @@ class Model:
                 for j in range(2, k + 1):
                     key = key + cls[j] * width ** (j - 1)
                 ids, own = np.unique(key, return_inverse=True)
-                total = np.bincount(own, weights=n, minlength=len(ids))
-                if len(ids) > max(0, room - rows):
-                    keep = np.sort(np.argsort(-total, kind="stable")[: max(0, room - rows)])
-                    rank = np.full(len(ids), -1)
-                    rank[keep] = np.arange(len(keep))
-                    ids, own = ids[keep], rank[own]
                 link = np.zeros(len(ids), np.int64)
-                yes = own >= 0
-                link[own[yes]] = known[yes]
-            yes = own >= 0
+                link[own] = known
             counts = np.zeros((len(ids), width, max(1, len(langs))), np.float32)
-            np.add.at(counts, (own[yes], cls[0][yes], lang[yes]), n[yes])
+            np.add.at(counts, (own, cls[0], lang), n)
             total, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
             below = np.full((1, 1, 1), 8.0, np.float32) if shorter is None else shorter[link]
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -112,12 +122,39 @@ class Model:
             tables.append(cost)
             self.index.append(ids)
             shorter = np.concatenate(tables) if k < ORDER else None
-            known = np.where(own >= 0, own + rows, known)
+            known = own + rows
             rows += len(ids)
         self.cost = np.concatenate(tables)
         self.starts = np.cumsum([0, *(len(x) for x in self.index)])[:-1]
         self._lay_out()
 
+    def _keep_sparse(self, lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> None:
+        many = len(self.langs)
+        for k in range(ORDER + 1):
+            ids, own = np.unique((gram & (1 << 8 * (k + 1)) - 1) * many + lang, return_inverse=True)
+            count, key, of = np.bincount(own, weights=n), ids // many, ids % many
+            before, own = np.unique((key >> 8) * many + of, return_inverse=True)
+            kinds = np.bincount(own)
+            total = np.bincount(own, weights=count) + kinds
+            self.sparse.append((_Rows(key, of, np.log2(total[own] / count)), _Rows(before // many, before % many, np.log2(total / kinds))))
+
+    def _sparse_bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(offsets) - 1, len(self.langs)))
+        full = np.flatnonzero(offsets[1:] > offsets[:-1])
+        if not len(full):
+            return out
+        grams, own = np.unique(_grams(LOWER[data], offsets).astype(np.int64), return_inverse=True)
+        cost = np.full((len(grams), len(self.langs)), 8.0, np.float32)
+        for k, (seen, escapes) in enumerate(self.sparse):
+            key = grams & (1 << 8 * (k + 1)) - 1
+            at, lang, value = escapes.of(key >> 8)
+            cost[at, lang] += value
+            at, lang, value = seen.of(key)
+            cost[at, lang] = value
+        for j in range(len(self.langs)):
+            out[full, j] = np.add.reduceat(cost[own, j], offsets[:-1][full], dtype=np.float64)
+        return out
+
     def _lay_out(self) -> None:
         """Direct tables: two classes -> a number, and that number and a third class -> a row of cost."""
         w = self.width
@@ -139,6 +176,8 @@ class Model:
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The code length of each text under each language."""
+        if self.sparse:
+            return self._sparse_bits(data, offsets)
         w, zero = self.width, int(self.classes[0])
         cls = self.classes[data].astype(np.int32)
         back = []
@@ -165,9 +204,9 @@ def train(labelled: DataFrame) -> Model:
     ids = labelled.where("lang IS NOT NULL").select("doc_id", "lang").withColumn("k", first).where(F.col("k") <= TRAIN_ROWS)
     sample = labelled.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").where("lang IS NOT NULL")
     counts = count_grams(sample.select("lang", F.coalesce("text", F.lit("")).alias("text")))
-    got = counts.orderBy(F.desc("n"), "lang", "gram").limit(GRAMS).toArrow()
-    langs = sorted(set(got["lang"].to_pylist()))
-    lang = np.searchsorted(np.array(langs, object), np.array(got["lang"].to_pylist(), object)) if langs else np.zeros(0, np.int64)
+    got = counts.toArrow()
+    langs = sorted(pc.unique(got["lang"]).to_pylist())
+    lang = pc.index_in(got["lang"], value_set=pa.array(langs, got["lang"].type)).to_numpy()
     return Model(langs, np.asarray(lang, np.int64), got["gram"].to_numpy().astype(np.int64), got["n"].to_numpy().astype(np.float64))
 
 
