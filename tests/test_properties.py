@@ -60,6 +60,16 @@ def test_claim_rounds_has_no_limit(spark, monkeypatch):
     assert len(plans) == 1 and "Limit" not in plans[0]
 
 
+def test_second_claim_job_hands_out_other_channels(spark, tmp_path):
+    from vidpipe.sources.state import Tables
+
+    tables = Tables(spark, f"file://{tmp_path}", "es")
+    tables.write("videos_normalized", spark.sql("SELECT concat('c', id) channel_url, true validation_passed, timestamp_seconds(id) normalized_at FROM range(8)"))
+    runs = [sorted(r.channel_url for r in jobs.claim_job(tables, F.current_timestamp(), 5).collect()) for _ in range(3)]
+    assert runs == [["c0", "c1", "c2", "c3", "c4"], ["c5", "c6", "c7"], []]
+    assert tables.read("channels_discovery_claims").where("claimed_at IS NOT NULL").count() == 8
+
+
 def test_nested_entries(spark):
     text = '{"entries":[{"title":"Videos","entries":[{"id":"1"},{"title":"Live now","entries":[{"id":"2"}]},{"title":null,"entries":[{"id":"3"}]}]},5,{"id":"4"},{"id":"","entries":null},{"id":""}]}'
     rows = spark.createDataFrame([(text,)], "t string").select(F.lit("c").alias("c"), F.parse_json("t").alias("dump"))

@@ -9,6 +9,7 @@ from ..functions import text, urls
 from ..functions.values import or_false
 from ..operators import merge, nested, relate, validate
 from ..sources.lists import parse_dump
+from ..sources.state import Tables
 
 # Parts of messages that make a failure permanent.
 PERMANENT = ("Failed to resolve url", "HTTP Error 404", "does the playlist exist")
@@ -84,6 +85,14 @@ def enrich(dumps: DataFrame, processed: DataFrame, now: Column, most: int = 40)
     }
 
 
+def claim_job(tables: Tables, now: Column, limit: int | None) -> DataFrame:
+    """The channels claimed by this run, ``(channel_url, claimed_at)``, once they are stored; the next run does not hand them out."""
+    old = tables.read("channels_discovery_claims")
+    new = relate.claim(tables.read("videos_normalized"), tables.read("channels_processed"), old, limit)
+    tables.write("channels_discovery_claims", merge.insert_ignore(old, new.withColumn("claimed_at", now), ["channel_url"], "first_normalized_at"))
+    return tables.read("channels_discovery_claims").join(old.select("channel_url"), "channel_url", "left_anti")
+
+
 def analyse_channels(videos: DataFrame, min_duration: int = 20, min_views: int = 1000, least: int = 2, median: float = 20000.0) -> DataFrame:
     """Per channel its long videos: how many, views on average and in the middle, share with enough views, and whether that qualifies.
 

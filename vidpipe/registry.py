@@ -585,6 +585,18 @@ def _scratch(spark) -> str:
     return f"{root}/vidpipe/state-{uuid.uuid4().hex}"
 
 
+@_query(f"{duck(*_CLAIM_VIEWS)} SELECT channel_url, epoch_us(claimed_at) AS claimed_us FROM fx_claims UNION ALL SELECT channel_url, epoch_us({_DUCK_NOW}) FROM ({_CLAIM})")
+def claim_job(spark, sf_dir):
+    """The stored claims after a run over all candidates."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    normal, processed, claims = (view(spark, sf_dir, v) for v in _CLAIM_VIEWS)
+    tables.write("videos_normalized", normal.select("channel_url", "validation_passed", F.col("normalized_at").cast("timestamp")))
+    tables.write("channels_processed", processed.select("channel_url"))
+    tables.write("channels_discovery_claims", claims.select("channel_url", F.col("claimed_at").cast("timestamp")))
+    jobs.claim_job(tables, _now(), None)
+    return tables.read("channels_discovery_claims").select("channel_url", F.unix_micros("claimed_at").alias("claimed_us"))
+
+
 @_query(f"{duck('fx_hits')} SELECT DISTINCT video_id FROM fx_hits")
 def read_table(spark, sf_dir):
     """Two snapshots of a table, of which the second is read."""
