@@ -16,13 +16,15 @@ generated code small.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 #: Samples of a fingerprint, and how many of them one row of the aggregate draws.
-SAMPLES, TOGETHER = 64, 8
+SAMPLES, TOGETHER = 64, 4
 #: Characters of the longest word that is a term by itself, and of the runs that stand for longer ones.
 LONGEST, GRAM = 24, 3
 #: Bits of a sample that name its term and step.
@@ -87,19 +89,20 @@ def with_next(documents: DataFrame) -> DataFrame:
     return texts.join(sent, ["h1", "h2"]).select("h1", "h2", "v", "nh1", "nh2", "times", "doc_id", F.col("n").cast("bigint").alias("n_chars"), "text", "head")
 
 
-def _uniform(h: Column, at: int) -> Column:
-    return (F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << 22) - 1)) + F.lit(0.5)) / F.lit(float(1 << 22))
+def _exponential(h: Column) -> Column:
+    """A gamma variable of shape 2, the sum of two exponential ones, from the low 44 bits of a hash."""
+    bits = lambda at: F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << 22) - 1)) + F.lit(0.5)
+    return F.lit(44 * math.log(2)) - F.log(bits(0) * bits(22))
 
 
 def _bid(sample: Column, w: Column) -> Column:
     """A term's bid for a sample: its value in the high bits and NAME_BITS of the sample's name in the low ones."""
     one, two = F.xxhash64("term", sample * 2), F.xxhash64("term", sample * 2 + 1)
-    r = -F.log(_uniform(one, 0) * _uniform(one, 22))
-    log_c = F.log(-F.log(_uniform(two, 0) * _uniform(two, 22)))
-    shift = F.shiftrightunsigned(two, 44) / F.lit(float(1 << 20))
+    r, log_c = _exponential(one), F.log(_exponential(two))
+    shift = F.shiftrightunsigned(two, 44) * F.lit(2.0**-20)
     step = F.floor(w / r + shift)
     value = ((log_c - r * (step - shift + 1) + 64) * F.lit(float(1 << 31))).cast("bigint")
-    name = (F.shiftrightunsigned(one, 40) + step * 40503).bitwiseAND(F.lit((1 << NAME_BITS) - 1))
+    name = F.shiftrightunsigned(one, 40).bitwiseXOR(step).bitwiseAND(F.lit((1 << NAME_BITS) - 1))
     return F.shiftleft(value, NAME_BITS).bitwiseOR(name)
 
 
@@ -147,7 +150,10 @@ def compare_with_edits(documents: DataFrame) -> DataFrame:
     keys = ["h1", "h2", "v"]
     found = fingerprints(rows.select(*keys, "text", "edited"), keys, ["text", "edited"])
     facts = rows.select(*keys, "nh1", "nh2", "times", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    own = written(facts.join(found, keys), "fingerprints")
+    # the difference is no join key, so both sides stay where (h1, h2) put them; a name has two rows at most
+    drawn = found.select(F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("v").alias("fv"), "text", "edited")
+    own = facts.join(drawn, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & (F.col("v") - F.col("fv") == 0)).drop("f1", "f2", "fv")
+    own = written(own, "fingerprints")
     other = own.where("v = 0").select(F.col("h1").alias("nh1"), F.col("h2").alias("nh2"), F.col("text").alias("next"))
     # equal rows again as many times as they were given, in steps of 4096
     step = F.lit(4096).cast("bigint")
