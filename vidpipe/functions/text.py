@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .values import let
+
 # Words, patterns and formats that the results depend on.
 NO_VIEWS = ("no views", "sin vistas")
 VIEW_WORDS = ("views", "view", "vistas", "visualizaciones", "reproducciones", "de", "•")
@@ -84,13 +86,19 @@ def parse_views(text: Column, longest_suffix: bool = False) -> Column:
     A suffix is recognised by its first letter, so ``mil`` counts as millions; ``longest_suffix`` reads it as
     thousands.
     """
-    lower = F.lower(squeeze(text))
-    cleaned = squeeze(_without(lower, VIEW_WORDS))
     pattern = rf"(?iU){NUMBER}\s*({SUFFIX_LONGEST if longest_suffix else SUFFIX_FIRST_LETTER})?"
-    digits, suffix = _group(cleaned, pattern, 1), F.coalesce(_group(cleaned, pattern, 2), F.lit(""))
     factor = F.create_map(*(F.lit(x) for kv in {"": 1.0, **MULTIPLIERS}.items() for x in kv))
-    value = (human_number(digits, suffix != "") * F.try_element_at(factor, suffix)).try_cast("bigint")
-    return F.when(_any(lower, NO_VIEWS), F.lit(0).cast("bigint")).otherwise(value)
+
+    def number(found: Column) -> Column:
+        digits, suffix = F.regexp_extract(found, pattern, 1), F.regexp_extract(found, pattern, 2)
+        parts = F.struct(digits.alias("digits"), suffix.alias("suffix"))
+        return let(parts, lambda p: (human_number(p["digits"], p["suffix"] != "") * F.try_element_at(factor, p["suffix"])).try_cast("bigint"))
+
+    def count(lower: Column) -> Column:
+        value = let(_group(squeeze(_without(lower, VIEW_WORDS)), pattern, 0), number)
+        return F.when(_any(lower, NO_VIEWS), F.lit(0).cast("bigint")).otherwise(value)
+
+    return let(F.lower(squeeze(text)), count)
 
 
 def _seconds(hours: Column, minutes: Column, seconds: Column) -> Column:
@@ -99,19 +107,34 @@ def _seconds(hours: Column, minutes: Column, seconds: Column) -> Column:
 
 
 def parse_duration(text: Column) -> Column:
-    """Seconds of ``MM:SS``, ``HH:MM:SS`` or worded hours, minutes and seconds; a worded zero is null."""
-    clean = squeeze(text)
-    parts = F.split(clean, ":")
-    part = lambda k: F.try_element_at(parts, F.lit(k)).try_cast("bigint")
+    """Seconds of ``MM:SS``, ``HH:MM:SS`` or worded hours, minutes and seconds; a worded zero is null.
+
+    Of several amounts of a unit the one whose word stands first in the unit's list counts, and of these the first.
+    """
     zero = F.lit(0).cast("bigint")
-    colon = F.when(F.size(parts) == 2, _seconds(zero, part(1), part(2))).otherwise(_seconds(part(1), part(2), part(3)))
-    worded = squeeze(F.translate(F.lower(clean), ",·", "  "))
+    words = sorted((*HOURS, *MINUTES, *SECONDS), key=len, reverse=True)
+    pattern = rf"(?U)(\d+)\s*({'|'.join(words)})\b"
+
+    def colon(parts: Column) -> Column:
+        part = lambda k: F.try_element_at(parts, F.lit(k)).try_cast("bigint")
+        return F.when(F.size(parts) == 2, _seconds(zero, part(1), part(2))).otherwise(_seconds(part(1), part(2), part(3)))
+
+    def worded(amounts: Column) -> Column:
+        def unit(names: tuple[str, ...]) -> Column:
+            listed = F.array(*map(F.lit, names))
+            ranked = F.transform(amounts, lambda a, i: F.struct(F.array_position(listed, a["word"]).alias("rank"), i.alias("i"), a["n"].alias("n")))
+            return F.coalesce(F.array_min(F.filter(ranked, lambda r: r["rank"] > 0))["n"].try_cast("bigint"), zero)
+
+        return let(_seconds(unit(HOURS), unit(MINUTES), unit(SECONDS)), lambda total: F.when(total != 0, total))
+
+    def amounts(clean: Column) -> Column:
+        found = F.regexp_extract_all(squeeze(F.translate(F.lower(clean), ",·", "  ")), F.lit(pattern), F.lit(0))
+        return F.transform(found, lambda m: F.struct(F.regexp_extract(m, pattern, 1).alias("n"), F.regexp_extract(m, pattern, 2).alias("word")))
 
-    def unit(names: tuple[str, ...]) -> Column:
-        return F.coalesce(F.coalesce(*(_group(worded, rf"(?U)(\d+)\s*{n}\b", 1) for n in names)).try_cast("bigint"), zero)
+    def seconds(clean: Column) -> Column:
+        return F.when(clean.rlike(r"(?U)^\d+(:\d+){1,2}$"), let(F.split(clean, ":"), colon)).otherwise(let(amounts(clean), worded))
 
-    total = _seconds(unit(HOURS), unit(MINUTES), unit(SECONDS))
-    return F.when(clean.rlike(r"(?U)^\d+(:\d+){1,2}$"), colon).otherwise(F.when(total != 0, total))
+    return let(squeeze(text), seconds)
 
 
 def parse_published(text: Column, now: Column, fix_plural_months: bool = False) -> Column:
@@ -120,18 +143,31 @@ def parse_published(text: Column, now: Column, fix_plural_months: bool = False)
     Spanish plural months are not understood unless ``fix_plural_months``.  Absolute dates are read from the
     text as it is, so a phrase before them hides them.
     """
-    clean = squeeze(text)
-    lower = squeeze(_without(F.lower(clean), AGE_PREFIXES))
     spanish = AGE_ES.replace("mes", "mes(?:e(?=s))?") if fix_plural_months else AGE_ES
     en, es = rf"(?U)(\d+)\s*({AGE_EN})s?\b", rf"(?U)(\d+)\s*({spanish})s?\b"
-    count = F.coalesce(_group(lower, en, 1), _group(lower, es, 1))
-    unit = F.translate(F.coalesce(_group(lower, en, 2), _group(lower, es, 2)), "íñáéóú", "inaeou")
-    if fix_plural_months:
-        unit = F.when(unit == "mese", F.lit("mes")).otherwise(unit)
-    length = F.try_element_at(F.create_map(*(F.lit(x) for kv in UNIT_SECONDS.items() for x in kv)), unit)
-    back = F.try_multiply(count.try_cast("bigint"), length.cast("bigint") * 1_000_000)
-    then = F.try_subtract(F.unix_micros(now), back)
-    relative = F.when(then >= F.lit(-62_135_596_800_000_000), F.timestamp_micros(then))
-    absolute = F.coalesce(*(F.try_to_timestamp(F.when(clean.rlike(f"(?U){p}"), clean), F.lit(f)) for p, f in DATES))
-    day = F.timestamp_micros(F.unix_micros(now) - 86_400_000_000)
-    return F.when(_any(lower, YESTERDAY), day).when(count.isNotNull(), relative).otherwise(absolute)
+    lengths = F.create_map(*(F.lit(x) for kv in UNIT_SECONDS.items() for x in kv))
+
+    def relative(age: Column) -> Column:
+        # an English phrase is matched by both patterns or by its own; the pattern that found it reads it again
+        of = lambda k: F.when(age["english"], F.regexp_extract(age["phrase"], en, k)).otherwise(F.regexp_extract(age["phrase"], es, k))
+        unit = F.translate(of(2), "íñáéóú", "inaeou")
+        if fix_plural_months:
+            unit = F.when(unit == "mese", F.lit("mes")).otherwise(unit)
+        back = F.try_multiply(of(1).try_cast("bigint"), F.try_element_at(lengths, unit).cast("bigint") * 1_000_000)
+        return let(F.try_subtract(F.unix_micros(now), back), lambda then: F.when(then >= F.lit(-62_135_596_800_000_000), F.timestamp_micros(then)))
+
+    def absolute(clean: Column) -> Column:
+        return F.coalesce(*(F.try_to_timestamp(F.when(clean.rlike(f"(?U){p}"), clean), F.lit(f)) for p, f in DATES))
+
+    def aged(lower: Column) -> Column:
+        first, other = _group(lower, en, 0), _group(lower, es, 0)
+        return let(first, lambda e: F.struct(F.coalesce(e, other).alias("phrase"), e.isNotNull().alias("english")))
+
+    def time(p: Column) -> Column:
+        day = F.timestamp_micros(F.unix_micros(now) - 86_400_000_000)
+        found = let(aged(p["lower"]), lambda a: F.struct(a["phrase"].isNotNull().alias("yes"), relative(a).alias("at")))
+        otherwise = let(found, lambda r: F.when(r["yes"], r["at"]).otherwise(absolute(p["clean"])))
+        return F.when(_any(p["lower"], YESTERDAY), day).otherwise(otherwise)
+
+    both = let(squeeze(text), lambda c: F.struct(c.alias("clean"), squeeze(_without(F.lower(c), AGE_PREFIXES)).alias("lower")))
+    return let(both, time)

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it stands there; generated code stays small."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def kind(value: Column) -> Column:
     """The type of a variant: OBJECT<...>, ARRAY<...>, STRING, BIGINT, DOUBLE, DECIMAL(...), BOOLEAN, VOID."""
     return F.schema_of_variant(value)

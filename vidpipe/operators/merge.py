@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from .validate import has_key
 
 
-def first_wins(rows: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """One row per key, the first by ``order_col``; rows without a full key go.  Combines before the shuffle."""
+def first_wins(rows: DataFrame, keys: list[str], order_col: str | None) -> DataFrame:
+    """One row per key, the first by ``order_col`` or, without it, by all columns; rows without a full key go.  Combines before the shuffle."""
     cols = rows.columns
-    best = rows.where(has_key(*keys)).groupBy(*keys).agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_row"))
+    row = F.struct(*cols)
+    best = rows.where(has_key(*keys)).groupBy(*keys).agg((F.min(row) if order_col is None else F.min_by(row, F.col(order_col))).alias("_row"))
     return best.select("_row.*").select(*cols)
 
 
@@ -33,10 +34,11 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order_col: str | Non
     """Old rows brought up to date by new ones, and new keys added.
 
     ``coalesce``: a new value wins unless it is null, except in the columns ``always`` replaced.  ``overwrite``:
-    all columns of a new row win.  Of several new rows for a key the first by ``order_col`` counts.
+    all columns of a new row win.  Of several new rows for a key the first by ``order_col`` counts, or without it
+    the least by all columns, so that a key never has two rows.
     """
     cols = old.columns
-    fresh = first_wins(new, keys, order_col) if order_col else new.where(has_key(*keys))
+    fresh = first_wins(new.select(*cols), keys, None) if order_col is None else first_wins(new, keys, order_col)
     fresh = fresh.select(*keys, F.lit(True).alias("_new"), *(F.col(c).alias(f"_{c}") for c in cols if c not in keys))
     both = old.join(fresh, keys, "full_outer")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import at, coerce_int, full_string, kind, strict_bool, upload_date
+from ..functions.values import at, coerce_int, full_string, kind, let, strict_bool, upload_date
 
 # Words in a list's title that exclude it.
 SKIPPED_TITLES = ("shorts", "live")
@@ -24,50 +24,111 @@ def _open(entry: Column) -> Column:
     return F.when(~F.startswith(kind(entry), F.lit("OBJECT")), none).when(at(entry, "$.entries").isNull(), F.array(entry)).when(skipped, none).otherwise(_array(at(entry, "$.entries")))
 
 
-def flatten_entries(dumps: DataFrame, dump: str, depth: int = 4) -> DataFrame:
+#: JSON itself nests no deeper than this here: the parser refuses more than 1,000 arrays and objects in each other.
+_MOST = 23 * 23
+
+
+def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> DataFrame:
     """``dumps`` with ``leaves``, the array of leaf entries in document order, and ``deeper``, how many lists lie below ``depth``.
 
-    A null title counts as empty.  Each level is a projection of its own; no shuffle.
+    Lists are opened level by level until none is left, as deep as JSON can nest, or ``depth`` levels.  A null
+    title counts as empty.  No shuffle.
     """
-    out = dumps.withColumn("leaves", _array(at(F.col(dump), "$.entries")))
-    for _ in range(depth):
-        out = out.withColumn("leaves", F.flatten(F.transform("leaves", _open)))
     leaf = lambda e: F.startswith(kind(e), F.lit("OBJECT")) & at(e, "$.entries").isNull()
     more = lambda e: F.startswith(kind(e), F.lit("OBJECT")) & at(e, "$.entries").isNotNull()
-    return out.withColumn("deeper", F.size(F.filter("leaves", more))).withColumn("leaves", F.filter("leaves", leaf))
+    top = _array(at(F.col(dump), "$.entries"))
+    if depth is not None:
+        out = dumps.withColumn("leaves", top)
+        for _ in range(depth):
+            out = out.withColumn("leaves", F.flatten(F.transform("leaves", _open)))
+        return out.withColumn("deeper", F.size(F.filter("leaves", more))).withColumn("leaves", F.filter("leaves", leaf))
+
+    def once(state: Column, _: Column) -> Column:
+        return F.when(F.exists(state, more), F.flatten(F.transform(state, _open))).otherwise(state)
+
+    # steps of 23 levels, so that few are looked at once all lists are open
+    many = F.sequence(F.lit(1), F.lit(23))
+    level = lambda state, i: F.when(F.exists(state, more), F.aggregate(many, state, once)).otherwise(state)
+    out = dumps.withColumn("leaves", F.aggregate(F.sequence(F.lit(1), F.lit(_MOST // 23)), top, level))
+    return out.withColumn("deeper", F.lit(0)).withColumn("leaves", F.filter("leaves", leaf))
+
+
+def videos_of(leaves: Column, most: int = 40) -> Column:
+    """``(pos, video_id, upload_date, duration_seconds, view_count)`` of the first ``most`` leaves (one at least) that have an id, as an array."""
+    valid = F.slice(F.filter(leaves, lambda e: full_string(at(e, "$.id")).isNotNull()), 1, max(1, most))
+    return F.transform(
+        valid,
+        lambda e, i: F.struct(
+            i.alias("pos"), full_string(at(e, "$.id")).alias("video_id"),
+            upload_date(full_string(at(e, "$.upload_date")), coerce_int(at(e, "$.timestamp")), coerce_int(at(e, "$.release_timestamp"))).alias("upload_date"),
+            coerce_int(at(e, "$.duration")).alias("duration_seconds"), coerce_int(at(e, "$.view_count")).alias("view_count"),
+        ),
+    )
 
 
 def channel_videos(flat: DataFrame, key: str, most: int = 40) -> DataFrame:
-    """``(key, pos, video_id, upload_date, duration_seconds, view_count)`` of the first ``most`` leaves that have an id."""
-    valid = F.filter("leaves", lambda e: full_string(at(e, "$.id")).isNotNull())
-    rows = flat.select(key, F.posexplode(F.slice(valid, 1, max(1, most))).alias("pos", "e"))
-    e = F.col("e")
-    return rows.select(
-        key, "pos", full_string(at(e, "$.id")).alias("video_id"),
-        upload_date(full_string(at(e, "$.upload_date")), coerce_int(at(e, "$.timestamp")), coerce_int(at(e, "$.release_timestamp"))).alias("upload_date"),
-        coerce_int(at(e, "$.duration")).alias("duration_seconds"), coerce_int(at(e, "$.view_count")).alias("view_count"),
-    )
+    """A row for each of the ``videos_of`` the leaves of ``flat``."""
+    return flat.select(key, F.inline(videos_of(F.col("leaves"), most)))
+
+
+def meta_of(dump: Column) -> dict[str, Column]:
+    """Id, name, subscribers and verified flag of a dump, each with its fallback field."""
+    v = lambda name: at(dump, f"$.{name}")
+    return {
+        "channel_id": F.coalesce(full_string(v("channel_id")), full_string(v("uploader_id"))),
+        "channel_name": F.coalesce(full_string(v("channel")), full_string(v("uploader"))),
+        "subscriber_count": F.coalesce(coerce_int(v("subscriber_count")), coerce_int(v("channel_follower_count"))),
+        "is_verified": strict_bool(v("verified")),
+    }
 
 
 def channel_meta(dumps: DataFrame, key: str, dump: str) -> DataFrame:
-    """Id, name, subscribers and verified flag of each dump, each with its fallback field."""
-    v = lambda name: at(F.col(dump), f"$.{name}")
-    return dumps.select(
-        key, F.coalesce(full_string(v("channel_id")), full_string(v("uploader_id"))).alias("channel_id"),
-        F.coalesce(full_string(v("channel")), full_string(v("uploader"))).alias("channel_name"),
-        F.coalesce(coerce_int(v("subscriber_count")), coerce_int(v("channel_follower_count"))).alias("subscriber_count"),
-        strict_bool(v("verified")).alias("is_verified"),
-    )
+    """The ``meta_of`` each dump."""
+    return dumps.select(key, *(c.alias(n) for n, c in meta_of(F.col(dump)).items()))
 
 
 def dedupe_anchors(anchors: Column) -> Column:
-    """An array of (href, text) with each href at its first place and with its last text."""
-    hrefs = F.array_distinct(F.transform(anchors, lambda a: a["href"]))
-    return F.transform(hrefs, lambda h: F.element_at(F.filter(anchors, lambda a: a["href"] == h), -1))
+    """An array of (href, text) with each href at its first place and with its last text.
+
+    Sorted by href and place, the first and the last of each href stand at the ends of a run: no anchor is
+    compared with all others.
+    """
+    placed = F.array_sort(F.transform(anchors, lambda a, i: F.struct(a["href"].alias("href"), i.alias("i"), a["text"].alias("text"))))
+
+    def pick(s: Column) -> Column:
+        edge = lambda step: F.filter(s, lambda x, i: ~x["href"].eqNullSafe(F.get(s, i + step)["href"]) | F.get(s, i + step).isNull())
+        runs = F.zip_with(edge(-1), edge(1), lambda a, z: F.struct(a["i"].alias("i"), a["href"].alias("href"), z["text"].alias("text")))
+        return F.transform(F.array_sort(runs), lambda x: F.struct(x["href"].alias("href"), x["text"].alias("text")))
+
+    return let(placed, pick)
+
+
+_ANCHOR = r'<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
 
 
 def anchors(html: Column) -> Column:
     """The (href, text) of all plain anchors of a page, in order."""
-    hrefs = F.regexp_extract_all(html, F.lit(r'<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'), F.lit(1))
-    texts = F.regexp_extract_all(html, F.lit(r'<a[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'), F.lit(2))
-    return F.zip_with(hrefs, texts, lambda h, t: F.struct(h.alias("href"), F.nullif(F.trim(t), F.lit("")).alias("text")))
+    found = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
+    return F.transform(found, lambda a: F.struct(F.regexp_extract(a, _ANCHOR, 1).alias("href"), F.nullif(F.trim(F.regexp_extract(a, _ANCHOR, 2)), F.lit("")).alias("text")))
+
+
+# The element around a name link, the id of a thumbnail link, and how the other links begin.
+NAME_ELEMENT, THUMBNAIL_ID, LINK_STARTS = "ytd-channel-name", "channel-thumbnail", ("/@", "/channel/", "/c/")
+
+
+def channel_links(html: Column) -> Column:
+    """``(shape, href, text)`` of the anchors of a page that have one of the five shapes of a channel link, in order.
+
+    ``name`` stands in a name element, ``thumbnail`` has that id; the others are called by how their href begins.
+    Of several shapes the first of these counts.
+    """
+    pattern = rf"(?:<{NAME_ELEMENT}[^>]*>\s*)?{_ANCHOR}"
+
+    def one(a: Column) -> Column:
+        href = F.regexp_extract(a, pattern, 1)
+        shape = F.when(F.startswith(a, F.lit(f"<{NAME_ELEMENT}")), F.lit("name")).when(a.rlike(rf'^<a[^>]*\sid="{THUMBNAIL_ID}"'), F.lit("thumbnail"))
+        for start in LINK_STARTS:
+            shape = shape.when(F.startswith(href, F.lit(start)), F.lit(start))
+        return F.struct(shape.alias("shape"), href.alias("href"), F.nullif(F.trim(F.regexp_extract(a, pattern, 2)), F.lit("")).alias("text"))
+
+    return F.filter(F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), one), lambda x: x["shape"].isNotNull())

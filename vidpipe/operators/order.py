@@ -2,20 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _fixed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back, so that its partitions are settled for good."""
-    spark = df.sparkSession
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="vidpipe-", dir="/tmp")
-    path = f"{root}/vidpipe/order-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..scratch import written
 
 
 def with_index(rows: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
@@ -25,13 +15,23 @@ def with_index(rows: DataFrame, order: list[str], name: str = "idx") -> DataFram
     count per range meets in one place.
     """
     ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    ranged = _fixed(ranged)
+    ranged = written(ranged, "order")  # so that its partitions are settled for good
     counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))  # a row per partition
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     local = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     return ranged.withColumn("_local", local).join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_local")).cast("bigint")).drop("_part", "_local", "_before")
 
 
+def ordinal(rows: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
+    """How many rows of the same ``keys`` come before each by ``order``, from 0; keys and order are unique together.
+
+    Rows are numbered over all keys at once, so a key with a third of all rows is split like any other range.
+    """
+    indexed = with_index(rows, [*keys, *order], "_idx")
+    first = indexed.groupBy(*keys).agg(F.min("_idx").alias("_first"))
+    return indexed.join(first, keys).withColumn(name, F.col("_idx") - F.col("_first")).drop("_idx", "_first")
+
+
 def batch(indexed: DataFrame, number: int, size: int) -> DataFrame:
     """The rows of one batch of the list."""
     return indexed.where((F.col("idx") >= number * size) & (F.col("idx") < (number + 1) * size))

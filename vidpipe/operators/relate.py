@@ -41,6 +41,13 @@ def with_flag(rows: DataFrame, done: DataFrame, key: str, flag: str = "processed
     return rows.join(mark, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
+def load_totals(marked: DataFrame, instances: int, size: int) -> DataFrame:
+    """One row of a run's load: ``marked(processed)`` queries loaded, pending and filtered out (skipped, by its other name), and target and actual work."""
+    waits, done = F.count(F.when(~F.col("processed"), 1)), F.count(F.when(F.col("processed"), 1))
+    target = F.lit(instances * size).cast("bigint")
+    return marked.agg(F.count("*").alias("loaded"), waits.alias("pending"), done.alias("filtered"), done.alias("skipped"), target.alias("target"), F.least(target, waits).alias("actual"))
+
+
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, key: str) -> DataFrame:
     return child.where(F.col(fk).isNotNull()).join(parent.select(F.col(key).alias(fk)), fk, "left_anti")
 

@@ -42,8 +42,15 @@ def duration_within(seconds: Column, option: str, short: int = 180, long: int =
     return known.get(option)
 
 
-def has_features(features: Column, wanted: list[str]) -> Column | None:
-    return F.size(F.array_except(F.array(*map(F.lit, wanted)), features)) == 0 if wanted else None
+def has_features(features: Column, wanted: list[str], known: list[str] | None = None) -> Column | None:
+    """All of ``wanted`` that are ``known`` (any, if that is None) are among the features; None if none is."""
+    asked = [w for w in wanted if known is None or w in known]
+    return F.size(F.array_except(F.array(*map(F.lit, asked)), features)) == 0 if asked else None
+
+
+def matching(options: dict[str, Column | None]) -> Column:
+    """The names of the options whose predicates hold, as an array: many facets of a row at once."""
+    return F.array_compact(F.array(*(F.when(p, F.lit(o)) for o, p in options.items() if p is not None)))
 
 
 def facet(rows: DataFrame, predicate: Column | None) -> DataFrame:

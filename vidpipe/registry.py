@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .fixtures import NOW, duck, dumps, view
-from .functions import text, urls, values
+from .functions import labels, text, urls, values
 from .operators import merge, nested, order, relate, validate
 from .plans import jobs
+from .scratch import new_path
 from .sources import lists, state
 from .streaming import streams
 
@@ -170,7 +170,7 @@ _ANCHORS = """WITH h AS (SELECT page_id, regexp_extract_all(html, '<a[^>]*href="
 
 @_query(f"{_ANCHORS} SELECT page_id, pos, 'https://site.example' || href AS url, text FROM a WHERE href LIKE '/%'")
 def link_extract(spark, sf_dir):
-    rows = _t(spark, sf_dir, "pages").select("page_id", F.posexplode(nested.anchors(F.col("html"))).alias("pos", "a")).where(F.col("a.href").rlike("^/"))
+    rows = _t(spark, sf_dir, "pages").select("page_id", F.posexplode(nested.anchors(F.col("html"))).alias("pos", "a")).where(F.startswith("a.href", F.lit("/")))
     return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), urls.absolute("https://site.example", F.col("a.href")).alias("url"), F.col("a.text").alias("text"))
 
 
@@ -183,6 +183,28 @@ def anchor_dedupe(spark, sf_dir):
     return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), F.col("a.href").alias("href"), F.col("a.text").alias("text"))
 
 
+# the pages' links given the five shapes, by the first letter of their href
+_SHAPES = (("a-f", '<a href="/@'), ("g-m", '<a href="/c/'), ("n-r", '<a href="/channel/'), ("s-t", '<ytd-channel-name><a href="/'), ("u-z", '<a id="channel-thumbnail" href="/'))
+_SHAPED = "html"
+for _letters, _link in _SHAPES:
+    _SHAPED = f"""regexp_replace({_SHAPED}, '<a href="/([{_letters}])', '{_link}\\1', 'g')"""
+
+
+@_query(f"""WITH h AS (SELECT page_id, {_SHAPED} AS html FROM pages),
+  f AS (SELECT page_id, regexp_extract_all(html, '(?:<ytd-channel-name[^>]*>\\s*)?<a[^>]*href="[^"]*"[^>]*>[^<]*</a>') AS found FROM h),
+  e AS (SELECT page_id, unnest(found) AS a, generate_subscripts(found, 1) AS i FROM f),
+  s AS (SELECT page_id, i, regexp_extract(a, 'href="([^"]*)"', 1) AS href, nullif(trim(regexp_extract(a, '>([^<]*)</a>', 1)), '') AS text,
+   CASE WHEN starts_with(a, '<ytd-channel-name') THEN 'name' WHEN contains(a, ' id="channel-thumbnail"') THEN 'thumbnail' WHEN starts_with(regexp_extract(a, 'href="([^"]*)"', 1), '/@') THEN '/@'
+    WHEN starts_with(regexp_extract(a, 'href="([^"]*)"', 1), '/channel/') THEN '/channel/' WHEN starts_with(regexp_extract(a, 'href="([^"]*)"', 1), '/c/') THEN '/c/' END AS shape FROM e)
+  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos, shape, href, text FROM s WHERE shape IS NOT NULL""")
+def channel_links(spark, sf_dir):
+    html = F.col("html")
+    for letters, link in _SHAPES:
+        html = F.regexp_replace(html, f'<a href="/([{letters}])', link + "$1")
+    rows = _t(spark, sf_dir, "pages").select("page_id", F.posexplode(nested.channel_links(html)).alias("pos", "a"))
+    return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), "a.*")
+
+
 @_query(f"""{duck('fx_hits')}, c AS (SELECT event_id, unnest(CASE event_id % 3 WHEN 0 THEN [0, 1] WHEN 1 THEN [0] ELSE [NULL] END) AS pos FROM fx_hits)
     SELECT event_id, pos, CASE WHEN event_id % 3 = 1 THEN 'c' WHEN pos = 0 THEN 'a' WHEN pos = 1 THEN 'b' END AS name FROM c""")
 def hit_channels(spark, sf_dir):
@@ -227,20 +249,27 @@ def validate_documented(spark, sf_dir):
 
 @_query("SELECT o, event_id FROM (VALUES ('last_hour', TIMESTAMP '2024-01-20 11:00:00'), ('today', TIMESTAMP '2024-01-20'), ('this_week', TIMESTAMP '2024-01-15'), ('this_month', TIMESTAMP '2024-01-01'), ('this_year', TIMESTAMP '2024-01-01')) f(o, since), events WHERE ts >= since")
 def facet_upload_date(spark, sf_dir):
-    events, now = _t(spark, sf_dir, "events"), F.lit("2024-01-20 12:00:00").cast("timestamp")
-    out = None
-    for o in ("last_hour", "today", "this_week", "this_month", "this_year"):
-        part = validate.facet(events, validate.uploaded_within(F.col("ts").cast("timestamp"), o, now)).select(F.lit(o).alias("o"), "event_id")
-        out = part if out is None else out.union(part)
-    return out
+    now = F.lit("2024-01-20 12:00:00").cast("timestamp")
+    of = {o: validate.uploaded_within(F.col("ts").cast("timestamp"), o, now) for o in labels.options("upload_date")}
+    return _t(spark, sf_dir, "events").select(F.explode(validate.matching(of)).alias("o"), "event_id")
 
 
 @_query(f"""{_PARSED} SELECT o, event_id FROM published, (VALUES ('under_4', 0, 179), ('4_20', 180, 1200), ('over_20', 1201, 99999999)) f(o, a, b)
     WHERE duration_seconds_estimated BETWEEN a AND b""")
 def facet_duration(spark, sf_dir):
     rows = view(spark, sf_dir, "fx_hits").select("event_id", text.parse_duration(F.col("duration_text")).alias("s"))
-    parts = [validate.facet(rows, validate.duration_within(F.col("s"), o)).select(F.lit(o).alias("o"), "event_id") for o in ("under_4", "4_20", "over_20")]
-    return parts[0].union(parts[1]).union(parts[2])
+    of = {o: validate.duration_within(F.col("s"), o) for o in labels.options("duration")}
+    return rows.select(F.explode(validate.matching(of)).alias("o"), "event_id")
+
+
+@_query("SELECT event_id FROM events WHERE event_type = 'view'")
+def facet_unknown(spark, sf_dir):
+    """Options that no facet knows leave the rows as they are; of several features the known ones count."""
+    rows, now = _t(spark, sf_dir, "events"), F.lit("2024-01-20 12:00:00").cast("timestamp")
+    rows = validate.facet(rows, validate.uploaded_within(F.col("ts").cast("timestamp"), "next_week", now))
+    rows = validate.facet(rows, validate.duration_within(F.col("value"), "over_90"))
+    rows = validate.facet(rows, validate.has_features(F.array("event_type"), ["16k"], labels.options("features")))
+    return validate.facet(rows, validate.has_features(F.array("event_type"), ["view", "16k"], ["view", "hd"])).select("event_id")
 
 
 @_query("SELECT p_partkey FROM part WHERE p_type = 'PROMO' AND p_size % 2 = 0")
@@ -261,13 +290,29 @@ def locale_code(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", values.locale_code(locale).alias("code"))
 
 
-_LABELS = [("en", "view_count", "View count"), ("en", "rating", "Rating"), ("es", "view_count", "Número de vistas")]
+@_query("SELECT doc_id, CASE lang WHEN 'en' THEN 'View count' WHEN 'es' THEN 'Recuento de visualizaciones' END AS label FROM documents")
+def facet_labels(spark, sf_dir):
+    one = labels.label_table(spark).where("facet = 'sort_by' AND option = 'view_count'").select("lang", "label")
+    return _t(spark, sf_dir, "documents").join(F.broadcast(one), "lang", "left").select("doc_id", "label")  # a row for each language
+
+
+_OPTIONS = (
+    "('upload_date', 'last_hour', 'Last hour', 'Última hora'), ('upload_date', 'today', 'Today', 'Hoy'), ('upload_date', 'this_week', 'This week', 'Esta semana'),"
+    " ('upload_date', 'this_month', 'This month', 'Este mes'), ('upload_date', 'this_year', 'This year', 'Este año'), ('duration', 'under_4', 'Under 3 minutes', 'Menos de 3 minutos'),"
+    " ('duration', '4_20', '3 - 20 minutes', 'De 3 a 20 minutos'), ('duration', 'over_20', 'Over 20 minutes', 'Más de 20 minutos'), ('features', 'live', 'Live', 'En directo'),"
+    " ('features', '4k', '4K', '4K'), ('features', 'hd', 'HD', 'HD'), ('features', 'subtitles', 'Subtitles/CC', 'Subtítulos'), ('features', 'creative_commons', 'Creative Commons', 'Creative Commons'),"
+    " ('features', '360', '360°', '360°'), ('features', 'vr180', 'VR180', 'VR180'), ('features', '3d', '3D', '3D'), ('features', 'hdr', 'HDR', 'HDR'), ('features', 'location', 'Location', 'Ubicación'),"
+    " ('features', 'purchased', 'Purchased', 'Comprado'), ('sort_by', 'relevance', 'Relevance', 'Relevancia'), ('sort_by', 'upload_date', 'Upload date', 'Fecha de subida'),"
+    " ('sort_by', 'view_count', 'View count', 'Recuento de visualizaciones'), ('sort_by', 'rating', 'Rating', 'Calificación')"
+)
 
 
-@_query("SELECT doc_id, CASE lang WHEN 'en' THEN 'View count' WHEN 'es' THEN 'Número de vistas' END AS label FROM documents")
-def facet_labels(spark, sf_dir):
-    labels = spark.createDataFrame(_LABELS, "lang string, option string, label string").where("option = 'view_count'")
-    return _t(spark, sf_dir, "documents").join(F.broadcast(labels), "lang", "left").select("doc_id", "label")  # three fixed rows
+@_query(f"""SELECT doc_id, facet, option, CASE lang WHEN 'en' THEN en ELSE es END AS label, CASE lang WHEN 'en' THEN 'America/New_York' ELSE 'America/Mexico_City' END AS timezone
+    FROM documents, (VALUES {_OPTIONS}) o(facet, option, en, es) WHERE lang IN ('en', 'es')""")
+def label_catalogue(spark, sf_dir):
+    """Every document with all labels of its language."""
+    known = labels.label_table(spark).join(labels.locale_table(spark), "lang")
+    return _t(spark, sf_dir, "documents").join(F.broadcast(known), "lang").select("doc_id", "facet", "option", "label", "timezone")  # 46 rows
 
 
 # tables -------------------------------------------------------------------------------------------------------------
@@ -411,11 +456,11 @@ def worker_plan(spark, sf_dir):
     return order.worker_shares(order.with_index(waiting, ["pos"]), 4, 25).select("pos", "query", "worker")
 
 
-@_query(f"{_SEED} SELECT (SELECT count(*) FROM s) AS loaded, count(*) AS pending, (SELECT count(*) FROM s) - count(*) AS filtered, least(100, count(*)) AS actual FROM p")
+@_query(f"""{_SEED} SELECT (SELECT count(*) FROM s) AS loaded, count(*) AS pending, (SELECT count(*) FROM s) - count(*) AS filtered, (SELECT count(*) FROM s WHERE query IN (SELECT query FROM fx_runs)) AS skipped,
+    100 AS target, least(100, count(*)) AS actual FROM p""")
 def load_totals(spark, sf_dir):
     marked = relate.with_flag(_seed(spark, sf_dir), relate.executed(view(spark, sf_dir, "fx_runs")), "query")
-    waits = F.count(F.when(~F.col("processed"), 1))
-    return marked.agg(F.count("*").alias("loaded"), waits.alias("pending"), F.count(F.when(F.col("processed"), 1)).alias("filtered"), F.least(F.lit(100).cast("bigint"), waits).alias("actual"))
+    return relate.load_totals(marked, instances=4, size=25)
 
 
 @_query(f"{duck('fx_channels', 'fx_processed')} SELECT channel_url, channel_url IN (SELECT channel_url FROM fx_processed) AS processed FROM fx_channels")
@@ -579,10 +624,7 @@ def channel_ranking(spark, sf_dir):
 
 
 def _scratch(spark) -> str:
-    import tempfile
-
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="vidpipe-", dir="/tmp")
-    return f"{root}/vidpipe/state-{uuid.uuid4().hex}"
+    return new_path(spark, "state")
 
 
 @_query(f"{duck(*_CLAIM_VIEWS)} SELECT channel_url, epoch_us(claimed_at) AS claimed_us FROM fx_claims UNION ALL SELECT channel_url, epoch_us({_DUCK_NOW}) FROM ({_CLAIM})")
@@ -600,11 +642,12 @@ def claim_job(spark, sf_dir):
 @_query(f"{duck('fx_hits')} SELECT DISTINCT video_id FROM fx_hits")
 def read_table(spark, sf_dir):
     """Two snapshots of a table, of which the second is read."""
-    tables = state.Tables(spark, _scratch(spark), "es")
-    old = tables.read("channels_processed").select(F.col("channel_url").alias("video_id"))
+    root = _scratch(spark)
+    tables = state.Tables(spark, root, "es")
     hits = view(spark, sf_dir, "fx_hits").select("video_id", "event_id")
-    tables.write("videos", merge.first_wins(hits, ["video_id"], "event_id").select("video_id").join(old, "video_id", "left_anti"))
-    return spark.read.parquet(f"{tables._path('videos')}/v={tables.version('videos')}").select("video_id")
+    tables.write("videos", hits.where("event_id % 3 = 0").select("video_id").distinct())
+    tables.write("videos", merge.insert_ignore(lists.table(spark, root, "videos", "es"), hits, ["video_id"], "event_id"))
+    return lists.table(spark, root, "videos", "es")
 
 
 @_query(f"""{_PARSED} SELECT video_id, views_estimated, duration_seconds_estimated, {_REASON} IS NULL AS validation_passed FROM published
@@ -637,11 +680,14 @@ def read_hits(spark, sf_dir):
     return spark.read.schema(schema).json(path).select("event_id", F.col("channels")[0]["url"].alias("query"), "is_multi_creator")
 
 
-@_query("SELECT name, 0 AS version, (SELECT count(*) FROM region WHERE false) AS rows FROM (VALUES ('channel_videos_raw'), ('channels_discovery_claims'), ('channels_processed'), ('channels_raw'), ('search_runs'), ('videos_normalized'), ('videos_raw')) t(name)")
+@_query("""SELECT name, CASE name WHEN 'search_runs' THEN 1 ELSE 0 END AS version, CASE name WHEN 'search_runs' THEN (SELECT count(*) FROM part) ELSE 0 END AS rows FROM (VALUES
+    ('channel_videos_raw'), ('channels_discovery_claims'), ('channels_processed'), ('channels_raw'), ('search_runs'), ('videos_normalized'), ('videos_raw')) t(name)""")
 def create_tables(spark, sf_dir):
-    """All tables made twice: the second time changes nothing."""
+    """All tables made twice, a run for each part stored in between: the second time changes nothing."""
     tables = state.Tables(spark, _scratch(spark), "en")
     tables.create()
+    runs = merge.append_runs(_t(spark, sf_dir, "part").select(F.col("p_name").alias("query")), _now())
+    tables.write("search_runs", tables.read("search_runs").unionByName(runs))
     tables.create()
     out = None
     for name in sorted(state.TABLES):
@@ -650,6 +696,47 @@ def create_tables(spark, sf_dir):
     return out
 
 
+@_query(f"""{duck('fx_hits')}, o AS (SELECT DISTINCT video_id FROM fx_hits WHERE event_id % 3 = 0)
+    SELECT DISTINCT video_id, video_id NOT IN (SELECT video_id FROM o) AS of_run, 2 AS runs, true AS closed FROM fx_hits""")
+def ingest_job(spark, sf_dir):
+    """Two searches into one table: whose hits each video is, and how many runs were opened and closed."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    none = F.lit(None).cast("string")
+    hits = view(spark, sf_dir, "fx_hits").drop("search_run_id").select(
+        "*", none.alias("video_url"), none.alias("thumbnail_url"), urls.video_type(F.col("duration_text")).alias("video_type"), F.lit(None).cast("boolean").alias("is_multi_creator")
+    )
+    jobs.ingest_run(tables, hits.where("event_id % 3 = 0"), "first", _now(), "event_id")
+    second = jobs.ingest_run(tables, hits, "second", _now(), "event_id").select("id", F.lit(True).alias("of_run"))
+    runs = tables.read("search_runs").agg(F.count("*").cast("int").alias("runs"), F.bool_and(F.col("finished_at").isNotNull()).alias("closed"))
+    rows = tables.read("videos_raw").join(F.broadcast(second), F.col("search_run_id") == F.col("id"), "left")  # one row
+    return rows.select("video_id", F.coalesce("of_run", F.lit(False)).alias("of_run")).join(F.broadcast(runs), F.lit(True))  # one row
+
+
+@_query(f"{_SEED} SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY pos) - 1 AS place, query FROM (SELECT *, CASE pos % 2 WHEN 0 THEN 'en' ELSE 'es' END AS lang FROM s)")
+def source_by_language(spark, sf_dir):
+    """Seed lists as text files, one for each language; each language's own is found and read in file order."""
+    root, out = _scratch(spark), None
+    for rest, lang in enumerate(("en", "es")):
+        own = view(spark, sf_dir, "fx_seed").where(F.col("pos") % 2 == rest)
+        own.orderBy("pos").select("line").write.text(f"{root}/{lang}")
+    for lang in ("en", "es"):
+        read = lists.read_seed_file(spark, lists.source_for(lang, {x: f"{root}/{x}" for x in ("en", "es")}))
+        one = order.with_index(read, ["pos"], "place").select(F.lit(lang).alias("lang"), "place", "query")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@_query(f"{_SEED} SELECT pos, query, CAST((row_number() OVER (ORDER BY pos) - 1) // 25 AS BIGINT) AS worker FROM s QUALIFY worker < 4")
+def reprocess_plan(spark, sf_dir):
+    """The worker plan without a look at the history."""
+    return order.worker_shares(order.with_index(relate.pending(_seed(spark, sf_dir), None), ["pos"]), 4, 25).select("pos", "query", "worker")
+
+
+@_query(f"{duck('fx_hits')} SELECT event_id, video_id, row_number() OVER (PARTITION BY video_id ORDER BY event_id) - 1 AS ordinal FROM fx_hits")
+def duplicate_ordinal(spark, sf_dir):
+    return order.ordinal(view(spark, sf_dir, "fx_hits").select("event_id", "video_id"), ["video_id"], ["event_id"])
+
+
 @_query(f"{_SEED} SELECT pos, query FROM s")
 def history_fallback(spark, sf_dir):
     """A history that was never written is empty, so every query is pending."""

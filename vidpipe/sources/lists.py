@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import kind
+from ..operators.order import with_index
+from .state import Tables
 
 
 def seed_list(lines: DataFrame, line: str, order_col: str) -> DataFrame:
@@ -14,9 +16,10 @@ def seed_list(lines: DataFrame, line: str, order_col: str) -> DataFrame:
 
 
 def read_seed_file(spark: SparkSession, path: str) -> DataFrame:
-    """``(pos, query)`` of a text file; ``pos`` rises with the place in the file."""
+    """``(pos, query)`` of a text file, or of the files of a folder by name; ``pos`` is the line's place, from 0."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
-    return seed_list(lines.withColumn("pos", F.monotonically_increasing_id()), "value", "pos")
+    # ids rise within a split, splits are told apart by where they begin
+    return seed_list(with_index(lines.withColumn("i", F.monotonically_increasing_id()), ["f", "b", "i"], "pos"), "value", "pos")
 
 
 def source_for(lang: str, sources: dict[str, str], path: str | None = None) -> str:
@@ -29,8 +32,8 @@ def source_for(lang: str, sources: dict[str, str], path: str | None = None) -> s
 
 
 def table(spark: SparkSession, root: str, name: str, lang: str) -> DataFrame:
-    """A persisted table of one language, by partition pruning."""
-    return spark.read.parquet(f"{root}/{name}").where(F.col("lang") == lang).drop("lang")
+    """The current snapshot of a persisted table of one language; only its own files are listed and read."""
+    return Tables(spark, root, lang).read(name)
 
 
 def parse_dump(stdout: Column) -> tuple[Column, Column]:

@@ -1,11 +1,11 @@
-"""Tables without row updates: immutable snapshots, and a pointer file that names the current one."""
+"""Tables without row updates: immutable snapshots, of which the last complete one is current."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Columns of each table, as DDL.
+# Columns of each table, as DDL.
 TABLES = {
     "search_runs": "id string, query string, mode string, started_at timestamp, finished_at timestamp",
     "videos_raw": "video_id string, search_run_id string, query string, video_url string, channel_url string, duration_text string, views_text string, "
@@ -20,7 +20,12 @@ TABLES = {
 
 
 class Tables:
-    """Named tables of one language below a root folder; one writer at a time."""
+    """Named tables of one language below a root folder; one writer at a time.
+
+    Snapshot ``n`` lies in the folder ``v=n`` and counts from when its success mark is there, which is the last
+    file a write makes.  A write that breaks off leaves a folder without mark; readers do not see it, and the
+    next write replaces it.  So a table never seems empty or half written.
+    """
 
     def __init__(self, spark: SparkSession, root: str, lang: str) -> None:
         self.spark, self.root, self.lang = spark, root, lang
@@ -33,12 +38,18 @@ class Tables:
         where = jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
+    def versions(self, name: str) -> list[int]:
+        """All complete snapshots, in order."""
+        fs, where = self._fs(self._path(name))
+        if not fs.exists(where):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(where)]
+        numbers = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+        return sorted(v for v in numbers if fs.exists(self._fs(f"{self._path(name)}/v={v}/_SUCCESS")[1]))
+
     def version(self, name: str) -> int:
         """The current snapshot, -1 if there is none."""
-        fs, where = self._fs(f"{self._path(name)}/current")
-        if not fs.exists(where):
-            return -1
-        return int(self.spark.read.text(where.toString()).first()[0])
+        return max(self.versions(name), default=-1)
 
     def create(self) -> None:
         """Every table that does not exist yet, empty."""
@@ -47,22 +58,22 @@ class Tables:
                 self.write(name, self.spark.createDataFrame([], ddl))
 
     def read(self, name: str) -> DataFrame:
-        """The current snapshot; a table that was never written is empty."""
+        """The current snapshot; a known table that was never written is empty."""
         v = self.version(name)
         if v < 0:
             return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self._path(name)}/v={v}")
+        reader = self.spark.read.schema(TABLES[name]) if name in TABLES else self.spark.read
+        return reader.parquet(f"{self._path(name)}/v={v}")
 
     def write(self, name: str, rows: DataFrame) -> None:
-        """A new snapshot, which becomes current by renaming the pointer file; readers of the old one are not disturbed."""
-        v = self.version(name) + 1
-        rows.write.mode("overwrite").parquet(f"{self._path(name)}/v={v}")
-        pointer = f"{self._path(name)}/next-{v}"
-        self.spark.createDataFrame([(str(v),)], "value string").coalesce(1).write.mode("overwrite").text(pointer)
-        fs, now = self._fs(f"{self._path(name)}/current")
-        fs.delete(now, True)
-        if not fs.rename(self._fs(pointer)[1], now):
-            raise OSError(f"cannot make snapshot {v} of {name} current")
+        """A new snapshot; readers of the old one are not disturbed."""
+        rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{self._path(name)}/v={self.version(name) + 1}")
+
+    def forget(self, name: str, keep: int = 2) -> None:
+        """Delete all but the last ``keep`` snapshots (one at least); nothing may read them any more."""
+        for v in self.versions(name)[: -max(1, keep)]:
+            fs, where = self._fs(f"{self._path(name)}/v={v}")
+            fs.delete(where, True)
 
 
 def results_json(rows: DataFrame, path: str | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ def normalize_stream(raw: DataFrame, tables: Tables, checkpoint: str, now: Colum
 
 
 def enrich_stream(dumps: DataFrame, tables: Tables, checkpoint: str, now: Column, most: int = 40) -> None:
-    """Arriving dumps into the channel tables."""
+    """Arriving dumps into the channel tables; each batch is parsed once, and a channel given twice in it counts once."""
 
     def each(batch: DataFrame, _: int) -> None:
         new = jobs.enrich(batch, tables.read("channels_processed"), now, most)
