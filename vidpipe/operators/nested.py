@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import at, coerce_int, full_string, kind, let, strict_bool, upload_date
+from ..functions.values import at, coerce_int, full_string, let, strict_bool, upload_date
 
 # Words in a list's title that exclude it.
 SKIPPED_TITLES = ("shorts", "live")
@@ -13,19 +13,24 @@ SKIPPED_TITLES = ("shorts", "live")
 
 def _array(value: Column) -> Column:
     """A variant's elements, none unless it is an array."""
-    return F.coalesce(F.when(F.startswith(kind(value), F.lit("ARRAY")), F.try_variant_get(value, "$", "array<variant>")), F.array().cast("array<variant>"))
+    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+
+
+def _is_object(value: Column) -> Column:
+    """Whether a variant is an object; cheaper than naming its whole type."""
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def _open(entry: Column) -> Column:
-    """What stands for an entry one level further down: itself if it is a leaf, the elements of a list not skipped, or nothing."""
+    """What stands for an entry one level further down: itself unless it is a list, the elements of a list not skipped, or nothing."""
     title = F.lower(F.coalesce(full_string(at(entry, "$.title")), F.lit("")))
     skipped = F.contains(title, F.lit(SKIPPED_TITLES[0])) | F.contains(title, F.lit(SKIPPED_TITLES[1]))
     none = F.array().cast("array<variant>")
-    return F.when(~F.startswith(kind(entry), F.lit("OBJECT")), none).when(at(entry, "$.entries").isNull(), F.array(entry)).when(skipped, none).otherwise(_array(at(entry, "$.entries")))
+    return F.when(at(entry, "$.entries").isNull(), F.array(entry)).when(skipped, none).otherwise(_array(at(entry, "$.entries")))
 
 
 #: JSON itself nests no deeper than this here: the parser refuses more than 1,000 arrays and objects in each other.
-_MOST = 23 * 23
+_STEPS, _ROUNDS = 8, 3
 
 
 def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> DataFrame:
@@ -34,8 +39,8 @@ def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> Da
     Lists are opened level by level until none is left, as deep as JSON can nest, or ``depth`` levels.  A null
     title counts as empty.  No shuffle.
     """
-    leaf = lambda e: F.startswith(kind(e), F.lit("OBJECT")) & at(e, "$.entries").isNull()
-    more = lambda e: F.startswith(kind(e), F.lit("OBJECT")) & at(e, "$.entries").isNotNull()
+    more = lambda e: at(e, "$.entries").isNotNull()
+    leaf = lambda e: ~more(e) & _is_object(e)
     top = _array(at(F.col(dump), "$.entries"))
     if depth is not None:
         out = dumps.withColumn("leaves", top)
@@ -43,13 +48,12 @@ def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> Da
             out = out.withColumn("leaves", F.flatten(F.transform("leaves", _open)))
         return out.withColumn("deeper", F.size(F.filter("leaves", more))).withColumn("leaves", F.filter("leaves", leaf))
 
-    def once(state: Column, _: Column) -> Column:
-        return F.when(F.exists(state, more), F.flatten(F.transform(state, _open))).otherwise(state)
+    # up to _STEPS ** _ROUNDS levels; nested, so that few are looked at once all lists are open
+    def open_all(state: Column, rounds: int) -> Column:
+        inner = (lambda s: F.flatten(F.transform(s, _open))) if rounds == 0 else (lambda s: open_all(s, rounds - 1))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), state, lambda s, _: F.when(F.exists(s, more), inner(s)).otherwise(s))
 
-    # steps of 23 levels, so that few are looked at once all lists are open
-    many = F.sequence(F.lit(1), F.lit(23))
-    level = lambda state, i: F.when(F.exists(state, more), F.aggregate(many, state, once)).otherwise(state)
-    out = dumps.withColumn("leaves", F.aggregate(F.sequence(F.lit(1), F.lit(_MOST // 23)), top, level))
+    out = dumps.withColumn("leaves", open_all(top, _ROUNDS - 1))
     return out.withColumn("deeper", F.lit(0)).withColumn("leaves", F.filter("leaves", leaf))
 
 
