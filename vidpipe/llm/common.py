@@ -1,36 +1,82 @@
-"""Shared helpers: tables on the shared folder, and words of Arrow text columns as numpy arrays."""
+"""Shared helpers: bounded samples of rows, names of carried columns, and words of Arrow text columns as numpy arrays."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
-
-_OWN_DIRS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
-    given = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if given:
-        return given
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="vidpipe-", dir="/tmp")
-    return _OWN_DIRS[app]
-
-
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet below the shared folder and read again: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/vidpipe/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+from ..scratch import shared_dir, written
+
+__all__ = ["shared_dir", "written"]
+
+#: Bits of an id's hash, and how many of them one pass of ``hash_bounds`` tells apart.
+HASH_BITS, PASS_BITS = 60, 12
+
+
+def id_hash(key: Column) -> Column:
+    """A number below 2 to the HASH_BITS of an id, by which samples are taken."""
+    return F.shiftrightunsigned(F.xxhash64(key), 64 - HASH_BITS)
+
+
+def hash_bounds(rows: DataFrame, most: int) -> DataFrame:
+    """``(grp, bound)`` of ``rows(grp, h)``: below ``bound`` lie at most ``most`` distinct ``h`` of the group, and nine tenths of that if it has them.
+
+    The hashes are counted by their leading bits, after a partial count in every task; where one range of them
+    holds too many, that range alone is counted again more finely.  A row for each group and range, at most
+    2 to the PASS_BITS for a group, reaches the driver; no group of rows is ever gathered or sorted.
+    """
+    spark = rows.sparkSession
+    each = rows.where("grp IS NOT NULL").groupBy("grp", "h").agg(F.count("*").alias("_n"))  # repeated ids count once
+    bounds: dict = {}
+    within: dict | None = None  # group -> the range that is open, and what lies below it
+    shift = HASH_BITS
+    while shift and (within is None or within):
+        shift -= PASS_BITS
+        open_rows = each
+        if within is not None:
+            ranges = spark.createDataFrame([(g, lo) for g, (lo, _) in within.items()], rows.select("grp").schema.add("lo", LongType()))
+            open_rows = each.join(F.broadcast(ranges), "grp").where(F.shiftright("h", shift + PASS_BITS) == F.col("lo"))  # a row for each group
+        counted: dict = {}
+        for r in open_rows.groupBy("grp", F.shiftright("h", shift).alias("at")).count().collect():
+            counted.setdefault(r["grp"], []).append((r["at"], r["count"]))
+        last, within = within or {}, {}
+        for g, found in counted.items():
+            total = last[g][1] if g in last else 0
+            bounds[g] = (last[g][0] << (shift + PASS_BITS)) if g in last else 0
+            for at, n in sorted(found):
+                if total + n > most:
+                    bounds[g] = at << shift
+                    if total < most * 0.9:
+                        within[g] = (at, total)
+                    break
+                total += n
+            else:
+                bounds[g] = 1 << HASH_BITS if g not in last else (last[g][0] + 1) << (shift + PASS_BITS)
+    return spark.createDataFrame(sorted(bounds.items()), rows.select("grp").schema.add("bound", LongType()))
+
+
+def bit_words(at: DataFrame, bits: int) -> Column:
+    """A bitmap with the bits of ``at(at)`` set, as an array of words that plans carry once: its size is ``bits``, whatever the rows are."""
+    words = np.zeros(bits // 64, np.int64)
+    for r in at.selectExpr("int(at div 64) w", "shiftleft(1L, int(at % 64)) b").groupBy("w").agg(F.bit_or("b").alias("b")).collect():  # bits / 64 rows at most
+        words[r["w"]] = r["b"]
+    return F.from_json(F.lit("[" + ",".join(map(str, words.tolist())) + "]"), "array<bigint>")
+
+
+def bit_set(words: Column, at: Column) -> Column:
+    """Whether bit ``at`` of a bitmap is set."""
+    return F.get(words, F.shiftright(at, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))) != 0
+
+
+def carry_names(carry: tuple[str, ...], results: list[str]) -> list[str]:
+    """What carried columns are called beside some results: as before, with ``given_`` in front where a result has that name."""
+    return [f"given_{c}" if c in results else c for c in carry]
 
 
 def buckets(spark: SparkSession, per: int = 1) -> int:

@@ -1,8 +1,11 @@
 """Benchmark decontamination: a hash set of the benchmark's n-grams, scanned by every document's windows.
 
 Native throughout.  A benchmark item's windows are ``n`` consecutive words (all its words if it has fewer).  The
-hashes of the windows' first words form a set that every task holds; the few positions of a document whose
-next words are in it have their whole window hashed, looked up and compared word by word.
+hashes of the windows' first words form a set, a bitmap of SPARE bits a member, that every task holds; the few
+positions of a document whose next words are in it have their whole window hashed, joined to the benchmark's and
+compared word by word.  The bitmap has MOST_BITS at most: with a benchmark of more words it lets more positions
+through to the same join, and nothing else changes.  The benchmark's windows are a written table, so Spark knows
+their size when it chooses how to join them.
 """
 
 from __future__ import annotations
@@ -10,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most distinct leads in the set that tasks hold, and most windows that are broadcast; with more the same rows are found by shuffled joins.
-SET_LIMIT = 50_000
-BROADCAST_LIMIT = 500_000
+from .common import bit_set, bit_words, written
+
+#: Bits of the set for each member, and at most (8 MB).
+SPARE, MOST_BITS = 16, 1 << 26
 #: Words of a window that the set looks at.
 LEAD = 3
 
@@ -40,24 +44,14 @@ def item_windows(benchmark: DataFrame, n: int, id_col: str = "item_id", text_col
     )
 
 
-def find_hits(documents: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items, contaminated)``, one row per input row.
-
-    ``n_hit`` counts words inside any occurrence of a window, ``items`` lists the benchmark items with occurring
-    windows as strings in order.  Null, empty and wordless texts have no words; items without words or id have
-    no windows; an empty benchmark hits nothing.  Whole texts of any length are scanned.  Repeated rows each
-    give a row; other columns do not matter.
-    """
-    spark = documents.sparkSession
-    windows = item_windows(benchmark, n).cache()
+def _spots(documents: DataFrame, benchmark: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_words, spots, items)``: for each row where windows occur, ``(pos, len)``, and the items that have them."""
+    windows = written(item_windows(benchmark, n), "windows")
     count, least = windows.agg(F.count("*"), F.min("len")).first()
     lead = min(LEAD, least or 1)
     lens = [r[0] for r in windows.select("len").distinct().collect()]  # at most n
-    # the hash of a word's hash sequence, as documents have it
-    leads = windows.select(_lead(F.transform("w", lambda x: F.xxhash64(x)), F.lit(0), lead).alias("lead")).distinct()
     docs = documents.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), normal_words(F.col(text_col)).alias("w"))
     docs = docs.select("row", "doc_id", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
-    held = [r[0] for r in leads.limit(SET_LIMIT + 1).collect()]
 
     def window_at(i: Column) -> Column:
         return F.array(*(F.struct(i.alias("pos"), F.xxhash64(F.slice("w", i + 1, k)).alias("hash"), F.array_join(F.slice("w", i + 1, k), " ").alias("window")) for k in lens))
@@ -65,18 +59,30 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, n: int = 10, id_col: s
     if not count:
         found = docs.select("row", "doc_id", F.size("w").alias("n_words"), F.lit(None).cast("array<struct<pos:int,hash:bigint,window:string>>").alias("at"))
     else:
-        if len(held) > SET_LIMIT:  # every position is kept; the join below decides
-            inside = lambda x: F.lit(True)
-        else:
-            inside = lambda x: x.isin(held)
-        marked = F.transform("h", lambda x, i: F.when(inside(_lead(F.col("h"), i, lead)), i))
+        bits = min(MOST_BITS, 1 << (max(1024, SPARE * count) - 1).bit_length())
+        place = lambda lead_hash: lead_hash.bitwiseAND(F.lit(bits - 1).cast("bigint"))
+        # the hash of a word's hash sequence, as documents have it
+        leads = windows.select(place(_lead(F.transform("w", lambda x: F.xxhash64(x)), F.lit(0), lead)).alias("at"))
+        held = bit_words(leads, bits)
+        marked = F.transform("h", lambda x, i: F.when(bit_set(held, place(_lead(F.col("h"), i, lead))), i))
         at = F.flatten(F.transform(F.filter(marked, lambda i: i.isNotNull()), window_at))
         found = docs.select("row", "doc_id", F.size("w").alias("n_words"), at.alias("at"))
     rows = found.select("row", "doc_id", "n_words", F.inline_outer("at"))
     known = windows.select("hash", "window", "len", "items")
-    joined = rows.join(F.broadcast(known) if count <= BROADCAST_LIMIT else known, ["hash", "window"], "left")
+    joined = rows.join(known, ["hash", "window"], "left")
     spot = F.when(F.col("len").isNotNull(), F.struct("pos", "len"))
-    out = joined.groupBy("row", "doc_id", "n_words").agg(F.collect_set(spot).alias("spots"), F.collect_set("items").alias("items"))
+    return joined.groupBy("row", "doc_id", "n_words").agg(F.collect_set(spot).alias("spots"), F.collect_set("items").alias("items")).drop("row")
+
+
+def find_hits(documents: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_words, n_hit, n_items, items, contaminated)``, one row per input row.
+
+    ``n_hit`` counts words inside any occurrence of a window, ``items`` lists the benchmark items with occurring
+    windows as strings in order.  Null, empty and wordless texts have no words; items without words or id have
+    no windows; an empty benchmark hits nothing.  Whole texts of any length are scanned.  Repeated rows each
+    give a row; other columns do not matter.
+    """
+    out = _spots(documents, benchmark, n, id_col, text_col)
 
     def cover(state: Column, s: Column) -> Column:
         end = s["pos"] + s["len"]
@@ -97,7 +103,28 @@ def find_hits(documents: DataFrame, benchmark: DataFrame, n: int = 10, id_col: s
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """The rows of ``documents(doc_id, ...)`` with all their columns that hit no window.
 
-    A row with null id stays.  Rows that repeat an id go together.
+    A row with null id stays.  Rows that repeat an id go together.  An empty benchmark leaves all rows; no rows
+    give no rows.  The ids that go are a written table, so Spark broadcasts them if they are few by its measure.
     """
     bad = find_hits(documents, benchmark, n).where("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return documents.join(bad, "doc_id", "left_anti").select(*documents.columns)
+    return documents.join(written(bad, "contaminated"), "doc_id", "left_anti").select(*documents.columns)
+
+
+def cut_spans(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
+    """``documents(doc_id, text, ...)`` with all their columns, each run of hit words and the other characters up to the next word gone from ``text``.
+
+    Texts without hits stay as they are, null ones too; no row goes.
+    """
+    names = documents.columns
+    docs = documents.select(F.monotonically_increasing_id().alias("_at"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(names)))
+    docs = written(docs, "given")  # so that rows keep their numbers
+    text = F.col(f"c{names.index('text')}")
+    spots = _spots(docs.select(F.col("_at").alias("doc_id"), text.alias("text")), benchmark, n).select(F.col("doc_id").alias("_at"), "spots").where(F.size("spots") > 0)
+    # each word with what follows it; what stands before the first word is kept
+    word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # A-Z are not lower-cased here
+    other = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
+    parts = F.regexp_extract_all(text, F.lit(f"(?s)({word}{other})"), F.lit(1))
+    hit = lambda i: F.exists("spots", lambda s: (s["pos"] <= i) & (i < s["pos"] + s["len"]))
+    kept = F.concat(F.regexp_extract(text, f"(?s)^({other})", 1), F.array_join(F.filter(parts, lambda p, i: ~hit(i)), ""))
+    joined = docs.join(spots, "_at", "left").withColumn("_cut", F.when(F.col("spots").isNotNull(), kept).otherwise(text))
+    return joined.select(*(F.col("_cut").alias(c) if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
