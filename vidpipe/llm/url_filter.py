@@ -9,7 +9,7 @@ pass, and so on until nothing passes wrongly.  For keys of the universe membersh
 judged by bit tests on its own row: no join, and no look at the list.
 
 The size of a cascade follows the list, not the corpus: the first filter lets about as many wrong keys pass
-as there are listed ones.
+as there are listed ones, so a rule costs some ten to forty bits, which every task holds.
 """
 
 from __future__ import annotations
@@ -17,13 +17,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The most rules a cascade is built for.
-MOST_RULES = 1_000_000
-
+from .common import bit_set, bit_words, written
 
 @dataclass(frozen=True)
 class Rule:
@@ -66,52 +63,57 @@ class Level:
     number: int
     bits: int
     hashes: int
-    words: tuple[int, ...]
+    words: Column
 
     def passes(self, key: Column) -> Column:
-        """Whether a key passes this filter, as an expression on the row."""
-        words = F.from_json(F.lit("[" + ",".join(map(str, self.words)) + "]"), "array<bigint>")
-        test = F.lit(True)
-        for at in _positions(key, self.number, self.bits, self.hashes):
-            word = F.get(words, F.shiftright(at, 6).cast("int"))
-            test = test & (F.pmod(F.call_function("shiftrightunsigned", word, F.pmod(at, F.lit(64)).cast("int")), F.lit(2)) == 1)
-        return test
+        """Whether a key passes this filter, as an expression on the row; the filter stands in it once."""
+        return F.forall(F.array(*_positions(key, self.number, self.bits, self.hashes)), lambda at: bit_set(self.words, at))
 
 
 def _level(keys: DataFrame, number: int, count: int, rate: float) -> Level:
-    """A filter over ``keys(key)``; its words, as many as its size says, are gathered by the driver."""
+    """A filter over ``keys(key)``."""
     rate = min(0.5, max(rate, 1e-9))
     bits = max(64, -(-int(count * math.log(1 / rate) / math.log(2) ** 2 + 1) // 64) * 64)
     hashes = max(1, round(math.log(1 / rate) / math.log(2)))
-    at = keys.select(F.explode(F.array(*_positions(F.col("key"), number, bits, hashes))).alias("at"))
-    rows = at.selectExpr("int(at div 64) w", "shiftleft(1L, int(at % 64)) b").groupBy("w").agg(F.bit_or("b").alias("b")).collect()
-    words = np.zeros(bits // 64, np.int64)
-    for r in rows:
-        words[r["w"]] = r["b"]
-    return Level(number, bits, hashes, tuple(words.tolist()))
+    return Level(number, bits, hashes, bit_words(keys.select(F.explode(F.array(*_positions(F.col("key"), number, bits, hashes))).alias("at")), bits))
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, sizes: tuple[int, int] | None = None) -> list[Level]:
-    """Levels for ``listed(key)`` that are exact over ``universe(key)``; no listed keys give no levels.
+def build_cascades(listed: dict[str, DataFrame], universe: DataFrame, sizes: tuple[int, int] | None = None) -> dict[str, list[Level]]:
+    """For each name the levels of ``listed[name](key)`` that are exact over ``universe(key)``; no listed keys give no levels.
 
-    Listed keys may lie outside the universe.  ``universe`` is read once per level, filtered by the levels
-    before it, so only the first pass is large.
+    Listed keys may lie outside the universe; null keys are in neither.  The universe is read once to tell its size
+    and once for all first levels; what passes them wrongly, about as many keys as are listed, is written, and all
+    further levels come from that.  ``sizes`` stands for the numbers of listed and of all keys.
     """
-    listed = listed.where("key IS NOT NULL").select("key").distinct()
-    many, all_keys = sizes or (listed.count(), universe.agg(F.approx_count_distinct("key")).first()[0])
-    if many == 0:
-        return []
-    if many > MOST_RULES:
-        raise ValueError(f"{many} listed keys; a cascade is for {MOST_RULES} at most")
-    levels = [_level(listed, 0, many, many / max(1, all_keys))]
-    yes = listed
-    no = universe.where(F.col("key").isNotNull() & levels[0].passes(F.col("key"))).select("key").distinct().join(listed, "key", "left_anti")
-    while True:
-        wrong = no.count()
-        if not wrong:
-            return levels
-        levels.append(_level(no, len(levels), wrong, 0.5))
-        yes, no = no, yes.where(levels[-1].passes(F.col("key")))
+    spark = universe.sparkSession
+    listed = {name: keys.where("key IS NOT NULL").select("key").distinct() for name, keys in listed.items()}
+    counts = {name: sizes[0] if sizes else keys.count() for name, keys in listed.items()}
+    listed = {name: keys for name, keys in listed.items() if counts[name]}
+    out: dict[str, list[Level]] = {name: [] for name in counts}
+    if not listed:
+        return out
+    all_keys = sizes[1] if sizes else universe.agg(F.approx_count_distinct("key")).first()[0]
+    for name, keys in listed.items():
+        out[name].append(_level(keys, 0, counts[name], counts[name] / max(1, all_keys)))
+    key = F.col("key")
+    passing = F.array_compact(F.array(*(F.when(out[name][0].passes(key), F.lit(name)) for name in listed)))
+    passed = universe.where("key IS NOT NULL").select(F.explode(passing).alias("name"), "key").distinct()
+    known = None
+    for name, keys in listed.items():
+        own = keys.select(F.lit(name).alias("name"), "key")
+        known = own if known is None else known.union(own)
+    wrong = written(passed.join(known, ["name", "key"], "left_anti"), "wrong")
+    for name, keys in listed.items():
+        yes, no = keys, wrong.where(F.col("name") == name).select("key")
+        while count := no.count():
+            out[name].append(_level(no, len(out[name]), count, 0.5))
+            yes, no = no, yes.where(out[name][-1].passes(key))
+    return out
+
+
+def build_cascade(listed: DataFrame, universe: DataFrame, sizes: tuple[int, int] | None = None) -> list[Level]:
+    """``build_cascades`` for one list."""
+    return build_cascades({"": listed}, universe, sizes)[""]
 
 
 def in_cascade(key: Column, levels: list[Level]) -> Column:
@@ -143,10 +145,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     # a tab stands between host and path, so different rules have different keys
     text = lambda k: F.concat(k["host"], F.lit("\t"), k["path"])
     universe = keyed.select(F.explode(F.transform("keys", text)).alias("key"))
-    found = {}
-    for verdict in sorted(set(first.values())):
-        keys = [(f"{h}\t{p}",) for (h, p), v in first.items() if v == verdict]
-        found[verdict] = build_cascade(spark.createDataFrame(keys, "key string"), universe)
+    given = spark.createDataFrame([(f"{h}\t{p}", v) for (h, p), v in first.items()], "key string, verdict string")
+    found = build_cascades({v: given.where(F.col("verdict") == v).select("key") for v in sorted(set(first.values()))}, universe)
     hit = keyed.withColumn(
         "hit",
         F.get(
