@@ -18,14 +18,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, slices, utf8
+from .common import LOWER, carry_names, hash_bounds, id_hash, slices, utf8
 
 #: Longest context in bytes.
 ORDER = 3
-#: Training rows of each language, the first by a hash of the id; further rows are not read for training.
+#: Training rows of each language at most, those with the least hashes of their ids; further rows are not read for training.
 TRAIN_ROWS = 1500
 #: Entries of the largest table of code lengths; with more, they are kept sparsely.
 CELLS = 16_000_000
@@ -199,12 +199,16 @@ class Model:
 
 
 def train(labelled: DataFrame) -> Model:
-    """The model of ``labelled(doc_id, lang, text)``: at most TRAIN_ROWS rows of each language, whole texts."""
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = labelled.where("lang IS NOT NULL").select("doc_id", "lang").withColumn("k", first).where(F.col("k") <= TRAIN_ROWS)
-    sample = labelled.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").where("lang IS NOT NULL")
-    counts = count_grams(sample.select("lang", F.coalesce("text", F.lit("")).alias("text")))
-    got = counts.toArrow()
+    """The model of ``labelled(doc_id, lang, text)``: at most TRAIN_ROWS rows of each language, whole texts.
+
+    The rows are those whose id's hash is below a bound of their language.  Null languages are left out, null texts
+    count as empty, of rows that repeat an id in a language one counts (the least text); no rows give no language.
+    """
+    rows = labelled.where("lang IS NOT NULL").select(F.col("lang").alias("grp"), id_hash(F.col("doc_id")).alias("h"), F.coalesce("text", F.lit("")).alias("text"))
+    bounds = hash_bounds(rows.select("grp", "h"), TRAIN_ROWS)
+    sample = rows.join(F.broadcast(bounds), "grp").where("h < bound")  # a row for each language
+    sample = sample.groupBy(F.col("grp").alias("lang"), "h").agg(F.min("text").alias("text"))
+    got = count_grams(sample.select("lang", "text")).toArrow()
     langs = sorted(pc.unique(got["lang"]).to_pylist())
     lang = pc.index_in(got["lang"], value_set=pa.array(langs, got["lang"].type)).to_numpy()
     return Model(langs, np.asarray(lang, np.int64), got["gram"].to_numpy().astype(np.int64), got["n"].to_numpy().astype(np.float64))
@@ -215,19 +219,22 @@ def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col
 
     ``score`` is that language's share of the probability that the code lengths stand for, languages being
     equally likely.  A text that is null or has no letter gets ``und`` and 0; so does every text if no language
-    was learned.  On a tie the language first in alphabetical order wins.
+    was learned.  On a tie the language first in alphabetical order wins.  Ids are carried as they are, null and
+    repeated ones too; a carried column called like a result gets ``given_`` before its name; no rows give no rows.
     """
+    own = [f"_carry{i}" for i in range(len(carry))]  # whatever they are called, they clash with nothing
     docs = documents.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(text_col).rlike(r"\p{L}").alias("_letter"), *carry
-    )
+        F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter"),
+        *(F.col(c).alias(o) for c, o in zip(carry, own, strict=True)),
+    )
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in batches:
-            for part in slices(batch, "text", 1 << 19):
-                data, offsets = utf8(part["text"])
-                letter = np.array([bool(x) for x in part["_letter"].to_pylist()])
+            for part in slices(batch, "_text", 1 << 19):
+                data, offsets = utf8(part["_text"])
+                letter = part["_letter"].to_numpy(zero_copy_only=False)
                 if model.langs:
                     bits = model.bits(data, offsets)
                     best = bits.argmin(axis=1)
@@ -236,13 +243,13 @@ def predict(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col
                 else:
                     score, pred = np.zeros(len(letter)), ["und"] * len(letter)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(pred, pa.string()), pa.array(np.where(letter, score, 0.0)), *(part[c] for c in carry)],
-                    names=["doc_id", "lang_pred", "score", *carry],
+                    [part["_id"], pa.array(pred, pa.string()), pa.array(np.where(letter, score, 0.0)), *(part[o] for o in own)],
+                    names=["doc_id", "lang_pred", "score", *own],
                 )
 
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    more = "".join(f", `{c}` {types[c]}" for c in carry)
-    return docs.mapInArrow(run, f"doc_id {types['doc_id']}, lang_pred string, score double{more}")
+    out = docs.mapInArrow(run, f"doc_id {types['_id']}, lang_pred string, score double" + "".join(f", {o} {types[o]}" for o in own))
+    return out.withColumnsRenamed(dict(zip(own, carry_names(carry, ["doc_id", "lang_pred", "score"]), strict=True)))
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -251,7 +258,11 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def identify(documents: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, lang_pred, score)`` of ``documents(doc_id, text, lang)``, learned from rows not held out."""
+    """``(doc_id, held_out, lang_pred, score)`` of ``documents(doc_id, text, lang)``, learned from rows not held out.
+
+    One row per input row.  Rows with null id or null lang teach nothing, as ``train`` says; null texts, ties and no
+    learned language are as in ``predict``.  Other columns do not matter; no rows give no rows.
+    """
     docs = documents.select("doc_id", "text", "lang").withColumn("held_out", held_out())
     model = train(docs.where("NOT held_out AND doc_id IS NOT NULL").select("doc_id", "lang", "text"))
     return predict(docs, model, carry=("held_out",)).select("doc_id", "held_out", "lang_pred", "score")
