@@ -16,7 +16,8 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from vidpipe.llm import byte_bpe, chat_format, decontaminate, fingerprint, language_id, near_dedup, quality, recompression, substring_dedup, url_filter
-from vidpipe.llm.common import runs_of, words
+from vidpipe.llm.common import hash_bounds, runs_of, words
+from vidpipe.llm.common import id_hash as hash_of
 
 SCHEMA = "doc_id long, text string, lang string, row long, seg string, w string, h int, component string, bucket int"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -222,9 +223,9 @@ def _hits(corpus, items, n=10):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limit", [50_000, 1])
-def test_decontamination(spark, corpus, limit, monkeypatch):
-    monkeypatch.setattr(decontaminate, "SET_LIMIT", limit)
+@pytest.mark.parametrize("bits", [1 << 26, 64])
+def test_decontamination(spark, corpus, bits, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_BITS", bits)  # a bitmap that is full lets every position through to the join
     texts = dict(corpus)
     items = [(7, texts[500].upper()), (10, "W1, w2"), (11, None), (12, "..."), (9, " ".join(split(texts[103])[:12])), (None, texts[100]), (13, "one")]
     mine = [*corpus, (3, "one"), (None, texts[100]), (700, texts[500].replace(" ", ", "))]
@@ -239,6 +240,26 @@ def test_decontamination_of_nothing(spark, corpus):
     assert decontaminate.find_hits(docs(spark, []), none).count() == 0
 
 
+def test_decontamination_by_a_large_benchmark(spark):
+    r = random.Random(12)
+    texts = [(k, sentence(r, 60, 10**6)) for k in range(3000)]
+    items = [(k, " ".join(t.split()[5:40])) for k, t in texts[:2500]]
+    got = decontaminate.find_hits(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(x.doc_id, x.n_hit, x.n_items) for x in got} == {(k, 35 if k < 2500 else 0, int(k < 2500)) for k in range(3000)}
+
+
+def test_contaminated_rows_and_spans(spark, corpus):
+    item = " ".join(f"b{k}" for k in range(14))
+    rows = [(1, f"(Keep this, {item.upper()}; and this.)"), (2, "clean"), (None, item), (3, None), (1, "other text of the id")]
+    items = spark.createDataFrame([(5, item)], "item_id long, text string")
+    given = docs(spark, rows)
+    kept = decontaminate.drop_contaminated(given, items)
+    assert kept.columns == given.columns and sorted(map(str, (x.doc_id for x in kept.collect()))) == ["2", "3", "None"]
+    cut = decontaminate.cut_spans(given, items)
+    assert cut.columns == given.columns
+    assert sorted((x.text or "" for x in cut.collect())) == sorted(["(Keep this, and this.)", "clean", "", "", "other text of the id"])
+
+
 # 3 ------------------------------------------------------------------------------------------------------------------
 
 
@@ -317,6 +338,71 @@ def test_quality(spark):
     assert len(kept & {i for i, _ in good}) > 390 and len(kept & {i for i, _ in bad}) < 10
 
 
+def test_quality_features_step_and_score():
+    texts = ["Ab é ab", "", "ñandú  x", "日本語 ab ab"]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    got = [Counter() for _ in texts]
+    for row, feature in quality.features(data, offsets):
+        for i, f in zip(row.tolist(), feature.tolist(), strict=True):
+            got[i][f] += 1
+    for i, t in enumerate(texts):
+        own = t.split()
+        chars = " " + t + " "
+        grams = [chars[j : j + n] for n in quality.LENGTHS for j in range(len(chars) - n + 1) if " " not in chars[j + 1 : j + n - 1]]
+        assert sum(got[i].values()) == len(own) + max(0, len(own) - 1) + len(grams)  # words, pairs of words, n-grams over characters
+    assert got[3].most_common(1)[0][1] >= 2  # "ab" twice
+    r = np.random.default_rng(5)
+    vectors, softmax, bias = (r.normal(size=s) for s in ((50, quality.DIMENSIONS), (2, quality.DIMENSIONS), (2,)))
+    feature, share = np.array([3, 7, 9]), np.array([0.5, 0.25, 0.25])
+
+    def loss(v, s, b):
+        logits = s @ (share @ v[feature]) + b
+        return np.log(np.exp(logits).sum()) - logits[1]
+
+    after = [x.copy() for x in (vectors, softmax, bias)]
+    quality.descend(*after, feature, share, 1, 1.0)
+    for which, factor in ((0, 50), (1, 1), (2, 0.1)):
+        before = (vectors, softmax, bias)
+        for at in [(3, 0), (9, 4)] if which == 0 else [(0, 1), (1, 2)] if which == 1 else [(0,), (1,)]:
+            bumped = [x.copy() for x in before]
+            bumped[which][at] += 1e-6
+            slope = (loss(*bumped) - loss(*before)) / 1e-6
+            assert abs((before[which][at] - after[which][at]) - factor * slope) < 1e-3 * max(1, abs(factor * slope))
+    model = quality.Model(r.normal(size=quality.BUCKETS), 0.3, -0.1)
+    for i, s in enumerate(model.scores(data, offsets)):
+        total = 0.3 + sum(model.weights[f] * n for f, n in got[i].items())
+        assert abs(s - 1 / (1 + math.exp(-(total / (1 + sum(got[i].values())) - 0.1)))) < 1e-9
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_ROWS", 100)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda texts, y: seen.append(len(texts)) or quality.Model(np.zeros(quality.BUCKETS), 0.0, 0.0))
+    rows = spark.range(6000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 ELSE id END doc_id", "concat('t', id) text")
+    quality.train(rows, spark.range(6000).selectExpr("id doc_id", "int(id % 2) quality"))
+    assert 90 <= seen[0] <= 100
+
+
+def test_hash_bounds_of_large_and_small_groups(spark):
+    rows = spark.range(200000).selectExpr("CASE WHEN id < 150000 THEN 'hot' WHEN id < 199990 THEN 'mid' ELSE 'few' END grp", "id").select("grp", hash_of(F.col("id")).alias("h"))
+    rows = rows.union(spark.createDataFrame([(None, 1)], "grp string, h long")).union(spark.sql("SELECT 'one' grp, 5L h FROM range(5000)"))
+    bounds = {r.grp: r.bound for r in hash_bounds(rows, 20).collect()}
+    got = {r.grp: r.n for r in rows.join(hash_bounds(rows, 20), "grp").where("h < bound").groupBy("grp").agg(F.count_distinct("h").alias("n")).collect()}
+    assert set(bounds) == {"hot", "mid", "few", "one"} and got["few"] == 10 and got["one"] == 1
+    assert 18 <= got["hot"] <= 20 and 18 <= got["mid"] <= 20
+    assert hash_bounds(rows.limit(0), 20).count() == 0
+
+
+def test_carried_columns_may_be_called_anything(spark):
+    names = ["doc_id", "text", "score", "_text", "lang_pred", "h", "bound"]
+    rows = spark.createDataFrame([(1, "w1 w2", 3.5, "a", "b", 1, 2), (None, None, None, None, None, None, None)], "doc_id long, text string, score double, _text string, lang_pred string, h int, bound int")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = quality.keep_good(rows, none)
+    assert kept.columns == names and sorted(map(str, kept.collect())) == sorted(map(str, rows.collect()))
+    got = language_id.predict(rows, language_id.Model([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), carry=("text", "score", "h"))
+    assert got.columns == ["doc_id", "lang_pred", "score", "text", "given_score", "h"] and got.count() == 2
+
+
 def test_quality_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {x.score for x in quality.classify(docs(spark, [(1, "a b"), (2, None)]), none).collect()} == {0.5}
@@ -513,6 +599,14 @@ def test_url_filter(spark):
     assert {x.verdict for x in url_filter.filter_urls(rows, []).collect()} == {"allow"}
 
 
+def test_many_rules(spark):
+    rules = [url_filter.Rule(f"h{k}.com", f"/p{k % 9}/", "block" if k % 3 else "allow") for k in range(20000)]
+    urls = [(k, f"http://www.h{k % 25000}.com/p{k % 10}/x") for k in range(30000)]
+    got = url_filter.filter_urls(spark.createDataFrame(urls, "page_id long, url string"), rules).collect()
+    listed = {(f"h{k}.com", f"/p{k % 9}/"): "block" if k % 3 else "allow" for k in range(20000)}
+    assert {x.page_id: x.rule and x.verdict for x in got} == {k: listed.get((f"h{k % 25000}.com", f"/p{k % 10}/")) for k, _ in urls}
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     listed, universe = spark.range(40).selectExpr("concat('k', id * 50) key"), spark.range(2000).selectExpr("concat('k', id) key")
     levels = url_filter.build_cascade(listed, universe, sizes=(40, 60))  # a first level too small, so that more follow
