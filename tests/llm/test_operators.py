@@ -506,8 +506,9 @@ def _components(rows, width, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("width", [4, 5])
-def test_near_duplicates(spark, corpus, width):
+@pytest.mark.parametrize(("width", "long"), [(4, 64), (5, 64), (4, 0), (4, 10**6)])
+def test_near_duplicates(spark, corpus, width, long, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LONG", long)  # 0: all links but those of centres take the exact way; else none does
     r = random.Random(9)
     base = sentence(r, 120).split()
     group = []
@@ -523,6 +524,20 @@ def test_near_duplicates(spark, corpus, width):
     assert all(x.kept == (x.doc_id == x.component_id) for x in got) and len(got) == len(mine)
 
 
+def test_recall_against_all_pairs(spark):
+    r = random.Random(21)
+    rows = []
+    for g in range(150):  # small groups around the threshold, whose links few centres show
+        base = [f"g{g}w{r.randrange(90)}" for _ in range(r.randrange(20, 90))]
+        for k in range(4):
+            w = list(base)
+            for _ in range(r.randrange(0, 3)):
+                w[r.randrange(len(w))] = f"n{r.randrange(10**6)}"
+            rows.append((10 * g + k, " ".join(w)))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect()}
+    assert got == _components(rows, 4, 80)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     mine = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (5, "a b c d e f"), (6, None)]
     got = sorted(((x.doc_id, x.component_id, x.kept) for x in near_dedup.near_duplicates(docs(spark, mine)).collect()), key=str)
@@ -531,8 +546,9 @@ def test_near_duplicates_of_odd_rows(spark):
 
 
 def test_match_threshold_misses_nothing():
-    t = near_dedup.match_threshold(48, 80)
-    assert sum(math.comb(48, k) * 0.8**k * 0.2 ** (48 - k) for k in range(t)) <= near_dedup.MISS
+    for n in (48, 64):
+        t = near_dedup.match_threshold(n, 80)
+        assert sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(t)) <= near_dedup.MISS
 
 
 @pytest.mark.parametrize("window", [2, 13, 50])

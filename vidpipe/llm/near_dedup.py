@@ -2,20 +2,25 @@
 
 1. One pass over the texts gives each document its number of shingles, a 128-bit digest of its shingle set
    and a MinHash signature.  Documents with equal sets become one class, whose smallest id stands for it.
-2. Classes are posted under each (coordinate, value) pair.  A pair that shares fewer values than the match
-   threshold cannot reach the similarity (chance below ``MISS``), so a class with too few shared values is
-   skipped, and of the others only a prefix of its rarest values is posted: two classes that match often
-   enough must meet there.
-3. In each posting list classes meet the list's smallest one, its centre, not each other; collisions with
-   each centre are counted, and the pair with the most is confirmed on full shingle sets.  So a list with a
-   third of all rows costs its length.
-4. Links not through such a centre are found exactly among the classes that step 2 left: their shingles are
-   ordered by frequency, and two sets as similar as asked share one of their first ``n - need + 1``, so early
-   in both that what follows suffices.  Only classes of different components are paired, one of them outside
-   the component that has most of the list: a group that its centres have joined makes no pairs.
-
-Shingles are compared by 64-bit hashes.  Signatures, sets of candidates and links are written to the shared
-folder between the steps; nothing about single documents reaches the driver except a filter of fixed size.
+2. Classes are posted under each (coordinate, value) pair, a row each.  A pair of classes that shares fewer values
+   than the match threshold cannot reach the similarity (chance below ``MISS``), so a class with too few shared
+   values is skipped, and of the others only a prefix of their rarest values is merged: two classes that match
+   often enough must meet there.
+3. In each posting list classes meet the list's smallest one, its centre, not each other; collisions with each
+   centre are counted, and the pair with the most is confirmed on full shingle sets.  So a list with a third of
+   all rows costs its length, and a large group of near copies grows together.
+4. Then classes of different components meet in the lists of the prefix.  Collisions there are counted; the long
+   lists beyond the prefix are not merged but looked up, signature against signature, and pairs that match as
+   often as the threshold asks are confirmed on full sets.
+5. Lists of more than ``LONG`` classes are skipped in step 4, as all pairs of such a list would be too many: texts
+   half of which is one common passage match in many coordinates and are still far from similar.  Their classes
+   take an exact way instead: shingles are ordered by frequency, and two sets as similar as asked share one of
+   their first ``n - need + 1``, so early in both that what follows suffices.
+
+Rows of every step are as many as its postings; counts and centres are combined before each shuffle, and joins
+are on keys that adaptive execution splits where one is hot.  Shingles are compared by 64-bit hashes, within a pair
+of documents at a time.  Signatures, sets of candidates and links are written to the shared folder between the
+steps; nothing about single documents reaches the driver.
 """
 
 from __future__ import annotations
@@ -28,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets, mix, runs_of, slices, words, written
+from .common import mix, runs_of, slices, words, written
 from .components import components, roots
 
 #: The chance, for one pair at the threshold, that its signatures match too rarely to be looked at.
 MISS = 1e-9
-#: Bits of the filter that thins the second pass over the texts; its size never changes.
-FILTER_BITS = 1 << 22
+#: Classes of the longest posting list in which all of other components meet.
+LONG = 64
 
 
 def match_threshold(coordinates: int, percent: int) -> int:
@@ -93,109 +98,42 @@ def _signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, sig array<int>")
 
 
-def _cuts(where: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A stable order by bucket, the cuts between buckets, and the buckets with rows."""
-    order = np.argsort(where, kind="stable")
-    cut = np.searchsorted(where[order], np.arange(many + 1))
-    return order, cut, np.flatnonzero(cut[1:] > cut[:-1])
+def _prefixes(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
+    """``(rep, prefix)``: each class that can match any other often enough, and of its shared values all but the ``matches`` - 1 most frequent.
 
-
-def _packed(values: np.ndarray, cut: np.ndarray, at: np.ndarray) -> pa.Array:
-    return pa.array([values[cut[k] : cut[k + 1]].tobytes() for k in at], pa.binary())
-
-
-def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
-
-
-def _back_to(ids: np.ndarray, groups: int, names: list[str], columns: list[np.ndarray]) -> pa.Table:
-    """Packed rows for each group of ids, the ids among them."""
-    order, cut, full = _cuts((mix(ids.view(np.uint64)) % np.uint64(groups)).astype(np.int64), groups)
-    return pa.table([pa.array(full, pa.int32()), *(_packed(c[order], cut, full) for c in (ids, *columns))], names=["part", "reps", *names])
+    ``prefix`` is an array of ``(df, key, centre)``: how many classes share the value, the value with its
+    coordinate, and the smallest class that has it.
+    """
+    key = F.col("value").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.shiftleft(F.col("at").cast("bigint"), 32))
+    postings = reps.select("rep", F.posexplode("sig").alias("at", "value")).select("rep", key.alias("key"))
+    shared = postings.groupBy("key").agg(F.count("*").alias("df"), F.min("rep").alias("centre")).where("df > 1")
+    lists = postings.join(shared, "key").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "key", "centre"))).alias("own"))
+    return lists.where(F.size("own") >= matches).select("rep", F.slice("own", F.lit(1), F.size("own") - (matches - 1)).alias("prefix"))
 
 
-def _each(table: pa.Table, names: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Each id of a group with its own arrays."""
-    ids, *columns = (_joined(table[c], np.int64) for c in ("reps", *names))
-    order = np.argsort(ids, kind="stable")
-    own, cut = np.unique(ids[order], return_index=True)
-    columns = [c[order] for c in columns]
-    for rep, a, b in zip(own.tolist(), cut.tolist(), [*cut[1:].tolist(), len(ids)], strict=True):
-        yield rep, [c[a:b] for c in columns]
+def _centres(live: DataFrame) -> DataFrame:
+    """``(a, b)``: each class and the centre it meets most often in its prefix, if it meets any but itself."""
+    met = live.select(F.col("rep").alias("a"), F.explode("prefix.centre").alias("b")).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("n"))
+    return met.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
 
 
-def _centres(reps: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(a, b): each class that can match any other often enough, and the centre it meets most often, null if it meets none.
+def _sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
+    """(rep, n, shingles): the full shingle sets of the classes in ``live(rep)``, packed.
 
-    Postings are dealt by key into buckets of packed arrays; there each key's classes are counted and its centre,
-    the smallest, is told to them.  Back at its class, a class with fewer shared values than ``matches`` is
-    skipped, and collisions are counted over the prefix of its rarest ones.
+    ``live`` is a written table: Spark broadcasts its ids if they are few by its measure, and else joins by shuffle.
     """
-    many, groups = buckets(reps.sparkSession, 2), buckets(reps.sparkSession)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value = batch["sig"].flatten().to_numpy(zero_copy_only=False).astype(np.int64) & 0xFFFFFFFF
-            keys = value | np.tile(np.arange(coordinates, dtype=np.int64) << 32, batch.num_rows)
-            ids = np.repeat(batch["rep"].to_numpy(zero_copy_only=False), coordinates)
-            order, cut, full = _cuts((mix(keys.view(np.uint64)) % np.uint64(many)).astype(np.int64), many)
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), _packed(keys[order], cut, full), _packed(ids[order], cut, full)], names=["bucket", "keys", "reps"])
-
-    def count(table: pa.Table) -> pa.Table:
-        keys, ids = _joined(table["keys"], np.int64), _joined(table["reps"], np.int64)
-        _, back, df = np.unique(keys, return_inverse=True, return_counts=True)
-        centre = np.full(len(df), np.iinfo(np.int64).max)
-        np.minimum.at(centre, back, ids)
-        keep = df[back] >= 2
-        return _back_to(ids[keep], groups, ["keys", "df", "centres"], [keys[keep], df[back][keep].astype(np.int64), centre[back][keep]])
-
-    def choose(table: pa.Table) -> pa.Table:
-        a, b = [], []
-        for rep, (keys, df, centre) in _each(table, ["keys", "df", "centres"]):
-            if len(keys) < matches:
-                continue
-            centre = centre[np.lexsort((keys, df))[: len(keys) - matches + 1]]
-            met, hits = np.unique(centre[centre != rep], return_counts=True)
-            a.append(rep)
-            b.append(int(met[hits.argmax()]) if len(met) else None)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    counted = (
-        reps.mapInArrow(deal, "bucket int, keys binary, reps binary")
-        .groupBy("bucket").applyInArrow(count, "part int, reps binary, keys binary, df binary, centres binary")
-    )
-    return counted.groupBy("part").applyInArrow(choose, "a bigint, b bigint")
-
-
-def _filter_bits(ids: DataFrame) -> bytes:
-    """A bitmap of fixed size over hashed ids: what it lets pass is joined exactly afterwards."""
-    at = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
-    rows = ids.select(at.alias("at")).selectExpr("int(at div 64) w", "shiftleft(1L, int(at % 64)) b")
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in rows.groupBy("w").agg(F.bit_or("b").alias("b")).collect():  # at most FILTER_BITS / 64 rows
-        out[r["w"]] = r["b"]
-    return out.tobytes()
-
-
-def _sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
-    """(rep, n, shingles): the full shingle sets of the classes in ``live``, which may repeat them, packed."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(live))
-    hashed = docs.where("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("at"))
+    chosen = docs.where("doc_id IS NOT NULL").join(live.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = np.frombuffer(bits.value, np.uint64)
         for batch in batches:
-            at = batch["at"].to_numpy(zero_copy_only=False)
-            keep = (word[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            for part in slices(batch.filter(pa.array(keep.astype(bool))), "text"):
+            for part in slices(batch, "text"):
                 sets = shingle_sets(part["text"], width)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["rep", "n", "shingles"],
                 )
 
-    sets = hashed.mapInArrow(run, "rep bigint, n bigint, shingles binary")
-    return sets.join(live.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
+    return chosen.mapInArrow(run, "rep bigint, n bigint, shingles binary").dropDuplicates(["rep"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -219,64 +157,55 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, carry: tuple[str
     return both.select("a", "b", *carry, "sa", "sb").mapInArrow(run, ", ".join(f"{c} bigint" for c in ("a", "b", *carry)))
 
 
-def _exact_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(shingle, rep, root, n, rest, minor) of ``sets(rep, root, shingles)``: each set's first ``n - need + 1`` shingles by rising frequency.
+def _apart(rows: DataFrame, key: str) -> DataFrame:
+    """``rows(key, root, ...)`` of keys that several components have, with ``minor``: not of the component that has most of the key's rows."""
+    sizes = rows.groupBy(key, "root").agg(F.count("*").alias("n"))
+    several = sizes.groupBy(key).agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major")).where("parts > 1")
+    return rows.join(several.select(key, "major"), key).withColumn("minor", F.col("root") != F.col("major")).drop("major")
+
+
+def _colliding(apart: DataFrame, sigs: DataFrame, matches: int) -> DataFrame:
+    """``(a, b, root_a, root_b)`` of ``apart(key, rep, root, minor)``: pairs of different components that match in ``matches`` coordinates or more."""
+    x, y = (apart.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "minor"))) for side in "ab")
+    met = x.where("minor_a").join(y, "key").where("root_a <> root_b AND (rep_a > rep_b OR NOT minor_b)")
+    pairs = met.select(F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b"), *(
+        F.when(F.col("rep_a") > F.col("rep_b"), F.col(f"root_{s}")).otherwise(F.col(f"root_{t}")).alias(f"root_{s}") for s, t in ("ab", "ba")
+    )).groupBy("a", "b").agg(F.count("*").alias("met"), F.first("root_a").alias("root_a"), F.first("root_b").alias("root_b"))
+    left, right = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
+    count = F.size(F.filter(F.zip_with("sa", "sb", lambda p, q: p == q), lambda same: same))
+    return pairs.join(left, "a").join(right, "b").where(count >= matches).select("a", "b", "root_a", "root_b")
 
-    Left out are shingles of one set or of one component alone.  ``rest`` counts the set's shingles from this one
-    on in that order: an overlap that begins here has no more.  ``minor`` says that the set is not of the
-    component that has most of the shingle's sets.  Shingles make the same round trip as coordinates.
+
+def _overlapping(sets: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, root_a, root_b)`` of ``sets(rep, root, shingles)``: pairs of different components whose prefixes of rare shingles meet early enough.
+
+    A set's prefix is its first ``n - need + 1`` shingles by rising frequency.  ``rest`` counts the set's shingles
+    from one on in that order: an overlap that begins there has no more.
     """
-    many, groups = buckets(sets.sparkSession, 2), buckets(sets.sparkSession)
-    fields = ["hashes", "reps", "roots", "ns"]
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "shingles", 1 << 23):
+            for part in slices(batch, "shingles", 1 << 21):
                 own = [np.frombuffer(x.as_buffer(), np.int64) for x in part["shingles"]]
                 sizes = np.array([len(x) for x in own])
-                hashes = np.concatenate(own)
-                reps, roots = (np.repeat(part[c].to_numpy(zero_copy_only=False), sizes) for c in ("rep", "root"))
-                order, cut, full = _cuts(((hashes.view(np.uint64) >> np.uint64(32)) % np.uint64(many)).astype(np.int64), many)
-                columns = (hashes, reps, roots, np.repeat(sizes, sizes))
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(_packed(c[order], cut, full) for c in columns)], names=["bucket", *fields])
-
-    def count(table: pa.Table) -> pa.Table:
-        hashes, reps, roots, ns = (_joined(table[c], np.int64) for c in fields)
-        _, back, df = np.unique(hashes, return_inverse=True, return_counts=True)
-        order = np.lexsort((roots, back))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(back[order]) != 0) | (np.diff(roots[order]) != 0)
-        begin = np.flatnonzero(new)  # runs of one shingle and one component
-        size, of, root = np.diff(np.append(begin, len(order))), back[order][begin], roots[order][begin]
-        by = np.lexsort((size, of))
-        last = np.ones(len(by), bool)
-        last[:-1] = np.diff(of[by]) != 0
-        major, parts = root[by][last], np.bincount(of)  # of each shingle
-        keep = df[back] >= 2
-        state = np.where(parts[back] < 2, 0, np.where(roots != major[back], 2, 1))
-        columns = (hashes, df[back].astype(np.int64), state.astype(np.int64), roots, ns)
-        return _back_to(reps[keep], groups, ["hashes", "df", "state", "roots", "ns"], [c[keep] for c in columns])
-
-    def take(table: pa.Table) -> pa.Table:
-        out = [[np.zeros(0, np.int64)] for _ in range(6)]
-        for rep, (hashes, df, state, roots, ns) in _each(table, ["hashes", "df", "state", "roots", "ns"]):
-            order = np.lexsort((hashes, df))[: max(0, len(hashes) + 1 - -(-int(ns[0]) * percent // 100))]
-            rest = len(hashes) - np.arange(len(order))
-            some = state[order] > 0
-            for column, values in zip(out, (hashes[order], np.full(len(order), rep), roots[order], ns[order], rest, state[order] == 2), strict=True):
-                column.append(values[some])
-        columns = [pa.array(np.concatenate(x)) for x in out[:5]] + [pa.array(np.concatenate(out[5]).astype(bool))]
-        return pa.table(columns, names=["shingle", "rep", "root", "n", "rest", "minor"])
-
-    counted = (
-        sets.select("rep", "root", "shingles").mapInArrow(deal, "bucket int, hashes binary, reps binary, roots binary, ns binary")
-        .groupBy("bucket").applyInArrow(count, "part int, reps binary, hashes binary, df binary, state binary, roots binary, ns binary")
-    )
-    return counted.groupBy("part").applyInArrow(take, "shingle bigint, rep bigint, root bigint, n bigint, rest bigint, minor boolean")
+                reps, roots_ = (np.repeat(part[c].to_numpy(zero_copy_only=False), sizes) for c in ("rep", "root"))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(reps), pa.array(roots_), pa.array(np.repeat(sizes, sizes))], names=["shingle", "rep", "root", "n"])
+
+    rows = sets.select("rep", "root", "shingles").mapInArrow(unpack, "shingle bigint, rep bigint, root bigint, n bigint")
+    known = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    own = rows.join(known, "shingle").groupBy("rep", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("own"))
+    size = F.size("own")
+    first = F.slice("own", F.lit(1), F.greatest(F.lit(0), size + 1 - F.ceil(F.col("n") * percent / 100).cast("int")))
+    prefix = own.select("rep", "root", "n", size.alias("size"), F.posexplode(first).alias("at", "one")).select("rep", "root", "n", (F.col("size") - F.col("at")).alias("rest"), "one.shingle")
+    apart = written(_apart(prefix, "shingle"), "prefixes")
+    x, y = (apart.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "n", "rest", "minor"))) for side in "ab")
+    enough = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
+    met = x.where("minor_a").join(y, "shingle").where(f"root_a <> root_b AND (rep_a > rep_b OR NOT minor_b) AND {enough}")
+    return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "root_a", "root_b").distinct()
 
 
 def near_duplicates(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, coordinates: int = 48
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, coordinates: int = 64
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per input row.
 
@@ -291,21 +220,21 @@ def near_duplicates(
     sigs = written(_signatures(docs, width, coordinates), "signatures")
     usable = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
-    live = written(_centres(reps.select("rep", "sig"), coordinates, matches), "live")
-    sets = written(_sets(docs, live.select(F.col("a").alias("rep")), width), "sets")
+    live = written(_prefixes(reps.select("rep", "sig"), coordinates, matches), "live")
+    sets = written(_sets(docs, live, width), "sets")
 
     # step 3: every class against the centre that it meets most often
-    trees = roots(_confirmed(live.where("b IS NOT NULL"), sets, percent))
+    trees = roots(_confirmed(_centres(live), sets, percent))
 
-    # step 4: the links that no centre shows
-    placed = sets.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("root"), "shingles")
-    prefixes = written(_exact_prefixes(placed, percent), "prefixes")
-    x = prefixes.where("minor").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "rest", "root")))
-    y = prefixes.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "rest", "root")))
-    enough = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
-    met = x.join(y, "shingle").where(f"root_a <> root_b AND {enough}")
-    pairs = met.selectExpr("greatest(rep_a, rep_b) a", "least(rep_a, rep_b) b", "root_a", "root_b").dropDuplicates(["a", "b"])
-    more = _confirmed(pairs, sets, percent, ("root_a", "root_b"))
+    # step 4: other links, by collisions in the prefix and look-ups beyond it
+    placed = live.join(trees.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("root", "rep").alias("root"), F.explode("prefix").alias("p"))
+    apart = written(_apart(placed.select("rep", "root", F.col("p.key").alias("key"), F.col("p.df").alias("df")), "key"), "apart")
+    marked = reps.select("rep", "sig").join(apart.select("rep").distinct(), "rep", "left_semi")
+    pairs = _colliding(apart.where(F.col("df") <= LONG), written(marked, "marked"), matches)
+
+    # step 5: the exact way for classes with long lists
+    long_ones = apart.where(F.col("df") > LONG).groupBy("rep").agg(F.first("root").alias("root"))
+    more = _confirmed(pairs.union(_overlapping(sets.join(long_ones, "rep"), percent)).dropDuplicates(["a", "b"]), sets, percent, ("root_a", "root_b"))
     joined = components(more.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
     found = trees.join(joined, trees["root"] == joined["node"], "left").select(trees["node"], F.coalesce("component", "root").alias("component"))
     found = found.unionByName(joined.join(trees.select("node"), "node", "left_anti"))
