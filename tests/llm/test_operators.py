@@ -16,7 +16,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from vidpipe.llm import byte_bpe, chat_format, decontaminate, fingerprint, language_id, near_dedup, quality, recompression, substring_dedup, url_filter
-from vidpipe.llm.common import hash_bounds, runs_of, words
+from vidpipe.llm.common import hash_bounds, hashed, runs_of, words
 from vidpipe.llm.common import id_hash as hash_of
 
 SCHEMA = "doc_id long, text string, lang string, row long, seg string, w string, h int, component string, bucket int"
@@ -574,6 +574,32 @@ def test_substring_dedup(spark, corpus, window):
     assert all(layout[i] == (t or "") for i, t in corpus if not expected[i][1])
 
 
+def test_substring_dedup_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 500)
+    r = random.Random(30)
+    passage = sentence(r, 40, 9000)
+    rows = [(k, sentence(r, 30, 9000) + " " + (passage + " " if k % 3 == 0 else "") + sentence(r, 10, 9000)) for k in range(200)]
+    rows += [(k % 5, rows[k % 5][1]) for k in range(60)]  # repeated rows lie in any chunk
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), window=13).collect()
+    assert len(got) == len(rows) and all(x.n_removed == (40 if x.doc_id % 3 == 0 and x.doc_id else 0) for x in got)
+
+
+def test_carried_columns_of_substring_dedup(spark):
+    rows = spark.createDataFrame([(1, "a b", 7, "x")], "doc_id long, text string, n_words long, chunk string")
+    got = substring_dedup.remove_repeats(rows, carry=("n_words", "chunk"))
+    assert got.columns == ["doc_id", "n_words", "n_removed", "text", "given_n_words", "chunk"] and tuple(got.first()) == (1, 2, 0, "a b", 7, "x")
+
+
+def test_long_words_that_a_power_sum_confuses():
+    pair = [b"ab", b"ba"]
+    for _ in range(11):  # strings whose difference is divisible by every power of two
+        pair = [pair[0] + pair[1], pair[1] + pair[0]]
+    data = np.frombuffer(b" ".join(pair), np.uint8)
+    n = len(pair[0])
+    starts, ends = np.array([0, n + 1]), np.array([n, 2 * n + 1])
+    assert all(len(set(hashed(data, starts, ends, second=x).tolist())) == 2 for x in (False, True))
+
+
 def test_substring_dedup_of_odd_rows(spark):
     text = " ".join(map(str, range(20)))
     mine = [(4, text), (4, text), (None, text), (9, text), (10, None)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,17 +121,23 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for i, p in enumerate((_P, _P_INV)):
+_Q = np.uint64(0xC2B2AE3D27D4EB4F)
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Bytes of the longest word that is hashed with all others at once; such a hash is not to be trusted on longer ones.
+_WORD = 512
+
+
+def _power(n: int, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a base and of its inverse, modulo 2 to the 64."""
+    have = _powers.get(int(base))
+    if have is None or len(have[0]) < n:
+        made = []
+        for p in (base, np.uint64(pow(int(base), -1, 1 << 64))):
             steps = np.full(max(n, 1 << 16), p, np.uint64)
             steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+            made.append(np.cumprod(steps, dtype=np.uint64))
+        have = _powers[int(base)] = (made[0], made[1])
+    return have[0][:n], have[1][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -159,21 +166,29 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
     return starts, np.flatnonzero(word & ~after) + 1
 
 
-def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of each span's bytes (equal bytes, equal hash), with memory bound by ``block`` and the longest span."""
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False, block: int = 1 << 20) -> np.ndarray:
+    """A 64-bit hash of each span's bytes (equal bytes, equal hash), with memory bound by ``block`` and the longest span.
+
+    ``second`` gives another hash, so that both together have 128 bits.
+    """
+    base = _Q if second else _P
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
-        base = int(starts[at])
-        to = max(at + 1, int(np.searchsorted(ends, base + block, side="right")))
-        part = data[base : int(ends[to - 1])].astype(np.uint64) + np.uint64(1)
-        up, down = _power(len(part))
+        first = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(ends, first + block, side="right")))
+        part = data[first : int(ends[to - 1])].astype(np.uint64) + np.uint64(1)
+        up, down = _power(len(part), base)
         total = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(part * up, out=total[1:])
-        s, e = starts[at:to] - base, ends[at:to] - base
+        s, e = starts[at:to] - first, ends[at:to] - first
         out[at:to] = (total[e] - total[s]) * down[s]
         at = to
-    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    out = mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    for i in np.flatnonzero(ends - starts > _WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=16).digest()
+        out[i] = int.from_bytes(digest[8:] if second else digest[:8], "little")
+    return out
 
 
 def words(column: pa.Array, lower: bool, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:

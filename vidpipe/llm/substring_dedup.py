@@ -1,16 +1,18 @@
 """Removal of long word sequences that an earlier document already has, by recompression.
 
-Documents are dealt by id into chunks of about ``CHUNK`` documents; the shuffled texts are read three times.
+Rows are dealt evenly into chunks of about ``CHUNK_BYTES`` of text; the shuffled texts are read three times.
 
 1. Each chunk parses its texts (see ``recompression``) and deals the distinct symbols, by hash, into buckets.
-   A bucket finds the symbols that occur in two documents and tells each chunk which of its own do.
+   A bucket finds the symbols that occur in two rows and tells each chunk which of its own do.
 2. A window is a candidate if every symbol that lies inside it with all it depends on is shared: an equal
    window elsewhere would hold the same symbols.  Each chunk deals the hashes of its candidate windows with
    their smallest document; a bucket returns those that start in a smaller document of another chunk.
 3. Each chunk removes what the answers and its own documents cover.
 
-A chunk sends a symbol or window once however many of its documents have it, and equal ones of all chunks
-meet as packed hashes; no text and no list of pairs is gathered.  Windows are compared by 64-bit hashes.
+A chunk sends a symbol or window once however many of its documents have it: one that all documents share adds
+one entry a chunk to its bucket.  Equal ones of all chunks meet as packed hashes, a row for each chunk and bucket
+that have some in common, so rows are never more than symbols and each carries many as long as chunks are large;
+no text and no list of pairs is gathered.  Windows are compared by 128 bits, two hashes of each of their words.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, buckets, hashed, runs_of, spans, utf8
+from .common import SPACES, buckets, carry_names, hashed, runs_of, spans, utf8
 from .recompression import parse
 
-#: Documents dealt together, on average.
-CHUNK = 256
+#: Bytes of text dealt together, on average; a longer text is a chunk with what else it meets.
+CHUNK_BYTES = 4 << 20
 
 
 def rounds_for(window: int) -> int:
@@ -32,10 +34,11 @@ def rounds_for(window: int) -> int:
     return max(1, window.bit_length() - 1)
 
 
-def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes and offsets of the texts, start and end of each word, and of each row the first word (one more than rows); last the words' hashes."""
     data, offsets = utf8(table["text"])
     starts, ends = spans(data, offsets, SPACES)
-    return hashed(data, starts, ends), np.searchsorted(starts, offsets)
+    return data, offsets, starts, ends, np.searchsorted(starts, offsets), hashed(data, starts, ends)
 
 
 def _pack(values: np.ndarray, cut: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -50,19 +53,43 @@ def _bucketed(hashes: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np
     return order, cut, np.flatnonzero(cut[1:] > cut[:-1])
 
 
-def _windows(hashes: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start positions of all windows, and their hashes."""
+def _windows(hashes: np.ndarray, other: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start positions of all windows, and both hashes of each."""
     runs = runs_of(hashes, window)
     if not len(runs):
-        return np.zeros(0, np.int64), runs
+        return np.zeros(0, np.int64), runs, runs
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.flatnonzero(row[: len(runs)] == row[window - 1 :])
-    return at, runs[at]
+    return at, runs[at], runs_of(other, window)[at]
+
+
+def _groups(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, int]:
+    """A number for each pair of hashes, equal for equal pairs, and how many there are."""
+    order = np.argsort(one, kind="stable")
+    a, b = one[order], two[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        order = np.lexsort((two, one))
+        a, b = one[order], two[order]
+    new = np.ones(len(one), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    out = np.empty(len(one), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out, int(new.sum())
+
+
+def _least(group: np.ndarray, many: int, owner: np.ndarray) -> np.ndarray:
+    least = np.full(many, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, owner)
+    return least
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
 
 
 def _symbols(window: int, many: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        hashes, first = _words(table)
+        *_, first, hashes = _words(table)
         names, lo, hi = parse(hashes, first, rounds_for(window))
         inside = hi - lo <= window
         names, lo, hi = names[inside], lo[inside], hi[inside]
@@ -87,8 +114,7 @@ def _symbols(window: int, many: int):
 
 def _shared(table: pa.Table) -> pa.Table:
     sizes = [len(x.as_buffer()) // 8 for x in table["names"]]
-    names = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["names"]])
-    several = np.concatenate([np.frombuffer(x.as_buffer(), bool) for x in table["several"]])
+    names, several = _joined(table["names"], np.uint64), _joined(table["several"], bool)
     order = np.argsort(names, kind="stable")
     ordered = names[order]
     new = np.ones(len(names), bool)
@@ -106,67 +132,54 @@ def _shared(table: pa.Table) -> pa.Table:
 
 def _candidates(window: int, many: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        hashes, first = _words(docs)
-        at, wins = _windows(hashes, first, window)
+        data, _, starts, ends, first, hashes = _words(docs)
+        at, one, two = _windows(hashes, hashed(data, starts, ends, second=True), first, window)
         names, lo, hi = parse(hashes, first, rounds_for(window))
         inside = hi - lo <= window
         names, lo, hi = names[inside], lo[inside], hi[inside]
-        shared = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x.as_buffer(), np.uint32) for x in answers["shared"])])
-        alone = ~np.isin((names & np.uint64(0xFFFFFFFF)).astype(np.uint32), shared)
+        alone = ~np.isin((names & np.uint64(0xFFFFFFFF)).astype(np.uint32), _joined(answers["shared"], np.uint32))
         dead = np.zeros(len(hashes) + 2, np.int64)  # windows that hold a symbol that is not shared
         np.add.at(dead, np.maximum(hi[alone] - window, 0), 1)
         np.add.at(dead, np.maximum(lo[alone] + 1, 0), -1)
         keep = np.cumsum(dead)[at] == 0
-        at, wins = at[keep], wins[keep]
-        ids = docs["doc_id"].to_numpy()
-        owner = ids[np.searchsorted(first, at, side="right") - 1]
-        order = np.lexsort((owner, wins))
-        wins, owner = wins[order], owner[order]
-        new = np.ones(len(wins), bool)
-        new[1:] = wins[1:] != wins[:-1]
-        wins, owner = wins[new], owner[new]
+        at, one, two = at[keep], one[keep], two[keep]
+        group, many_own = _groups(one, two)
+        owner = _least(group, many_own, docs["doc_id"].to_numpy()[np.searchsorted(first, at, side="right") - 1])
+        some = np.zeros(many_own, np.int64)  # a window of each group
+        some[group] = np.arange(len(group))
         order = np.argsort(owner, kind="stable")  # runs of one document pack well
-        wins, owner = wins[order], owner[order]
-        order, cut, full = _bucketed(wins, many)
+        one, two, owner = one[some][order], two[some][order], owner[order]
+        order, cut, full = _bucketed(one, many)
         chunk = docs["chunk"][0].as_py() if docs.num_rows else -1
         return pa.table(
-            [pa.array(full, pa.int32()), pa.array(np.full(len(full), chunk), pa.int64()),
-             _pack(wins[order], cut, full), _pack(owner[order], cut, full)],
-            names=["bucket", "chunk", "windows", "owners"],
-        )
+            [pa.array(full, pa.int32()), pa.array(np.full(len(full), chunk), pa.int64()), *(_pack(x[order], cut, full) for x in (one, two, owner))],
+            names=["bucket", "chunk", "one", "two", "owners"],
+        )
 
     return run
 
 
 def _earlier(table: pa.Table) -> pa.Table:
-    sizes = [len(x.as_buffer()) // 8 for x in table["windows"]]
-    wins = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in table["windows"]])
-    owner = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in table["owners"]])
-    order = np.lexsort((owner, wins))
-    ordered = wins[order]
-    new = np.ones(len(wins), bool)
-    new[1:] = ordered[1:] != ordered[:-1]
-    least = owner[order][new]
-    keep = np.empty(len(wins), bool)
-    keep[order] = least[np.cumsum(new) - 1] < owner[order]
+    sizes = [len(x.as_buffer()) // 8 for x in table["one"]]
+    one, two, owner = _joined(table["one"], np.uint64), _joined(table["two"], np.uint64), _joined(table["owners"], np.int64)
+    group, many = _groups(one, two)
+    keep = _least(group, many, owner)[group] < owner
     cut = np.concatenate([[0], np.cumsum(sizes)])
-    out = [wins[a:b][keep[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-    return pa.table([table["chunk"], pa.array(out, pa.binary())], names=["chunk", "windows"])
+    out = [pa.array([x[a:b][keep[a:b]].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (one, two)]
+    return pa.table([table["chunk"], *out], names=["chunk", "one", "two"])
 
 
 def _cut(window: int, layout: str, carry: list[str]):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        data, offsets = utf8(docs["text"])
-        starts, ends = spans(data, offsets, SPACES)
-        hashes, first = hashed(data, starts, ends), np.searchsorted(starts, offsets)
-        at, wins = _windows(hashes, first, window)
-        ids = docs["doc_id"].to_numpy()
-        owner = ids[np.searchsorted(first, at, side="right") - 1] if len(at) else np.zeros(0, np.int64)
-        told = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(x.as_buffer(), np.uint64) for x in answers["windows"])])
-        _, back = np.unique(wins, return_inverse=True)
-        least = np.full(len(wins), np.iinfo(np.int64).max)
-        np.minimum.at(least, back, owner)
-        hit = at[np.isin(wins, told) | (least[back] < owner)] if len(at) else at
+        data, offsets, starts, ends, first, hashes = _words(docs)
+        at, one, two = _windows(hashes, hashed(data, starts, ends, second=True), first, window)
+        owner = docs["doc_id"].to_numpy()[np.searchsorted(first, at, side="right") - 1] if len(at) else np.zeros(0, np.int64)
+        told = _joined(answers["one"], np.uint64)
+        group, many = _groups(np.concatenate([told, one]), np.concatenate([_joined(answers["two"], np.uint64), two]))
+        earlier = np.zeros(many, bool)
+        earlier[group[: len(told)]] = True
+        group = group[len(told) :]
+        hit = at[earlier[group] | (_least(group, many, owner)[group] < owner)]
         cover = np.zeros(len(hashes) + 1, np.int64)
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + window, -1)
@@ -205,14 +218,16 @@ def remove_repeats(
     joins kept words by one space, "text" keeps the text around removed words as it was.  Null texts have no
     words and give an empty text; shorter texts than a window stay whole.  Rows that repeat an id are that one
     document.  A row with null id neither removes nor loses anything.  No rows give no rows; other columns do
-    not matter.
+    not matter; a carried column called like a result gets ``given_`` before its name.
     """
     spark = documents.sparkSession
     own = [f"_carry{i}" for i in range(len(carry))]  # whatever they are called, they clash with nothing
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).alias(o) for c, o in zip(carry, own, strict=True)))
     many = buckets(spark, 2)
-    chunks = max(1, docs.count() // CHUNK)
-    dealt = docs.where("doc_id IS NOT NULL").select("doc_id", "text", *own, F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = max(1, size // CHUNK_BYTES)
+    # rows are dealt by where they stand, so neither one id nor one text gathers in a chunk
+    dealt = docs.where("doc_id IS NOT NULL").select("doc_id", "text", *own, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"))
     by_chunk = dealt.groupBy("chunk")
     shared = (
         by_chunk.applyInArrow(_symbols(window, many), "bucket int, chunk bigint, names binary, several binary")
@@ -220,8 +235,8 @@ def remove_repeats(
     )
     earlier = (
         by_chunk.cogroup(shared.groupBy("chunk"))
-        .applyInArrow(_candidates(window, many), "bucket int, chunk bigint, windows binary, owners binary")
-        .groupBy("bucket").applyInArrow(_earlier, "chunk bigint, windows binary")
+        .applyInArrow(_candidates(window, many), "bucket int, chunk bigint, one binary, two binary, owners binary")
+        .groupBy("bucket").applyInArrow(_earlier, "chunk bigint, one binary, two binary")
     )
     out = by_chunk.cogroup(earlier.groupBy("chunk")).applyInArrow(
         _cut(window, layout, own), "doc_id bigint, n_words bigint, n_removed bigint, text string" + "".join(f", {o} {docs.schema[o].dataType.simpleString()}" for o in own)
@@ -231,4 +246,4 @@ def remove_repeats(
         "doc_id", F.coalesce(F.size(word).cast("bigint"), F.lit(0)).alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"),
         F.coalesce(F.array_join(word, " ") if layout == "words" else F.col("text"), F.lit("")).alias("text"), *own,
     )
-    return out.unionByName(plain).withColumnsRenamed(dict(zip(own, carry, strict=True)))
+    return out.unionByName(plain).withColumnsRenamed(dict(zip(own, carry_names(carry, ["doc_id", "n_words", "n_removed", "text"]), strict=True)))
