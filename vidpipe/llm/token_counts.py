@@ -49,24 +49,40 @@ class _Counter(dict):
         self.unknown = min(score for _, score in pieces) - UNKNOWN
 
     def count(self, word: str) -> tuple[int, float]:
-        n = len(word)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
-        for end, piece in self.find.iter(word):
-            ends[end + 1].append(piece)
+        n, unknown_score = len(word), self.unknown
         best, pieces, unknown = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
-        for end in range(1, n + 1):
-            top, single = None, False
-            for size, score in sorted(ends[end], reverse=True):  # the piece that begins first comes first
-                single |= size == 1
+        at, top, start, single = 0, 0.0, 0, True  # the end that matches are coming for, and the best of them so far
+
+        def settle(upto: int, top: float | None, start: int, single: bool) -> None:
+            """Keep the best path to ``at``, and paths over unknown characters alone to the ends before ``upto``."""
+            for end in range(max(at, 1), upto):
+                miss = False
+                if end != at:
+                    top, single = None, False
+                if not single:
+                    total = best[end - 1] + unknown_score
+                    if top is None or total > top:
+                        top, start, miss = total, end - 1, True
+                best[end], unknown[end] = top, miss
+                pieces[end] = pieces[start] + (not (miss and unknown[start]))
+
+        for end, (size, score) in self.find.iter(word):  # by end, of one end the piece that begins first
+            end += 1
+            if end != at:
+                if single and end == at + 1:
+                    if at:
+                        best[at] = top
+                        pieces[at] = pieces[start] + 1
+                else:
+                    settle(end, top, start, single)
+                at, top, start, single = end, best[end - size] + score, end - size, size == 1
+            else:
                 total = best[end - size] + score
-                if top is None or total > top:
-                    top, start, miss = total, end - size, False
-            if not single:
-                total = best[end - 1] + self.unknown
-                if top is None or total > top:
-                    top, start, miss = total, end - 1, True
-            best[end], unknown[end] = top, miss
-            pieces[end] = pieces[start] + (not (miss and unknown[start]))
+                if total > top:
+                    top, start = total, end - size
+                if size == 1:
+                    single = True
+        settle(n + 1, top, start, single)
         return pieces[n], best[n]
 
     def __missing__(self, word: str) -> tuple[int, float]:
