@@ -120,7 +120,7 @@ def _centres(live: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
     """(rep, n, shingles): the full shingle sets of the classes in ``live(rep)``, packed.
 
-    ``live`` is a written table: Spark broadcasts its ids if they are few by its measure, and else joins by shuffle.
+    ``live`` is a written table of ids alone: Spark broadcasts it if it is small by its measure, and else joins by shuffle.
     """
     chosen = docs.where("doc_id IS NOT NULL").join(live.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
 
@@ -221,7 +221,7 @@ def near_duplicates(
     usable = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
     live = written(_prefixes(reps.select("rep", "sig"), coordinates, matches), "live")
-    sets = written(_sets(docs, live, width), "sets")
+    sets = written(_sets(docs, written(live.select("rep"), "live-ids"), width), "sets")
 
     # step 3: every class against the centre that it meets most often
     trees = roots(_confirmed(_centres(live), sets, percent))
