@@ -159,24 +159,30 @@ def train(documents: DataFrame, labels: DataFrame, label_col: str = "quality") -
     return fit(got["text"].combine_chunks(), got["y"].to_numpy().astype(np.int64))
 
 
-def score(documents: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(*carry, score)``, one row per row of ``documents(text, *carry)``: the chance of label 1, empty and null texts too.
-
-    A carried column called ``score`` becomes ``given_score``; no rows give no rows.
-    """
+def _scored(documents: DataFrame, model: Model, carry: tuple[str, ...], keep_text: bool) -> DataFrame:
+    """``(_carry0, _carry1, ..., score)`` and, if asked, ``_text``, which then goes to Python and back once."""
     own = [f"_carry{i}" for i in range(len(carry))]  # whatever they are called, they clash with nothing
-    docs = documents.select(F.coalesce("text", F.lit("")).alias("_text"), *(F.col(c).alias(o) for c, o in zip(carry, own, strict=True)))
+    docs = documents.select(F.col("text").alias("_text"), *(F.col(c).alias(o) for c, o in zip(carry, own, strict=True)))
     sent = documents.sparkSession.sparkContext.broadcast(model)
+    back = ["_text", *own] if keep_text else own
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", 1 << 19):
                 scores = sent.value.scores(*utf8(part["_text"]))
-                yield pa.RecordBatch.from_arrays([*(part[o] for o in own), pa.array(scores)], names=[*own, "score"])
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in back), pa.array(scores)], names=[*back, "score"])
 
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
-    out = docs.mapInArrow(run, ", ".join([*(f"{o} {types[o]}" for o in own), "score double"]))
-    return out.withColumnsRenamed(dict(zip(own, carry_names(carry, ["score"]), strict=True)))
+    return docs.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in back), "score double"]))
+
+
+def score(documents: DataFrame, model: Model, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(*carry, score)``, one row per row of ``documents(text, *carry)``: the chance of label 1, empty and null texts too.
+
+    A carried column called ``score`` becomes ``given_score``; no rows give no rows.
+    """
+    names = {f"_carry{i}": n for i, n in enumerate(carry_names(carry, ["score"]))}
+    return _scored(documents, model, carry, keep_text=False).withColumnsRenamed(names)
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -198,7 +204,6 @@ def keep_good(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -
     Without labels every row has the same score, 0.5 if there are none at all.  No rows give no rows.
     """
     model = train(documents.where(~held_out()).select("doc_id", "text"), labels)
-    names = documents.columns
-    rows = documents.select("text", *(F.col(c).alias(f"c{i}") for i, c in enumerate(names)))
-    kept = score(rows, model, carry=tuple(f"c{i}" for i in range(len(names)))).where(F.col("score") >= threshold)
-    return kept.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
+    carry = [c for c in documents.columns if c != "text"]
+    kept = _scored(documents, model, tuple(carry), keep_text=True).where(F.col("score") >= threshold)
+    return kept.select(*(F.col("_text").alias(c) if c == "text" else F.col(f"_carry{carry.index(c)}").alias(c) for c in documents.columns))
