@@ -267,7 +267,7 @@ def encode_decode(documents: DataFrame, path: str, pattern: str, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 1 << 22):
+            for part in slices(batch, "text", 1 << 20):
                 ids = encode_texts(part["text"].to_pylist(), path, pattern)
                 decoded = [decode_ids(x, path, pattern) for x in ids]
                 yield pa.RecordBatch.from_arrays(
