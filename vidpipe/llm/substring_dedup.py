@@ -26,7 +26,7 @@ from .common import SPACES, buckets, carry_names, hashed, runs_of, spans, utf8
 from .recompression import parse
 
 #: Bytes of text dealt together, on average; a longer text is a chunk with what else it meets.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def rounds_for(window: int) -> int:
