@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import give_back, slices
 
 #: Remembered pieces per task; pieces of more than LONG characters are merged one by one.
 CACHE = 300_000
@@ -274,5 +274,6 @@ def encode_decode(documents: DataFrame, path: str, pattern: str, id_col: str = "
                     [part["doc_id"], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )
+        give_back()
 
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids binary, decoded binary")

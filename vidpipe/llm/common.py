@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -100,6 +101,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system at a task's end: a worker serves many stages, and what one needed would stay with all later ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, text: str, most: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """Row slices of a batch with about ``most`` bytes of text each (a longer text stands alone)."""
     if batch.num_rows == 0:

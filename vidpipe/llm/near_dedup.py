@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, runs_of, slices, words, written
+from .common import give_back, mix, runs_of, slices, words, written
 from .components import components, roots
 
 #: The chance, for one pair at the threshold, that its signatures match too rarely to be looked at.
@@ -94,6 +94,7 @@ def _signatures(docs: DataFrame, width: int, coordinates: int) -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
                     names=["doc_id", "n_shingles", "set1", "set2", "sig"],
                 )
+        give_back()
 
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, sig array<int>")
 
@@ -132,6 +133,7 @@ def _sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
                     [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["rep", "n", "shingles"],
                 )
+        give_back()
 
     return chosen.mapInArrow(run, "rep bigint, n bigint, shingles binary").dropDuplicates(["rep"])
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, carry_names, hash_bounds, hashed, id_hash, mix, slices, spans, utf8
+from .common import SPACES, carry_names, give_back, hash_bounds, hashed, id_hash, mix, slices, spans, utf8
 from .language_id import held_out
 
 #: Hash buckets of features.
@@ -171,6 +171,7 @@ def _scored(documents: DataFrame, model: Model, carry: tuple[str, ...], keep_tex
             for part in slices(batch, "_text", 1 << 19):
                 scores = sent.value.scores(*utf8(part["_text"]))
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in back), pa.array(scores)], names=[*back, "score"])
+        give_back()
 
     types = {f.name: f.dataType.simpleString() for f in docs.schema}
     return docs.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in back), "score double"]))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, buckets, carry_names, hashed, runs_of, spans, utf8
+from .common import SPACES, buckets, carry_names, give_back, hashed, runs_of, spans, utf8
 from .recompression import parse
 
 #: Bytes of text dealt together, on average; a longer text is a chunk with what else it meets.
@@ -151,6 +151,7 @@ def _candidates(window: int, many: int):
         one, two, owner = one[some][order], two[some][order], owner[order]
         order, cut, full = _bucketed(one, many)
         chunk = docs["chunk"][0].as_py() if docs.num_rows else -1
+        give_back()
         return pa.table(
             [pa.array(full, pa.int32()), pa.array(np.full(len(full), chunk), pa.int64()), *(_pack(x[order], cut, full) for x in (one, two, owner))],
             names=["bucket", "chunk", "one", "two", "owners"],
@@ -184,6 +185,7 @@ def _cut(window: int, layout: str, carry: list[str]):
         np.add.at(cover, hit, 1)
         np.add.at(cover, hit + window, -1)
         gone = np.cumsum(cover)[:-1] > 0
+        give_back()
         raw, texts = data.tobytes(), []
         removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[first])
         for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
