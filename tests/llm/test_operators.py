@@ -524,7 +524,9 @@ def test_near_duplicates(spark, corpus, width, long, monkeypatch):
     assert all(x.kept == (x.doc_id == x.component_id) for x in got) and len(got) == len(mine)
 
 
-def test_recall_against_all_pairs(spark):
+@pytest.mark.parametrize("long", [64, 0])
+def test_recall_against_all_pairs(spark, long, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LONG", long)
     r = random.Random(21)
     rows = []
     for g in range(150):  # small groups around the threshold, whose links few centres show
@@ -538,6 +540,32 @@ def test_recall_against_all_pairs(spark):
     assert got == _components(rows, 4, 80)
 
 
+def _set_rows(spark, sets):
+    rows = [(i, i, len(x), np.sort(np.array(list(x), np.uint64)).tobytes()) for i, x in enumerate(sets)]
+    return spark.createDataFrame(rows, "rep long, root long, n long, shingles binary")
+
+
+@pytest.mark.parametrize("percent", [80, 60])
+def test_exact_way_against_all_pairs(spark, percent):
+    r = random.Random(31)
+    passages = [r.sample(range(10**9), 120) for _ in range(3)]
+    sets = []
+    for _ in range(240):  # mostly one of three passages, cut and filled up to sizes that differ
+        own = set(r.choice(passages)[: r.randrange(1, 121)])
+        sets.append(own | {r.randrange(10**9) for _ in range(r.randrange(0, 1 + len(own) // 2))})
+    rows = _set_rows(spark, sets)
+    found = near_dedup._confirmed(near_dedup._overlapping(rows, percent), rows.drop("root"), percent, ("root_a", "root_b")).collect()
+    expected = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets[:a]) if 100 * len(x & y) >= percent * len(x | y)}
+    assert {(x.a, x.b) for x in found} == expected and len(found) == len(expected) > 50
+    assert all((x.root_a, x.root_b) == (x.a, x.b) for x in found)
+
+
+def test_shared_passages_make_no_pairs(spark):
+    passage = set(range(81))  # of texts of 95 shingles, all as large: too little to be alike, yet more than four fifths
+    sets = [passage | {1000 * (i + 1) + k for k in range(14)} for i in range(300)]
+    assert near_dedup._overlapping(_set_rows(spark, sets), 80).count() == 0
+
+
 def test_near_duplicates_of_odd_rows(spark):
     mine = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (5, "a b c d e f"), (6, None)]
     got = sorted(((x.doc_id, x.component_id, x.kept) for x in near_dedup.near_duplicates(docs(spark, mine)).collect()), key=str)

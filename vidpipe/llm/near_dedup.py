@@ -15,7 +15,7 @@
 5. Lists of more than ``LONG`` classes are skipped in step 4, as all pairs of such a list would be too many: texts
    half of which is one common passage match in many coordinates and are still far from similar.  Their classes
    take an exact way instead: shingles are ordered by frequency, and two sets as similar as asked share one of
-   their first ``n - need + 1``, so early in both that what follows suffices.
+   their first ``n - need + 1``, so early in both that what follows suffices, and earliest in the smaller one.
 
 Rows of every step are as many as its postings; counts and centres are combined before each shuffle, and joins
 are on keys that adaptive execution splits where one is hot.  Shingles are compared by 64-bit hashes, within a pair
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import give_back, mix, runs_of, slices, words, written
@@ -159,10 +159,14 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, carry: tuple[str
     return both.select("a", "b", *carry, "sa", "sb").mapInArrow(run, ", ".join(f"{c} bigint" for c in ("a", "b", *carry)))
 
 
-def _apart(rows: DataFrame, key: str) -> DataFrame:
-    """``rows(key, root, ...)`` of keys that several components have, with ``minor``: not of the component that has most of the key's rows."""
-    sizes = rows.groupBy(key, "root").agg(F.count("*").alias("n"))
-    several = sizes.groupBy(key).agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major")).where("parts > 1")
+def _apart(rows: DataFrame, key: str, needed: Column | None = None) -> DataFrame:
+    """``rows(key, root, ...)`` of keys that several components have, with ``minor``: not of the component that has most of the key's rows.
+
+    With a condition ``needed``, keys of which no row meets it go as well.
+    """
+    sizes = rows.groupBy(key, "root").agg(F.count("*").alias("n"), F.max(F.lit(True) if needed is None else needed).alias("needed"))
+    of_key = sizes.groupBy(key).agg(F.count("*").alias("parts"), F.max_by("root", F.struct("n", "root")).alias("major"), F.max("needed").alias("needed"))
+    several = of_key.where("parts > 1 AND needed")
     return rows.join(several.select(key, "major"), key).withColumn("minor", F.col("root") != F.col("major")).drop("major")
 
 
@@ -182,7 +186,9 @@ def _overlapping(sets: DataFrame, percent: int) -> DataFrame:
     """``(a, b, root_a, root_b)`` of ``sets(rep, root, shingles)``: pairs of different components whose prefixes of rare shingles meet early enough.
 
     A set's prefix is its first ``n - need + 1`` shingles by rising frequency.  ``rest`` counts the set's shingles
-    from one on in that order: an overlap that begins there has no more.
+    from one on in that order: an overlap that begins there has no more.  Of a pair the smaller set has to begin
+    earlier still, so a shingle is looked up from the few rows that could be a smaller set's, and one that only
+    larger sets could meet in falls away: texts that share a passage of less than that length make no pairs.
     """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,6 +198,7 @@ def _overlapping(sets: DataFrame, percent: int) -> DataFrame:
                 sizes = np.array([len(x) for x in own])
                 reps, roots_ = (np.repeat(part[c].to_numpy(zero_copy_only=False), sizes) for c in ("rep", "root"))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own)), pa.array(reps), pa.array(roots_), pa.array(np.repeat(sizes, sizes))], names=["shingle", "rep", "root", "n"])
+        give_back()
 
     rows = sets.select("rep", "root", "shingles").mapInArrow(unpack, "shingle bigint, rep bigint, root bigint, n bigint")
     known = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
@@ -199,11 +206,19 @@ def _overlapping(sets: DataFrame, percent: int) -> DataFrame:
     size = F.size("own")
     first = F.slice("own", F.lit(1), F.greatest(F.lit(0), size + 1 - F.ceil(F.col("n") * percent / 100).cast("int")))
     prefix = own.select("rep", "root", "n", size.alias("size"), F.posexplode(first).alias("at", "one")).select("rep", "root", "n", (F.col("size") - F.col("at")).alias("rest"), "one.shingle")
-    apart = written(_apart(prefix, "shingle"), "prefixes")
-    x, y = (apart.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "n", "rest", "minor"))) for side in "ab")
+    # an overlap that is enough for two sets of this size
+    early = (100 + percent) * F.col("rest") >= 2 * percent * F.col("n")
+    apart = written(_apart(prefix, "shingle", early).withColumn("early", early), "prefixes")
+    less, more = (apart.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("rep", "root", "n", "rest", "minor", "early"))) for side in "ab")
+    less = less.where("early_a")
     enough = f"{100 + percent} * least(rest_a, rest_b) >= {percent} * (n_a + n_b)"
-    met = x.where("minor_a").join(y, "shingle").where(f"root_a <> root_b AND (rep_a > rep_b OR NOT minor_b) AND {enough}")
-    return met.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "root_a", "root_b").distinct()
+    meets = f"root_a <> root_b AND (n_a < n_b OR n_a = n_b AND rep_a < rep_b) AND {enough}"
+    met = less.where("minor_a").join(more, "shingle").where(meets).unionByName(less.where("NOT minor_a").join(more.where("minor_b"), "shingle").where(meets))
+    swap = F.col("rep_a") < F.col("rep_b")
+    return met.select(
+        F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b"),
+        F.when(swap, F.col("root_b")).otherwise(F.col("root_a")).alias("root_a"), F.when(swap, F.col("root_a")).otherwise(F.col("root_b")).alias("root_b"),
+    ).distinct()
 
 
 def near_duplicates(
