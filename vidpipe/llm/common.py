@@ -142,7 +142,7 @@ def _power(n: int, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
     if have is None or len(have[0]) < n:
         made = []
         for p in (base, np.uint64(pow(int(base), -1, 1 << 64))):
-            steps = np.full(max(n, 1 << 16), p, np.uint64)
+            steps = np.full(max(n, 1 << 17), p, np.uint64)
             steps[0] = 1
             made.append(np.cumprod(steps, dtype=np.uint64))
         have = _powers[int(base)] = (made[0], made[1])
@@ -175,7 +175,7 @@ def spans(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
     return starts, np.flatnonzero(word & ~after) + 1
 
 
-def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False, block: int = 1 << 20) -> np.ndarray:
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False, block: int = 1 << 17) -> np.ndarray:
     """A 64-bit hash of each span's bytes (equal bytes, equal hash), with memory bound by ``block`` and the longest span.
 
     ``second`` gives another hash, so that both together have 128 bits.
