@@ -67,3 +67,12 @@ r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), (
 SELECT page_id, host, path, h || r.p AS rule, coalesce(v, 'allow') AS verdict
 FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, r.p)
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || r.p) DESC) = 1"""
+
+
+EMBEDDINGS = """
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b USING (label) WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (WITH RECURSIVE r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN r USING (vec_id) LEFT JOIN n USING (vec_id)"""

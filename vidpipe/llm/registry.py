@@ -12,9 +12,11 @@ from . import oracles
 from .byte_bpe import encode_decode
 from .chat_format import format_chats, read_back
 from .decontaminate import find_hits
+from .embedding_dedup import near_vectors
 from .fingerprint import compare_with_edits
 from .language_id import identify
 from .near_dedup import near_duplicates
+from .periodic_runs import find_runs, with_tails
 from .quality import classify
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
@@ -91,6 +93,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), _RULES)
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", with_tails(F.col("text"), F.col("doc_id")).alias("text"))
+    out = find_runs(docs, exponent=4, least=6)
+    # quotients of whole numbers of this size are equal as doubles only if they are equal
+    best = F.array_max(F.transform("runs", lambda r: F.struct((r["length"] / r["period"]).alias("q"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r["length"].alias("length"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return out.withColumn("b", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("b.s")).alias("start"), F.col("b.length").alias("length"), (-F.col("b.p")).alias("period"),
+        F.floor(F.lit(1000) * F.col("b.length") / -F.col("b.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cws_fingerprint": op1_cws_fingerprint,
     "op2_decontamination": op2_decontamination,
@@ -102,13 +121,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-#: Fingerprints, tokens and the two classifiers are beyond SQL; tests hold them against plain versions.
+#: Fingerprints, tokens, the two classifiers and runs are beyond SQL; tests hold them against plain versions.
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": oracles.DECONTAMINATION,
     "op3_chat_format": oracles.CHAT,
     "op7_minhash_near_dedup": oracles.NEAR_DEDUP,
     "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op10_url_filter": oracles.URL_FILTER,
+    "op12_embedding_near_dedup": oracles.EMBEDDINGS,
 }
