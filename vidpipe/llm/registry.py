@@ -19,6 +19,7 @@ from .near_dedup import near_duplicates
 from .periodic_runs import find_runs, with_tails
 from .quality import classify
 from .substring_dedup import remove_repeats
+from .token_alignment import align
 from .token_counts import count_tokens
 from .url_filter import Rule, filter_urls
 
@@ -93,6 +94,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"), _RULES)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.withColumn("groups_sha256", F.when(F.col("n_groups") == 0, F.lit("")).otherwise(F.sha2("groups", 256))).drop("groups")
+
+
 def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
+    "op11_token_alignment": op11_token_alignment,
     "op12_embedding_near_dedup": op12_embedding_near_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
