@@ -78,12 +78,15 @@ def test_alignment_against_plain_loops(spark, texts, monkeypatch, bounds):
     if size < 1000:  # the same chunk by chunk, without Spark: bounds are read where the work is done
         monkeypatch.setattr(token_alignment, "PAIRS", pairs)
         part = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["doc_id", "text"])
-        got = token_alignment._chunk(part, 0, token_alignment._sides(A, B)).to_pylist()[-1]
+        got = token_alignment._chunk(part, 0, token_alignment._sides(A, B)).to_pylist()[0]
         assert dict(zip(got["pair"], got["docs"], strict=True)) == {(x << 32) + y: n for (x, y), n in count.items()}
         return
     got = sorted((tuple(r) for r in token_alignment.align(docs, A, B).collect()), key=str)
     assert got == sorted(((r[0], *w) for r, w in zip(rows, want, strict=True)), key=str)
     assert sum(w[2] > 0 for w in want) > 800 and sum(w[2] == 0 for w in want) > 50
+    monkeypatch.setattr(token_alignment, "SENT", 0)  # counts that are too many to be sent are joined
+    joined = token_alignment.align(docs, A, B)
+    assert "CoGroup" in joined._jdf.queryExecution().toString() and sorted((tuple(r) for r in joined.collect()), key=str) == got
     pairs = token_alignment.pair_counts(docs, A, B).collect()
     assert {(r.a, r.b): (r.docs, r.best) for r in pairs} == {p: (n, most[p[0]] == n) for p, n in count.items()}
 

@@ -6,11 +6,11 @@
    keys gives the places where both end; counting them numbers the groups of tokens between.
 3. The tokens of a group are joined and counted as (piece, pair of ids), and pieces joined to texts give the texts
    that hold each pair: partial counts, which Spark adds up over all texts.
-4. The counts go back to the texts they came from by chunk of texts, a row for each pair of a chunk; texts travel as
-   the numbers of their pieces.
+4. Texts wait as the numbers of their pieces, a row for each chunk.  The counts of all pairs are sent to every task if
+   they are ``SENT`` or fewer; else those of a chunk's pairs are joined to it, a row for each pair of a chunk.
 
-Rows of all steps follow the texts and the pairs in them.  The pairs of a chunk are worked out some millions of
-rows at a time, however many tokens a group has.
+Rows of all steps follow the texts and the pairs in them.  The pairs of a chunk are worked out ``PAIRS`` rows at a
+time, however many tokens a group has.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import give_back, slices, utf8, written
 
-#: Bytes of text of a chunk (a longer text is one), remembered pieces per task, and rows of pairs worked out at a time.
-CHUNK_BYTES, CACHE, PAIRS = 4 << 20, 200_000, 1 << 22
+#: Bytes of text of a chunk (a longer text is one), rows of pairs worked out at a time, and pairs whose counts (17 bytes each) are sent to every task.
+CHUNK_BYTES, PAIRS, SENT = 2 << 20, 1 << 20, 1 << 21
 #: Bits of the second id in a packed pair.
 LOW = 32
 
@@ -39,22 +39,19 @@ class Side:
     """A tokenizer for pieces that begin with a space: token ids, and of each id its bytes."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], token_bytes: list[bytes]) -> None:
-        self.encode, self.known = encode, {}
+        self.encode = encode
         self.bytes = pa.array(token_bytes, pa.binary())
         self.sizes = pa.array([len(b) for b in token_bytes], pa.int64())
         self.names = pa.array([str(i) for i in range(len(token_bytes))])
 
     def tokens(self, pieces: pa.Array) -> pa.ListArray:
         """The ids of each piece."""
-        texts = pieces.to_pylist()
-        new = [t for t in texts if t not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, texts
-        self.known.update(zip(new, self.encode(new), strict=True))
-        found = [self.known[t] for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, offsets[-1])
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+        flat, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int32)]
+        for at in range(0, len(pieces), 1 << 14):
+            found = self.encode(pieces[at : at + (1 << 14)].to_pylist())
+            sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
+            flat.append(np.fromiter(itertools.chain.from_iterable(found), np.int32, sizes[-1].sum()))
+        return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes), dtype=np.int32)), pa.array(np.concatenate(flat)))
 
 
 def _byte_level(json_path: str) -> Side:
@@ -85,7 +82,7 @@ def _pieced(model_path: str) -> Side:
         raise ValueError("a piece of this model reaches over a space, so texts cannot be cut there")
     token_bytes = [bytes([int(n[3:-1], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else n.replace("▁", " ").encode() for i, n in zip(ids, names, strict=True)]
     space = names.index("▁")
-    return Side(lambda texts: [e if t != " " else [space] for t, e in zip(texts, model.encode([t[1:] for t in texts], num_threads=1), strict=True)] if texts else [], token_bytes)
+    return Side(lambda texts: [e if t != " " else [space] for t, e in zip(texts, model.encode([t[1:] for t in texts], num_threads=1), strict=True)], token_bytes)
 
 
 @cache
@@ -173,21 +170,27 @@ def _bytes(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-_ENCODED = "chunk bigint, doc_id bigint, pieces binary, lexicon binary, links binary, pair array<bigint>, docs array<bigint>"
+#: A chunk of texts: their ids, and the pieces of each, none if it has no tokens; what the pieces hold; the pairs of each piece, by
+#: place in ``pair``, and how often; the pairs of the chunk, and how many of its texts hold each.
+_ENCODED = "chunk bigint, ids array<bigint>, sizes binary, pieces binary, lexicon binary, links binary, place binary, times binary, pair array<bigint>, docs array<bigint>"
 
 
-def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.Table:
-    """A row for each text, with the numbers of its pieces, and one more for what its chunk's pieces are."""
+def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.RecordBatch:
     pieces, first = cut(part["text"])
     coded = pieces.dictionary_encode()
     lexicon, numbers = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    del pieces, coded
     tokens = [s.tokens(lexicon) for s in sides]
     whole = np.logical_and(*(pc.equal(_joined(t, s), lexicon.cast(pa.binary())).to_numpy(zero_copy_only=False) for t, s in zip(tokens, sides, strict=True)))
     # texts with a piece that one side does not give back have no tokens
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     good = np.ones(len(first) - 1, bool)
     good[row[~whole[numbers]]] = False
-    tokens = [pc.if_else(pa.array(whole), t, pa.array([[]], pa.list_(pa.int32()))[0]) for t in tokens]
+    numbers = numbers[good[row]].astype(np.int32)
+    sizes = np.where(good, np.diff(first), 0).astype(np.int32)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    if not whole.all():
+        tokens = [pc.if_else(pa.array(whole), t, pa.array([[]], pa.list_(pa.int32()))[0]) for t in tokens]
     a, b = (_ends(t, s) for t, s in zip(tokens, sides, strict=True))
     both = a.select(["piece", "end"]).join(b.select(["piece", "end"]), ["piece", "end"], join_type="inner", use_threads=False)
     group_a, group_b = _grouped(a, both), _grouped(b, both)
@@ -195,36 +198,41 @@ def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.Tabl
     texts = pc.binary_join_element_wise(_strings(a, group_a, len(piece_of), sides[0]), _strings(b, group_b, len(piece_of), sides[1]), "|")
     bounds = np.searchsorted(piece_of, np.arange(len(lexicon) + 1))
     size_a, size_b = (np.bincount(g, minlength=len(piece_of)).astype(np.int64) for g in (group_a, group_b))
-    sums = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[bounds])
+    sums = lambda x: pa.array(np.diff(np.concatenate([[0], np.cumsum(x)])[bounds]))
     described = pa.table({
         "groups": pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), texts), ";"),
-        "n_a": sums(size_a), "n_b": sums(size_b), "n_groups": np.diff(bounds), "n_links": sums(size_a * size_b),
+        "n_a": sums(size_a), "n_b": sums(size_b), "n_groups": pa.array(np.diff(bounds)), "n_links": sums(size_a * size_b),
     })
-    links = _pairs(a, group_a, b, group_b, piece_of)
+    del texts, both
+    links = _pairs(a, group_a, b, group_b, piece_of).sort_by([("piece", "ascending"), ("pair", "ascending")])
+    of_piece, link_pair = links["piece"].to_numpy(), links["pair"].to_numpy()
+    each = np.bincount(of_piece, minlength=len(lexicon))
     # which texts hold which pair: distinct (text, piece), then (text, pair), then texts by pair
-    held = np.unique(row[good[row]] << 32 | numbers[good[row]])
+    held = np.unique(row << 32 | numbers)
     held = pa.table({"piece": pa.array(held & 0xFFFFFFFF), "text": pa.array(held >> 32)})
+    held_text = held["text"].to_numpy()
     by_pair, at = [], 0
-    each = np.bincount(links["piece"].to_numpy(), minlength=len(lexicon))
-    upto = np.cumsum(each[held["piece"].to_numpy()]) if len(held) else np.zeros(0, np.int64)
+    upto = np.cumsum(each[held["piece"].to_numpy()])
     slim = links.select(["piece", "pair"])
-    while at < len(held):  # whole texts, some millions of rows at a time
+    while at < len(held):  # whole texts, some rows at a time
         to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
-        to = max(to, int(np.searchsorted(held["text"].to_numpy(), held["text"][to - 1].as_py(), side="right")))
+        to = int(np.searchsorted(held_text, held_text[to - 1], side="right"))
         of_text = held.slice(at, to - at).join(slim, "piece", join_type="inner", use_threads=False).group_by(["text", "pair"], use_threads=False).aggregate([])
         by_pair.append(of_text.group_by("pair", use_threads=False).aggregate([("text", "count")]).rename_columns(["pair", "docs"]))
         at = to
-    counts = _counted(pa.concat_tables(by_pair), ["pair"], "docs") if by_pair else pa.table({"pair": pa.array([], pa.int64()), "docs": pa.array([], pa.int64())})
-    numbers = numbers.astype(np.int32)
-    mine = [numbers[x:y].tobytes() if g else b"" for x, y, g in zip(first[:-1].tolist(), first[1:].tolist(), good.tolist(), strict=True)]
-    n = len(mine)
-    none = lambda kind: pa.nulls(n, kind)
-    lists = pa.list_(pa.int64())
-    rows = [pa.array([name] * n, pa.int64()), part["doc_id"], pa.array(mine, pa.binary()), none(pa.binary()), none(pa.binary()), none(lists), none(lists)]
-    whole_list = lambda c: pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), counts[c].combine_chunks())
-    own = [pa.array([name], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([_bytes(described)], pa.binary()), pa.array([_bytes(links)], pa.binary()), whole_list("pair"), whole_list("docs")]
-    names = [f.split()[0] for f in _ENCODED.split(", ")]
-    return pa.concat_tables([pa.table(rows, names=names), pa.table(own, names=names)])
+    none = pa.table({"pair": pa.array([], pa.int64()), "docs": pa.array([], pa.int64())})
+    counts = _counted(pa.concat_tables([none, *by_pair]), ["pair"], "docs").sort_by("pair")
+    pair = counts["pair"].to_numpy()
+    known = np.isin(link_pair, pair)  # pieces of texts without tokens have pairs that no text holds
+    each = np.bincount(of_piece[known], minlength=len(lexicon))
+    values = [
+        sizes.tobytes(), numbers.tobytes(), _bytes(described), each.astype(np.int32).tobytes(),
+        np.searchsorted(pair, link_pair[known]).astype(np.int32).tobytes(), links["n"].to_numpy()[known].tobytes(),
+    ]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part["doc_id"], pa.array(pair), counts["docs"].combine_chunks())]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([name], pa.int64()), lists[0], *(pa.array([v], pa.binary()) for v in values), *lists[1:]], names=[f.split()[0] for f in _ENCODED.split(", ")]
+    )
 
 
 def _encoded(documents: DataFrame, json_path: str, model_path: str, id_col: str, text_col: str) -> DataFrame:
@@ -235,23 +243,23 @@ def _encoded(documents: DataFrame, json_path: str, model_path: str, id_col: str,
         sides = _sides(json_path, model_path)
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
-                yield from _chunk(part, (task.partitionId() if task else 0) << 32 | many, sides).to_batches()
+                yield _chunk(part, task.partitionId() << 32 | many, sides)
                 many += 1
-        give_back()
+                give_back()
 
     docs = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return written(docs.mapInArrow(run, _ENCODED), "aligned")
 
 
 def _pair_rows(encoded: DataFrame) -> DataFrame:
-    return encoded.where("pair IS NOT NULL").select("chunk", F.inline(F.arrays_zip("pair", "docs")))
+    return encoded.select("chunk", F.inline(F.arrays_zip("pair", "docs")))
 
 
 def _totals(rows: DataFrame) -> DataFrame:
     """``(pair, docs, best)`` over all texts; ``best`` marks the highest counts of each first id."""
     total = written(rows.groupBy("pair").agg(F.sum("docs").alias("docs")), "pairs").withColumn("a", F.shiftright("pair", LOW))
     most = total.groupBy("a").agg(F.max("docs").alias("most"))
-    return total.join(most, "a").select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
+    return written(total.join(most, "a").select("pair", "docs", (F.col("docs") == F.col("most")).alias("best")), "pairs")
 
 
 def pair_counts(documents: DataFrame, json_path: str, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,25 +271,44 @@ def pair_counts(documents: DataFrame, json_path: str, model_path: str, id_col: s
 _ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups string"
 
 
-def _answered(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    own = docs.filter(pc.is_valid(docs["lexicon"]))
-    docs = docs.filter(pc.is_null(docs["lexicon"]))
-    described, links = (pa.ipc.open_stream(own[c][0].as_buffer()).read_all() for c in ("lexicon", "links"))
-    order = np.argsort(answers["pair"].to_numpy())
-    pair, count, best = (answers[c].to_numpy()[order] for c in ("pair", "docs", "best"))
-    at = np.searchsorted(pair, links["pair"].to_numpy())
-    n, piece = links["n"].to_numpy(), links["piece"].to_numpy()
+def _answered(row: pa.RecordBatch, pair: np.ndarray, docs: np.ndarray, best: np.ndarray) -> pa.Table:
+    """The texts of one chunk, by the counts of pairs, sorted, among which are all of the chunk's."""
+    read = lambda name, kind: np.frombuffer(row[name][0].as_buffer(), kind)
+    described = pa.ipc.open_stream(row["lexicon"][0].as_buffer()).read_all()
+    at = np.searchsorted(pair, row["pair"].flatten().to_numpy())[read("place", np.int32)]
+    bounds, times = np.concatenate([[0], np.cumsum(read("links", np.int32))]), read("times", np.int64)
     by_piece = {c: described[c].to_numpy() for c in ("n_a", "n_b", "n_groups", "n_links")}
-    for c, value in (("n_best", n * best[at]), ("count_sum", n * count[at])):
-        by_piece[c] = np.zeros(len(described), np.int64)
-        np.add.at(by_piece[c], piece, value)
-    pieces = [np.frombuffer(x.as_buffer(), np.int32) for x in docs["pieces"]]
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-    flat = np.concatenate([np.zeros(0, np.int32), *pieces])
-    sums = {c: np.diff(np.concatenate([[0], np.cumsum(v[flat])])[offsets]) for c, v in by_piece.items()}
-    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pc.take(described["groups"].combine_chunks(), pa.array(flat))), ";")
-    give_back()
-    return pa.table({"doc_id": docs["doc_id"], **{c: sums[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")}, "groups": texts})
+    for c, value in (("n_best", times * best[at]), ("count_sum", times * docs[at])):
+        by_piece[c] = np.diff(np.concatenate([[0], np.cumsum(value)])[bounds])
+    pieces, offsets = read("pieces", np.int32), np.concatenate([[0], np.cumsum(read("sizes", np.int32))])
+    sums = {c: np.diff(np.concatenate([[0], np.cumsum(v[pieces])])[offsets]) for c, v in by_piece.items()}
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pc.take(described["groups"].combine_chunks(), pa.array(pieces))), ";")
+    return pa.table({"doc_id": row["ids"].flatten(), **{c: sums[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")}, "groups": texts})
+
+
+def _by_sent_counts(encoded: DataFrame, totals: DataFrame) -> DataFrame:
+    counts = totals.toArrow().sort_by("pair")  # SENT rows at most
+    sent = encoded.sparkSession.sparkContext.broadcast([counts[c].to_numpy() for c in ("pair", "docs", "best")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from _answered(batch.slice(k, 1), *sent.value).to_batches()
+        give_back()
+
+    return encoded.mapInArrow(run, _ALIGNED)
+
+
+def _by_joined_counts(encoded: DataFrame, totals: DataFrame) -> DataFrame:
+    answers = _pair_rows(encoded).select(F.col("chunk").alias("of"), "pair").join(totals, "pair")
+
+    def run(chunk: pa.Table, own: pa.Table) -> pa.Table:
+        own = own.sort_by("pair")
+        done = _answered(chunk.combine_chunks().to_batches()[0], *(own[c].to_numpy() for c in ("pair", "docs", "best")))
+        give_back()
+        return done
+
+    return encoded.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(run, _ALIGNED)
 
 
 def align(documents: DataFrame, json_path: str, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,7 +324,5 @@ def align(documents: DataFrame, json_path: str, model_path: str, id_col: str = "
     whole, however long.  No rows give no rows; other columns do not matter.
     """
     encoded = _encoded(documents, json_path, model_path, id_col, text_col)
-    rows = _pair_rows(encoded)
-    answers = rows.select(F.col("chunk").alias("of"), "pair").join(_totals(rows), "pair")
-    texts = encoded.select("chunk", "doc_id", "pieces", "lexicon", "links")
-    return texts.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(_answered, _ALIGNED)
+    totals = _totals(_pair_rows(encoded))
+    return (_by_sent_counts if totals.count() <= SENT else _by_joined_counts)(encoded, totals)
