@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 NOW = "2024-02-01 00:00:00"
 
 VIEWS = {
@@ -103,8 +105,18 @@ def duck(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({VIEWS[n].format(events='events', part='part', lineitem='lineitem')})" for n in names)
 
 
+_DUMPS: dict[tuple[str, str], DataFrame] = {}
+
+
 def dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(channel_url, k, returncode, stdout, stderr)``: a JSON dump of each channel's entries, some of them broken."""
+    """``(channel_url, k, returncode, stdout, stderr)``: a JSON dump of each channel's entries, some of them broken; written once for a folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DUMPS:
+        _DUMPS[key] = written(_dumps(spark, sf_dir), "dumps")
+    return _DUMPS[key]
+
+
+def _dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = view(spark, sf_dir, "fx_dump_entries").withColumn("k", F.regexp_extract("channel_url", "[0-9]+$", 0).cast("bigint"))
     leaf = F.struct("pos", F.struct("id", "duration", "view_count", "upload_date", F.col("epoch").alias("timestamp"), F.col("release_epoch").alias("release_timestamp")).alias("e"))
 

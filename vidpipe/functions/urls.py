@@ -54,4 +54,5 @@ def listing_url(channel: Column, suffix: str = "/videos") -> Column:
 
 
 def at_least_one(n: Column) -> Column:
+    """How many videos to ask for: one at least."""
     return F.greatest(F.lit(1), n)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.urls import at_least_one
 from ..functions.values import at, coerce_int, full_string, let, strict_bool, upload_date
+from ..scratch import written
 
 # Words in a list's title that exclude it.
 SKIPPED_TITLES = ("shorts", "live")
@@ -21,12 +23,16 @@ def _is_object(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
+def _is_skipped(entry: Column) -> Column:
+    """Whether a list's title excludes it; a missing one does not."""
+    title = F.lower(F.coalesce(full_string(at(entry, "$.title")), F.lit("")))
+    return F.contains(title, F.lit(SKIPPED_TITLES[0])) | F.contains(title, F.lit(SKIPPED_TITLES[1]))
+
+
 def _open(entry: Column) -> Column:
     """What stands for an entry one level further down: itself unless it is a list, the elements of a list not skipped, or nothing."""
-    title = F.lower(F.coalesce(full_string(at(entry, "$.title")), F.lit("")))
-    skipped = F.contains(title, F.lit(SKIPPED_TITLES[0])) | F.contains(title, F.lit(SKIPPED_TITLES[1]))
     none = F.array().cast("array<variant>")
-    return F.when(at(entry, "$.entries").isNull(), F.array(entry)).when(skipped, none).otherwise(_array(at(entry, "$.entries")))
+    return F.when(at(entry, "$.entries").isNull(), F.array(entry)).when(_is_skipped(entry), none).otherwise(_array(at(entry, "$.entries")))
 
 
 #: JSON itself nests no deeper than this here: the parser refuses more than 1,000 arrays and objects in each other.
@@ -54,18 +60,52 @@ def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> Da
         return F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), state, lambda s, _: F.when(F.exists(s, more), inner(s)).otherwise(s))
 
     out = dumps.withColumn("leaves", open_all(top, _ROUNDS - 1))
-    return out.withColumn("deeper", F.lit(0)).withColumn("leaves", F.filter("leaves", leaf))
+    return out.withColumn("deeper", F.size(F.filter("leaves", more))).withColumn("leaves", F.filter("leaves", leaf))
+
+
+def _video(e: Column) -> dict[str, Column]:
+    return {
+        "video_id": full_string(at(e, "$.id")),
+        "upload_date": upload_date(full_string(at(e, "$.upload_date")), coerce_int(at(e, "$.timestamp")), coerce_int(at(e, "$.release_timestamp"))),
+        "duration_seconds": coerce_int(at(e, "$.duration")),
+        "view_count": coerce_int(at(e, "$.view_count")),
+    }
+
+
+def flatten_rows(dumps: DataFrame, keys: list[str], dump: str) -> DataFrame:
+    """``(*keys, path, entry)``: a row for each leaf entry of each dump; ``path`` has its place on every level, so leaves sorted by it are in document order.
+
+    Lists are opened level by level as rows, which are written in between, until no list is left: a channel with
+    millions of entries is split like any other rows, and no array of its leaves is ever made.
+    """
+    entries = at(F.col("entry"), "$.entries")
+    level = dumps.select(*keys, F.posexplode(_array(at(F.col(dump), "$.entries"))).alias("_at", "entry")).select(*keys, F.array("_at").alias("path"), "entry")
+    leaves = None
+    while True:
+        level = written(level, "entries")
+        own = level.where(entries.isNull() & _is_object(F.col("entry")))
+        leaves = own if leaves is None else leaves.unionByName(own)
+        lists = level.where(entries.isNotNull() & ~_is_skipped(F.col("entry")))
+        if lists.isEmpty():
+            return leaves
+        level = lists.select(*keys, "path", F.posexplode(_array(entries)).alias("_at", "entry")).select(*keys, F.concat("path", F.array("_at")).alias("path"), "entry")
+
+
+def video_rows(leaves: DataFrame, keys: list[str], most: int = 40) -> DataFrame:
+    """``(*keys, pos, video_id, upload_date, duration_seconds, view_count)`` of the first ``most`` (one at least) rows of ``leaves`` by path that have an id."""
+    named = leaves.withColumn("_id", full_string(at(F.col("entry"), "$.id"))).where("_id IS NOT NULL")
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("path"))
+    kept = named.withColumn("pos", first - 1).where(F.col("pos") < at_least_one(F.lit(most)))
+    return kept.select(*keys, "pos", *(c.alias(n) for n, c in _video(F.col("entry")).items()))
 
 
 def videos_of(leaves: Column, most: int = 40) -> Column:
     """``(pos, video_id, upload_date, duration_seconds, view_count)`` of the first ``most`` leaves (one at least) that have an id, as an array."""
-    valid = F.slice(F.filter(leaves, lambda e: full_string(at(e, "$.id")).isNotNull()), 1, max(1, most))
+    valid = F.slice(F.filter(leaves, lambda e: full_string(at(e, "$.id")).isNotNull()), F.lit(1), at_least_one(F.lit(most)))
     return F.transform(
         valid,
         lambda e, i: F.struct(
-            i.alias("pos"), full_string(at(e, "$.id")).alias("video_id"),
-            upload_date(full_string(at(e, "$.upload_date")), coerce_int(at(e, "$.timestamp")), coerce_int(at(e, "$.release_timestamp"))).alias("upload_date"),
-            coerce_int(at(e, "$.duration")).alias("duration_seconds"), coerce_int(at(e, "$.view_count")).alias("view_count"),
+            i.alias("pos"), *(c.alias(n) for n, c in _video(e).items()),
         ),
     )
 

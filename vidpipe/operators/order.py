@@ -22,6 +22,27 @@ def with_index(rows: DataFrame, order: list[str], name: str = "idx") -> DataFram
     return ranged.withColumn("_local", local).join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_local")).cast("bigint")).drop("_part", "_local", "_before")
 
 
+def with_rank(rows: DataFrame, score: str, ties: list[str], name: str = "rank") -> DataFrame:
+    """The rank of each row from 1 by falling ``score``, nulls last; equal scores share the least rank of theirs.
+
+    Rows are dealt into ranges by score and ``ties``, which together are unique, so a score that a third of all rows
+    have is split like any other.  Each range is ranked by itself; where a score goes on over a border, the rank it
+    began with is carried over.  A row for each range meets in one place.
+    """
+    place = F.struct(F.col(score).isNotNull().alias("known"), F.col(score).alias("score"))
+    ranged = rows.withColumn("_place", place).repartitionByRange(F.desc("_place"), *ties).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "rank")  # so that its partitions are settled for good
+    ranged = ranged.withColumn("_local", F.rank().over(Window.partitionBy("_part").orderBy(F.desc("_place"))) - 1)
+    parts = ranged.groupBy("_part").agg(F.count("*").alias("_n"), F.max("_place").alias("_first"), F.min("_place").alias("_last"), F.max("_local").alias("_tail"))
+    along = Window.orderBy("_part")  # a row for each range
+    parts = parts.select("_part", "_first", "_last", "_tail", (F.sum("_n").over(along) - F.col("_n")).alias("_before"), F.lag("_last").over(along).eqNullSafe(F.col("_first")).alias("_goes_on"))
+    begun = F.when((F.col("_tail") > 0) | ~F.col("_goes_on"), F.col("_before") + F.col("_tail"))  # where a range's last score begins, if it begins there
+    parts = parts.withColumn("_begun", F.last(begun, ignorenulls=True).over(along))
+    parts = parts.select("_part", "_first", "_before", F.when(F.col("_goes_on"), F.lag("_begun").over(along)).alias("_carried"))
+    at = F.when(F.col("_carried").isNotNull() & (F.col("_local") == 0), F.col("_carried")).otherwise(F.col("_before") + F.col("_local"))
+    return ranged.join(F.broadcast(parts), "_part").withColumn(name, (at + 1).cast("bigint")).select(*rows.columns, name)
+
+
 def ordinal(rows: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
     """How many rows of the same ``keys`` come before each by ``order``, from 0; keys and order are unique together.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .validate import candidates, has_key
@@ -19,9 +19,13 @@ def oldest_first(rows: DataFrame, order: list[str], limit: int | None = None) ->
     return out.limit(limit) if limit else out
 
 
-def claim(normalized: DataFrame, processed: DataFrame, claims: DataFrame, limit: int | None, key: str = "channel_url") -> DataFrame:
-    """``(key, first_normalized_at)`` of the ``limit`` oldest candidates, neither processed nor claimed; of all, unsorted, if it is None."""
-    open_ = candidates(normalized).join(processed.select(key), key, "left_anti").join(claims.select(key), key, "left_anti")
+def claim(normalized: DataFrame, processed: DataFrame, claims: DataFrame, limit: int | None, key: str = "channel_url", now: Column | None = None, ttl: int | None = None) -> DataFrame:
+    """``(key, first_normalized_at)`` of the ``limit`` oldest candidates, neither processed nor claimed; of all, unsorted, if it is None.
+
+    With ``ttl``, in seconds, only claims of less than that age at ``now`` count; ``claims`` may hold several of a key.
+    """
+    live = claims.select(key) if ttl is None else claims.where(F.col("claimed_at") > now - F.make_dt_interval(secs=F.lit(ttl))).select(key)
+    open_ = candidates(normalized).join(processed.select(key), key, "left_anti").join(live, key, "left_anti")
     all_ = open_.groupBy(key).agg(F.min("normalized_at").alias("first_normalized_at"))
     return all_ if limit is None else all_.orderBy("first_normalized_at", key).limit(max(0, limit))
 
@@ -58,8 +62,3 @@ def key_violations(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def shared_keys(one: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return one.select(key).intersect(other.select(key))
-
-
-def count_of(rows: DataFrame, column: str, values: list[str]) -> DataFrame:
-    """One row with how often ``column`` has each value."""
-    return rows.agg(*(F.count(F.when(F.col(column) == v, 1)).alias(v) for v in values))

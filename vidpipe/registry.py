@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .fixtures import NOW, duck, dumps, view
 from .functions import labels, text, urls, values
-from .operators import merge, nested, order, relate, validate
+from .operators import merge, nested, order, relate, seen, validate
 from .plans import jobs
-from .scratch import new_path
+from .scratch import new_path, written
 from .sources import lists, state
 from .streaming import streams
 
@@ -44,6 +44,16 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _norm = lambda x: f"nullif(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '')"
 
 
+# words and units as the parsers must know them, written out here so that a wrong one there shows
+_VIEW_WORDS = ("views", "view", "vistas", "visualizaciones", "reproducciones", "de", "•")
+_AGE_PREFIXES = ("premiered", "streamed", "hace", "emitido", "estrenado", "transmitido", "se emitió")
+_AGE_EN, _AGE_ES = "minute|min|hour|day|week|month|year", "minuto|hora|d[ií]a|dia|semana|mes|a[nñ]o"
+_UNIT_SECONDS = {"minute": 60, "min": 60, "minuto": 60, "hour": 3600, "hora": 3600, "day": 86400, "dia": 86400, "week": 604800, "semana": 604800, "month": 2592000, "mes": 2592000, "year": 31536000, "ano": 31536000}
+_HOURS = ("h", "hr", "hrs", "hour", "hours", "hora", "horas")
+_MINUTES = ("m", "min", "mins", "minute", "minutes", "minuto", "minutos")
+_SECONDS = ("s", "sec", "secs", "second", "seconds", "segundo", "segundos")
+
+
 def _replace_all(x: str, words: tuple[str, ...]) -> str:
     for w in words:
         x = f"replace({x}, '{w}', ' ')"
@@ -52,7 +62,7 @@ def _replace_all(x: str, words: tuple[str, ...]) -> str:
 
 _VIEWS = f"""
 v0 AS (SELECT *, lower({_norm('views_text')}) AS low FROM fx_hits),
-v1 AS (SELECT *, coalesce({_norm(_replace_all('low', text.VIEW_WORDS))}, '') AS cleaned FROM v0),
+v1 AS (SELECT *, coalesce({_norm(_replace_all('low', _VIEW_WORDS))}, '') AS cleaned FROM v0),
 v2 AS (SELECT *, regexp_extract(cleaned, '((?:[0-9]{{1,3}}(?:[.,][0-9]{{3}})+|[0-9]+)(?:[.,][0-9]+)?)\\s*([kmb])?', 1) AS num,
   regexp_extract(cleaned, '((?:[0-9]{{1,3}}(?:[.,][0-9]{{3}})+|[0-9]+)(?:[.,][0-9]+)?)\\s*([kmb])?', 2) AS suf FROM v1),
 v3 AS (SELECT *, TRY_CAST(CASE
@@ -75,14 +85,14 @@ d0 AS (SELECT *, {_norm('duration_text')} AS dt FROM views),
 d1 AS (SELECT *, {_norm("replace(replace(lower(dt), ',', ' '), '·', ' ')")} AS w, string_split(dt, ':') AS p FROM d0),
 durations AS (SELECT *, CASE WHEN regexp_matches(dt, '^[0-9]+:[0-9]+$') THEN CAST(p[1] AS BIGINT) * 60 + CAST(p[2] AS BIGINT)
   WHEN regexp_matches(dt, '^[0-9]+:[0-9]+:[0-9]+$') THEN CAST(p[1] AS BIGINT) * 3600 + CAST(p[2] AS BIGINT) * 60 + CAST(p[3] AS BIGINT)
-  ELSE nullif({_unit_sql(text.HOURS)} * 3600 + {_unit_sql(text.MINUTES)} * 60 + {_unit_sql(text.SECONDS)}, 0) END AS duration_seconds_estimated FROM d1)"""
+  ELSE nullif({_unit_sql(_HOURS)} * 3600 + {_unit_sql(_MINUTES)} * 60 + {_unit_sql(_SECONDS)}, 0) END AS duration_seconds_estimated FROM d1)"""
 
-_UNITS = "CASE strip_accents(unit) " + " ".join(f"WHEN '{u}' THEN {s}" for u, s in text.UNIT_SECONDS.items()) + " END"
+_UNITS = "CASE strip_accents(unit) " + " ".join(f"WHEN '{u}' THEN {s}" for u, s in _UNIT_SECONDS.items()) + " END"
 _PUBLISHED = f"""
 p0 AS (SELECT *, {_norm('published_text')} AS pt FROM durations),
-p1 AS (SELECT *, coalesce({_norm(_replace_all('lower(pt)', text.AGE_PREFIXES))}, '') AS pl FROM p0),
-p2 AS (SELECT *, coalesce(nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_EN})s?\\b', 1), ''), nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_ES})s?\\b', 1), '')) AS qty,
-  coalesce(nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_EN})s?\\b', 2), ''), nullif(regexp_extract(pl, '([0-9]+)\\s*({text.AGE_ES})s?\\b', 2), '')) AS unit FROM p1),
+p1 AS (SELECT *, coalesce({_norm(_replace_all('lower(pt)', _AGE_PREFIXES))}, '') AS pl FROM p0),
+p2 AS (SELECT *, coalesce(nullif(regexp_extract(pl, '([0-9]+)\\s*({_AGE_EN})s?\\b', 1), ''), nullif(regexp_extract(pl, '([0-9]+)\\s*({_AGE_ES})s?\\b', 1), '')) AS qty,
+  coalesce(nullif(regexp_extract(pl, '([0-9]+)\\s*({_AGE_EN})s?\\b', 2), ''), nullif(regexp_extract(pl, '([0-9]+)\\s*({_AGE_ES})s?\\b', 2), '')) AS unit FROM p1),
 published AS (SELECT *, CASE WHEN pt IS NULL THEN NULL WHEN contains(pl, 'yesterday') OR contains(pl, 'ayer') THEN {_DUCK_NOW} - INTERVAL 1 DAY
   WHEN qty IS NOT NULL THEN {_DUCK_NOW} - to_seconds(CAST(qty AS BIGINT) * ({_UNITS}))
   ELSE CAST(coalesce(CASE WHEN regexp_matches(pt, '^[0-9]{{4}}-') THEN try_strptime(pt, '%Y-%m-%d') END, try_strptime(pt, '%b %d, %Y'), try_strptime(pt, '%d %b %Y')) AS TIMESTAMP) AT TIME ZONE 'UTC' END
@@ -140,7 +150,7 @@ _CHANNELS = "CASE WHEN event_id % 3 = 0 THEN array(named_struct('name', 'a', 'ur
 
 
 @_query(
-    f"""{duck('fx_hits')} SELECT event_id, '{urls.WATCH}' || video_id AS video_url, '{urls.THUMBNAIL[0]}' || video_id || '{urls.THUMBNAIL[1]}' AS thumbnail_url,
+    f"""{duck('fx_hits')} SELECT event_id, 'https://www.youtube.com/watch?v=' || video_id AS video_url, 'https://i.ytimg.com/vi/' || video_id || '/hqdefault.jpg' AS thumbnail_url,
     coalesce(nullif(channel_url, ''), CASE event_id % 3 WHEN 0 THEN 'https://v.example/a' WHEN 1 THEN 'https://v.example/c' END) AS channel_url,
     coalesce(event_id % 3 = 0, false) AS is_multi_creator FROM fx_hits"""
 )
@@ -583,10 +593,13 @@ def normalize_job(spark, sf_dir):
 
 @_query(f"{_TODO} SELECT count(*) AS fetched, count(*) AS prepared, count(DISTINCT video_id) AS inserted, count(*) - count(DISTINCT video_id) AS ignored FROM todo")
 def normalize_stats(spark, sf_dir):
-    return _normalized(spark, sf_dir)[1]
+    """What was counted while the rows were written."""
+    rows, seen_ = _normalized(spark, sf_dir)
+    written(rows, "normalized")
+    return spark.createDataFrame([tuple(seen_.get[c] for c in ("fetched", "prepared", "inserted", "ignored"))], "fetched bigint, prepared bigint, inserted bigint, ignored bigint")
 
 
-@_query(f"""{duck('fx_hits')} SELECT video_id, search_run_id, '{urls.WATCH}' || video_id AS video_url, nullif(channel_url, '') AS channel_url, coalesce(event_id % 4 = 0, false) AS is_multi_creator
+@_query(f"""{duck('fx_hits')} SELECT video_id, search_run_id, 'https://www.youtube.com/watch?v=' || video_id AS video_url, nullif(channel_url, '') AS channel_url, coalesce(event_id % 4 = 0, false) AS is_multi_creator
     FROM fx_hits QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1""")
 def ingest_hits(spark, sf_dir):
     none = F.lit(None).cast("string")
@@ -627,6 +640,12 @@ def _scratch(spark) -> str:
     return new_path(spark, "state")
 
 
+def _arrive(rows: DataFrame, batch, many: int, path: str) -> None:
+    """Rows by ``batch``, 0 to ``many`` - 1, as files that come one after another."""
+    for k in range(many):
+        rows.where(batch == k).coalesce(1).write.mode("append").parquet(path)
+
+
 @_query(f"{duck(*_CLAIM_VIEWS)} SELECT channel_url, epoch_us(claimed_at) AS claimed_us FROM fx_claims UNION ALL SELECT channel_url, epoch_us({_DUCK_NOW}) FROM ({_CLAIM})")
 def claim_job(spark, sf_dir):
     """The stored claims after a run over all candidates."""
@@ -653,11 +672,14 @@ def read_table(spark, sf_dir):
 @_query(f"""{_PARSED} SELECT video_id, views_estimated, duration_seconds_estimated, {_REASON} IS NULL AS validation_passed FROM published
     QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY event_id) = 1""")
 def stream_normalize(spark, sf_dir):
+    """Hits that arrive in three batches, in their order."""
     root = _scratch(spark)
     raw = view(spark, sf_dir, "fx_hits").select("event_id", *jobs.RAW_COLUMNS)
-    raw.write.parquet(f"{root}/arriving")
+    last = raw.agg(F.max("event_id")).first()[0] or 0
+    _arrive(raw, F.floor(F.col("event_id") * 3 / (last + 1)), 3, f"{root}/arriving")
     tables = state.Tables(spark, f"{root}/tables", "es")
-    streams.normalize_stream(spark.readStream.schema(raw.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _now(), "event_id")
+    arriving = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arriving")
+    streams.normalize_stream(arriving, tables, f"{root}/checkpoint", _now(), "event_id")
     return tables.read("videos_normalized").select("video_id", "views_estimated", "duration_seconds_estimated", "validation_passed")
 
 
@@ -749,3 +771,160 @@ def append_runs(spark, sf_dir):
     part = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("query"))
     each = runs.groupBy("query").agg(F.first("mode").alias("mode"), F.min(F.length("id") == 36).alias("has_id"), F.min(F.col("finished_at").isNull()).alias("is_open"))
     return part.join(each, "query").select("pos", "query", "mode", "has_id", "is_open")
+
+
+# rows that come again, and long histories -----------------------------------------------------------------------------
+
+
+@_query("SELECT event_id FROM events WHERE NOT (ts < TIMESTAMP '2024-01-05' AND event_id % 7 = 3)")
+def stream_dedupe(spark, sf_dir):
+    """Events of four spans of eight days, each sent again in the next batch; some of the first days come for the first time in the last batch, too late."""
+    root = _scratch(spark)
+    e = _t(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    span = F.floor(F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date")) / 8).cast("int")
+    late = (F.col("ts") < F.lit("2024-01-05").cast("timestamp")) & (F.col("event_id") % 7 == 3)
+    sent = F.when(late, F.array(F.lit(3))).otherwise(F.array(span, F.least(span + 1, F.lit(3))))
+    rows = e.select("event_id", "ts", F.explode(sent).alias("batch"))
+    _arrive(rows, F.col("batch"), 4, f"{root}/arriving")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arriving")
+    streams.dedupe_stream(arriving.select("event_id", "ts"), ["event_id"], "ts", "10 days", f"{root}/out", f"{root}/checkpoint")
+    return spark.read.schema("event_id bigint, ts timestamp").parquet(f"{root}/out").select("event_id")
+
+
+@_query(f"{duck('fx_hits')} SELECT 3 AS runs, true AS closed, count(*) AS sent, count(DISTINCT video_id) AS stored, count(DISTINCT video_id) AS videos FROM fx_hits")
+def ingest_replayed(spark, sf_dir):
+    """Three batches of hits, two of them twice: runs, rows and totals are those of three."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    none = F.lit(None).cast("string")
+    hits = view(spark, sf_dir, "fx_hits").drop("search_run_id").select(
+        "*", none.alias("video_url"), none.alias("thumbnail_url"), urls.video_type(F.col("duration_text")).alias("video_type"), F.lit(None).cast("boolean").alias("is_multi_creator")
+    )
+    for k in (0, 1, 1, 2, 0):
+        jobs.ingest_run(tables, hits.where(F.col("event_id") % 3 == k), f"batch {k}", _now(), "event_id", "hits", k)
+    totals = tables.applied("videos_raw", "hits")
+    runs = tables.read("search_runs").agg(F.count("*").cast("int").alias("runs"), F.bool_and(F.col("finished_at").isNotNull()).alias("closed"))
+    counted = tables.read("videos_raw").agg(F.count("*").alias("videos"))
+    return runs.crossJoin(counted).select("runs", "closed", F.lit(totals["sent"]).cast("bigint").alias("sent"), F.lit(totals["stored"]).cast("bigint").alias("stored"), "videos")  # one row each
+
+
+_ARRIVALS = """, a AS (SELECT channel_url, k, CASE WHEN k % 10 = 1 THEN 'failed' ELSE 'success' END AS status, k % 10 IN (2, 3, 4, 5) AS second FROM c)"""
+
+
+def _repeated(spark, sf_dir):
+    """Each channel's dump, then a good one with one video, then a failure for good."""
+    d = dumps(spark, sf_dir).drop("k")
+    good = d.select("channel_url", F.lit(0).alias("returncode"), F.lit('{"entries": [{"id": "second"}]}').alias("stdout"), F.lit("").alias("stderr"))
+    gone = d.select("channel_url", F.lit(1).alias("returncode"), F.lit("").alias("stdout"), F.lit("HTTP Error 404").alias("stderr"))
+    rows = [x.select("channel_url", "returncode", "stdout", "stderr", F.lit(k).alias("arrival_no")) for k, x in enumerate((d, good, gone))]
+    return rows[2].unionByName(rows[0]).unionByName(rows[1])
+
+
+@_query(f"""{_VIDEOS}, c AS (SELECT DISTINCT channel_url, CAST(regexp_extract(channel_url, '[0-9]+$') AS BIGINT) AS k FROM fx_dump_entries){_ARRIVALS},
+    own AS (SELECT channel_url, count(DISTINCT id) AS n FROM v WHERE p < 3 GROUP BY channel_url)
+    SELECT channel_url, status, CASE WHEN status = 'failed' THEN 0 WHEN second THEN 1 ELSE coalesce(n, 0) END AS videos FROM a LEFT JOIN own USING (channel_url)""")
+def stream_repeated(spark, sf_dir):
+    """Channels that come three times in a batch: the first dump that succeeds or fails for good counts, and its videos alone."""
+    root = _scratch(spark)
+    arriving = _repeated(spark, sf_dir)
+    arriving.write.parquet(f"{root}/arriving")
+    tables = state.Tables(spark, f"{root}/tables", "es")
+    streams.enrich_stream(spark.readStream.schema(arriving.schema).parquet(f"{root}/arriving"), tables, f"{root}/checkpoint", _now(), 3, "arrival_no")
+    videos = tables.read("channel_videos_raw").groupBy("channel_url").agg(F.count("*").alias("videos"))
+    return tables.read("channels_processed").join(videos, "channel_url", "left").select("channel_url", "status", F.coalesce("videos", F.lit(0)).alias("videos"))
+
+
+@_query(f"""{_KEYS}{_ARRIVALS} SELECT status, sum(n) :: BIGINT AS count FROM (SELECT status, 1 AS n FROM a UNION ALL SELECT 'failed', 1 FROM a WHERE second
+    UNION ALL SELECT 'skipped', CASE WHEN second THEN 1 ELSE 2 END FROM a) GROUP BY status""")
+def repeated_totals(spark, sf_dir):
+    none = spark.createDataFrame([], "channel_url string")
+    return jobs.enrich(_repeated(spark, sf_dir), none, _now(), 3, "arrival_no")["totals"]
+
+
+_CLAIM_LOG = "SELECT channel_url, claimed_at FROM fx_claims UNION ALL SELECT channel_url, claimed_at + INTERVAL 12 DAY FROM fx_claims WHERE CAST(regexp_extract(channel_url, '[0-9]+$') AS BIGINT) % 12 = 5"
+
+
+@_query(f"""{duck(*_CLAIM_VIEWS)}, l AS ({_CLAIM_LOG}), live AS (SELECT channel_url FROM l WHERE claimed_at > TIMESTAMP '{NOW}' - INTERVAL 10 DAY),
+    n AS (SELECT DISTINCT channel_url FROM fx_normalized WHERE validation_passed AND channel_url <> '' AND channel_url NOT IN (SELECT channel_url FROM fx_processed) AND channel_url NOT IN (SELECT channel_url FROM live))
+    SELECT channel_url, epoch_us(claimed_at) AS claimed_us FROM l UNION ALL SELECT channel_url, epoch_us({_DUCK_NOW}) FROM n""")
+def claim_expired(spark, sf_dir):
+    """The claim log after a run for which claims of ten days or older do not count."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    normal, processed, claims = (view(spark, sf_dir, v) for v in _CLAIM_VIEWS)
+    again = claims.where(F.regexp_extract("channel_url", "[0-9]+$", 0).cast("bigint") % 12 == 5).withColumn("claimed_at", F.col("claimed_at") + F.expr("INTERVAL 12 DAYS"))
+    tables.write("videos_normalized", normal.select("channel_url", "validation_passed", F.col("normalized_at").cast("timestamp")))
+    tables.write("channels_processed", processed.select("channel_url"))
+    tables.write("channels_discovery_claims", claims.unionByName(again).select("channel_url", F.col("claimed_at").cast("timestamp")))
+    jobs.claim_job(tables, _now(), None, ttl=10 * 86400)
+    return tables.read("channels_discovery_claims").select("channel_url", F.unix_micros("claimed_at").alias("claimed_us"))
+
+
+@_query(f"{_LONG} SELECT channel_url, {_SCORE} AS score, rank() OVER (ORDER BY {_SCORE} DESC) AS rank FROM a")
+def channel_rank(spark, sf_dir):
+    return jobs.rank_all(_analysis(spark, sf_dir))
+
+
+@_query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, rank() OVER (ORDER BY l_quantity DESC) AS rank FROM lineitem")
+def rank_with_ties(spark, sf_dir):
+    """Few different scores, each of many rows."""
+    rows = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return order.with_rank(rows, "l_quantity", ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
+@_query("""SELECT CAST(l_suppkey % 10 AS VARCHAR) AS channel_url, count(*) AS n_videos, avg(floor(l_extendedprice)) AS avg_views, true AS close FROM lineitem WHERE l_quantity >= 20 GROUP BY 1""")
+def sketched_medians(spark, sf_dir):
+    """Three batches, one of them twice, into stored sketches; ``close``: the median's rank is within the stated error of the middle."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    videos = _t(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 10).cast("string").alias("channel_url"), F.col("l_quantity").cast("bigint").alias("duration_seconds"), F.floor("l_extendedprice").cast("bigint").alias("view_count"), "l_partkey"
+    )
+    for k in (0, 1, 1, 2):
+        jobs.add_videos(tables, videos.where(F.col("l_partkey") % 3 == k), "videos", k)
+    analysis = jobs.analyse_sketches(tables.read("channel_sketches"))
+    middle = analysis.select("channel_url", "median_views")
+    ranks = videos.where("duration_seconds >= 20").join(F.broadcast(middle), "channel_url").groupBy("channel_url").agg(  # ten rows
+        F.avg((F.col("view_count") < F.col("median_views")).cast("double")).alias("below"), F.avg((F.col("view_count") <= F.col("median_views")).cast("double")).alias("upto")
+    )
+    close = (F.col("below") <= 0.5 + 0.0267) & (F.col("upto") >= 0.5 - 0.0267)
+    return analysis.join(ranks, "channel_url").select("channel_url", "n_videos", "avg_views", close.alias("close"))
+
+
+@_query(f"{_LEAVES} SELECT channel_url, ord AS pos, id FROM f")
+def flatten_rows(spark, sf_dir):
+    """The leaf entries of each dump as rows from the first, numbered by document order."""
+    leaves = nested.flatten_rows(_good(spark, sf_dir).select("channel_url", "dump"), ["channel_url"], "dump")
+    named = leaves.select("channel_url", "path", values.at(F.col("entry"), "$.id", "string").alias("id"))
+    return order.ordinal(named, ["channel_url"], ["path"], "pos").select("channel_url", "pos", "id")
+
+
+@_query(f"{_VIDEOS} SELECT channel_url, p AS pos, id AS video_id, {_DATE} AS upload_date, CAST(duration AS BIGINT) AS duration_seconds, view_count FROM v WHERE p < 3")
+def video_rows(spark, sf_dir):
+    leaves = nested.flatten_rows(_good(spark, sf_dir).select("channel_url", "dump"), ["channel_url"], "dump")
+    return nested.video_rows(leaves, ["channel_url"], 3).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@_query(f"""{_KEYS} SELECT channel_url, {_FAILED} AS reason, k % 10 = 1 AS permanent, CASE WHEN {_FAILED} IS NULL THEN CASE WHEN k % 3 = 0 THEN 'u' ELSE 'c' END || k END AS channel_id,
+    CASE WHEN {_FAILED} IS NULL THEN k END AS subscriber_count FROM c""")
+def stored_dumps(spark, sf_dir):
+    """Dumps stored parsed: what went wrong, and two fields, read without parsing again."""
+    path = f"{_scratch(spark)}/dumps"
+    lists.store_parsed(dumps(spark, sf_dir), path)
+    judged = jobs.triage(lists.parsed(spark, path))
+    meta = nested.meta_of(F.col("dump"))
+    return judged.select("channel_url", "reason", "permanent", meta["channel_id"].alias("channel_id"), meta["subscriber_count"].alias("subscriber_count"))
+
+
+@_query(f"{duck('fx_hits', 'fx_normalized')} SELECT event_id, video_id, query FROM fx_hits WHERE video_id NOT IN (SELECT video_id FROM fx_normalized)")
+def unprocessed_filtered(spark, sf_dir):
+    """Rows that a history lacks, by a stored filter of its keys first; the filter grew in two steps."""
+    tables = state.Tables(spark, _scratch(spark), "es")
+    done = view(spark, sf_dir, "fx_normalized").select("video_id")
+    blocks = seen.blocks_for(done.count())
+    for k in range(2):
+        seen.add_done(tables, done.where(F.pmod(F.xxhash64("video_id"), F.lit(2)) == k), "video_id", blocks, "done", k)
+    return seen.unprocessed(view(spark, sf_dir, "fx_hits").select("event_id", "video_id", "query"), done, tables.read("seen_blocks"), blocks, "video_id")
+
+
+@_query("SELECT p_partkey, greatest(1, p_size - 25) AS most FROM part")
+def video_minimum(spark, sf_dir):
+    """How many videos to ask for: one at least."""
+    return _t(spark, sf_dir, "part").select("p_partkey", urls.at_least_one(F.col("p_size") - 25).alias("most"))

@@ -42,3 +42,20 @@ def parse_dump(stdout: Column) -> tuple[Column, Column]:
     empty = F.coalesce(F.trim(stdout), F.lit("")) == ""
     error = F.when(empty, F.lit("empty output")).when(value.isNull(), F.lit("not valid JSON")).when(~F.startswith(kind(value), F.lit("OBJECT")), F.lit("root was not an object"))
     return F.when(error.isNull(), value), error
+
+
+def store_parsed(dumps: DataFrame, path: str) -> None:
+    """Dumps parsed once and for all: ``(*columns but stdout, dump, error)`` as Parquet, the fields that are common written as columns of their own.
+
+    Later jobs read only the fields they ask for, and parse nothing.
+    """
+    dump, error = parse_dump(F.col("stdout"))
+    empty = lambda c: F.nullif(F.trim(c), F.lit(""))
+    said = F.coalesce(empty("stderr"), F.when(F.col("returncode") != 0, empty("stdout")))  # a failure may speak in either
+    rest = [c for c in dumps.columns if c not in ("stdout", "stderr")]
+    dumps.select(*rest, said.alias("stderr"), dump.alias("dump"), error.alias("error")).write.mode("overwrite").parquet(path)
+
+
+def parsed(spark: SparkSession, path: str) -> DataFrame:
+    """What ``store_parsed`` wrote."""
+    return spark.read.parquet(path)
