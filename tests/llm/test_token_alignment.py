@@ -23,7 +23,7 @@ def plain(texts):
     own = Tokenizer.from_file(A)
     own.encode_special_tokens = True
     model = sentencepiece.SentencePieceProcessor(model_file=B)
-    sizes = [s.bytes.to_pylist() for s in token_alignment._sides(A, B)]
+    sizes = [s.spelled for s in token_alignment._sides(A, B)]
     groups = []
     for t in texts:
         ids = (own.encode(" " + t, add_special_tokens=False).ids, model.encode(t)) if t else ([], [])

@@ -30,7 +30,9 @@ from pyspark.sql import functions as F
 from .common import give_back, slices, utf8, written
 
 #: Bytes of text of a chunk (a longer text is one), rows of pairs worked out at a time, and pairs whose counts (17 bytes each) are sent to every task.
-CHUNK_BYTES, PAIRS, SENT = 2 << 20, 1 << 20, 1 << 21
+CHUNK_BYTES, PAIRS, SENT = 3 << 19, 1 << 19, 1 << 21
+#: Bytes of pieces that are encoded as one text.
+BLOCK = 1 << 13
 #: Bits of the second id in a packed pair.
 LOW = 32
 
@@ -40,18 +42,43 @@ class Side:
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], token_bytes: list[bytes]) -> None:
         self.encode = encode
-        self.bytes = pa.array(token_bytes, pa.binary())
+        self.spelled = token_bytes
         self.sizes = pa.array([len(b) for b in token_bytes], pa.int64())
         self.names = pa.array([str(i) for i in range(len(token_bytes))])
 
-    def tokens(self, pieces: pa.Array) -> pa.ListArray:
-        """The ids of each piece."""
-        flat, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int32)]
-        for at in range(0, len(pieces), 1 << 14):
-            found = self.encode(pieces[at : at + (1 << 14)].to_pylist())
+    def tokens(self, pieces: pa.StringArray) -> tuple[pa.ListArray, np.ndarray]:
+        """The ids of each piece, and which pieces they spell exactly.
+
+        Pieces are encoded many at a time, as one text; only where its tokens do not spell that text, or a piece ends
+        in white space, piece by piece.
+        """
+        data, offsets = utf8(pieces)
+        raw, firm = data.tobytes(), _firm(data, offsets[1:])
+        flat, sizes, whole = [np.zeros(0, np.int32)], [np.zeros(1, np.int32)], []
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(offsets, np.arange(BLOCK, len(data), BLOCK)), [len(pieces)]]))
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            own = offsets[x : y + 1] - offsets[x]
+            if firm[x:y].all():
+                found = self.encode([raw[offsets[x] : offsets[y]].decode()])[0]
+                if b"".join(map(self.spelled.__getitem__, found)) == raw[offsets[x] : offsets[y]]:
+                    flat.append(np.array(found, np.int32))
+                    ends = np.cumsum(self.sizes.to_numpy()[flat[-1]])
+                    sizes.append(np.diff(np.searchsorted(ends, own, side="right")).astype(np.int32))
+                    whole.append(np.ones(y - x, bool))
+                    continue
+            texts = [raw[i:j] for i, j in zip(offsets[x:y].tolist(), offsets[x + 1 : y + 1].tolist(), strict=True)]
+            found = self.encode([t.decode() for t in texts])
             sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
             flat.append(np.fromiter(itertools.chain.from_iterable(found), np.int32, sizes[-1].sum()))
-        return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes), dtype=np.int32)), pa.array(np.concatenate(flat)))
+            whole.append(np.array([b"".join(self.spelled[i] for i in ids) == t for ids, t in zip(found, texts, strict=True)], bool))
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes), dtype=np.int32)), pa.array(np.concatenate(flat)))
+        return lists, np.concatenate([np.zeros(0, bool), *whole])
+
+
+def _firm(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each of ``ends`` is no white space: none of C2, E1, E2, E3 begins it, as white space beyond ASCII does."""
+    one, two, three = (np.where(ends >= k, data[np.maximum(ends - k, 0)], 0) for k in (1, 2, 3))
+    return (one > 0x20) & (one < 0x7F) | (one >= 0x80) & (two != 0xC2) & ~((three >= 0xE1) & (three <= 0xE3))
 
 
 def _byte_level(json_path: str) -> Side:
@@ -97,24 +124,15 @@ def cut(texts: pa.Array) -> tuple[pa.StringArray, np.ndarray]:
     data, offsets = utf8(spaced)
     if not len(data):
         return pa.array([], pa.string()), np.zeros(len(offsets), np.int64)
-    prior = np.concatenate([np.zeros(3, np.uint8), data[:-1]])
-    one, two, three = prior[2:], prior[1:-1], prior[:-2]  # the bytes before each: last, last but one, third last
-    # after the end of a character that is no white space: none of C2, E1, E2, E3 begins it, as white space beyond ASCII does
-    plain = (one > 0x20) & (one < 0x7F) | (one >= 0x80) & (two != 0xC2) & ~((three >= 0xE1) & (three <= 0xE3))
-    begins = (data == 0x20) & plain
+    spaces = np.flatnonzero(data == 0x20)
+    begins = np.zeros(len(data), bool)
+    begins[spaces[_firm(data, spaces)]] = True
     begins[offsets[:-1][np.diff(offsets) > 0]] = True
     starts = np.flatnonzero(begins)
     pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data.tobytes()))
     return pieces, np.searchsorted(starts, offsets)
 
 
-def _joined(tokens: pa.ListArray, side: Side) -> pa.Array:
-    """The bytes of each list's tokens together."""
-    data, offsets = utf8(pc.take(side.bytes, pc.list_flatten(tokens)))
-    ends = offsets[tokens.offsets.to_numpy()].astype(np.int32)
-    return pa.BinaryArray.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(ends), pa.py_buffer(data.tobytes())])
-
-
 def _ends(tokens: pa.ListArray, side: Side) -> pa.Table:
     """A row for each token: its piece, where in the piece it ends, its place among all tokens and its id."""
     flat, piece = pc.list_flatten(tokens), pc.list_parent_indices(tokens)
@@ -124,11 +142,15 @@ def _ends(tokens: pa.ListArray, side: Side) -> pa.Table:
     return pa.table({"piece": piece.cast(pa.int64()), "end": end, "at": pa.array(np.arange(len(flat))), "id": flat.cast(pa.int64())})
 
 
-def _grouped(rows: pa.Table, both: pa.Table) -> np.ndarray:
-    """The group of each token: how many common ends come before its own."""
-    last = np.zeros(len(rows), np.int64)
-    last[rows.join(both, ["piece", "end"], join_type="inner", use_threads=False)["at"].to_numpy()] = 1
-    return np.cumsum(last) - last
+def _groups(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The group of each token of both sides, that is how many common ends come before its own, and the piece of each group."""
+    both = a.select(["piece", "end", "at"]).join(b.select(["piece", "end", "at"]), ["piece", "end"], join_type="inner", right_suffix="_b", use_threads=False)
+    out = []
+    for side, at in ((a, "at"), (b, "at_b")):
+        last = np.zeros(len(side), np.int64)
+        last[both[at].to_numpy()] = 1
+        out.append(np.cumsum(last) - last)
+    return out[0], out[1], np.sort(both["piece"].to_numpy())
 
 
 def _strings(rows: pa.Table, group: np.ndarray, groups: int, side: Side) -> pa.Array:
@@ -144,10 +166,15 @@ def _counted(table: pa.Table, keys: list[str], value: str) -> pa.Table:
 
 def _pairs(a: pa.Table, group_a: np.ndarray, b: pa.Table, group_b: np.ndarray, piece_of: np.ndarray) -> pa.Table:
     """``(piece, pair, n)``: how often the tokens of a pair of ids stand in one group of a piece."""
-    one, two = (
-        _counted(pa.table({"group": pa.array(g), "id": t["id"], "n": pa.array(np.ones(len(g), np.int64))}), ["group", "id"], "n").sort_by([("group", "ascending")]) for t, g in ((a, group_a), (b, group_b))
-    )
-    two = two.rename_columns(["group", "other", "m"])
+    size_a, size_b = (np.bincount(g, minlength=len(piece_of)) for g in (group_a, group_b))
+    large = size_a * size_b > 64  # there equal ids are counted before they meet others
+    sides = []
+    for t, g in ((a, group_a), (b, group_b)):
+        rows, many = pa.table({"group": pa.array(g), "id": t["id"], "n": pa.array(np.ones(len(g), np.int64))}), large[g]
+        if many.any():
+            rows = pa.concat_tables([rows.filter(pa.array(~many)), _counted(rows.filter(pa.array(many)), ["group", "id"], "n")])
+        sides.append(rows)
+    one, two = sides[0], sides[1].rename_columns(["group", "other", "m"])
     # a bounded number of rows of the join at a time: rows of the first side, by how many of the second each meets
     met = np.bincount(two["group"].to_numpy(), minlength=len(piece_of))[one["group"].to_numpy()]
     upto, out, at = np.cumsum(met), [], 0
@@ -155,24 +182,41 @@ def _pairs(a: pa.Table, group_a: np.ndarray, b: pa.Table, group_b: np.ndarray, p
         to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
         part = one.slice(at, to - at).join(two, "group", join_type="inner", use_threads=False)
         pair = pc.bit_wise_or(pc.shift_left(part["id"], LOW), part["other"])
-        piece = pc.take(pa.array(piece_of), part["group"])
-        out.append(_counted(pa.table({"piece": piece, "pair": pair, "n": pc.multiply(part["n"], part["m"])}), ["piece", "pair"], "n"))
+        out.append(_counted(pa.table({"piece": pc.take(pa.array(piece_of), part["group"]), "pair": pair, "n": pc.multiply(part["n"], part["m"])}), ["piece", "pair"], "n"))
         at = to
-    if not out:
-        return pa.table({"piece": pa.array([], pa.int64()), "pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-    return out[0] if len(out) == 1 else _counted(pa.concat_tables(out), ["piece", "pair"], "n")
+    none = pa.table({"piece": pa.array([], pa.int64()), "pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+    return out[0] if len(out) == 1 else _counted(pa.concat_tables([none, *out]), ["piece", "pair"], "n")
+
+
+def _texts_by_pair(row: np.ndarray, numbers: np.ndarray, piece: np.ndarray, place: np.ndarray, pieces: int) -> pa.Table:
+    """``(place, docs)``: how many texts hold each pair; ``row`` and ``numbers`` are the text and number of each piece, ``piece`` and ``place`` the pairs of each, sorted."""
+    held = np.unique(row << 32 | numbers)
+    text, own = held >> 32, held & 0xFFFFFFFF
+    bounds = np.searchsorted(piece, np.arange(pieces + 1))
+    many = np.diff(bounds)[own]
+    upto, out, at = np.cumsum(many), [pa.table({"place": pa.array([], pa.int64()), "docs": pa.array([], pa.int64())})], 0
+    while at < len(held):  # whole texts, some rows at a time
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
+        to = int(np.searchsorted(text, text[to - 1], side="right"))
+        n = many[at:to]
+        each = np.repeat(bounds[own[at:to]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        distinct = pa.table({"key": pa.array(np.repeat(text[at:to], n) << 32 | place[each])}).group_by("key", use_threads=False).aggregate([])
+        places = pc.bit_wise_and(distinct["key"], 0xFFFFFFFF)
+        out.append(pa.table({"place": places}).group_by("place", use_threads=False).aggregate([("place", "count")]).rename_columns(["place", "docs"]))
+        at = to
+    return _counted(pa.concat_tables(out), ["place"], "docs").sort_by("place")
 
 
 def _bytes(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
-#: A chunk of texts: their ids, and the pieces of each, none if it has no tokens; what the pieces hold; the pairs of each piece, by
-#: place in ``pair``, and how often; the pairs of the chunk, and how many of its texts hold each.
-_ENCODED = "chunk bigint, ids array<bigint>, sizes binary, pieces binary, lexicon binary, links binary, place binary, times binary, pair array<bigint>, docs array<bigint>"
+#: A chunk of texts: their ids, and the pieces of each, none if it has no tokens; what the pieces hold; the pairs of each piece in
+#: turn, by place in ``pair``, and how often; the pairs of the chunk, and how many of its texts hold each.  Binary: packed tables.
+_ENCODED = "chunk bigint, ids array<bigint>, sizes binary, pieces binary, lexicon binary, links binary, pair array<bigint>, docs array<bigint>"
 
 
 def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.RecordBatch:
@@ -180,8 +224,8 @@ def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.Reco
     coded = pieces.dictionary_encode()
     lexicon, numbers = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
     del pieces, coded
-    tokens = [s.tokens(lexicon) for s in sides]
-    whole = np.logical_and(*(pc.equal(_joined(t, s), lexicon.cast(pa.binary())).to_numpy(zero_copy_only=False) for t, s in zip(tokens, sides, strict=True)))
+    tokens, exact = zip(*(s.tokens(lexicon) for s in sides), strict=True)
+    whole = exact[0] & exact[1]
     # texts with a piece that one side does not give back have no tokens
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     good = np.ones(len(first) - 1, bool)
@@ -192,9 +236,7 @@ def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.Reco
     if not whole.all():
         tokens = [pc.if_else(pa.array(whole), t, pa.array([[]], pa.list_(pa.int32()))[0]) for t in tokens]
     a, b = (_ends(t, s) for t, s in zip(tokens, sides, strict=True))
-    both = a.select(["piece", "end"]).join(b.select(["piece", "end"]), ["piece", "end"], join_type="inner", use_threads=False)
-    group_a, group_b = _grouped(a, both), _grouped(b, both)
-    piece_of = np.sort(both["piece"].to_numpy())
+    group_a, group_b, piece_of = _groups(a, b)
     texts = pc.binary_join_element_wise(_strings(a, group_a, len(piece_of), sides[0]), _strings(b, group_b, len(piece_of), sides[1]), "|")
     bounds = np.searchsorted(piece_of, np.arange(len(lexicon) + 1))
     size_a, size_b = (np.bincount(g, minlength=len(piece_of)).astype(np.int64) for g in (group_a, group_b))
@@ -203,33 +245,19 @@ def _chunk(part: pa.RecordBatch, name: int, sides: tuple[Side, Side]) -> pa.Reco
         "groups": pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), texts), ";"),
         "n_a": sums(size_a), "n_b": sums(size_b), "n_groups": pa.array(np.diff(bounds)), "n_links": sums(size_a * size_b),
     })
-    del texts, both
+    del texts
     links = _pairs(a, group_a, b, group_b, piece_of).sort_by([("piece", "ascending"), ("pair", "ascending")])
     of_piece, link_pair = links["piece"].to_numpy(), links["pair"].to_numpy()
-    each = np.bincount(of_piece, minlength=len(lexicon))
-    # which texts hold which pair: distinct (text, piece), then (text, pair), then texts by pair
-    held = np.unique(row << 32 | numbers)
-    held = pa.table({"piece": pa.array(held & 0xFFFFFFFF), "text": pa.array(held >> 32)})
-    held_text = held["text"].to_numpy()
-    by_pair, at = [], 0
-    upto = np.cumsum(each[held["piece"].to_numpy()])
-    slim = links.select(["piece", "pair"])
-    while at < len(held):  # whole texts, some rows at a time
-        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
-        to = int(np.searchsorted(held_text, held_text[to - 1], side="right"))
-        of_text = held.slice(at, to - at).join(slim, "piece", join_type="inner", use_threads=False).group_by(["text", "pair"], use_threads=False).aggregate([])
-        by_pair.append(of_text.group_by("pair", use_threads=False).aggregate([("text", "count")]).rename_columns(["pair", "docs"]))
-        at = to
-    none = pa.table({"pair": pa.array([], pa.int64()), "docs": pa.array([], pa.int64())})
-    counts = _counted(pa.concat_tables([none, *by_pair]), ["pair"], "docs").sort_by("pair")
-    pair = counts["pair"].to_numpy()
-    known = np.isin(link_pair, pair)  # pieces of texts without tokens have pairs that no text holds
+    # pieces of texts without tokens have pairs that no text holds
+    pair, place = np.unique(link_pair, return_inverse=True)
+    counts = _texts_by_pair(row, numbers, of_piece, place, len(lexicon))
+    kept = counts["place"].to_numpy()
+    known = np.isin(place, kept) if len(kept) < len(pair) else np.ones(len(place), bool)
     each = np.bincount(of_piece[known], minlength=len(lexicon))
-    values = [
-        sizes.tobytes(), numbers.tobytes(), _bytes(described), each.astype(np.int32).tobytes(),
-        np.searchsorted(pair, link_pair[known]).astype(np.int32).tobytes(), links["n"].to_numpy()[known].tobytes(),
-    ]
-    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part["doc_id"], pa.array(pair), counts["docs"].combine_chunks())]
+    linked = pa.table({"place": pa.array(np.searchsorted(kept, place[known]).astype(np.int32)), "times": links["n"].to_numpy()[known]})
+    described = described.append_column("links", pa.array(each))
+    values = [_bytes(t) for t in (pa.table({"n": sizes}), pa.table({"n": numbers}), described, linked)]
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (part["doc_id"], pa.array(pair[kept]), counts["docs"].combine_chunks())]
     return pa.RecordBatch.from_arrays(
         [pa.array([name], pa.int64()), lists[0], *(pa.array([v], pa.binary()) for v in values), *lists[1:]], names=[f.split()[0] for f in _ENCODED.split(", ")]
     )
@@ -273,14 +301,13 @@ _ALIGNED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigi
 
 def _answered(row: pa.RecordBatch, pair: np.ndarray, docs: np.ndarray, best: np.ndarray) -> pa.Table:
     """The texts of one chunk, by the counts of pairs, sorted, among which are all of the chunk's."""
-    read = lambda name, kind: np.frombuffer(row[name][0].as_buffer(), kind)
-    described = pa.ipc.open_stream(row["lexicon"][0].as_buffer()).read_all()
-    at = np.searchsorted(pair, row["pair"].flatten().to_numpy())[read("place", np.int32)]
-    bounds, times = np.concatenate([[0], np.cumsum(read("links", np.int32))]), read("times", np.int64)
+    sizes, pieces, described, links = (pa.ipc.open_stream(row[c][0].as_buffer()).read_all() for c in ("sizes", "pieces", "lexicon", "links"))
+    at = np.searchsorted(pair, row["pair"].flatten().to_numpy())[links["place"].to_numpy()]
+    bounds, times = np.concatenate([[0], np.cumsum(described["links"].to_numpy())]), links["times"].to_numpy()
     by_piece = {c: described[c].to_numpy() for c in ("n_a", "n_b", "n_groups", "n_links")}
     for c, value in (("n_best", times * best[at]), ("count_sum", times * docs[at])):
         by_piece[c] = np.diff(np.concatenate([[0], np.cumsum(value)])[bounds])
-    pieces, offsets = read("pieces", np.int32), np.concatenate([[0], np.cumsum(read("sizes", np.int32))])
+    pieces, offsets = pieces["n"].to_numpy(), np.concatenate([[0], np.cumsum(sizes["n"].to_numpy())])
     sums = {c: np.diff(np.concatenate([[0], np.cumsum(v[pieces])])[offsets]) for c, v in by_piece.items()}
     texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pc.take(described["groups"].combine_chunks(), pa.array(pieces))), ";")
     return pa.table({"doc_id": row["ids"].flatten(), **{c: sums[c] for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")}, "groups": texts})
