@@ -41,11 +41,11 @@ WHOLE = -1
 
 @dataclass(frozen=True)
 class Manifest:
-    """What a snapshot consists of: for each bucket the version that wrote it and its rows, and for each source the last batch taken in with its totals so far."""
+    """What a snapshot consists of: for each bucket the folder with its files and its rows, and for each source the last batch taken in with its totals so far."""
 
     version: int = -1
     buckets: int = 0
-    parts: dict[int, tuple[int, int]] = field(default_factory=dict)
+    parts: dict[int, tuple[str, int]] = field(default_factory=dict)
     applied: dict[str, dict] = field(default_factory=dict)
 
 
@@ -54,8 +54,8 @@ class Tables:
 
     Rows lie in buckets by a hash of their key.  ``merge`` reads and writes only the buckets that its rows touch;
     a small manifest, a line for each bucket, says which files a snapshot consists of.  Snapshot ``n`` counts from
-    when its manifest ``m=n.json`` is there, the last file a write makes.  A write that breaks off leaves files that
-    no manifest names; readers do not see them, and the next write replaces them.  The manifest also says which
+    when its manifest ``m=n.json`` is there, the last file a write makes.  A write that breaks off leaves a folder that
+    no manifest names; readers do not see it, and ``forget`` deletes it.  The manifest also says which
     batch of which source came in last, so a batch that is replayed changes neither rows nor totals.  ``buckets``
     is settled by a table's first merge.
     """
@@ -107,8 +107,11 @@ class Tables:
             if self.version(name) < 0:
                 self.write(name, self.spark.createDataFrame([], ddl))
 
-    def _of(self, name: str, parts: dict[int, tuple[int, int]]) -> DataFrame:
-        paths = [f"{self._path(name)}/v={v}" + ("" if b == WHOLE else f"/bucket={b}") for b, (v, _) in parts.items()]
+    def _folder(self, version: int) -> str:
+        return f"v={version}-{uuid.uuid4().hex[:8]}"  # no two writes share one
+
+    def _of(self, name: str, parts: dict[int, tuple[str, int]]) -> DataFrame:
+        paths = [f"{self._path(name)}/{v}" + ("" if b == WHOLE else f"/bucket={b}") for b, (v, _) in parts.items()]
         if not paths:
             return self.spark.createDataFrame([], SCHEMAS[name])
         reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
@@ -121,9 +124,9 @@ class Tables:
     def write(self, name: str, rows: DataFrame) -> None:
         """A new snapshot of these rows alone; readers of the old one are not disturbed."""
         old = self.manifest(name)
-        path = f"{self._path(name)}/v={old.version + 1}"
-        rows.write.mode("overwrite").parquet(path)
-        self._commit(name, Manifest(old.version + 1, old.buckets, {WHOLE: (old.version + 1, -1)}, old.applied))
+        folder = self._folder(old.version + 1)
+        rows.write.parquet(f"{self._path(name)}/{folder}")
+        self._commit(name, Manifest(old.version + 1, old.buckets, {WHOLE: (folder, -1)}, old.applied))
 
     def applied(self, name: str, source: str) -> dict:
         """The last ``batch`` that a source brought, and the totals over all its batches: rows ``sent``, and rows the table grew by, ``stored``."""
@@ -148,14 +151,15 @@ class Tables:
         version, parts = old.version + 1, {b: p for b, p in old.parts.items() if b not in touched}
         grown = 0
         if sent:
-            path = f"{self._path(name)}/v={version}"
+            folder = self._folder(version)
+            path = f"{self._path(name)}/{folder}"
             out = change(self._of(name, touched), rows)
-            out.select(*self._of(name, {}).columns, of.alias("bucket")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+            out.select(*self._of(name, {}).columns, of.alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(path)
             there = sorted(int(n[7:]) for n in self._names(path) if n.startswith("bucket="))
             counts = {r["bucket"]: r["n"] for r in self.spark.read.schema(f"{SCHEMAS[name]}, bucket int").parquet(path).groupBy("bucket").agg(F.count("*").alias("n")).collect()} if there else {}
             before = sum(n for _, n in touched.values()) if WHOLE not in touched else self._of(name, touched).count()
             grown = sum(counts.values()) - before
-            parts |= {b: (version, counts.get(b, 0)) for b in there}
+            parts |= {b: (folder, counts.get(b, 0)) for b in there}
         else:
             parts = old.parts
         applied = old.applied if mark is None else old.applied | {source: {"batch": batch, "sent": mark["sent"] + sum(sent.values()), "stored": mark["stored"] + grown}}
@@ -173,14 +177,15 @@ class Tables:
         for v in have[: -len(kept)]:
             fs.delete(self._fs(f"{self._path(name)}/m={v}.json")[1], False)
         for n in self._names(self._path(name)):
-            if not n.startswith("v=") or not n[2:].isdigit() or int(n[2:]) > kept[-1]:
-                continue
-            v, path = int(n[2:]), f"{self._path(name)}/{n}"
-            if not any(of == v for _, of in parts):
+            number = n[2:].split("-")[0]
+            if not n.startswith("v=") or not number.isdigit() or int(number) > kept[-1]:
+                continue  # of a write that goes on, perhaps
+            path = f"{self._path(name)}/{n}"
+            if not any(of == n for _, of in parts):
                 fs.delete(self._fs(path)[1], True)
-            elif (WHOLE, v) not in parts:
+            elif (WHOLE, n) not in parts:
                 for b in self._names(path):
-                    if b.startswith("bucket=") and (int(b[7:]), v) not in parts:
+                    if b.startswith("bucket=") and (int(b[7:]), n) not in parts:
                         fs.delete(self._fs(f"{path}/{b}")[1], True)
 
 
