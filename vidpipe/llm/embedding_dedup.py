@@ -98,15 +98,16 @@ def _placed(classes: DataFrame, directions: dict[int, np.ndarray], reach: float)
 
 def _tiled(placed: DataFrame) -> DataFrame:
     """``placed`` with ``tile``: cells are told apart by as few leading dimensions as leave ``TILE`` classes, and cut by hash where none do."""
-    best = written(placed.groupBy("grp", "dim", "cells").agg(F.count("*").alias("have")), "cells").withColumn("tile", F.col("cells"))
-    counts = best.select("grp", "dim", "cells", "have")
-    for k in range(LEADING - 1, -1, -1):
-        prefix = F.slice("cells", 1, k)
-        whole = counts.groupBy("grp", "dim", prefix.alias("prefix")).agg(F.sum("have").alias("whole")).where(F.col("whole") <= TILE)
-        best = best.withColumn("prefix", prefix).join(whole, ["grp", "dim", "prefix"], "left")
-        best = best.select("grp", "dim", "cells", F.coalesce("whole", "have").alias("have"), F.when(F.col("whole").isNotNull(), F.col("prefix")).otherwise(F.col("tile")).alias("tile"))
-    parts = best.select("grp", "dim", "cells", "tile", F.ceil(F.col("have") / TILE).alias("parts"))
-    return placed.join(parts, ["grp", "dim", "cells"]).withColumn("part", F.pmod(F.xxhash64("rep"), "parts")).drop("cells", "parts")
+    cells = written(placed.groupBy("grp", "dim", "cells").agg(F.count("*").alias("have")), "cells")
+    levels = cells.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(LEADING - 1)))).withColumn("prefix", F.slice("cells", F.lit(1), F.col("k")))
+    whole = levels.groupBy("grp", "dim", "k", "prefix").agg(F.sum("have").alias("whole")).where(F.col("whole") <= TILE)
+    fits = levels.join(whole, ["grp", "dim", "k", "prefix"]).groupBy("grp", "dim", "cells").agg(F.min("k").alias("k"))
+    # an empty prefix is a whole label; without one that fits, the cell is cut by hashes
+    found = cells.join(fits, ["grp", "dim", "cells"], "left").select(
+        "grp", "dim", "cells", F.slice("cells", F.lit(1), F.coalesce("k", F.lit(LEADING))).alias("tile"), F.when(F.col("k").isNull(), F.ceil(F.col("have") / TILE)).otherwise(1).alias("parts")
+    )
+    dealt = placed.join(written(found, "parts"), ["grp", "dim", "cells"])
+    return dealt.withColumn("part", F.pmod(F.xxhash64("rep"), "parts")).drop("cells", "parts")
 
 
 def _packed(tiled: DataFrame, directions: dict[int, np.ndarray]) -> DataFrame:
@@ -240,11 +241,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     pairs = written(_compared(_meeting(tiles, reach), tiles, directions, threshold), "links")
     links = pairs.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(pairs.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    least = classes.select(F.col("rep").alias("node"), "least").join(joined, "node").groupBy("component").agg(F.min("least").alias("component_id"))
-    done = (
-        classes.join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left").join(least, "component", "left")
-        .select(F.col("grp").alias("label"), "vec", (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
-    )
+    placed = classes.select("rep", "least", "many").join(links, "rep", "left").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
+    least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("component_id"))
+    found = placed.join(least, "component", "left").select("rep", (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
+    done = classes.select(F.col("grp").alias("label"), "vec", "rep").join(written(found, "found"), "rep").drop("rep")
     linked_rows = rows.join(done, ["label", "vec"])
     alone = given.where(F.col("vec_id").isNull() | ~usable(F.col("vec"), F.col("label")))
     out = linked_rows.select("vec_id", "n_links", "component_id").unionByName(alone.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")))
