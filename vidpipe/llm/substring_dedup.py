@@ -12,7 +12,7 @@ Rows are dealt evenly into chunks of about ``CHUNK_BYTES`` of text; the shuffled
 A chunk sends a symbol or window once however many of its documents have it: one that all documents share adds
 one entry a chunk to its bucket.  Equal ones of all chunks meet as packed hashes, a row for each chunk and bucket
 that have some in common, so rows are never more than symbols and each carries many as long as chunks are large;
-no text and no list of pairs is gathered.  Windows are compared by 96 bits, from two hashes of each of their words.
+no text and no list of pairs is gathered.  Windows are compared by 128 bits, from two hashes of each of their words.
 """
 
 from __future__ import annotations
@@ -57,10 +57,10 @@ def _windows(hashes: np.ndarray, other: np.ndarray, first: np.ndarray, window: i
     """Start positions of all windows, and both hashes of each."""
     runs = runs_of(hashes, window)
     if not len(runs):
-        return np.zeros(0, np.int64), runs, runs.astype(np.uint32)
+        return np.zeros(0, np.int64), runs, runs
     row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.flatnonzero(row[: len(runs)] == row[window - 1 :])
-    return at, runs[at], (runs_of(other, window)[at] >> np.uint64(32)).astype(np.uint32)
+    return at, runs[at], runs_of(other, window)[at]
 
 
 def _groups(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, int]:
@@ -162,7 +162,7 @@ def _candidates(window: int, many: int):
 
 def _earlier(table: pa.Table) -> pa.Table:
     sizes = [len(x.as_buffer()) // 8 for x in table["one"]]
-    one, two, owner = _joined(table["one"], np.uint64), _joined(table["two"], np.uint32), _joined(table["owners"], np.int64)
+    one, two, owner = _joined(table["one"], np.uint64), _joined(table["two"], np.uint64), _joined(table["owners"], np.int64)
     group, many = _groups(one, two)
     keep = _least(group, many, owner)[group] < owner
     cut = np.concatenate([[0], np.cumsum(sizes)])
@@ -176,7 +176,7 @@ def _cut(window: int, layout: str, carry: list[str]):
         at, one, two = _windows(hashes, hashed(data, starts, ends, second=True), first, window)
         owner = docs["doc_id"].to_numpy()[np.searchsorted(first, at, side="right") - 1] if len(at) else np.zeros(0, np.int64)
         told = _joined(answers["one"], np.uint64)
-        group, many = _groups(np.concatenate([told, one]), np.concatenate([_joined(answers["two"], np.uint32), two]))
+        group, many = _groups(np.concatenate([told, one]), np.concatenate([_joined(answers["two"], np.uint64), two]))
         earlier = np.zeros(many, bool)
         earlier[group[: len(told)]] = True
         group = group[len(told) :]
