@@ -374,6 +374,40 @@ def test_quality_features_step_and_score():
         assert abs(s - 1 / (1 + math.exp(-(total / (1 + sum(got[i].values())) - 0.1)))) < 1e-9
 
 
+def test_quality_features_are_those_of_a_plain_version():
+    text = "Ab  cé ab ab\tcé Ab"
+    data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())])
+    words_, pairs, *grams = [f.tolist() for _, f in quality.features(data, offsets)]
+    spelled = text.split()
+    ids = {w: int(hashed(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]))[0]) for w in spelled}
+    assert words_ == [ids[w] % quality.BUCKETS for w in spelled]
+    whole = lambda x: int(quality.mix(np.array([x], np.uint64))[0]) % quality.BUCKETS
+    assert pairs == [whole(ids[a] ^ ids[b]) for a, b in zip(spelled, spelled[1:])]
+    assert pairs[2] == whole(0) and pairs[1] == pairs[3]  # a word beside itself, and two words in either order
+    line, cap = " " + text.replace("\t", " ") + " ", (1 << 32) - 1
+    for n, got in zip(quality.LENGTHS, grams, strict=True):
+        want = []
+        for i in range(len(line) - n + 1):
+            if " " not in line[i + 1 : i + n - 1]:
+                h = n
+                for c in line[i : i + n]:
+                    h = ((h ^ int.from_bytes(c.encode(), "little")) * 2654435761) & cap
+                    h ^= h >> 15
+                want.append(h % quality.BUCKETS)
+        assert got == want
+
+
+def test_language_training_is_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAIN_BYTES", 2000)
+    seen = []
+    monkeypatch.setattr(language_id, "count_grams", lambda rows, real=language_id.count_grams: seen.append(rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()) or real(rows))
+    rows = spark.range(400).selectExpr("id doc_id", "CASE WHEN id = 7 THEN 'c' WHEN id % 2 = 0 THEN 'a' ELSE 'b' END lang", "CASE WHEN id = 7 THEN repeat('long ', 900) WHEN id % 10 = 0 THEN repeat('x', 5000) ELSE concat('text of ', id, repeat(' more', 10)) END text")
+    model = language_id.train(rows)
+    sizes = {r.lang: r.n for r in seen[0]}
+    assert set(model.langs) == {"a", "b", "c"} and sizes["c"] == 4500  # its only text
+    assert 500 < sizes["a"] <= 666 and 500 < sizes["b"] <= 666
+
+
 def test_training_rows_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(quality, "TRAIN_ROWS", 100)
     seen = []
@@ -602,6 +636,17 @@ def test_substring_dedup(spark, corpus, window):
     assert all(layout[i] == (t or "") for i, t in corpus if not expected[i][1])
 
 
+def test_windows_are_compared_by_both_hashes_whole():
+    """Equal in 96 bits and different beyond: not the same window."""
+    pack = lambda x, kind=np.uint64: np.array([x], kind).tobytes()
+    for other, found in ((1 << 32 | 8, b""), (1 << 32 | 7, pack(5))):
+        table = pa.table({"chunk": [0, 1], "one": [pack(5)] * 2, "two": [pack(1 << 32 | 7), pack(other)], "owners": [pack(1, np.int64), pack(2, np.int64)]})
+        assert substring_dedup._earlier(table)["one"].to_pylist() == [b"", found]
+    hashes = np.arange(1, 30, dtype=np.uint64)
+    _, one, two = substring_dedup._windows(hashes, hashes + np.uint64(99), np.array([0, 29]), 13)
+    assert one.dtype == two.dtype == np.uint64 and (two & np.uint64(0xFFFFFFFF)).any()
+
+
 def test_substring_dedup_over_many_chunks(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "CHUNK_BYTES", 500)
     r = random.Random(30)

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, carry_names, hash_bounds, id_hash, slices, utf8
@@ -27,6 +27,8 @@ from .common import LOWER, carry_names, hash_bounds, id_hash, slices, utf8
 ORDER = 3
 #: Training rows of each language at most, those with the least hashes of their ids; further rows are not read for training.
 TRAIN_ROWS = 1500
+#: Bytes of training text of all languages together, an equal share for each; a language whose first text is longer than that learns from it alone.
+TRAIN_BYTES = 24_000_000
 #: Entries of the largest table of code lengths; with more, they are kept sparsely.
 CELLS = 16_000_000
 
@@ -201,13 +203,17 @@ class Model:
 def train(labelled: DataFrame) -> Model:
     """The model of ``labelled(doc_id, lang, text)``: at most TRAIN_ROWS rows of each language, whole texts.
 
-    The rows are those whose id's hash is below a bound of their language.  Null languages are left out, null texts
+    The rows are those whose id's hash is below a bound of their language, in the order of these hashes up to the
+    language's share of TRAIN_BYTES; texts longer than the share come last.  Null languages are left out, null texts
     count as empty, of rows that repeat an id in a language one counts (the least text); no rows give no language.
     """
     rows = labelled.where("lang IS NOT NULL").select(F.col("lang").alias("grp"), id_hash(F.col("doc_id")).alias("h"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = hash_bounds(rows.select("grp", "h"), TRAIN_ROWS)
     sample = rows.join(F.broadcast(bounds), "grp").where("h < bound")  # a row for each language
     sample = sample.groupBy(F.col("grp").alias("lang"), "h").agg(F.min("text").alias("text"))
+    share, size = TRAIN_BYTES // max(1, bounds.count()), F.octet_length("text")
+    along = Window.partitionBy("lang").orderBy(size > share, "h")  # TRAIN_ROWS rows at most
+    sample = sample.select("lang", "text", F.sum(size).over(along).alias("upto"), F.row_number().over(along).alias("place")).where((F.col("upto") <= share) | (F.col("place") == 1))
     got = count_grams(sample.select("lang", "text")).toArrow()
     langs = sorted(pc.unique(got["lang"]).to_pylist())
     lang = pc.index_in(got["lang"], value_set=pa.array(langs, got["lang"].type)).to_numpy()
