@@ -137,6 +137,19 @@ def test_stream_that_breaks_off_between_tables_goes_on(spark, tmp_path, monkeypa
     assert sorted((r.channel_url, r.status) for r in t.read("channels_processed").collect()) == [("u", "success"), ("w", "failed")]
 
 
+def test_stream_of_hits_is_a_run_for_each_batch(spark, tmp_path):
+    t = tables_in(spark, tmp_path)
+    for ids in (["a", "b"], ["b", "c", "c"]):
+        hits(spark, ids).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    for _ in range(2):  # the second time nothing has arrived
+        stream = spark.readStream.schema(HITS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        streams.ingest_stream(stream, t, f"{tmp_path}/checkpoint", "q", F.expr(CLOCK), "n")
+    runs = t.read("search_runs").collect()
+    assert len(runs) == 2 and all(r.finished_at for r in runs) and t.read("videos_raw").count() == 3
+    (totals,) = t.manifest("videos_raw").applied.values()
+    assert totals == {"batch": 1, "sent": 5, "stored": 3}
+
+
 def test_only_the_dump_that_settles_a_channel_counts(spark):
     good = lambda *ids: json.dumps({"entries": [{"id": i} for i in ids], "channel": ids[0]})
     rows = [

@@ -64,7 +64,7 @@ def worker_shares(indexed: DataFrame, workers: int | None, size: int) -> DataFra
 
 
 def pending_batches(indexed: DataFrame, waiting: DataFrame, size: int) -> DataFrame:
-    """``(batch)``: batches that hold a query of ``waiting(query)``."""
+    """``(batch)``: batches that hold a query of ``waiting(query)``; a report of them as one list gathers their numbers, one for each ``size`` queries, in one row."""
     numbered = indexed.withColumn("batch", F.floor(F.col("idx") / size).cast("bigint"))
     return numbered.join(waiting.select("query").distinct(), "query", "left_semi").select("batch").distinct()
 

@@ -44,7 +44,11 @@ def normalize_stream(raw: DataFrame, tables: Tables, checkpoint: str, now: Colum
 
 def ingest_stream(hits: DataFrame, tables: Tables, checkpoint: str, query: str, now: Column, order_col: str) -> None:
     """Arriving hits, each batch a run of its own; replays change nothing."""
-    run_available(hits, checkpoint, lambda batch, number, stream: jobs.ingest_run(tables, batch, query, now, order_col, stream, number) and None)
+
+    def each(batch: DataFrame, number: int, stream: str) -> None:
+        jobs.ingest_run(tables, batch, query, now, order_col, stream, number)
+
+    run_available(hits, checkpoint, each)
 
 
 def enrich_stream(dumps: DataFrame, tables: Tables, checkpoint: str, now: Column, most: int = 40, order_col: str | None = None) -> None:
