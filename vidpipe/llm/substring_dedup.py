@@ -27,6 +27,8 @@ from .recompression import parse
 
 #: Bytes of text dealt together, on average; a longer text is a chunk with what else it meets.
 CHUNK_BYTES = 2 << 20
+#: Bytes of a symbol's name that are sent; names that agree in these and are not equal only make further candidates.
+NAME_BYTES = 6
 
 
 def rounds_for(window: int) -> int:
@@ -105,7 +107,7 @@ def _symbols(window: int, many: int):
         order, cut, full = _bucketed(names, many)
         return pa.table(
             [pa.array(full, pa.int32()), pa.array(np.full(len(full), key[0].as_py()), pa.int64()),
-             _pack(names[order], cut, full), _pack(several[order], cut, full)],
+             _pack(names[order].view(np.uint8).reshape(-1, 8)[:, :NAME_BYTES], cut, full), _pack(several[order], cut, full)],
             names=["bucket", "chunk", "names", "several"],
         )
 
@@ -113,8 +115,9 @@ def _symbols(window: int, many: int):
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    sizes = [len(x.as_buffer()) // 8 for x in table["names"]]
-    names, several = _joined(table["names"], np.uint64), _joined(table["several"], bool)
+    sizes = [len(x.as_buffer()) // NAME_BYTES for x in table["names"]]
+    sent, several = _joined(table["names"], np.uint8).reshape(-1, NAME_BYTES), _joined(table["several"], bool)
+    names = np.pad(sent, ((0, 0), (0, 8 - NAME_BYTES))).view(np.uint64).ravel()
     order = np.argsort(names, kind="stable")
     ordered = names[order]
     new = np.ones(len(names), bool)
