@@ -128,7 +128,7 @@ def test_pipeline_leaves_no_tables_behind(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_registered(spark, name):
     got = registry.QUERIES[name](spark, SF)
-    table = "pages" if "op10" in name else "conversations" if "op3" in name else "documents"
+    table = "pages" if "op10" in name else "conversations" if "op3" in name else "embeddings" if "op12" in name else "documents"
     rows = spark.read.parquet(f"{SF}/{table}.parquet")
     assert got.count() == (rows.agg(F.count_distinct("conv_id")).first()[0] + 1 if "op3" in name else rows.count())
 
