@@ -258,6 +258,11 @@ def test_contaminated_rows_and_spans(spark, corpus):
     cut = decontaminate.cut_spans(given, items)
     assert cut.columns == given.columns
     assert sorted((x.text or "" for x in cut.collect())) == sorted(["(Keep this, and this.)", "clean", "", "", "other text of the id"])
+    long = "word " * 30000
+    again = docs(spark, [(7, f"{long}{item} end"), (7, f"{long}{item} end"), (8, f"{item} {item}\n-"), (9, "\n " + item)])
+    assert sorted(x.text for x in decontaminate.cut_spans(again, items).collect()) == sorted([f"{long}end"] * 2 + ["", "\n "])
+    assert decontaminate.cut_spans(given.limit(0), items).count() == 0
+    assert sorted(str(x.text) for x in decontaminate.cut_spans(given, items.limit(0)).collect()) == sorted(str(t) for _, t in rows)
 
 
 # 3 ------------------------------------------------------------------------------------------------------------------

@@ -260,8 +260,8 @@ def encode_decode(documents: DataFrame, path: str, pattern: str, id_col: str = "
 
     ``ids`` are packed little-endian unsigned 32-bit integers, ``decoded`` the bytes read back from them.  Every
     whole text is encoded, without special tokens; null counts as empty, which has no ids.  Ids of rows are
-    carried as they are (null and repeated ones too); other columns do not matter.  ``path`` must be readable
-    on every executor, as installed packages are.
+    carried as they are (null and repeated ones too); other columns do not matter; no rows give no rows.  ``path``
+    must be readable on every executor, as installed packages are.
     """
     docs = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 

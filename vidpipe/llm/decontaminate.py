@@ -113,7 +113,8 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, n: int = 10) -
 def cut_spans(documents: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """``documents(doc_id, text, ...)`` with all their columns, each run of hit words and the other characters up to the next word gone from ``text``.
 
-    Texts without hits stay as they are, null ones too; no row goes.
+    Texts without hits stay as they are, null ones too; no row goes, and rows that repeat an id go by their own
+    texts, however long.  No rows give no rows; an empty benchmark changes nothing.
     """
     names = documents.columns
     docs = documents.select(F.monotonically_increasing_id().alias("_at"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(names)))

@@ -224,7 +224,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     ``n_links`` counts a row's links, ``component_id`` is the least id that links reach, ``kept`` marks it.
     Vectors that are null, empty, zero, or hold null or non-finite components, those without a label and those
     with another number of components link with nothing; so does a row with null id, which has no component and is
-    kept.  Rows that repeat an id with the same vector count once; with another vector, each goes by its own.  No
+    kept.  Ids are integers.  Rows that repeat an id with the same vector count once; with another vector, each goes by its own.  No
     rows give no rows; other columns do not matter.
     """
     given = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vec"), F.col(label_col).alias("label"))

@@ -142,7 +142,7 @@ def compare_with_edits(documents: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or all) of the
     next document.  One row per input row: null texts count as empty, rows of equal id follow each other in a
-    fixed order, a single row is its own next.  Other columns do not matter; no rows give no rows.
+    fixed order, a single row is its own next.  Ids are integers.  Other columns do not matter; no rows give no rows.
     """
     rows = with_next(documents)
     kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")

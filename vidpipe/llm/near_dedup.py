@@ -228,7 +228,7 @@ def near_duplicates(
 
     Words are runs without white space, A-Z lower-cased; a text of fewer than ``width`` words is one shingle.
     Two texts are linked if 100 * |intersection| >= percent * |union|; component_id is the smallest id that
-    links reach, kept marks it.  Null, empty and blank texts have no shingles and no links.  Rows that repeat
+    links reach, kept marks it.  Ids are integers.  Null, empty and blank texts have no shingles and no links.  Rows that repeat
     an id count as that one document; a row with null id has no component and is kept.  Texts of any length
     are used whole.  Other columns do not matter; no rows give no rows.
     """

@@ -221,7 +221,7 @@ def remove_repeats(
     Words are runs without white space.  Every word that lies in a window of ``window`` words whose sequence
     also starts in a document of smaller id is removed; windows are judged on the input.  ``layout`` "words"
     joins kept words by one space, "text" keeps the text around removed words as it was.  Null texts have no
-    words and give an empty text; shorter texts than a window stay whole.  Rows that repeat an id are that one
+    words and give an empty text; shorter texts than a window stay whole.  Ids are integers.  Rows that repeat an id are that one
     document.  A row with null id neither removes nor loses anything.  No rows give no rows; other columns do
     not matter; a carried column called like a result gets ``given_`` before its name.
     """

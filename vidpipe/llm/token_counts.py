@@ -104,7 +104,8 @@ def count_tokens(documents: DataFrame, path: str, id_col: str = "doc_id", text_c
     """``(doc_id, n_tokens, score)``, one row per input row: pieces of the best segmentation of the whole text, and its score.
 
     Null and empty texts have no tokens and score 0.  Ids are carried as they are, null and repeated ones too;
-    other columns do not matter.  ``path`` is a sentencepiece model file that every executor can read.
+    other columns do not matter; no rows give no rows.  ``path`` is a sentencepiece model file that every executor
+    can read.
     """
     docs = documents.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
