@@ -452,8 +452,9 @@ def batch_slice(spark, sf_dir):
     return relate.pending(cut, view(spark, sf_dir, "fx_runs"))
 
 
-@_query(f"{_SEED}, b AS (SELECT DISTINCT idx // 10 AS batch FROM x WHERE query IN (SELECT query FROM p)) SELECT to_json(list(batch ORDER BY batch)) :: VARCHAR AS batches, (SELECT CAST(ceil(count(*) / 10.0) AS BIGINT) FROM s) AS n FROM b")
+@_query(f"{_SEED}, b AS (SELECT DISTINCT idx // 10 AS batch FROM x WHERE query IN (SELECT query FROM p)) SELECT coalesce(to_json(list(batch ORDER BY batch)) :: VARCHAR, '[]') AS batches, (SELECT CAST(ceil(count(*) / 10.0) AS BIGINT) FROM s) AS n FROM b")
 def pending_batches(spark, sf_dir):
+    """The numbers of open batches as a JSON list, an empty one if every query was run, and how many batches there are."""
     seed = order.with_index(_seed(spark, sf_dir), ["pos"])
     open_ = order.pending_batches(seed, relate.pending(_seed(spark, sf_dir), view(spark, sf_dir, "fx_runs")), 10)
     total = seed.agg(F.ceil(F.count("*") / 10).cast("bigint").alias("n"))
