@@ -2,7 +2,13 @@
 
 import duckdb
 
-from vidpipe import registry
+from vidpipe import fixtures, registry
+
+SF = "/root/testdata/sf0.001"
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_no_open_batch_is_an_empty_list(spark, tmp_path):
@@ -12,3 +18,9 @@ def test_no_open_batch_is_an_empty_list(spark, tmp_path):
     con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
     got = [tuple(r) for r in registry.QUERIES["pending_batches"](spark, str(tmp_path)).collect()]
     assert got == [("[]", 1)] == con.execute(registry.ORACLE_SQL["pending_batches"]).fetchall()
+
+
+def test_dumps_are_made_with_one_shuffle(spark):
+    plan = fixtures._dumps(spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    whole = fixtures._dumps(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("Exchange") == 1 and "collect_list" in plan

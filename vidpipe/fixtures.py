@@ -117,13 +117,23 @@ def dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = view(spark, sf_dir, "fx_dump_entries").withColumn("k", F.regexp_extract("channel_url", "[0-9]+$", 0).cast("bigint"))
-    leaf = F.struct("pos", F.struct("id", "duration", "view_count", "upload_date", F.col("epoch").alias("timestamp"), F.col("release_epoch").alias("release_timestamp")).alias("e"))
-
-    def group(g: int):
-        return F.transform(F.sort_array(F.collect_list(F.when(F.col("grp_ord") == g, leaf))), lambda x: F.to_json(x["e"]))
-
-    by = e.groupBy("channel_url", "k").agg(group(0).alias("g0"), group(1).alias("g1"), group(2).alias("g2"))
+    # the entries of fx_dump_entries, made from a channel's lines; of lineitem only what they need is moved, and once
+    lines = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    by = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", *lines).repartition("l_orderkey").groupBy(F.col("l_orderkey").alias("k")).agg(F.sort_array(F.collect_list(F.struct(*lines))).alias("lines"))
+
+    def entry(x, i):
+        pos, number = (i + 1).cast("bigint"), x["l_linenumber"]
+        e = F.struct(
+            F.when(x["l_partkey"] % 17 == 0, F.lit("")).otherwise(F.concat(F.lit("p"), x["l_partkey"].cast("string"))).alias("id"),
+            F.when(number == 2, F.lit(None)).otherwise(x["l_quantity"]).alias("duration"), F.floor(x["l_extendedprice"]).cast("bigint").alias("view_count"),
+            F.when(number % 2 == 0, F.lit("20240131")).alias("upload_date"), F.when(number == 1, F.lit(0)).when(number == 3, F.lit(None)).otherwise(F.lit(1706659200)).alias("timestamp"),
+            (F.lit(1700000000) + pos * 86400).alias("release_timestamp"),
+        )
+        return F.struct((pos % 3).alias("g"), F.to_json(e).alias("e"))
+
+    placed = by.withColumn("placed", F.transform("lines", entry))
+    of = lambda g: F.transform(F.filter("placed", lambda x: x["g"] == g), lambda x: x["e"]).alias(f"g{g}")
+    by = placed.select(F.concat(F.lit("https://v.example/@c"), F.col("k").cast("string")).alias("channel_url"), "k", of(0), of(1), of(2))
     nested = lambda title, g: F.concat(F.lit('{"title":"' + title + '","entries":['), F.array_join(g, ","), F.lit("]}"))
     entries = F.array_join(F.concat(F.array(nested("Videos", "g0"), nested("Olive shorts", "g1")), F.col("g2")), ",")
     own = F.when(F.col("k") % 3 == 0, F.concat(F.lit('"uploader_id":"u'), "k", F.lit('","uploader":"n'), "k", F.lit('","channel_follower_count":"'), "k", F.lit('"'))).otherwise(
