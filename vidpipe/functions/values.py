@@ -22,13 +22,22 @@ def at(value: Column, path: str, as_type: str = "variant") -> Column:
     return F.try_variant_get(value, path, as_type)
 
 
+def is_object(value: Column) -> Column:
+    """Whether a variant is an object; none of its fields is looked at, as naming its whole type would do."""
+    return F.try_variant_get(value, "$", "struct<>").isNotNull()
+
+
 def coerce_int(value: Column) -> Column:
     """An integer of a variant: numbers truncated, digit strings read, all else (booleans too) null."""
-    number = kind(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    text = F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
-    whole = F.try_variant_get(value, "$", "double").try_cast("bigint")
-    exact = F.when(kind(value) == "BIGINT", F.try_variant_get(value, "$", "bigint")).otherwise(whole)
-    return F.when(number, exact).otherwise(F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint")))
+
+    def read(v: Column) -> Column:
+        number = kind(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+        text = F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+        whole = F.try_variant_get(v, "$", "double").try_cast("bigint")
+        exact = F.when(kind(v) == "BIGINT", F.try_variant_get(v, "$", "bigint")).otherwise(whole)
+        return F.when(number, exact).otherwise(F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint")))
+
+    return let(value, read)
 
 
 def strict_bool(value: Column) -> Column:

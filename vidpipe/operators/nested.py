@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import at_least_one
-from ..functions.values import at, coerce_int, full_string, let, strict_bool, upload_date
+from ..functions.values import at, coerce_int, full_string, is_object, let, strict_bool, upload_date
 from ..scratch import written
 
 # Words in a list's title that exclude it.
@@ -18,11 +18,6 @@ def _array(value: Column) -> Column:
     return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
 
 
-def _is_object(value: Column) -> Column:
-    """Whether a variant is an object; cheaper than naming its whole type."""
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
-
-
 def _is_skipped(entry: Column) -> Column:
     """Whether a list's title excludes it; a missing one does not."""
     title = F.lower(F.coalesce(full_string(at(entry, "$.title")), F.lit("")))
@@ -46,7 +41,7 @@ def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> Da
     title counts as empty.  No shuffle.
     """
     more = lambda e: at(e, "$.entries").isNotNull()
-    leaf = lambda e: ~more(e) & _is_object(e)
+    leaf = lambda e: ~more(e) & is_object(e)
     top = _array(at(F.col(dump), "$.entries"))
     if depth is not None:
         out = dumps.withColumn("leaves", top)
@@ -54,12 +49,15 @@ def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> Da
             out = out.withColumn("leaves", F.flatten(F.transform("leaves", _open)))
         return out.withColumn("deeper", F.size(F.filter("leaves", more))).withColumn("leaves", F.filter("leaves", leaf))
 
-    # up to _STEPS ** _ROUNDS levels; nested, so that few are looked at once all lists are open
-    def open_all(state: Column, rounds: int) -> Column:
-        inner = (lambda s: F.flatten(F.transform(s, _open))) if rounds == 0 else (lambda s: open_all(s, rounds - 1))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), state, lambda s, _: F.when(F.exists(s, more), inner(s)).otherwise(s))
+    def state(entries: Column) -> Column:
+        return let(entries, lambda s: F.struct(s.alias("entries"), F.exists(s, more).alias("more")))
+
+    # up to _STEPS ** _ROUNDS levels; whether a list is left is asked once for each level there is, the other steps only look at the answer
+    def open_all(begun: Column, rounds: int) -> Column:
+        inner = (lambda s: state(F.flatten(F.transform(s["entries"], _open)))) if rounds == 0 else (lambda s: open_all(s, rounds - 1))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), begun, lambda s, _: F.when(s["more"], inner(s)).otherwise(s))
 
-    out = dumps.withColumn("leaves", open_all(top, _ROUNDS - 1))
+    out = dumps.withColumn("leaves", open_all(state(top), _ROUNDS - 1)["entries"])
     return out.withColumn("deeper", F.size(F.filter("leaves", more))).withColumn("leaves", F.filter("leaves", leaf))
 
 
@@ -83,7 +81,7 @@ def flatten_rows(dumps: DataFrame, keys: list[str], dump: str) -> DataFrame:
     leaves = None
     while True:
         level = written(level, "entries")
-        own = level.where(entries.isNull() & _is_object(F.col("entry")))
+        own = level.where(entries.isNull() & is_object(F.col("entry")))
         leaves = own if leaves is None else leaves.unionByName(own)
         lists = level.where(entries.isNotNull() & ~_is_skipped(F.col("entry")))
         if lists.isEmpty():

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..functions.values import or_false
+from ..functions.values import let, or_false
 from ..operators import merge, nested, order, relate, validate
 from ..scratch import written
-from ..sources.lists import parse_dump
+from ..sources.lists import with_dump
 from ..sources.state import Tables
 
 # Characters of a message that are kept, and parts that make a failure permanent.
@@ -67,7 +67,10 @@ def triage(dumps: DataFrame) -> DataFrame:
     permanent failures mark a channel done.  ``reason`` shows the message's first 100 characters.
     """
     stored = "dump" in dumps.columns
-    dump, error = (F.col("dump"), F.col("error")) if stored else parse_dump(F.col("stdout"))
+    rest = [c for c in dumps.columns if c not in ("dump", "error")]
+    if not stored:  # of a failure only the message is read
+        dumps = with_dump(dumps, F.when(~or_false(F.col("returncode") != 0), F.col("stdout")), "_parsed")
+    dump, error = (F.col("dump"), F.col("error")) if stored else (F.col("_parsed.dump"), F.col("_parsed.error"))
     said = F.substring(F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in (["stderr"] if stored else ["stderr", "stdout"])), F.lit("")), 1, MESSAGE)
     reason = (
         F.when(F.coalesce(F.col("channel_url"), F.lit("")) == "", F.lit("channel_url is required"))
@@ -78,22 +81,23 @@ def triage(dumps: DataFrame) -> DataFrame:
     for words in PERMANENT:
         permanent = permanent | F.contains(said, F.lit(words))
     permanent = permanent & (F.col("returncode") != 0) & (F.coalesce(F.col("channel_url"), F.lit("")) != "")
-    rest = [c for c in dumps.columns if c not in ("dump", "error")]
     out = dumps.select(*rest, F.when(F.col("returncode") == 0, dump).alias("dump"), reason.alias("reason"), permanent.alias("permanent"))
     return out.withColumn("status", F.when(F.col("reason").isNull(), F.lit("success")).otherwise(F.lit("failed"))).withColumn("permanent", F.coalesce(permanent, F.lit(False)))
 
 
-def enrich(dumps: DataFrame, processed: DataFrame, now: Column, most: int = 40, order_col: str | None = None) -> dict[str, DataFrame]:
+def enrich(dumps: DataFrame, processed: DataFrame, now: Column, most: int = 40, order_col: str | None = None, store: bool = False) -> dict[str, DataFrame]:
     """New rows for the channel tables, and totals; dumps of processed channels are never parsed.
 
     All dumps are parsed once, into a narrow table that the four results read; a verified flag that a dump does
     not give is false.  Of several dumps for a channel, by ``order_col`` or else as they are read, the first that
     succeeds or fails for good counts alone: those before it failed and were not marked, those after it are skipped.
+    With ``store`` those that count are written too, for callers that read the results several times.
     """
     parsed = written(parse_dumps(dumps, processed, most, order_col), "parsed")
     settles = parsed.where("status = 'success' OR permanent").groupBy("channel_url").agg(F.min("arrival").alias("first"))
     judged = parsed.join(settles, "channel_url", "left").withColumn("status", F.when(F.col("arrival") > F.col("first"), F.lit("skipped")).otherwise(F.col("status")))
-    kept = judged.where(F.col("arrival") == F.col("first"))
+    kept = judged.where(F.col("arrival") == F.col("first")).select("channel_url", "status", "meta", "videos")
+    kept = written(kept, "kept") if store else kept
     return {
         "channels": kept.where("meta IS NOT NULL").select("channel_url", "meta.*", now.alias("extracted_at")),
         "videos": kept.select("channel_url", F.inline("videos")),
@@ -106,14 +110,20 @@ def parse_dumps(dumps: DataFrame, processed: DataFrame, most: int, order_col: st
     """``(channel_url, arrival, status, permanent, meta, videos)`` of each dump; ``skipped`` for processed channels.  ``arrival`` is unique once it is written."""
     arrival = F.struct((F.lit(0) if order_col is None else F.col(order_col)).alias("given"), F.monotonically_increasing_id().alias("read"))
     marked = relate.with_flag(dumps.withColumn("arrival", arrival), processed, "channel_url")
-    judged = triage(marked.where("NOT processed"))
-    good = F.col("status") == "success"
+    given = "dump" if "dump" in dumps.columns else "stdout"
+    judged = triage(marked.withColumn(given, F.when(~F.col("processed"), F.col(given))))
+    good = (F.col("status") == "success") & ~F.col("processed")
     flat = nested.flatten_entries(judged, "dump")
-    meta = F.struct(*(c.alias(n) for n, c in nested.meta_of(F.col("dump")).items()))
-    meta = meta.withField("is_verified", or_false(meta["is_verified"]))
-    rows = flat.select("channel_url", "arrival", "status", "permanent", F.when(good, meta).alias("meta"), F.when(good, nested.videos_of(F.col("leaves"), most)).alias("videos"))
-    skipped = marked.where("processed").select("channel_url", "arrival", F.lit("skipped").alias("status"), F.lit(False).alias("permanent"))
-    return rows.unionByName(skipped, allowMissingColumns=True)
+
+    def meta_of(dump: Column) -> Column:
+        found = nested.meta_of(dump)
+        return F.struct(*(c.alias(n) for n, c in (found | {"is_verified": or_false(found["is_verified"])}).items()))
+
+    meta = let(F.col("dump"), meta_of)  # generated code stays of a size that the JVM compiles
+    status, permanent = F.when(F.col("processed"), F.lit("skipped")).otherwise(F.col("status")), F.col("permanent") & ~F.col("processed")
+    return flat.select(
+        "channel_url", "arrival", status.alias("status"), permanent.alias("permanent"), F.when(good, meta).alias("meta"), F.when(good, nested.videos_of(F.col("leaves"), most)).alias("videos")
+    )
 
 
 def ingest_run(tables: Tables, hits: DataFrame, query: str, now: Column, order_col: str, source: str | None = None, batch: int | None = None) -> DataFrame:

@@ -837,7 +837,7 @@ def stream_repeated(spark, sf_dir):
 @_query(f"""{_KEYS}{_ARRIVALS} SELECT status, sum(n) :: BIGINT AS count FROM (SELECT status, 1 AS n FROM a UNION ALL SELECT 'failed', 1 FROM a WHERE second
     UNION ALL SELECT 'skipped', CASE WHEN second THEN 1 ELSE 2 END FROM a) GROUP BY status""")
 def repeated_totals(spark, sf_dir):
-    none = spark.createDataFrame([], "channel_url string")
+    none = state.empty(spark, "channel_url string")
     return jobs.enrich(_repeated(spark, sf_dir), none, _now(), 3, "arrival_no")["totals"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import kind
+from ..functions.values import is_object
 from ..operators.order import with_index
 from .state import Tables
 
@@ -36,12 +36,18 @@ def table(spark: SparkSession, root: str, name: str, lang: str) -> DataFrame:
     return Tables(spark, root, lang).read(name)
 
 
-def parse_dump(stdout: Column) -> tuple[Column, Column]:
-    """The dump as variant, and what is wrong with it: empty output, invalid JSON, or a root that is no object."""
-    value = F.try_parse_json(F.trim(stdout))
+def with_dump(dumps: DataFrame, stdout: Column, name: str) -> DataFrame:
+    """``dumps`` with a struct: the ``dump`` as variant, and its ``error``: empty output, invalid JSON, or a root that is no object.
+
+    The struct comes out of a generator, which no filter on it and no column made of it passes; so a text is parsed once.
+    """
     empty = F.coalesce(F.trim(stdout), F.lit("")) == ""
-    error = F.when(empty, F.lit("empty output")).when(value.isNull(), F.lit("not valid JSON")).when(~F.startswith(kind(value), F.lit("OBJECT")), F.lit("root was not an object"))
-    return F.when(error.isNull(), value), error
+
+    def judged(value: Column) -> Column:
+        error = F.when(empty, F.lit("empty output")).when(value.isNull(), F.lit("not valid JSON")).when(~is_object(value), F.lit("root was not an object"))
+        return F.struct(F.when(error.isNull(), value).alias("dump"), error.alias("error"))
+
+    return dumps.select("*", F.explode(F.transform(F.array(F.try_parse_json(F.trim(stdout))), judged)).alias(name))
 
 
 def store_parsed(dumps: DataFrame, path: str) -> None:
@@ -49,11 +55,10 @@ def store_parsed(dumps: DataFrame, path: str) -> None:
 
     Later jobs read only the fields they ask for, and parse nothing.
     """
-    dump, error = parse_dump(F.col("stdout"))
     empty = lambda c: F.nullif(F.trim(c), F.lit(""))
     said = F.coalesce(empty("stderr"), F.when(F.col("returncode") != 0, empty("stdout")))  # a failure may speak in either
     rest = [c for c in dumps.columns if c not in ("stdout", "stderr")]
-    dumps.select(*rest, said.alias("stderr"), dump.alias("dump"), error.alias("error")).write.mode("overwrite").parquet(path)
+    with_dump(dumps, F.col("stdout"), "_parsed").select(*rest, said.alias("stderr"), "_parsed.*").write.mode("overwrite").parquet(path)
 
 
 def parsed(spark: SparkSession, path: str) -> DataFrame:

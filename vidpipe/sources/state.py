@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Columns of each table, as DDL.
 TABLES = {
@@ -113,7 +114,7 @@ class Tables:
     def _of(self, name: str, parts: dict[int, tuple[str, int]]) -> DataFrame:
         paths = [f"{self._path(name)}/{v}" + ("" if b == WHOLE else f"/bucket={b}") for b, (v, _) in parts.items()]
         if not paths:
-            return self.spark.createDataFrame([], SCHEMAS[name])
+            return empty(self.spark, SCHEMAS[name])
         reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
         return reader.parquet(*paths)
 
@@ -189,6 +190,11 @@ class Tables:
                         fs.delete(self._fs(f"{path}/{b}")[1], True)
 
 
+def empty(spark: SparkSession, ddl: str) -> DataFrame:
+    """No rows, known to be none when a query is planned: what is joined with them is neither shuffled nor sorted."""
+    return spark.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(ddl))).where(F.lit(False))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file of any store that Spark reads, as text."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -55,7 +55,7 @@ def enrich_stream(dumps: DataFrame, tables: Tables, checkpoint: str, now: Column
     """Arriving dumps into the channel tables; each batch is parsed once.  Of a channel given several times the first dump that settles it counts."""
 
     def each(batch: DataFrame, number: int, stream: str) -> None:
-        new = jobs.enrich(batch, tables.read("channels_processed"), now, most, order_col)
+        new = jobs.enrich(batch, tables.read("channels_processed"), now, most, order_col, store=True)
         videos = merge.first_wins(new["videos"], ["channel_url", "video_id"], "pos").drop("pos")
         # the mark that a channel is done comes last, as a batch that broke off before it is parsed again
         for name, rows, mode in (("channels_raw", new["channels"], "coalesce"), ("channel_videos_raw", videos, "coalesce"), ("channels_processed", new["processed"], "overwrite")):
