@@ -3,6 +3,9 @@
 import duckdb
 
 from vidpipe import fixtures, registry
+from vidpipe.operators import merge, order
+from vidpipe.plans import jobs
+from vidpipe.sources.state import Tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -24,3 +27,38 @@ def test_dumps_are_made_with_one_shuffle(spark):
     plan = fixtures._dumps(spark, SF)._jdf.queryExecution().sparkPlan().toString()
     whole = fixtures._dumps(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert whole.count("Exchange") == 1 and "collect_list" in plan
+
+
+def test_dumps_are_parsed_once(spark):
+    good = jobs.triage(fixtures.dumps(spark, SF)).where("status = 'success'").select("channel_url", "dump", "reason")
+    assert _plan(good).lower().replace("_", "").count("parsejson") == 1, _plan(good)[:1500]
+
+
+def test_dumps_are_not_moved_for_a_table_without_rows(spark, tmp_path):
+    none = Tables(spark, f"file://{tmp_path}/tables", "es").read("channels_processed")
+    assert none.count() == 0 and none.columns == ["channel_url", "processed_at", "status"]
+    rows = jobs.parse_dumps(fixtures.dumps(spark, SF), none, 3)
+    assert "Join" not in _plan(rows) and "Union" not in _plan(rows)
+
+
+def test_dumps_of_processed_channels_are_read_once(spark):
+    d = fixtures.dumps(spark, SF)
+    rows = jobs.parse_dumps(d, d.where("k % 7 = 0").select("channel_url"), 3)
+    assert "Union" not in _plan(rows)
+    assert rows.where("status = 'skipped' AND meta IS NULL AND videos IS NULL AND NOT permanent").count() == d.where("k % 7 = 0").count()
+
+
+def test_first_of_a_key_twice_needs_one_shuffle(spark):
+    rows = spark.range(50).selectExpr("concat('k', id % 5) k", "concat('j', id % 3) j", "id o", "cast(id AS string) t")
+    once = merge.first_wins(rows, ["k", "j"], "o")
+    whole = merge.first_wins(once, ["k", "j"], None)
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted(tuple(r) for r in whole.collect()) == sorted((f"k{n % 5}", f"j{n % 3}", n, str(n)) for n in range(15))
+    assert merge.first_wins(rows.select("k", "j"), ["k", "j"], None).count() == 15
+
+
+def test_positions_need_no_second_shuffle(spark):
+    rows = spark.range(1000).selectExpr("(id * 7919) % 1000 o")
+    indexed = order.with_index(rows, ["o"])
+    assert "Window [row_number" not in _plan(indexed)
+    assert all(r.o == r.idx for r in indexed.collect()) and indexed.count() == 1000

@@ -10,10 +10,14 @@ from .validate import has_key
 
 def first_wins(rows: DataFrame, keys: list[str], order_col: str | None) -> DataFrame:
     """One row per key, the first by ``order_col`` or, without it, by all columns; rows without a full key go.  Combines before the shuffle."""
-    cols = rows.columns
-    row = F.struct(*cols)
-    best = rows.where(has_key(*keys)).groupBy(*keys).agg((F.min(row) if order_col is None else F.min_by(row, F.col(order_col))).alias("_row"))
-    return best.select("_row.*").select(*cols)
+    cols, full = rows.columns, rows.where(has_key(*keys))
+    rest = [c for c in cols if c not in keys]
+    if not rest:
+        return full.distinct()
+    row = F.struct(*rest)
+    best = full.groupBy(*keys).agg((F.min(row) if order_col is None else F.min_by(row, F.col(order_col))).alias("_row"))
+    # the keys are those of the grouping, so what follows by the same keys needs no further shuffle
+    return best.select(*(c if c in keys else F.col("_row")[c].alias(c) for c in cols))
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str], order_col: str) -> DataFrame:

@@ -11,15 +11,16 @@ from ..scratch import written
 def with_index(rows: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
     """A dense position from 0 by ``order``, which must be unique.
 
-    Ranges of the order are numbered apart and shifted by the counts of the ranges before: nothing but one
-    count per range meets in one place.
+    Ranges of the order are numbered apart, as they are written, and shifted by the counts of the ranges before:
+    nothing but one count per range meets in one place.
     """
-    ranged = rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
     ranged = written(ranged, "order")  # so that its partitions are settled for good
+    # such an id is the number of the partition, and in its lower 33 bits the place of the row there
+    ranged = ranged.select(*rows.columns, F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_local"))
     counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))  # a row per partition
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return ranged.withColumn("_local", local).join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_local")).cast("bigint")).drop("_part", "_local", "_before")
+    return ranged.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_local")).cast("bigint")).drop("_part", "_local", "_before")
 
 
 def with_rank(rows: DataFrame, score: str, ties: list[str], name: str = "rank") -> DataFrame:
