@@ -1,10 +1,14 @@
 """What shows on larger tables only: nothing left to do, rows per stage, how often dumps are parsed."""
 
+import glob
+
 import duckdb
+import pyarrow.parquet as pq
 
 from vidpipe import fixtures, registry
 from vidpipe.operators import merge, order
 from vidpipe.plans import jobs
+from vidpipe.sources import lists
 from vidpipe.sources.state import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +66,19 @@ def test_positions_need_no_second_shuffle(spark):
     indexed = order.with_index(rows, ["o"])
     assert "Window [row_number" not in _plan(indexed)
     assert all(r.o == r.idx for r in indexed.collect()) and indexed.count() == 1000
+
+
+def _columns(folder):
+    return {c.path for file in glob.glob(f"{folder}/*.parquet") for c in map(pq.ParquetFile(file).schema.column, range(len(pq.ParquetFile(file).schema)))}
+
+
+def test_stored_dumps_give_only_the_fields_asked_for(spark, tmp_path):
+    lists.store_parsed(fixtures.dumps(spark, SF), f"{tmp_path}/dumps")
+    columns = _columns(f"{tmp_path}/dumps")
+    assert "dump.typed_value.channel_id.typed_value" in columns
+    assert [c for c in columns if ".entries." in c] == ["dump.typed_value.entries.value"]  # what is in the entries is not taken apart
+    plan = registry.QUERIES["stored_dumps"](spark, SF)._jdf.queryExecution().executedPlan()
+    schema = plan.collectLeaves().head().requiredSchema().sql()
+    assert schema.count("VARIANT") == 4, schema  # two fields, each with another to fall back on
+    before = spark.conf.get("spark.sql.variant.shredding.maxSchemaDepth"), spark.conf.get("spark.sql.variant.inferShreddingSchema")
+    assert before == ("50", "true")

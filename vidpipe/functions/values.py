@@ -40,6 +40,11 @@ def coerce_int(value: Column) -> Column:
     return let(value, read)
 
 
+def unless_empty(value: Column) -> Column:
+    """A text that has a character.  ``nullif`` would become a step of its own in the plan, and a variant's fields are read by themselves only if none lies between."""
+    return F.when(value != "", value)
+
+
 def strict_bool(value: Column) -> Column:
     """A boolean only of a boolean variant."""
     return F.when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
@@ -47,7 +52,7 @@ def strict_bool(value: Column) -> Column:
 
 def full_string(value: Column) -> Column:
     """The text of a variant that is a string with at least one character."""
-    return F.nullif(F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string")), F.lit(""))
+    return unless_empty(F.when(kind(value) == "STRING", F.try_variant_get(value, "$", "string")))
 
 
 def ensure_timestamp(value: Column) -> Column:

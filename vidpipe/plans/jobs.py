@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..functions.values import let, or_false
+from ..functions.values import let, or_false, unless_empty
 from ..operators import merge, nested, order, relate, validate
 from ..scratch import written
 from ..sources.lists import with_dump
@@ -71,7 +71,7 @@ def triage(dumps: DataFrame) -> DataFrame:
     if not stored:  # of a failure only the message is read
         dumps = with_dump(dumps, F.when(~or_false(F.col("returncode") != 0), F.col("stdout")), "_parsed")
     dump, error = (F.col("dump"), F.col("error")) if stored else (F.col("_parsed.dump"), F.col("_parsed.error"))
-    said = F.substring(F.coalesce(*(F.nullif(F.trim(c), F.lit("")) for c in (["stderr"] if stored else ["stderr", "stdout"])), F.lit("")), 1, MESSAGE)
+    said = F.substring(F.coalesce(*(unless_empty(F.trim(c)) for c in (["stderr"] if stored else ["stderr", "stdout"])), F.lit("")), 1, MESSAGE)
     reason = (
         F.when(F.coalesce(F.col("channel_url"), F.lit("")) == "", F.lit("channel_url is required"))
         .when(F.col("returncode") != 0, F.substring(said, 1, 100))
@@ -81,7 +81,8 @@ def triage(dumps: DataFrame) -> DataFrame:
     for words in PERMANENT:
         permanent = permanent | F.contains(said, F.lit(words))
     permanent = permanent & (F.col("returncode") != 0) & (F.coalesce(F.col("channel_url"), F.lit("")) != "")
-    out = dumps.select(*rest, F.when(F.col("returncode") == 0, dump).alias("dump"), reason.alias("reason"), permanent.alias("permanent"))
+    own = dump if stored else F.when(F.col("returncode") == 0, dump)  # stored dumps stay a bare column, of which only the fields asked for are read
+    out = dumps.select(*rest, own.alias("dump"), reason.alias("reason"), permanent.alias("permanent"))
     return out.withColumn("status", F.when(F.col("reason").isNull(), F.lit("success")).otherwise(F.lit("failed"))).withColumn("permanent", F.coalesce(permanent, F.lit(False)))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,23 @@ def new_path(spark: SparkSession, what: str) -> str:
     return path
 
 
+@contextmanager
+def shredding(spark: SparkSession, depth: int) -> Iterator[None]:
+    """Within it, variants are written with the fields of their first ``depth`` levels as columns of their own, those below as one value; 0: whole.
+
+    Spark shreds 50 levels otherwise, which for entries in entries costs several times what parsing does, to write and to put together again.
+    """
+    given = {"spark.sql.variant.inferShreddingSchema": str(depth > 0).lower(), "spark.sql.variant.shredding.maxSchemaDepth": str(max(depth, 1))}
+    before = {key: spark.conf.get(key) for key in given}
+    try:
+        for key, value in given.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet below the shared folder and read again."""
     spark = df.sparkSession

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import is_object
+from ..functions.values import is_object, unless_empty
 from ..operators.order import with_index
+from ..scratch import shredding
 from .state import Tables
 
 
@@ -51,14 +52,17 @@ def with_dump(dumps: DataFrame, stdout: Column, name: str) -> DataFrame:
 
 
 def store_parsed(dumps: DataFrame, path: str) -> None:
-    """Dumps parsed once and for all: ``(*columns but stdout, dump, error)`` as Parquet, the fields that are common written as columns of their own.
+    """Dumps parsed once and for all: ``(*columns but stdout, dump, error)`` as Parquet, those fields of a dump itself that are common written as columns of their own.
 
-    Later jobs read only the fields they ask for, and parse nothing.
+    Later jobs read only the fields they ask for, and parse nothing.  The list of entries is one such field, with
+    all that is in it as one value.  A run that failed has a message and no dump.
     """
-    empty = lambda c: F.nullif(F.trim(c), F.lit(""))
-    said = F.coalesce(empty("stderr"), F.when(F.col("returncode") != 0, empty("stdout")))  # a failure may speak in either
+    said = F.coalesce(unless_empty(F.trim("stderr")), F.when(F.col("returncode") != 0, unless_empty(F.trim("stdout"))))  # a failure may speak in either
     rest = [c for c in dumps.columns if c not in ("stdout", "stderr")]
-    with_dump(dumps, F.col("stdout"), "_parsed").select(*rest, said.alias("stderr"), "_parsed.*").write.mode("overwrite").parquet(path)
+    dump = F.when(F.col("returncode") == 0, F.col("_parsed.dump"))  # decided here: a reader that had to ask would need the whole dump for its answer
+    rows = with_dump(dumps, F.col("stdout"), "_parsed").select(*rest, said.alias("stderr"), dump.alias("dump"), "_parsed.error")
+    with shredding(dumps.sparkSession, 1):
+        rows.write.mode("overwrite").parquet(path)
 
 
 def parsed(spark: SparkSession, path: str) -> DataFrame:
