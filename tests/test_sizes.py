@@ -4,9 +4,10 @@ import glob
 
 import duckdb
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
-from vidpipe import fixtures, registry
-from vidpipe.operators import merge, order
+from vidpipe import fixtures, registry, scratch
+from vidpipe.operators import merge, nested, order
 from vidpipe.plans import jobs
 from vidpipe.sources import lists
 from vidpipe.sources.state import Tables
@@ -82,3 +83,15 @@ def test_stored_dumps_give_only_the_fields_asked_for(spark, tmp_path):
     assert schema.count("VARIANT") == 4, schema  # two fields, each with another to fall back on
     before = spark.conf.get("spark.sql.variant.shredding.maxSchemaDepth"), spark.conf.get("spark.sql.variant.inferShreddingSchema")
     assert before == ("50", "true")
+
+
+def test_entries_of_two_levels_are_written_once_and_whole(spark):
+    good = jobs.triage(fixtures.dumps(spark, SF)).where("status = 'success'").select("channel_url", "dump")
+    since = scratch.made(spark)
+    leaves = nested.flatten_rows(good, ["channel_url"], "dump")
+    made = scratch._MADE[spark.sparkContext.applicationId][since:]
+    assert len(made) == 1
+    columns = _columns(made[0].removeprefix("file://"))
+    assert {c for c in columns if c.startswith("entry")} == {"entry.value", "entry.metadata"}
+    flat = nested.flatten_entries(good, "dump").select(F.sum(F.size("leaves"))).first()[0]
+    assert leaves.count() == flat == spark.read.parquet(made[0]).count()

@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import at_least_one
 from ..functions.values import at, coerce_int, full_string, is_object, let, strict_bool, upload_date
-from ..scratch import written
+from ..scratch import shredding, written
 
 # Words in a list's title that exclude it.
 SKIPPED_TITLES = ("shorts", "live")
 
 
-def _array(value: Column) -> Column:
-    """A variant's elements, none unless it is an array."""
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+def _listed(entry: Column) -> Column:
+    """The elements of an entry's ``entries``, null unless that is an array; asked for at once, as each variant taken out of another is written anew."""
+    return F.try_variant_get(entry, "$.entries", "array<variant>")
+
+
+def _array(entry: Column) -> Column:
+    """The elements of an entry's ``entries``, none unless that is an array."""
+    return F.coalesce(_listed(entry), F.array().cast("array<variant>"))
 
 
 def _is_skipped(entry: Column) -> Column:
@@ -27,7 +32,7 @@ def _is_skipped(entry: Column) -> Column:
 def _open(entry: Column) -> Column:
     """What stands for an entry one level further down: itself unless it is a list, the elements of a list not skipped, or nothing."""
     none = F.array().cast("array<variant>")
-    return F.when(at(entry, "$.entries").isNull(), F.array(entry)).when(_is_skipped(entry), none).otherwise(_array(at(entry, "$.entries")))
+    return F.when(at(entry, "$.entries").isNull(), F.array(entry)).when(_is_skipped(entry), none).otherwise(_array(entry))
 
 
 #: JSON itself nests no deeper than this here: the parser refuses more than 1,000 arrays and objects in each other.
@@ -42,7 +47,7 @@ def flatten_entries(dumps: DataFrame, dump: str, depth: int | None = None) -> Da
     """
     more = lambda e: at(e, "$.entries").isNotNull()
     leaf = lambda e: ~more(e) & is_object(e)
-    top = _array(at(F.col(dump), "$.entries"))
+    top = _array(F.col(dump))
     if depth is not None:
         out = dumps.withColumn("leaves", top)
         for _ in range(depth):
@@ -70,23 +75,43 @@ def _video(e: Column) -> dict[str, Column]:
     }
 
 
+#: Levels that are opened before rows are written: a channel's own lists, and what they hold.
+_AT_ONCE = 2
+
+
+def _one_level(level: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, path, entry)`` with the elements of a list in its place; leaves stay, all else goes."""
+    entry, sub = F.col("entry"), F.col("_sub")
+    leaf = at(entry, "$.entries").isNull() & is_object(entry)
+    shown = F.when(sub.isNotNull(), F.when(~_is_skipped(entry), sub)).when(leaf, F.array(entry))
+    rows = level.withColumn("_sub", _listed(entry)).select(*keys, "path", sub.isNotNull().alias("_list"), shown.alias("_shown"))
+    rows = rows.select(*keys, "path", "_list", F.posexplode("_shown").alias("_at", "entry"))
+    return rows.select(*keys, F.when(F.col("_list"), F.concat("path", F.array("_at"))).otherwise(F.col("path")).alias("path"), "entry")
+
+
 def flatten_rows(dumps: DataFrame, keys: list[str], dump: str) -> DataFrame:
     """``(*keys, path, entry)``: a row for each leaf entry of each dump; ``path`` has its place on every level, so leaves sorted by it are in document order.
 
-    Lists are opened level by level as rows, which are written in between, until no list is left: a channel with
-    millions of entries is split like any other rows, and no array of its leaves is ever made.
+    Lists are opened level by level as rows, which are written after every second level, until no list is left: a
+    channel with millions of entries is split like any other rows, and no array of its leaves is ever made.  What
+    neither is a leaf nor can be opened is not written, and entries are written whole.
     """
-    entries = at(F.col("entry"), "$.entries")
-    level = dumps.select(*keys, F.posexplode(_array(at(F.col(dump), "$.entries"))).alias("_at", "entry")).select(*keys, F.array("_at").alias("path"), "entry")
-    leaves = None
+    entry = F.col("entry")
+    more = at(entry, "$.entries").isNotNull()
+    level = dumps.select(*keys, F.posexplode(_listed(F.col(dump))).alias("_at", "entry")).select(*keys, F.array("_at").alias("path"), "entry")
+    leaves, opened = None, 1
     while True:
-        level = written(level, "entries")
-        own = level.where(entries.isNull() & is_object(F.col("entry")))
+        for _ in range(opened, _AT_ONCE):
+            level = _one_level(level, keys)
+        kept = level.where(F.when(more, ~_is_skipped(entry)).otherwise(is_object(entry))).withColumn("_more", more)
+        with shredding(dumps.sparkSession, 0):
+            level = written(kept, "entries")
+        own = level.where("NOT _more").drop("_more")
         leaves = own if leaves is None else leaves.unionByName(own)
-        lists = level.where(entries.isNotNull() & ~_is_skipped(F.col("entry")))
+        lists = level.where("_more")
         if lists.isEmpty():
             return leaves
-        level = lists.select(*keys, "path", F.posexplode(_array(entries)).alias("_at", "entry")).select(*keys, F.concat("path", F.array("_at")).alias("path"), "entry")
+        level, opened = lists.drop("_more"), 0
 
 
 def video_rows(leaves: DataFrame, keys: list[str], most: int = 40) -> DataFrame:
